@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomsift.llm import bpe, common, packing, quality, secrets, tokens, toxicity
+from loomsift.llm import bpe, common, media, near_dup, packing, quality, secrets, substring, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -28,6 +28,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, common.table(spark, sf_dir, "labels")))
 
 
+@query
+def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.components(common.table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.tokenise(common.table(spark, sf_dir, "documents"), digest=True)
@@ -43,6 +48,16 @@ def op7_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read(tokens.write(common.table(spark, sf_dir, "documents"))).drop("ids")
 
 
+@query
+def op8_webp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.describe(media.encode(common.table(spark, sf_dir, "documents")))
+
+
+@query
+def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(common.table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.table(spark, sf_dir, "documents"), with_ids=False)
