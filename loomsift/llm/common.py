@@ -23,10 +23,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Bound the memory of a Python task: Arrow batches of at most so many documents and some 16 MB."""
+def small_batches(spark: SparkSession, rows: int = 500, mb: int = 16) -> None:
+    """Bound the memory of a Python task: Arrow batches of at most so many documents and some so many MB."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(mb << 20))
 
 
 def shared_dir(spark: SparkSession) -> str:
