@@ -210,6 +210,12 @@ def components(docs: DataFrame) -> DataFrame:
     )
 
 
+def keep(docs: DataFrame) -> DataFrame:
+    """The documents without those whose component has a smaller doc_id, with all their columns."""
+    gone = components(docs).groupBy("doc_id").agg(F.max("kept").alias("kept")).where(~F.col("kept")).select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """node and its full set, from one document of each wanted node."""
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomsift.llm import bpe, common, media, near_dup, packing, quality, secrets, substring, tokens, toxicity
+from loomsift.llm import bpe, common, ctw, media, near_dup, packing, quality, secrets, substring, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -38,6 +38,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.tokenise(common.table(spark, sf_dir, "documents"), digest=True)
 
 
+@query
+def op5_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(common.table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(common.table(spark, sf_dir, "documents"))

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomsift.llm import common
+from loomsift.llm.secrets import with_text
 
 WINDOW, SEED, GROUP, PREFIXES = 13, 5, 200_000, (1, 2, 4, 8)
 EMPTY = hashlib.sha256(b"").hexdigest()
@@ -268,3 +269,39 @@ def digest(docs: DataFrame, group: int = GROUP) -> DataFrame:
         F.when(copy, F.col("n_words")).otherwise(F.col("n_words") - F.coalesce("n_kept", "n_words")).alias("n_removed"),
         F.when(copy, F.lit(EMPTY)).otherwise(F.coalesce("kept_sha", "sha")).alias("kept_sha256"),
     )
+
+
+def cut_text(text: str, gone: list[bool]) -> str:
+    """The text without the words marked gone, each with the white space before it."""
+    out, at = [], 0
+    for m, g in zip(common.WORD.finditer(text), gone, strict=True):
+        if not g:
+            out.append(text[at : m.end()])
+        at = m.end()
+    new = "".join(out)
+    return new.lstrip("\x20\x09\x0a\x0b\x0c\x0d") if gone and gone[0] else new
+
+
+def remove(docs: DataFrame, group: int = GROUP) -> DataFrame:
+    """The documents with repeated words cut from text, and n_chars, if present, to match."""
+    rows, starts = found(docs, group)
+    copies = rows.where(F.col("doc_id") > F.col("first")).select("doc_id", "key", F.lit(None).cast("array<int>").alias("starts")).distinct()
+    cuts = copies.unionByName(starts.select("doc_id", "key", "starts")).groupBy("doc_id").agg(F.collect_list(F.struct("key", "starts")).alias("__cuts"))
+    names = docs.columns
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            new = []
+            for t, found_ in zip(b.column(names.index("text")).to_pylist(), b.column(len(names)).to_pylist(), strict=True):
+                if found_ and t:
+                    ws = common.words(t)
+                    key = key_of(ws)
+                    for c in found_:
+                        if c["key"] == key:
+                            gone = [True] * len(ws) if c["starts"] is None else common.covered(len(ws), np.array(c["starts"], np.int64), WINDOW).tolist()
+                            t = cut_text(t, gone)
+                            break
+                new.append(t)
+            yield with_text(pa.RecordBatch.from_arrays(b.columns[: len(names)], names=names), names, new)
+
+    return docs.join(cuts, "doc_id", "left").select(*docs.columns, "__cuts").mapInArrow(of, docs.schema)
