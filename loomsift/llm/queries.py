@@ -66,3 +66,26 @@ def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.table(spark, sf_dir, "documents"), with_ids=False)
+
+
+WORDS = r"list_filter(regexp_split_to_array(coalesce({0}, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_near_dup": f"""with recursive w as (select doc_id, {WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as ws from documents),
+        s as (select distinct doc_id, unnest(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')] else list_transform(range(1, len(ws) - 3), lambda p: array_to_string(ws[p:p+4], ' ')) end) as g from w),
+        n as (select doc_id, count(*) as n from s group by doc_id),
+        pair as (select a.doc_id as x, b.doc_id as y, count(*) as k from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+        link as (select x, y from pair join n nx on nx.doc_id = x join n ny on ny.doc_id = y where 100 * k >= 75 * (nx.n + ny.n - k)),
+        edge as (select x, y from link union select y, x from link),
+        reach as (select x, y from edge union select r.x, e.y from reach r join edge e on r.y = e.x)
+        select d.doc_id, coalesce(n.n, 0) as n_shingles, least(d.doc_id, coalesce(m.m, d.doc_id)) as component_id, d.doc_id = least(d.doc_id, coalesce(m.m, d.doc_id)) as kept
+        from documents d left join n on n.doc_id = d.doc_id left join (select x, min(y) as m from reach group by x) m on m.x = d.doc_id""",
+    "op9_substring": f"""with w as (select doc_id, {WORDS.format("text")} as ws from documents),
+        v as (select doc_id, ws, unnest(range(1, len(ws) - 11)) as p from w where len(ws) >= 13),
+        k as (select doc_id, p, sha256(array_to_string(ws[p:p+12], ' ')) as g from v),
+        f as (select g, min(doc_id) as m from k group by g),
+        gone as (select distinct k.doc_id, k.p + o.o as at from k join f on k.g = f.g, (select unnest(range(0, 13)) as o) o where f.m < k.doc_id),
+        words as (select doc_id, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as at from w),
+        kept as (select words.doc_id, count(*) as n, array_to_string(list(word order by words.at), ' ') as t from words left join gone on words.doc_id = gone.doc_id and words.at = gone.at where gone.at is null group by words.doc_id)
+        select w.doc_id, len(w.ws) as n_words, len(w.ws) - coalesce(kept.n, 0) as n_removed, sha256(coalesce(kept.t, '')) as kept_sha256 from w left join kept on w.doc_id = kept.doc_id""",
+}
