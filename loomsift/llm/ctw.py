@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from loomsift.llm import common
 
-DEPTH, HOT, CHUNK, SOME = 5, 1 << 19, 40_000, 3_000_000
+DEPTH, HOT, CHUNK, SOME = 5, 1 << 19, 40_000, 1_500_000
 END = b"\n"
 WORD_KIND, RUN_KIND = 0, 1
 MASK = [np.uint64((1 << (8 * d + 8)) - 1) for d in range(DEPTH + 1)]
