@@ -18,7 +18,11 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 AS_OF = "2024-01-28 12:00:00"
-NOW = F.expr(f"timestamp_ntz'{AS_OF}'")
+
+
+def now() -> F.Column:
+    return F.expr(f"timestamp_ntz'{AS_OF}'")
+
 
 DERIVED = {
     "staged": """select concat(d.source, ':', cast(d.doc_id as string)) as uid, d.doc_id as seq, d.source,
@@ -91,22 +95,22 @@ DOWN = f"""with r as (select *, split_part(uid, ':', 1) as source from dlq where
 
 @query("dlq", f"select * from ({DOWN}) t")
 def q_sources_down(spark, d):
-    return health.sources_down(derived(spark, d, "dlq"), NOW)
+    return health.sources_down(derived(spark, d, "dlq"), now())
 
 
 @query("dlq", f"select error_type, count(*) as n from dlq where created_at > timestamp '{AS_OF}' - interval 24 hour group by error_type")
 def q_window_counts(spark, d):
-    return tables.since(derived(spark, d, "dlq"), NOW, 24).groupBy("error_type").agg(F.count("*").alias("n"))
+    return tables.since(derived(spark, d, "dlq"), now(), 24).groupBy("error_type").agg(F.count("*").alias("n"))
 
 
 @query("log", f"select count(*) as n from log where event_type = 'APPROVED' and created_at >= date_trunc('day', timestamp '{AS_OF}')")
 def q_approved_today(spark, d):
-    return health.approved_today(derived(spark, d, "log"), NOW)
+    return health.approved_today(derived(spark, d, "log"), now())
 
 
 @query("runs", f"select round(date_diff('second', max_by(started_at, id), timestamp '{AS_OF}') / 3600.0, 6) as hours from runs")
 def q_hours_since_run(spark, d):
-    return health.hours_since_last_run(derived(spark, d, "runs"), NOW).select(F.round("hours", 6).alias("hours"))
+    return health.hours_since_last_run(derived(spark, d, "runs"), now()).select(F.round("hours", 6).alias("hours"))
 
 
 @query("ratings", "select coalesce(criterion_id, 'Unknown') as criterion_id, count(distinct uid) as n from ratings where verdict = 'exclude' group by 1")
@@ -174,7 +178,7 @@ def q_ttl_kept(spark, d):
 @query("dlq", f"select id, uid, attempts from dlq where created_at >= timestamp '{AS_OF}' - interval 10 day or retry_eligible")
 def q_retention(spark, d):
     dlq = derived(spark, d, "dlq")
-    return tables.retained(dlq, dlq, NOW, days=10)[1].select("id", "uid", "attempts")
+    return tables.retained(dlq, dlq, now(), days=10)[1].select("id", "uid", "attempts")
 
 
 @query("dlq", "select id, attempts from dlq where not retry_eligible and attempts >= 5")
@@ -223,7 +227,7 @@ def q_upsert(spark, d):
 @query("log", "select id, uid, event_type, created_at from log union all select m + row_number() over (order by uid), uid, 'SEEN', timestamp '%s' from (select distinct uid from log) u, (select max(id) as m from log) x" % AS_OF)
 def q_append_log(spark, d):
     log = derived(spark, d, "log").select("id", "uid", "event_type", "created_at")
-    return tables.appended(log, log.select("uid", F.lit("SEEN").alias("event_type")).distinct(), NOW)
+    return tables.appended(log, log.select("uid", F.lit("SEEN").alias("event_type")).distinct(), now())
 
 
 FOUND = "select concat('s', cast(event_id % 4 as string)) as source, user_id % 10 as query_no, concat('q', cast(user_id % 10 as string)) as query, event_id as pos, cast(cast(floor(value) as bigint) as string) as id from events"
@@ -533,8 +537,8 @@ def q_alert_fsm(spark, d):
     dlq = derived(spark, d, "dlq")
     n = dlq.where("error_type <> 'view'").groupBy(text.uid_source(F.col("uid")).alias("key")).agg(F.count("*").alias("n"))
     now = n.select("key", F.expr("case when n % 2 = 0 then 'OPEN' else 'RESOLVED' end").alias("state"), F.lit("was").alias("detail"), F.expr("timestamp_ntz'2024-01-01 00:00:00'").alias("first_seen"), F.expr("case when n % 3 = 0 then timestamp_ntz'2024-01-28 00:00:00' else timestamp_ntz'2024-01-20 00:00:00' end").alias("last_notified"))
-    wanted = health.sources_down(dlq, NOW).select(F.col("source").alias("key"), F.lit("down").alias("detail"))
-    return alerts.evaluated(now, wanted, NOW).select("key", "state", "transition", "first_seen", "last_notified")
+    wanted = health.sources_down(dlq, now()).select(F.col("source").alias("key"), F.lit("down").alias("detail"))
+    return alerts.evaluated(now, wanted, now()).select("key", "state", "transition", "first_seen", "last_notified")
 
 
 @query()
@@ -545,7 +549,7 @@ def q_health_snapshot(spark, d):
 
 def _snapshot(spark: SparkSession, d: str) -> DataFrame:
     t = {n: derived(spark, d, n) for n in DERIVED}
-    return health.snapshot(t["staged"], t["dlq"], t["log"], t["runs"], t["ratings"], t["facts"].withColumn("created_at", NOW), NOW)
+    return health.snapshot(t["staged"], t["dlq"], t["log"], t["runs"], t["ratings"], t["facts"].withColumn("created_at", now()), now())
 
 
 @query()

@@ -21,3 +21,11 @@ def test_runs(spark, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 5
+
+
+def test_registry_needs_no_session():
+    import subprocess
+    import sys
+
+    code = "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries())"
+    assert subprocess.run([sys.executable, "-c", code], cwd=entry.ROOT, check=False).returncode == 0
