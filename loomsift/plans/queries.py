@@ -536,9 +536,9 @@ FSM = f"""with al as ({ALERTS}), w as (select source as key from ({DOWN}) t)
 def q_alert_fsm(spark, d):
     dlq = derived(spark, d, "dlq")
     n = dlq.where("error_type <> 'view'").groupBy(text.uid_source(F.col("uid")).alias("key")).agg(F.count("*").alias("n"))
-    now = n.select("key", F.expr("case when n % 2 = 0 then 'OPEN' else 'RESOLVED' end").alias("state"), F.lit("was").alias("detail"), F.expr("timestamp_ntz'2024-01-01 00:00:00'").alias("first_seen"), F.expr("case when n % 3 = 0 then timestamp_ntz'2024-01-28 00:00:00' else timestamp_ntz'2024-01-20 00:00:00' end").alias("last_notified"))
+    held = n.select("key", F.expr("case when n % 2 = 0 then 'OPEN' else 'RESOLVED' end").alias("state"), F.lit("was").alias("detail"), F.expr("timestamp_ntz'2024-01-01 00:00:00'").alias("first_seen"), F.expr("case when n % 3 = 0 then timestamp_ntz'2024-01-28 00:00:00' else timestamp_ntz'2024-01-20 00:00:00' end").alias("last_notified"))
     wanted = health.sources_down(dlq, now()).select(F.col("source").alias("key"), F.lit("down").alias("detail"))
-    return alerts.evaluated(now, wanted, now()).select("key", "state", "transition", "first_seen", "last_notified")
+    return alerts.evaluated(held, wanted, now()).select("key", "state", "transition", "first_seen", "last_notified")
 
 
 @query()
