@@ -11,8 +11,9 @@ words of a suffix whose node at that depth also holds a suffix of a document wit
 3. Variable-length prefixes part these suffixes into groups of at most ``GROUP``: a prefix (1, 2, 4, 8 words) held by
    more is replaced by longer ones. A full window held by more is one node and needs no tree: its least doc_id is a
    sum of partial results.
-4. Each group's suffixes are sorted (Spark's external sort, so a group is never held in memory), which puts the
-   leaves of every node side by side; nodes at the depth are read off with one look back, leaf by leaf.
+4. Each group's suffixes are sorted by codes of their first words, then by a hash of the window (Spark's external sort,
+   so a group is never held in memory), which puts the leaves of every node at the depth side by side; nodes are read
+   off with one look back, leaf by leaf.
 
 The prefixes sent to tasks number at most suffixes / GROUP a level. Words are compared by 64-bit hashes.
 
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from loomsift.llm import common
 from loomsift.llm.secrets import with_text
 
-WINDOW, SEED, GROUP, PREFIXES = 13, 5, 200_000, (1, 2, 4, 8)
+WINDOW, SEED, GROUP, PREFIXES, CODES = 13, 5, 200_000, (1, 2, 4, 8), 8
 EMPTY = hashlib.sha256(b"").hexdigest()
 
 
@@ -133,65 +134,77 @@ def repeated_runs(docs: DataFrame, hits: DataFrame) -> DataFrame:
     return docs.join(hits, "doc_id").mapInArrow(of, "doc_id long, key long, start int, words binary")
 
 
-def prefix_hashes(h: np.ndarray, n: int, k: int) -> np.ndarray:
-    return common.window_hashes(h, k)[:n]
+class Runs:
+    """The words of a batch of runs as one array of hashes, and where in it each run's suffixes begin."""
+
+    def __init__(self, texts: list[bytes]) -> None:
+        each = [x.split() for x in texts]
+        self.h = common.hashes([w for ws in each for w in ws])
+        n = np.array([len(ws) for ws in each], np.int64)
+        self.n = np.maximum(0, n - WINDOW + 1)
+        first = np.cumsum(self.n) - self.n
+        #: place of each suffix in its run, and in h
+        self.inside = np.arange(int(self.n.sum())) - np.repeat(first, self.n)
+        self.at = self.inside + np.repeat(np.cumsum(n) - n, self.n)
+
+    def prefix(self, k: int) -> np.ndarray:
+        """A hash of the first k words of each suffix."""
+        return common.window_hashes(self.h, k)[self.at]
 
 
 def prefixes(runs: DataFrame, group: int = GROUP) -> list[np.ndarray]:
     """For each prefix length, and last for the whole window, the sorted hashes held by more than ``group`` suffixes."""
     heavy: list[np.ndarray] = []
-    for k in (*PREFIXES, WINDOW):
+    lengths = (*PREFIXES, WINDOW)
+    for n, k in enumerate(lengths):
         if heavy and not len(heavy[-1]):
             heavy.append(np.empty(0, np.uint64))
             continue
-        above = heavy[-1] if heavy else None
+        above, shorter = (heavy[-1], lengths[n - 1]) if heavy else (None, 0)
 
-        def of(batches: Iterator[pa.RecordBatch], k: int = k, above: np.ndarray | None = above) -> Iterator[pa.RecordBatch]:
+        def of(batches: Iterator[pa.RecordBatch], k: int = k, above: np.ndarray | None = above, shorter: int = shorter) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                found = [np.empty(0, np.uint64)]
-                for x in b.column("words").to_pylist():
-                    h = common.hashes(x.split())
-                    n = len(h) - WINDOW + 1
-                    mine = prefix_hashes(h, n, k)
-                    if above is not None:
-                        mine = mine[np.isin(prefix_hashes(h, n, dict(zip((*PREFIXES, WINDOW)[1:], PREFIXES, strict=True))[k]), above)]
-                    found.append(mine)
-                u, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n, pa.int64())], names=["prefix", "n"])
+                x = Runs(b.column("words").to_pylist())
+                mine = x.prefix(k)
+                if above is not None:
+                    mine = mine[np.isin(x.prefix(shorter), above)]
+                u, m = np.unique(mine, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(m, pa.int64())], names=["prefix", "n"])
 
         counts = runs.select("words").mapInArrow(of, "prefix long, n long").groupBy("prefix").agg(F.sum("n").alias("n")).where(F.col("n") > group)
         heavy.append(np.sort(np.array([r.prefix for r in counts.select("prefix").collect()], np.int64).view(np.uint64)))
     return heavy
 
 
-def suffixes(runs: DataFrame, heavy: list[np.ndarray]) -> DataFrame:
-    """One row a suffix: label (hash of its group's prefix; hot: the whole window), codes to sort by, window hash."""
+def suffixes(runs: DataFrame, heavy: list[np.ndarray], hot: bool) -> DataFrame:
+    """One row a suffix: doc_id, key, pos and window hash, of the windows held by more than a group (hot) or of the
+    others; these with a label (hash of their group's prefix) and codes of their first words to sort by."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            parts: list[tuple] = []
-            for i, key, start, x in zip(*(b.column(c).to_pylist() for c in ("doc_id", "key", "start", "words")), strict=True):
-                h = common.hashes(x.split())
-                n = len(h) - WINDOW + 1
-                whole = common.window_hashes(h, WINDOW)
-                label, open_ = whole.copy(), np.ones(n, bool)
-                for k, hot in zip(PREFIXES, heavy, strict=False):
-                    p = prefix_hashes(h, n, k)
-                    done = open_ & ~np.isin(p, hot)
+            x = Runs(b.column("words").to_pylist())
+            whole = x.prefix(WINDOW)
+            mine = np.isin(whole, heavy[-1]) == hot if hot or len(heavy[-1]) else np.ones(len(whole), bool)
+            doc, key = (np.repeat(b.column(c).to_numpy(), x.n)[mine] for c in ("doc_id", "key"))
+            pos = (np.repeat(b.column("start").to_numpy(), x.n) + x.inside)[mine].astype(np.int32)
+            cols = {"doc_id": pa.array(doc), "key": pa.array(key), "pos": pa.array(pos), "window": pa.array(whole[mine].view(np.int64))}
+            if not hot:
+                label, open_ = whole.copy(), np.ones(len(whole), bool)
+                for k, many in zip(PREFIXES, heavy, strict=False):
+                    p = x.prefix(k)
+                    done = open_ & ~np.isin(p, many)
                     label[done] = p[done]
                     open_ &= ~done
-                short = (h >> np.uint64(48)).astype(">u2")
-                codes = np.lib.stride_tricks.sliding_window_view(short, WINDOW)
-                parts.append((np.full(n, i, np.int64), np.full(n, key, np.int64), np.arange(start, start + n, dtype=np.int32), label, whole, codes, np.isin(whole, heavy[-1]) & open_))
-            if parts:
-                doc, key, pos, label, whole, codes, hot = (np.concatenate(c) for c in zip(*parts, strict=True))
-                flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * WINDOW), len(doc), [None, pa.py_buffer(np.ascontiguousarray(codes).tobytes())]).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(key), pa.array(pos), pa.array(label.view(np.int64)), pa.array(whole.view(np.int64)), flat, pa.array(hot)], names=["doc_id", "key", "pos", "label", "window", "codes", "hot"])
+                cols["label"] = pa.array((label[mine] >> np.uint64(32)).astype(np.uint32).view(np.int32))
+                code = (x.h >> np.uint64(48)).astype(">u2")
+                codes = np.stack([code[x.at[mine] + j] for j in range(CODES)], axis=1)
+                cols["codes"] = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * CODES), len(codes), [None, pa.py_buffer(np.ascontiguousarray(codes).tobytes())]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
-    return runs.mapInArrow(of, "doc_id long, key long, pos int, label long, window long, codes binary, hot boolean")
+    return runs.mapInArrow(of, "doc_id long, key long, pos int, window long" + ("" if hot else ", label int, codes binary"))
 
 
-def repeats(suffix: DataFrame) -> DataFrame:
+def repeats(runs: DataFrame, heavy: list[np.ndarray]) -> DataFrame:
     """key, doc_id and pos of suffixes whose node at depth WINDOW has a smaller doc_id too."""
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,12 +223,11 @@ def repeats(suffix: DataFrame) -> DataFrame:
             last, least = window[-1], lowest[-1]
             yield b.select(["key", "doc_id", "pos"]).filter(pa.array(doc > lowest))
 
-    n = int(suffix.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cold = (
-        suffix.where(~F.col("hot")).drop("hot").repartition(n, "label").sortWithinPartitions("codes", "window", "doc_id")
-        .select("window", "doc_id", "key", "pos").mapInArrow(leaves, "key long, doc_id long, pos int")
-    )
-    hot = suffix.where(F.col("hot")).select("window", "doc_id", "key", "pos")
+    n = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cold = suffixes(runs, heavy, False).repartition(n, "label").sortWithinPartitions("codes", "window", "doc_id").select("window", "doc_id", "key", "pos").mapInArrow(leaves, "key long, doc_id long, pos int")
+    if not len(heavy[-1]):
+        return cold
+    hot = suffixes(runs, heavy, True)
     node = hot.groupBy("window").agg(F.min("doc_id").alias("least"))
     return cold.unionByName(hot.join(node, "window").where(F.col("doc_id") > F.col("least")).select("key", "doc_id", "pos"))
 
@@ -237,8 +249,9 @@ def found(docs: DataFrame, group: int = GROUP) -> tuple[DataFrame, DataFrame, Da
     twice = seeds.groupBy("seed").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("seed")
     hits = released(seeds.join(twice, "seed").groupBy("doc_id", "key").agg(F.collect_list("pos").alias("places")), "substring-hits")
     runs = released(repeated_runs(docs, hits), "substring-runs")
-    suffix = suffixes(runs, prefixes(runs, group))
-    starts = released(repeats(suffix).groupBy("doc_id", "key").agg(F.collect_list("pos").alias("starts")), "substring-starts")
+    common.small_batches(docs.sparkSession, 10_000, 2)  # runs are short
+    starts = released(repeats(runs, prefixes(runs, group)).groupBy("doc_id", "key").agg(F.collect_list("pos").alias("starts")), "substring-starts")
+    common.small_batches(docs.sparkSession)
     return rows.join(first.withColumnRenamed("doc_id", "first"), "key", "left"), starts
 
 
