@@ -179,8 +179,8 @@ def log_probabilities(table: DataFrame) -> DataFrame:
                 level, _ = above(level, d)
             yield pa.RecordBatch.from_arrays([pa.array((level.key & MASK[1]).view(np.int64)), pa.array(level.n0), pa.array(level.n1), pa.array(level.pw)], names=["key", "n0", "n1", "pw"])
 
-    ones = dealt.mapInArrow(up, "key long, n0 double, n1 double, pw double").groupBy("key").agg(*(F.sum(c).alias(c) for c in ("n0", "n1", "pw"))).toPandas().sort_values("key")
-    top = Level(ones["key"].to_numpy(np.int64).view(np.uint64), *(ones[c].to_numpy(float) for c in ("n0", "n1", "pw")))
+    ones = dealt.mapInArrow(up, "key long, n0 double, n1 double, pw double").groupBy("key").agg(*(F.sum(c).alias(c) for c in ("n0", "n1", "pw"))).toArrow().sort_by("key")
+    top = Level(ones["key"].to_numpy().view(np.uint64), *(ones[c].to_numpy() for c in ("n0", "n1", "pw")))
     root, at = above(top, 0)
     left = (1 - root.share())[at]
     mixed = (root.share() * root.one())[at] + left * top.share() * top.one()
@@ -250,8 +250,8 @@ def frequent(values: DataFrame, kind: int) -> Lookup:
         if total > HOT:
             break
         least = r["part"]
-    got = mine.where(part >= least).select("key", "value", "known").toPandas() if least is not None else mine.limit(0).select("key", "value", "known").toPandas()
-    return Lookup(got["key"].to_numpy(np.int64).view(np.uint64), got["value"].to_numpy(float), got["known"].to_numpy(bool))
+    got = mine.where(part >= least if least is not None else F.lit(False)).select("key", "value", "known").toArrow()
+    return Lookup(got["key"].to_numpy().view(np.uint64), got["value"].to_numpy(), got["known"].to_numpy())
 
 
 def score(docs: DataFrame) -> DataFrame:
