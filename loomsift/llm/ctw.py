@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from loomsift.llm import common
 
-DEPTH, HOT, CHUNK, SOME = 5, 1 << 19, 40_000, 1_500_000
+DEPTH, HOT, CHUNK, SOME, ROOM = 5, 1 << 19, 40_000, 1_500_000, 1_000_000
 END = b"\n"
 WORD_KIND, RUN_KIND = 0, 1
 MASK = [np.uint64((1 << (8 * d + 8)) - 1) for d in range(DEPTH + 1)]
@@ -77,10 +77,42 @@ def _some(texts: list[str | None]) -> Iterator[tuple[int, list[list[bytes]]]]:
         yield first, held
 
 
+class Sums:
+    """Counts by key of one kind, summed inside a task; at most some ``ROOM`` keys are held."""
+
+    def __init__(self, kind: int) -> None:
+        self.kind, self.parts, self.size = kind, [], 0
+
+    def add(self, key: np.ndarray, train: np.ndarray) -> pa.RecordBatch | None:
+        """Take keys and whether each is of a training text; what is full is given back."""
+        for mine in (True, False):
+            u, n = np.unique(key[train == mine], return_counts=True)
+            self.parts.append((u, n * mine, n))
+            self.size += len(u)
+        if self.size < 2 * ROOM:
+            return None
+        self.parts = [self._joined()]
+        self.size = len(self.parts[0][0])
+        return self.take() if self.size > ROOM else None
+
+    def _joined(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        key, train, every = (np.concatenate(c) for c in zip(*self.parts, strict=True))
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
+        return (key[first], *(np.add.reduceat(c[order], first) if len(key) else c for c in (train, every)))
+
+    def take(self) -> pa.RecordBatch:
+        key, train, every = self._joined()
+        self.parts, self.size = [], 0
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), self.kind, np.int8)), pa.array(key.view(np.int64)), pa.array(train), pa.array(every)], names=["kind", "key", "n_train", "n_all"])
+
+
 def counts(docs: DataFrame) -> DataFrame:
     """kind, key, n_train and n_all of every word and run."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {k: Sums(k) for k in (WORD_KIND, RUN_KIND)}
         for b in batches:
             train = np.array([not held_out(i) for i in b.column("doc_id").to_pylist()], bool)
             for first, some in _some(b.column("text").to_pylist()):
@@ -88,10 +120,11 @@ def counts(docs: DataFrame) -> DataFrame:
                 code, n = runs(some)
                 flat = [w for t in some for w in t]
                 for kind, key, each in ((WORD_KIND, common.hashes(flat), np.array([len(t) for t in some])), (RUN_KIND, code, n)):
-                    u, k = np.unique(key[np.repeat(mine, each)], return_counts=True)
-                    v, m = np.unique(key[np.repeat(~mine, each)], return_counts=True)
-                    keys = np.concatenate([u, v]).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int8)), pa.array(keys), pa.array(np.concatenate([k, 0 * m])), pa.array(np.concatenate([k, m]))], names=["kind", "key", "n_train", "n_all"])
+                    if (full := sums[kind].add(key, np.repeat(mine, each))) is not None:
+                        yield full
+        for s in sums.values():
+            if s.parts:
+                yield s.take()
 
     rows = docs.mapInArrow(of, "kind byte, key long, n_train long, n_all long")
     return rows.groupBy("kind", "key").agg(F.sum("n_train").alias("n_train"), F.sum("n_all").alias("n_all"))
