@@ -1,13 +1,16 @@
 """MinHash near-dedup with sequential Bayesian verification.
 
 A text's set is its distinct 5-word shingles, as 64-bit hashes. Texts with equal sets are one node (their fingerprint).
-1. Each node has ``HASHES`` minima; ``BANDS`` bands of ``ROWS`` minima put nodes into buckets. Two sets of similarity
-   0.75 share no bucket with probability (1 - 0.75**4)**24, about one in ten thousand.
+1. Each node has BANDS * ROWS minima; ``BANDS`` bands of ``ROWS`` minima put nodes into buckets. Two sets of similarity
+   0.75 share no bucket with probability (1 - 0.75**7)**52, six in ten thousand; of similarity 0.8, one in two hundred
+   thousand. Bands are long, so texts that share only a common passage seldom meet. The minima are
+   kept of nodes that share a bucket.
 2. Candidate pairs are checked batch by batch of minima: after each the posterior (uniform prior) that the similarity
    reaches 0.75, given the matches so far, is bounded; pairs below ``MISS`` are pruned. Survivors are confirmed on
    their full sets, so no wrong link is made.
-3. A bucket's pairs are never all made. Each node is first checked against one pivot; then buckets that still hold
-   nodes of several components have further pivots from the largest of them; last, every pair that still matters (two
+3. A bucket's pairs are never all made. Each node is first checked against one hub, the node of its buckets that meets
+   most others in all of its own (the text that a group was copied from, if it is there); then buckets that still hold
+   nodes of several components have further hubs from the largest of them; last, every pair that still matters (two
    components in one bucket, the smaller one's nodes against the others) is checked. Pairs inside one component can
    add nothing, so no link between components is lost, and a group of n copies costs about n checks.
 4. Components: large-star and small-star steps, as DataFrame aggregates and joins, until nothing changes.
@@ -32,10 +35,13 @@ from pyspark.sql import functions as F
 
 from loomsift.llm import common
 
-SHINGLE, HASHES, BANDS, ROWS, BATCH, MISS = 5, 128, 24, 4, 32, 1e-6
+SHINGLE, BANDS, ROWS, BATCH, MISS = 5, 52, 7, 32, 1e-4
+HASHES = BANDS * ROWS
 #: Links ask for 100 * intersection >= SHARE * union.
 SHARE = 75
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 1
+#: Nodes of a bucket that are held against each other at once: so many of other components, so many of all.
+SMALL, LARGE = 128, 512
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -55,10 +61,21 @@ def _multipliers() -> tuple[np.ndarray, np.ndarray]:
 def minima(s: np.ndarray) -> np.ndarray:
     """The least value of the set under each of HASHES multiply-shift hashes."""
     a, b = _multipliers()
-    out = np.full(HASHES, 0xFFFFFFFF, np.uint32)
-    for k in range(0, len(s), 1024):
-        out = np.minimum(out, (((s[k : k + 1024, None] * a) + b) >> np.uint64(32)).min(axis=0).astype(np.uint32))
-    return out
+    out = np.full(len(a), ~np.uint64(0))
+    for k in range(0, len(s), 256):
+        h = s[k : k + 256, None] * a
+        h += b
+        np.minimum(out, h.min(axis=0), out=out)
+    return (out >> np.uint64(32)).astype(np.uint32)
+
+
+def bucket_hashes(low: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each band and its minima; of one set, or of many (rows)."""
+    x = low.reshape(*low.shape[:-1], BANDS, ROWS).astype(np.uint64)
+    h = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) * common.MIX, x.shape[:-1])
+    for j in range(ROWS):
+        h = common.mixed(h * common.BASE + x[..., j])
+    return h
 
 
 @functools.lru_cache(maxsize=1)
@@ -94,21 +111,21 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, node (64-bit fingerprint of the set, null if it is empty) and minima of each document."""
-    like = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("minima", pa.binary())])
+    """doc_id, n_shingles, node (64-bit fingerprint of the set, null if it is empty) and buckets of each document."""
+    like = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("buckets", pa.binary())])
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, n, node, low = b.column("doc_id"), [], [], []
+            ids, n, node, bands = b.column("doc_id"), [], [], []
             for i, t in zip(ids.to_pylist(), b.column("text").to_pylist(), strict=True):
                 s = shingles(t)
                 n.append(len(s))
                 alone = not len(s) or i is None
                 node.append(None if alone else int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64)))
-                low.append(None if alone else minima(s).tobytes())
-            yield common.batch({"doc_id": ids, "n_shingles": n, "node": node, "minima": low}, like)
+                bands.append(None if alone else bucket_hashes(minima(s)).tobytes())
+            yield common.batch({"doc_id": ids, "n_shingles": n, "node": node, "buckets": bands}, like)
 
-    return docs.mapInArrow(of, "doc_id long, n_shingles long, node long, minima binary")
+    return docs.mapInArrow(of, "doc_id long, n_shingles long, node long, buckets binary")
 
 
 def buckets(nodes: DataFrame) -> DataFrame:
@@ -116,35 +133,87 @@ def buckets(nodes: DataFrame) -> DataFrame:
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not b.num_rows:
-                continue
-            low = np.frombuffer(b"".join(b.column("minima").to_pylist()), np.uint32).reshape(-1, HASHES)[:, : BANDS * ROWS]
-            x = low.reshape(len(low), BANDS, ROWS).astype(np.uint64)
-            h = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) * common.MIX, x.shape[:2]).copy()
-            for j in range(ROWS):
-                h = common.mixed(h * common.BASE + x[:, :, j])
-            yield pa.RecordBatch.from_arrays([pa.array(h.ravel().view(np.int64)), pa.array(np.repeat(b.column("node").to_numpy(), BANDS))], names=["bucket", "node"])
+            h = np.frombuffer(b"".join(b.column("buckets").to_pylist()), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.repeat(b.column("node").to_numpy(), BANDS))], names=["bucket", "node"])
+
+    return nodes.select("node", "buckets").mapInArrow(of, "bucket long, node long")
+
 
-    return nodes.select("node", "minima").mapInArrow(of, "bucket long, node long")
+def _stacked(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, HASHES)
 
 
-def verified(pairs: DataFrame, minima_of: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are links: pruned on minima batch by batch, then confirmed on full sets."""
+def pruned(pairs: DataFrame, minima_of: DataFrame) -> DataFrame:
+    """The pairs (a, b) left after looking at their minima batch by batch."""
 
-    def pruned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows:
-                x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint32).reshape(-1, HASHES) for c in ("ma", "mb"))
-                yield b.select(["a", "b"]).take(pa.array(survivors(x, y)))
+            yield b.select(["a", "b"]).take(pa.array(survivors(_stacked(b.column("ma")), _stacked(b.column("mb")))))
+
+    x = pairs.join(minima_of.toDF("a", "ma"), "a").join(minima_of.toDF("b", "mb"), "b").select("a", "b", "ma", "mb")
+    return x.mapInArrow(of, "a long, b long")
+
 
-    def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def remainder(mixed: DataFrame, minima_of: DataFrame) -> DataFrame:
+    """All pairs of nodes of two components in a bucket, of which one is not the main one, left after pruning.
+
+    A bucket's other nodes are cut into blocks of some SMALL, all its nodes into blocks of some LARGE; a task holds one
+    block of each, so a group of any size is bounded there, and only pairs that survive become rows, each in the first
+    of the buckets that its nodes share.
+    """
+    size = mixed.groupBy("bucket").agg(F.ceil(F.count_if(F.col("comp") != F.col("main")) / SMALL).cast("int").alias("ss"), F.ceil(F.count("*") / LARGE).cast("int").alias("ll"))
+    x = mixed.select("bucket", "node", "comp", (F.col("comp") == F.col("main")).alias("is_main")).join(size, "bucket")
+    block = F.pmod(F.xxhash64("node"), F.lit(1 << 20)).cast("int")
+    every = F.sequence(F.lit(0), F.col("ll") - 1), F.sequence(F.lit(0), F.col("ss") - 1)
+    small = x.where(~F.col("is_main")).select("bucket", F.pmod(block, "ss").alias("s"), F.explode(every[0]).alias("l"), F.lit(0).alias("side"), "node", "comp", "is_main")
+    large = x.select("bucket", F.explode(every[1]).alias("s"), F.pmod(block, "ll").alias("l"), F.lit(1).alias("side"), "node", "comp", "is_main")
+    n = int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = small.unionByName(large).join(minima_of, "node").repartition(n, "bucket", "s", "l").sortWithinPartitions("bucket", "s", "l", "side")
+
+    def held(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(rows)
+        side, node, comp, main = (t.column(c).to_numpy() for c in ("side", "node", "comp", "is_main"))
+        low = _stacked(t.column("minima").combine_chunks())
+        i, j = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        want = (comp[i][:, None] != comp[j]) & (main[j] | (node[i][:, None] < node[j]))
+        i, j = (v[k] for v, k in zip((i, j), np.nonzero(want), strict=True))
+        left = np.concatenate([np.empty(0, np.int64), *(k + survivors(low[i[k : k + 20_000]], low[j[k : k + 20_000]]) for k in range(0, len(i), 20_000))])
+        i, j = i[left], j[left]
+        # in the first bucket that both are in, and in no later one
+        band = (low[i].reshape(-1, BANDS, ROWS) == low[j].reshape(-1, BANDS, ROWS)).all(axis=2).argmax(axis=1)
+        here = bucket_hashes(low)[i, band] == np.uint64(np.int64(t.column("bucket")[0].as_py()).astype(np.uint64))
+        a, b = node[i[here]], node[j[here]]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, rows = None, []
+        for b in batches:
+            keys = [b.column(c).to_numpy() for c in ("bucket", "s", "l")]
+            cut = [0, *(np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1).tolist(), b.num_rows]
+            for start, end in zip(cut[:-1], cut[1:], strict=True):
+                if start == end:
+                    continue
+                key = tuple(k[start] for k in keys)
+                if rows and key != last:
+                    yield held(rows)
+                    rows = []
+                last = key
+                rows.append(b.slice(start, end - start))
+        if rows:
+            yield held(rows)
+
+    return dealt.mapInArrow(of, "a long, b long")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yes = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist(), strict=True)]
             yield b.select(["a", "b"]).filter(pa.array(yes, pa.bool_()))
 
-    left = pairs.join(minima_of.toDF("a", "ma"), "a").join(minima_of.toDF("b", "mb"), "b").select("a", "b", "ma", "mb")
-    left = left.mapInArrow(pruned, "a long, b long")
-    return left.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").select("a", "b", "sa", "sb").mapInArrow(confirmed, "a long, b long")
+    return pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").select("a", "b", "sa", "sb").mapInArrow(of, "a long, b long")
 
 
 def connected(links: DataFrame, rounds: int = 50) -> DataFrame:
@@ -174,34 +243,39 @@ def components(docs: DataFrame) -> DataFrame:
     common.small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     rows = common.stored(signatures(docs), "near-signatures")
-    nodes = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.first("minima").alias("minima"), F.min("doc_id").alias("doc_id"))
-    in_buckets = buckets(nodes)
-    members = common.stored(in_buckets.join(in_buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("pivot")).where("n > 1"), "bucket").select("bucket", "node", "pivot"), "near-buckets")
-    few = common.stored(members.select("node").distinct().join(nodes, "node"), "near-nodes")
-    minima_of = few.select("node", "minima")
-    sets = common.stored(_sets(docs, few.select("node", "doc_id")), "near-sets")
-
-    first = members.where("node <> pivot").groupBy("node").agg(F.min("pivot").alias("pivot")).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    links = common.stored(verified(first, minima_of, sets), "near-links")
-    comp = common.stored(connected(links), "near-components")
+    known = rows.where(F.col("node").isNotNull())
+    nodes = known.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    in_buckets = buckets(known.groupBy("node").agg(F.first("buckets").alias("buckets")))
+    several = in_buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    shared = _released(in_buckets.join(several, "bucket"), "near-buckets")
+    meets = shared.groupBy("node").agg(F.sum("n").alias("meets"))
+    members = _released(shared.select("bucket", "node").join(meets, "node"), "near-members")
+    few = meets.select("node")
+    whole = _released(_sets(docs, nodes.join(few, "node")), "near-sets")
+    minima_of, sets = whole.select("node", "minima"), whole.select("node", "shingles")
+
+    hubs = members.groupBy("bucket").agg(F.max(F.struct("meets", "node")).alias("hub"))
+    hub = F.max("hub")["node"]
+    first = members.select("bucket", "node").join(hubs, "bucket").where("node <> hub.node").groupBy("node").agg(hub.alias("hub")).select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
+    links = _released(confirmed(pruned(first, minima_of), sets), "near-links")
+    comp = connected(links)
     for k in range(PIVOT_ROUNDS + 1):
         # buckets that hold several components; a node without links is its own
-        now = members.select("bucket", "node").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        sizes = now.groupBy("bucket", "comp").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", F.lit(k)), "node")).alias("some"))
+        now = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        sizes = now.groupBy("bucket", "comp").agg(F.count("*").alias("n"), F.max(F.struct((F.col("meets") * (0.5 + F.pmod(F.xxhash64("node", F.lit(k)), F.lit(1000)) / 2000)).alias("meets"), "node")).alias("some"))
         top = sizes.groupBy("bucket").agg(F.max(F.struct("n", "comp", "some")).alias("top"), F.count("*").alias("comps")).where("comps > 1").select("bucket", F.col("top.comp").alias("main"), F.col("top.some.node").alias("pivot"))
-        mixed = now.join(top, "bucket")
+        mixed = _released(now.join(top, "bucket"), "near-mixed")
+        if not mixed.take(1):
+            break
         if k < PIVOT_ROUNDS:
             pairs = mixed.where("comp <> main").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+            left = pruned(pairs, minima_of)
         else:
-            # all pairs of nodes of two components, of which one is not the main one: the exact remainder
-            mixed = common.stored(mixed, "near-mixed")
-            other = mixed.where("comp <> main").select("bucket", F.col("node").alias("x"), F.col("comp").alias("cx"))
-            pairs = (
-                other.join(mixed.select("bucket", F.col("node").alias("y"), F.col("comp").alias("cy"), "main"), "bucket")
-                .where("cx <> cy and (cy = main or x < y)").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-            )
-        links = common.stored(links.unionByName(verified(pairs, minima_of, sets)), "near-links")
-        comp = common.stored(connected(links), "near-components")
+            left = remainder(mixed, minima_of)
+        more = _released(confirmed(left, sets), "near-links")
+        if more.take(1):
+            links = links.unionByName(more)
+            comp = connected(links)
 
     least = nodes.select("node", "doc_id").join(comp, "node").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     of_node = nodes.select("node", F.col("doc_id").alias("first")).join(comp.join(least, "comp").select("node", "component_id"), "node", "left").select("node", F.coalesce("component_id", "first").alias("component_id"))
@@ -210,6 +284,13 @@ def components(docs: DataFrame) -> DataFrame:
     )
 
 
+def _released(df: DataFrame, label: str) -> DataFrame:
+    """Store a phase's result; the phase's shuffle files can then go when the driver's JVM next collects."""
+    out = common.stored(df, label)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def keep(docs: DataFrame) -> DataFrame:
     """The documents without those whose component has a smaller doc_id, with all their columns."""
     gone = components(docs).groupBy("doc_id").agg(F.max("kept").alias("kept")).where(~F.col("kept")).select("doc_id")
@@ -217,7 +298,7 @@ def keep(docs: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node and its full set, from one document of each wanted node."""
+    """node, its full set and its minima, from one document of each wanted node."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -225,7 +306,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             for node, t in zip(b.column("node").to_pylist(), b.column("text").to_pylist(), strict=True):
                 s = shingles(t)
                 if int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64)) == node:  # else another row with this doc_id
-                    out.append((node, s.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in out], pa.int64()), pa.array([s for _, s in out], pa.binary())], names=["node", "shingles"])
+                    out.append((node, s.tobytes(), minima(s).tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), *(pa.array([x[k] for x in out], pa.binary()) for k in (1, 2))], names=["node", "shingles", "minima"])
 
-    return docs.join(wanted, "doc_id").mapInArrow(of, "node long, shingles binary").dropDuplicates(["node"])
+    return docs.join(wanted, "doc_id").mapInArrow(of, "node long, shingles binary, minima binary").dropDuplicates(["node"])
