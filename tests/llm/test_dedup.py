@@ -56,7 +56,7 @@ def test_pruning_keeps_what_may_be_similar():
     for _ in range(200):
         both = r.integers(0, 1 << 63, 300, np.uint64)
         a, b = r.integers(0, 1 << 63, 50, np.uint64), r.integers(0, 1 << 63, 50, np.uint64)
-        low.append(tuple(near_dup.minima(np.concatenate([both, c]))for c in (a, b)))
+        low.append(tuple(near_dup.minima(np.concatenate([both, c])) for c in (a, b)))
     x, y = (np.stack(v) for v in zip(*low, strict=True))
     assert len(near_dup.survivors(x, y)) == 200
     assert len(near_dup.survivors(x, np.roll(y, 1, axis=0))) == 0
