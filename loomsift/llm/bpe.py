@@ -2,7 +2,7 @@
 
 Texts up to ``CHUNK`` code points are encoded where they are read. Longer ones are cut into chunks of CHUNK code
 points, each with the first ``OVERLAP`` of the next, and dealt out, so that one long text is the work of many tasks.
-Every chunk is pre-tokenised on its own; its first tokens may begin mid-word, and its last may be cut off. Two
+Every chunk's overlaps are pre-tokenised on their own; the first tokens may begin mid-word, the last may be cut off. Two
 neighbours' pre-tokens resynchronise at a boundary that both have in their overlap. Only boundaries between a
 non-space and a space count: no pre-token of the pattern spans one, and none looks behind it, so tokens on either
 side don't change if the text is cut there. Chunks whose overlap has none (one unbroken run) are joined. The text
@@ -31,6 +31,7 @@ from loomsift.llm.secrets import vocabulary
 
 CHUNK, OVERLAP, VOCABULARY = 16_384, 1024, "byte_bpe_multi_50k.tiktoken"
 OUT = "doc_id long, n_tokens long, ids binary, decoded binary"
+TOKENS, SPACE = regex.compile(public_tokenizers.PATTERN), regex.compile(r"\s")
 
 
 def encode(enc: tiktoken.Encoding, text: str) -> bytes:
@@ -42,16 +43,16 @@ def decode(enc: tiktoken.Encoding, ids: bytes) -> bytes:
 
 
 def boundaries(text: str, low: int, high: int) -> list[int]:
-    """Pre-token boundaries in [low, high) at which a non-space is followed by a space.
+    """Pre-token boundaries in [low, high) at which a non-space is followed by a space; tokens are matched from low on.
 
     A boundary at the text's own ends isn't one: the text may be a chunk.
     """
     found = []
-    for m in regex.finditer(public_tokenizers.PATTERN, text):
+    for m in TOKENS.finditer(text, low):
         at = m.start()
         if at >= high:
             break
-        if 0 < at >= low and text[at].isspace() and not regex.match(r"\s", text[at - 1]) and regex.match(r"\s", text[at]):
+        if 0 < at and SPACE.match(text, at) and not SPACE.match(text, at - 1):
             found.append(at)
     return found
 
@@ -97,9 +98,9 @@ def pretokenised(docs: DataFrame, chunk: int, overlap: int) -> DataFrame:
             heads, tails = [], []
             for n, t in zip(b.column("n").to_pylist(), b.column("text").to_pylist(), strict=True):
                 base = n * chunk
-                found = boundaries(t, 0, len(t))
-                heads.append([base + x for x in found if n and x < overlap])
-                tails.append([base + x for x in found if x >= chunk])
+                heads.append([base + x for x in boundaries(t, 0, overlap)] if n else [])
+                # the first tokens from here may begin mid-word; they are in step again at the first space
+                tails.append([base + x for x in boundaries(t, chunk, len(t))])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(heads, pa.list_(pa.int64())), pa.array(tails, pa.list_(pa.int64()))], names=[*b.schema.names, "head", "tail"])
 
     parts = docs.mapInArrow(cut, "doc_id long, key string, n int, text string")
