@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomsift.llm import common
-from loomsift.llm.tokens import Encoder
+from loomsift.llm.tokens import encoder
 
 LENGTH, GROUP, END_ID, VOCABULARY = 4096, 4096, 2, "word_bpe_49k.json"
 PIECE = "doc_id long, start long, length long, ids binary, ids_crc32 long, doc_tokens long"
@@ -58,7 +58,7 @@ def pieces(docs: DataFrame, path: str | None = None) -> DataFrame:
     like = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = Encoder(vocabulary, spaces=False), np.array([END_ID], "<u4").tobytes()
+        enc, end = encoder(vocabulary, spaces=False), np.array([END_ID], "<u4").tobytes()
         for b in batches:
             out = []
             for i, ids in zip(b.column("doc_id").to_pylist(), enc.encode(b.column("text").to_pylist()), strict=True):

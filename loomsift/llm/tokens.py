@@ -14,7 +14,7 @@ doc_id sorts first; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-import re
+import functools
 import struct
 import zlib
 from collections.abc import Iterator
@@ -29,50 +29,133 @@ from tokenizers import Tokenizer
 from loomsift.llm import common
 
 BLOCK, CHUNK, PERCENTILE, END_ID, VOCABULARY = 4096, 65_536, 90, 2, "byte_bpe_50k.json"
-#: Unicode's White_Space property, which the tokenizers' patterns use (fixed values).
-SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-DOUBLE = re.compile(f"[{SPACE}][{SPACE}]|^[{SPACE}]|[{SPACE}]$")
-PIECE = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+#: Unicode's White_Space characters, which the tokenizers' patterns use, but for space and line feed (fixed values).
+RARE_SPACE = "\t\x0b\x0c\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+#: Marks the piece that a text begins with, which no space precedes.
+FIRST = "\x00"
+#: Letters below it are Latin, alone and in lower case the same for every Unicode version.
+LATIN_END = "\u0250"
+
+
+def spaced_once(text: str) -> bool:
+    """Whether its white space is single spaces and line feeds between other characters."""
+    if text[0] in " \n" or text[-1] in " \n" or any(x in text for x in ("  ", "\n\n", " \n", "\n ", FIRST)):
+        return False
+    return not any(c in text for c in RARE_SPACE)
 
 
 class Encoder:
     """A tokenizer with a memory of pieces: texts repeat their words, so most pieces are looked up.
 
     No pre-token holds a non-space followed by a space, so a text may be cut there without changing its ids.
-    ``spaces``: whether the tokenizer keeps white space (then a piece carries the space before it).
-    The memory stops growing at ``most`` pieces; later ones are encoded batch by batch.
+    ``spaces``: whether the tokenizer keeps white space. Then a piece stands for itself after one space, a piece
+    that begins with a line feed for itself, and one that begins with FIRST for the rest of it.
+    Pieces not in memory are encoded as one text, with a separator of one known id between them.
+    The memory stops growing at ``most`` pieces.
     """
 
-    def __init__(self, path: str, spaces: bool, most: int = 300_000) -> None:
+    def __init__(self, path: str, spaces: bool, most: int = 1_000_000) -> None:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.spaces, self.most = spaces, most
+        self.gap, self.between = ("\n", "\n") if spaces else ("0", " 0 ")
+        (self.gap_id,) = self.tok.encode(self.gap, add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
+        self.marks = {"": b""} | {c: self._alone(c) for c in ",."}
 
     def _pieces(self, text: str) -> list[str]:
         if not self.spaces:
             return text.replace("\n", " ").split(" ")
-        if DOUBLE.search(text):
-            return PIECE.findall(text)
-        # each piece but the first follows one space, which it shows by what it lacks: a piece after "\n" begins with it
         parts = text.replace("\n", " \n").split(" ")
-        return [parts[0], *(p if p[0] == "\n" else " " + p for p in parts[1:])]
+        parts[0] = FIRST + parts[0]
+        return parts
+
+    def _alone(self, text: str) -> bytes:
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _parted(self, p: str) -> tuple[str, str]:
+        """A piece without a last comma or stop after Latin letters, which end a pre-token; and that mark.
+
+        A tokenizer that lower-cases is given lower case.
+        """
+        tail = ""
+        if p[-1:] in (",", ".") and p[-2:-1].isalpha() and p[-2] < LATIN_END:
+            p, tail = p[:-1], p[-1]
+        if not self.spaces and p and max(p) < LATIN_END and "\u0130" not in p:
+            p = p.lower()
+        return p, tail
+
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        """The ids of pieces."""
+        parted = [self._parted(p) for p in new]
+        stems = list({p for p, _ in parted} - self.known.keys())
+        if self.spaces:
+            told = [p[1:] if p[:1] in (FIRST, "\n") else " " + p for p in stems]
+        else:
+            told = stems
+        at = [k for k, t in enumerate(told) if t and self.gap not in t]
+        ids = np.array(self.tok.encode_batch_fast([self.between.join(told[k] for k in at)], add_special_tokens=False)[0].ids, "<u4")
+        cut = np.flatnonzero(ids == self.gap_id)
+        if len(cut) != max(0, len(at) - 1):
+            at, cut = [], cut[:0]
+        data, out = ids.tobytes(), {}
+        for k, a, z in zip(at, [0, *(cut + 1).tolist()], [*cut.tolist(), len(ids)], strict=False):
+            out[k] = data[4 * a : 4 * z]
+        line = np.array([self.gap_id], "<u4").tobytes()
+        made = {}
+        for k, (p, t) in enumerate(zip(stems, told, strict=True)):
+            x = out.get(k)
+            if x is None:
+                x = self._alone(t) if t else b""
+            made[p] = line + x if self.spaces and p[:1] == "\n" else x
+        known = self.known
+        for p, (stem, tail) in zip(new, parted, strict=True):
+            x = made.get(stem)
+            made[p] = (known[stem] if x is None else x) + self.marks[tail]
+        return made
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian uint32."""
-        pieces = [self._pieces(t) if t else [] for t in texts]
+    def _some(self, texts: list[str]) -> list[bytes]:
+        pieces = [self._pieces(t) for t in texts]
         known = self.known
         new = list(set().union(*pieces) - known.keys())
-        found = known
-        if new:
-            made = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False), strict=True)}
-            if len(known) + len(made) <= self.most:
-                known |= made
+        made = self._learn(new) if new else {}
+        known |= made
+        get = known.__getitem__
+        out = [b"".join(map(get, p)) for p in pieces]
+        if len(known) > self.most:
+            for p in made:
+                known.pop(p, None)
+        return out
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as little-endian uint32. Some texts at a time, to bound the pieces held."""
+        out: list[bytes | None] = [None] * len(texts)
+        some: list[int] = []
+        size = 0
+        for k, t in enumerate(texts):
+            if not t:
+                out[k] = b""
+            elif self.spaces and not spaced_once(t):
+                out[k] = self._alone(t)  # runs of white space: the tokenizer sees the whole text
             else:
-                used = set().union(*pieces) & known.keys()
-                found = {p: known[p] for p in used} | made
-        get = found.__getitem__
-        return [b"".join(map(get, p)) for p in pieces]
+                some.append(k)
+                size += len(t)
+            if some and (size > 1_000_000 or k == len(texts) - 1):
+                for j, x in zip(some, self._some([texts[j] for j in some]), strict=True):
+                    out[j] = x
+                some, size = [], 0
+        if some:
+            for j, x in zip(some, self._some([texts[j] for j in some]), strict=True):
+                out[j] = x
+        return out
+
+
+@functools.lru_cache(maxsize=2)
+def encoder(path: str, spaces: bool) -> Encoder:
+    """One for all tasks of a Python worker."""
+    return Encoder(path, spaces)
 
 
 HEADER = struct.Struct("<HxxIBxH")
@@ -118,7 +201,7 @@ def write(docs: DataFrame, path: str | None = None, shards: int | None = None) -
     like = pa.schema([("shard", pa.int32()), ("start", pa.int64()), ("n", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("doc_tokens", pa.list_(pa.int64())), ("block_starts", pa.list_(pa.int32())), ("blocks", pa.binary())])
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = Encoder(vocabulary, spaces=True), np.array([END_ID], "<u4").tobytes()
+        enc, end = encoder(vocabulary, spaces=True), np.array([END_ID], "<u4").tobytes()
         at, shard = 0, 0
         held: list[tuple[int, bytes]] = []
         size = 0
