@@ -56,7 +56,7 @@ class Encoder:
     The memory stops growing at ``most`` pieces.
     """
 
-    def __init__(self, path: str, spaces: bool, most: int = 1_000_000) -> None:
+    def __init__(self, path: str, spaces: bool, most: int = 500_000) -> None:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.spaces, self.most = spaces, most
@@ -142,7 +142,7 @@ class Encoder:
             else:
                 some.append(k)
                 size += len(t)
-            if some and (size > 1_000_000 or k == len(texts) - 1):
+            if some and (size > 500_000 or k == len(texts) - 1):
                 for j, x in zip(some, self._some([texts[j] for j in some]), strict=True):
                     out[j] = x
                 some, size = [], 0
