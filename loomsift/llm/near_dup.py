@@ -2,12 +2,13 @@
 
 A text's set is its distinct 5-word shingles, as 64-bit hashes. Texts with equal sets are one node (their fingerprint).
 1. Each node has BANDS * ROWS minima; ``BANDS`` bands of ``ROWS`` minima put nodes into buckets. Two sets of similarity
-   0.75 share no bucket with probability (1 - 0.75**7)**52, six in ten thousand; of similarity 0.8, one in two hundred
-   thousand. Bands are long, so texts that share only a common passage seldom meet. The minima are
+   0.75 share no bucket with probability (1 - 0.75**7)**64, one in ten thousand; of similarity 0.8, three in ten
+   million. Bands are long, so texts that share only a common passage seldom meet. The minima are
    kept of nodes that share a bucket.
 2. Candidate pairs are checked batch by batch of minima: after each the posterior (uniform prior) that the similarity
-   reaches 0.75, given the matches so far, is bounded; pairs below ``MISS`` are pruned. Survivors are confirmed on
-   their full sets, so no wrong link is made.
+   reaches 0.75, given the matches so far, is bounded; pairs below ``MISS`` are pruned. On independent minima all
+   batches together prune a pair of similarity 0.75 with probability 8e-7. Survivors are confirmed on their full
+   sets, so no wrong link is made.
 3. A bucket's pairs are never all made. Each node is first checked against one hub, the node of its buckets that meets
    most others in all of its own (the text that a group was copied from, if it is there); then buckets that still hold
    nodes of several components have further hubs from the largest of them; last, every pair that still matters (two
@@ -35,8 +36,10 @@ from pyspark.sql import functions as F
 
 from loomsift.llm import common
 
-SHINGLE, BANDS, ROWS, BATCH, MISS = 5, 52, 7, 32, 1e-4
+SHINGLE, BANDS, ROWS, BATCH = 5, 64, 7, 32
 HASHES = BANDS * ROWS
+#: Posterior below which a pair is pruned: 1e-6, dealt out over the batches.
+MISS = 1e-6 / (HASHES // BATCH)
 #: Links ask for 100 * intersection >= SHARE * union.
 SHARE = 75
 PIVOT_ROUNDS = 1
