@@ -499,6 +499,14 @@ def q_dedup_exact(spark, d):
     return docs.where("doc_id % 2 = 1").join(docs.where("doc_id % 2 = 0").select("h"), "h", "left_semi").select("doc_id")
 
 
+@query("", "select doc_id, first_id from (select doc_id, min(doc_id) over (partition by text) as first_id from documents where text is not null) t where doc_id > first_id")
+def q_dedup_copies(spark, d):
+    """Every document that has an earlier copy, and the first one; q_dedup_exact holds odd ones against even ones only."""
+    docs = base(spark, d, "documents").where("text is not null").select("doc_id", F.sha2("text", 256).alias("h"))
+    first = docs.groupBy("h").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return docs.join(first, "h").where("doc_id > first_id").select("doc_id", "first_id")
+
+
 def titles(spark: SparkSession, d: str) -> DataFrame:
     """Part names with brand: short titles of few words, many of them alike."""
     return base(spark, d, "part").select(F.col("p_partkey").cast("string").alias("uid"), F.concat_ws(" ", "p_name", "p_type", F.col("p_size").cast("string")).alias("title_normalized"), F.col("p_partkey").alias("seq"), (F.col("p_size") % 3 + 1).cast("int").alias("authority_tier"), F.lit("queued").alias("status"))
@@ -507,7 +515,7 @@ def titles(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def q_dedup_pairs(spark, d):
     t = titles(spark, d).select(F.col("uid").alias("id"), F.col("title_normalized").alias("title"))
-    return dedup.similar(t.where("cast(id as int) % 2 = 0"), t.where("cast(id as int) % 2 = 1"))
+    return dedup.similar(t, t).where("left_id < right_id")
 
 
 @query()

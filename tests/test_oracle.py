@@ -4,7 +4,9 @@ import pytest
 from oracle import duck, sparked
 
 import __spark_entry__ as entry
+from loomsift.operators import dedup
 from loomsift.plans import queries as plans
+from loomsift.schema import TITLE_RATIO
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,6 +21,25 @@ def test_runs(spark, name):
     assert entry.queries()[name](spark, SF).collect() is not None
 
 
+def test_all_like_titles_are_paired(spark):
+    """Brute force over every two parts, of equal and unequal parity."""
+    t = sorted(tuple(r) for r in plans.titles(spark, SF).select("uid", "title_normalized").collect())
+    want = {(i, j) for k, (j, b) in enumerate(t) for i, a in t[:k] if a and b and dedup.ratio(a, b) >= TITLE_RATIO}
+    got = entry.queries()["q_dedup_pairs"](spark, SF).collect()
+    assert len(got) == len(want) and {(r.left_id, r.right_id) for r in got} == want
+    assert any((int(i) - int(j)) % 2 == 0 for i, j in want)
+
+
+def test_all_copies_are_found(spark):
+    """Brute force over all documents, of equal and unequal parity."""
+    first, want = {}, set()
+    for i, t in sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").where("text is not null").collect()):
+        if first.setdefault(t, i) != i:
+            want.add((i, first[t]))
+    assert set(map(tuple, entry.queries()["q_dedup_copies"](spark, SF).collect())) == want
+    assert any((i - j) % 2 == 0 for i, j in want)
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 5
 
