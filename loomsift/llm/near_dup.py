@@ -223,7 +223,7 @@ def connected(links: DataFrame, rounds: int = 50) -> DataFrame:
     """node and comp (the least node of its component) for the nodes of the links (a, b).
 
     Large-star joins each node's larger neighbours to its least neighbour, small-star the smaller ones; both keep
-    components, and end in stars. Work and rows follow the number of links.
+    components, and end in stars. Work and rows follow the number of links. Raises if edges still change in the last round.
     """
     edges = common.stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
     count, total = edges.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long"))).first()
@@ -238,6 +238,9 @@ def connected(links: DataFrame, rounds: int = 50) -> DataFrame:
         if now == (count, total):
             break
         count, total = now
+    else:
+        if count:
+            raise RuntimeError(f"components aren't whole after {rounds} rounds")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 

@@ -102,6 +102,7 @@ def components(edges: DataFrame, rounds: int = 30) -> DataFrame:
     """id and comp (its least member) of the ids in edges (a, b); label propagation with pointer jumping.
 
     Labels are checkpointed each round, so lost executors cost one round. Edges must be few, as those of titles are.
+    Raises if labels still move in the last round.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
     label = both.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("comp")).checkpoint()
@@ -111,8 +112,8 @@ def components(edges: DataFrame, rounds: int = 30) -> DataFrame:
         jumped = moved.join(moved.select(F.col("id").alias("comp"), F.col("comp").alias("up")), "comp", "left").select("id", F.coalesce("up", "comp").alias("comp"), "moved").checkpoint()
         label = jumped.select("id", "comp")
         if not jumped.where("moved").take(1):
-            break
-    return label
+            return label
+    raise RuntimeError(f"components aren't whole after {rounds} rounds")
 
 
 def greedy(batch: DataFrame, staged: DataFrame, threshold: float = TITLE_RATIO) -> DataFrame:

@@ -3,6 +3,7 @@ import math
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from loomsift.llm import near_dup, substring
 
@@ -76,6 +77,14 @@ def test_few_similar_pairs_are_missed():
     assert lost < 1e-6
 
 
+def test_components_raise_when_rounds_run_out(spark):
+    chain = spark.createDataFrame([(k, k + 1) for k in range(20)], "a long, b long")
+    assert {r.comp for r in near_dup.connected(chain).collect()} == {0}
+    assert near_dup.connected(chain.where("a < 0")).collect() == []
+    with pytest.raises(RuntimeError, match="1 rounds"):
+        near_dup.connected(chain, rounds=1)
+
+
 def test_chain_of_links(spark):
     """Each text is like the next only: one component, whose ends are unlike."""
     w = [f"c{k}" for k in range(400)]

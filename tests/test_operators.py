@@ -356,3 +356,10 @@ def test_streams(spark, tmp_path):
     spark.createDataFrame([("a:1", at(1)), ("a:2", at(1)), ("b:1", at(1))], "uid string, created_at timestamp").write.parquet(f"{tmp_path}/d")
     w = flows.windowed_failures(spark.read.parquet(f"{tmp_path}/d"), span="24 hours", step="24 hours").collect()
     assert sorted((r.source, r.n) for r in w) == [("a", 2), ("b", 1)]
+
+
+def test_components_raise_when_rounds_run_out(spark):
+    chain = spark.createDataFrame([(f"{k:02d}", f"{k + 1:02d}") for k in range(20)], "a string, b string")
+    assert {r.comp for r in dedup.components(chain).collect()} == {"00"}
+    with pytest.raises(RuntimeError, match="1 rounds"):
+        dedup.components(chain, rounds=1)
