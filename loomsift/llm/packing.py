@@ -4,28 +4,31 @@ A document's ids (word-level BPE and the end id) are cut into full sequences of
 dealt by a hash into groups of some ``GROUP`` documents, so a group's size doesn't follow any column's skew; each
 group places its rests, longest first, in the first bin with room. Bin capacities stand in a tournament tree whose
 nodes hold the most room below them: the first fitting bin is found by going down, in logarithmic time.
-Sequence ids: group * 2**32 + bin for rests; full sequences follow after the group's bins.
+Sequence ids: group * 2**32 + bin; full sequences, the longest pieces, take a group's first bins.
 
-Defined results: a null or empty text is one piece, the end id; repeated rows are packed each for itself; an empty
-table gives no rows; extra columns are ignored.
+Defined results: a null or empty text is one piece, the end id; repeated rows are packed each for itself, and are dealt to
+groups by their number among equals of a partition; ties of length go by doc_id, then start; a null doc_id is kept; a very
+long text is many full sequences, of many groups; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomsift.llm import common
-from loomsift.llm.tokens import encoder
+from loomsift.llm.tokens import Encoder
 
 LENGTH, GROUP, END_ID, VOCABULARY = 4096, 4096, 2, "word_bpe_49k.json"
-PIECE = "doc_id long, start long, length long, ids binary, ids_crc32 long, doc_tokens long"
+PIECE = "doc_id long, start long, length long, ids binary, ids_crc32 long, doc_tokens long, repeat long"
 
 
 class Tournament:
@@ -52,13 +55,14 @@ class Tournament:
 
 
 def pieces(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """Encode each document and cut its ids at multiples of LENGTH."""
+    """Encode each document and cut its ids at multiples of LENGTH. repeat: equal pieces before it in its partition."""
     common.small_batches(docs.sparkSession)
     vocabulary = path or public_tokenizers.path(VOCABULARY)
-    like = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())])
+    like = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("repeat", pa.int64())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(vocabulary, spaces=False), np.array([END_ID], "<u4").tobytes()
+        enc, end = Encoder(vocabulary, spaces=False), np.array([END_ID], "<u4").tobytes()
+        met: Counter[tuple] = Counter()
         for b in batches:
             out = []
             for i, ids in zip(b.column("doc_id").to_pylist(), enc.encode(b.column("text").to_pylist()), strict=True):
@@ -66,7 +70,9 @@ def pieces(docs: DataFrame, path: str | None = None) -> DataFrame:
                 n = len(ids) // 4
                 for k in range(0, n, LENGTH):
                     part = ids[4 * k : 4 * (k + LENGTH)]
-                    out.append((i, k, len(part) // 4, part, zlib.crc32(part), n))
+                    key = (i, k, zlib.crc32(part), n)
+                    out.append((i, k, len(part) // 4, part, key[2], n, met[key]))
+                    met[key] += 1
             yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out, strict=True), like, strict=True)] if out else [pa.array([], f.type) for f in like], schema=like)
 
     return docs.select("doc_id", "text").mapInArrow(cut, PIECE)
@@ -78,13 +84,14 @@ def pack(docs: DataFrame, path: str | None = None, group: int = GROUP, with_ids:
     made = pieces(docs, path)
     if not with_ids:
         made = made.drop("ids")
-    keyed = made.withColumn("grp", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens"), F.lit(groups)))
+    keyed = made.withColumn("grp", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens", "repeat"), F.lit(groups))).drop("repeat")
     out = ["doc_id", "start", "length", *(["ids"] if with_ids else []), "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     kinds = {"ids": pa.binary()}
     like = pa.schema([(c, kinds.get(c, pa.int64())) for c in out])
 
     def fill(key: tuple, rows: pa.Table) -> pa.Table:
-        rows = rows.combine_chunks().sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")])
+        order = pc.sort_indices(rows.select(["length", "doc_id", "start", "ids_crc32"]), sort_keys=[("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")])
+        rows = rows.take(order)
         tree = Tournament(LENGTH, rows.num_rows)
         first = key[0].as_py() << 32
         seq, off = [], []

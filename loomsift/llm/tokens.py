@@ -15,6 +15,8 @@ doc_id sorts first; an empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import functools
+import itertools
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -29,166 +31,139 @@ from tokenizers import Tokenizer
 from loomsift.llm import common
 
 BLOCK, CHUNK, PERCENTILE, END_ID, VOCABULARY = 4096, 65_536, 90, 2, "byte_bpe_50k.json"
-#: Unicode's White_Space characters, which the tokenizers' patterns use, but for space and line feed (fixed values).
-RARE_SPACE = "\t\x0b\x0c\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Letters and numbers below U+0250: the same in every Unicode version, alone in Unicode's normal form, and with one letter
+#: as lower case. All further characters, and U+0130 (in lower case a letter and a mark), are left to the library.
+LETTER, NUMBER, FURTHER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\u0130\u0250-\U0010ffff"
+#: Separators that Python takes for white space and the library doesn't: the library gets the whole text.
+SEPARATOR = re.compile("[\x1c-\x1f]")
+IS_FURTHER = re.compile(f"[{FURTHER}]")
 
 
-#: Marks the piece that a text begins with, which no space precedes.
-FIRST = "\x00"
-#: Letters below it are Latin, alone and in lower case the same for every Unicode version.
-LATIN_END = "\u0250"
+def pattern(spaces: bool) -> re.Pattern[str]:
+    """Matches pre-tokens, in the order of the vocabularies' own patterns.
+
+    A run of letters, numbers or symbols is certain if no further character follows; else all up to the next white space
+    is one match for the library to cut. White space is in no match unless the tokenizer keeps it (``spaces``).
+    """
+    s = " ?" if spaces else ""
+    number = f"[{NUMBER}]++" if spaces else f"[{NUMBER}]"
+    certain = [f"{s}{run}(?![{FURTHER}])" for run in (f"[{LETTER}]++", number, f"[^\\s{LETTER}{NUMBER}{FURTHER}]++")]
+    contraction = "'(?:[stmd]|re|ve|ll)" if spaces else "'(?i:[stmd]|re|ve|ll)(?![\u0250-\U0010ffff])"
+    return re.compile("|".join([contraction, *certain, f"{s}\\S+", *(["\\s+(?!\\S)", "\\s+"] if spaces else [])]))
+
+
+@functools.lru_cache(maxsize=2)
+def tokenizer(path: str) -> Tokenizer:
+    """One for all tasks of a Python worker. The strings of special tokens in a text are ordinary text, as the
+    vocabularies' description has it."""
+    tok = Tokenizer.from_file(path)
+    tok.encode_special_tokens = True
+    return tok
 
 
-def spaced_once(text: str) -> bool:
-    """Whether its white space is single spaces and line feeds between other characters."""
-    if text[0] in " \n" or text[-1] in " \n" or any(x in text for x in ("  ", "\n\n", " \n", "\n ", FIRST)):
-        return False
-    return not any(c in text for c in RARE_SPACE)
+@functools.lru_cache(maxsize=1)
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it prints, else one from U+0100 on."""
+    prints = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(0x100 + k) for k, b in enumerate(others)} | {b: chr(b) for b in prints}
 
 
 class Encoder:
-    """A tokenizer with a memory of pieces: texts repeat their words, so most pieces are looked up.
+    """A tokenizer with a memory of pre-tokens: texts repeat their words, so most are looked up.
 
-    No pre-token holds a non-space followed by a space, so a text may be cut there without changing its ids.
-    ``spaces``: whether the tokenizer keeps white space. Then a piece stands for itself after one space, a piece
-    that begins with a line feed for itself, and one that begins with FIRST for the rest of it.
-    Pieces not in memory are encoded as one text, with a separator of one known id between them.
-    The memory stops growing at ``most`` pieces.
+    New pre-tokens are encoded by the tokenizer's model, those with further characters by the whole tokenizer.
+    ``spaces``: whether the tokenizer keeps white space (and case).
+    The memory is two generations of some ``most`` pre-tokens: one that isn't met again goes with its generation.
     """
 
-    def __init__(self, path: str, spaces: bool, most: int = 500_000) -> None:
-        self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
-        self.spaces, self.most = spaces, most
-        self.gap, self.between = ("\n", "\n") if spaces else ("0", " 0 ")
-        (self.gap_id,) = self.tok.encode(self.gap, add_special_tokens=False).ids
+    def __init__(self, path: str, spaces: bool, most: int = 150_000) -> None:
+        self.tok = tokenizer(path)
+        self.find, self.letters, self.spaces, self.most = pattern(spaces).findall, byte_letters(), spaces, most
         self.known: dict[str, bytes] = {}
-        self.marks = {"": b""} | {c: self._alone(c) for c in ",."}
-
-    def _pieces(self, text: str) -> list[str]:
-        if not self.spaces:
-            return text.replace("\n", " ").split(" ")
-        parts = text.replace("\n", " \n").split(" ")
-        parts[0] = FIRST + parts[0]
-        return parts
+        self.old: dict[str, bytes] = {}
 
     def _alone(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _parted(self, p: str) -> tuple[str, str]:
-        """A piece without a last comma or stop after Latin letters, which end a pre-token; and that mark.
-
-        A tokenizer that lower-cases is given lower case.
-        """
-        tail = ""
-        if p[-1:] in (",", ".") and p[-2:-1].isalpha() and p[-2] < LATIN_END:
-            p, tail = p[:-1], p[-1]
-        if not self.spaces and p and max(p) < LATIN_END and "\u0130" not in p:
-            p = p.lower()
-        return p, tail
-
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
-        """The ids of pieces."""
-        parted = [self._parted(p) for p in new]
-        stems = list({p for p, _ in parted} - self.known.keys())
-        if self.spaces:
-            told = [p[1:] if p[:1] in (FIRST, "\n") else " " + p for p in stems]
-        else:
-            told = stems
-        at = [k for k, t in enumerate(told) if t and self.gap not in t]
-        ids = np.array(self.tok.encode_batch_fast([self.between.join(told[k] for k in at)], add_special_tokens=False)[0].ids, "<u4")
-        cut = np.flatnonzero(ids == self.gap_id)
-        if len(cut) != max(0, len(at) - 1):
-            at, cut = [], cut[:0]
-        data, out = ids.tobytes(), {}
-        for k, a, z in zip(at, [0, *(cut + 1).tolist()], [*cut.tolist(), len(ids)], strict=False):
-            out[k] = data[4 * a : 4 * z]
-        line = np.array([self.gap_id], "<u4").tobytes()
-        made = {}
-        for k, (p, t) in enumerate(zip(stems, told, strict=True)):
-            x = out.get(k)
-            if x is None:
-                x = self._alone(t) if t else b""
-            made[p] = line + x if self.spaces and p[:1] == "\n" else x
-        known = self.known
-        for p, (stem, tail) in zip(new, parted, strict=True):
-            x = made.get(stem)
-            made[p] = (known[stem] if x is None else x) + self.marks[tail]
-        return made
-
-    def _some(self, texts: list[str]) -> list[bytes]:
-        pieces = [self._pieces(t) for t in texts]
-        known = self.known
-        new = list(set().union(*pieces) - known.keys())
-        made = self._learn(new) if new else {}
-        known |= made
-        get = known.__getitem__
-        out = [b"".join(map(get, p)) for p in pieces]
-        if len(known) > self.most:
-            for p in made:
-                known.pop(p, None)
-        return out
+    def _learn(self, new: set[str]) -> None:
+        known, old = self.known, self.old
+        met = new & old.keys()
+        known.update((x, old[x]) for x in met)
+        new -= met
+        odd = {x for x in new if IS_FURTHER.search(x)} if IS_FURTHER.search("".join(new)) else set()
+        known.update((x, self._alone(x)) for x in odd)
+        plain = list(new - odd)
+        if plain:
+            gap, tokenize = "\x1c", self.tok.model.tokenize
+            told = gap.join(plain) if self.spaces else gap.join(plain).lower()
+            ids = [[t.id for t in tokenize(x)] for x in told.encode().decode("latin-1").translate(self.letters).split(self.letters[ord(gap)])]
+            data = np.fromiter(itertools.chain.from_iterable(ids), "<u4").tobytes()
+            ends = list(itertools.accumulate(map(len, ids), initial=0))
+            known.update((x, data[4 * a : 4 * z]) for x, a, z in zip(plain, ends[:-1], ends[1:], strict=True))
+
+    def _some(self, parts: list[list[str]]) -> list[bytes]:
+        if len(self.known) > self.most:
+            self.known, self.old = {}, self.known
+        new = set().union(*parts) - self.known.keys()
+        if new:
+            self._learn(new)
+        get = self.known.__getitem__
+        return [b"".join(map(get, p)) for p in parts]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian uint32. Some texts at a time, to bound the pieces held."""
-        out: list[bytes | None] = [None] * len(texts)
-        some: list[int] = []
+        """The ids of each text as little-endian uint32. Some texts at a time, to bound the pre-tokens held."""
+        out: list[bytes] = [b""] * len(texts)
+        at: list[int] = []
+        parts: list[list[str]] = []
         size = 0
         for k, t in enumerate(texts):
-            if not t:
-                out[k] = b""
-            elif self.spaces and not spaced_once(t):
-                out[k] = self._alone(t)  # runs of white space: the tokenizer sees the whole text
-            else:
-                some.append(k)
+            if t and SEPARATOR.search(t):
+                out[k] = self._alone(t)
+            elif t:
+                at.append(k)
+                parts.append(self.find(t))
                 size += len(t)
-            if some and (size > 500_000 or k == len(texts) - 1):
-                for j, x in zip(some, self._some([texts[j] for j in some]), strict=True):
+            if size > 1_000_000 or (k == len(texts) - 1 and at):
+                for j, x in zip(at, self._some(parts), strict=True):
                     out[j] = x
-                some, size = [], 0
-        if some:
-            for j, x in zip(some, self._some([texts[j] for j in some]), strict=True):
-                out[j] = x
+                at, parts, size = [], [], 0
         return out
 
 
-@functools.lru_cache(maxsize=2)
-def encoder(path: str, spaces: bool) -> Encoder:
-    """One for all tasks of a Python worker."""
-    return Encoder(path, spaces)
-
-
 HEADER = struct.Struct("<HxxIBxH")
 
 
 def pack(ids: np.ndarray) -> bytes:
     """One block of at most 4096 ids."""
-    least = int(ids.min())
-    off = ids.astype(np.int64) - least
-    width = int(np.percentile(off, PERCENTILE, method="higher")).bit_length()
-    wide = np.flatnonzero(off >> width)
-    bits = (np.where(off >> width, 0, off)[:, None] >> np.arange(width)) & 1
-    return HEADER.pack(len(ids), least, width, len(wide)) + np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes() + wide.astype("<u2").tobytes() + off[wide].astype("<u4").tobytes()
+    least = ids.min()
+    off = ids - least
+    at = -(-len(off) * PERCENTILE // 100) - 1  # the least offset that PERCENTILE % don't exceed
+    width = int(np.partition(off, at)[at]).bit_length()
+    wide = np.flatnonzero(off >> np.uint32(width)) if width < 32 else np.empty(0, np.int64)
+    low = off.astype("<u4")
+    low[wide] = 0
+    bits = np.unpackbits(low.view(np.uint8).reshape(-1, 4), axis=1, count=width, bitorder="little") if width else np.empty(0, np.uint8)
+    return HEADER.pack(len(ids), int(least), width, len(wide)) + np.packbits(bits.ravel(), bitorder="little").tobytes() + wide.astype("<u2").tobytes() + off[wide].astype("<u4").tobytes()
 
 
 def unpack(data: bytes, at: int = 0) -> np.ndarray:
     """The ids of the block that begins at a byte offset."""
     n, least, width, k = HEADER.unpack_from(data, at)
     at, size = at + HEADER.size, (n * width + 7) // 8
-    off = np.zeros(n, np.int64)
-    if width:
-        bits = np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=n * width, bitorder="little").reshape(n, width)
-        for j in range(width):
-            off |= bits[:, j].astype(np.int64) << j
+    bits = np.zeros((n, 32), np.uint8)
+    bits[:, :width] = np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=n * width, bitorder="little").reshape(n, width)
+    off = np.packbits(bits, axis=1, bitorder="little").view("<u4").ravel()
     off[np.frombuffer(data, "<u2", k, at + size)] = np.frombuffer(data, "<u4", k, at + size + 2 * k)
-    return (off + least).astype("<u4")
+    return off + np.uint32(least)
 
 
 SCHEMA = "shard int, start long, n long, doc_ids array<long>, doc_tokens array<long>, block_starts array<int>, blocks binary"
 
 
-def write(docs: DataFrame, path: str | None = None, shards: int | None = None) -> DataFrame:
-    """Encode the documents and write their chunks to the shared folder; returns the table read back.
+def write(docs: DataFrame, out: str | None = None, path: str | None = None, shards: int | None = None) -> DataFrame:
+    """Encode the documents and write their chunks to the folder ``out`` (none: a scratch folder of this session);
+    returns the table read back. path: the vocabulary.
 
     Texts are dealt out by ranges of doc_id and sorted inside them, so that shards in order hold ascending ids; a
     shard is worked through batch by batch and holds less than a chunk between batches. start: the place of the
@@ -201,7 +176,7 @@ def write(docs: DataFrame, path: str | None = None, shards: int | None = None) -
     like = pa.schema([("shard", pa.int32()), ("start", pa.int64()), ("n", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("doc_tokens", pa.list_(pa.int64())), ("block_starts", pa.list_(pa.int32())), ("blocks", pa.binary())])
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(vocabulary, spaces=True), np.array([END_ID], "<u4").tobytes()
+        enc, end = Encoder(vocabulary, spaces=True), np.array([END_ID], "<u4").tobytes()
         at, shard = 0, 0
         held: list[tuple[int, bytes]] = []
         size = 0
@@ -227,7 +202,11 @@ def write(docs: DataFrame, path: str | None = None, shards: int | None = None) -
             yield chunk()
 
     dealt = docs.select("doc_id", "text").repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text").withColumn("shard", F.spark_partition_id())
-    return common.stored(dealt.mapInArrow(encoded, SCHEMA), "token-blocks")
+    made = dealt.mapInArrow(encoded, SCHEMA)
+    if out is None:
+        return common.stored(made, "token-blocks")
+    made.write.parquet(out)
+    return spark.read.schema(SCHEMA).parquet(out)
 
 
 def read(table: DataFrame) -> DataFrame:

@@ -40,12 +40,25 @@ LIBRARY = [library(tokens.VOCABULARY), library(packing.VOCABULARY)]
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.text(alphabet="ab Zé,.'s0 \n\t! ́İΣ\x00|<>", max_size=30), max_size=4))
-def test_pieces_give_the_tokenizer_s_ids(texts):
+@given(st.lists(st.text(alphabet="ab Zé,.'sS0² \n\t! ́İΣς’<\u0338\x00\x1c\xa0\u3000|<>漢", max_size=30), max_size=4))
+def test_memory_gives_the_tokenizer_s_ids(texts):
     for enc, lib in zip(PIECES, LIBRARY, strict=True):
         assert enc.encode(texts) == [little(lib(t)) for t in texts]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(max_size=20), max_size=4))
+def test_memory_gives_the_tokenizer_s_ids_for_any_text(texts):
+    for enc, lib in zip(PIECES, LIBRARY, strict=True):
+        assert enc.encode(texts) == [little(lib(t)) for t in texts]
+
+
+def test_every_low_character_beside_others():
+    for enc, lib in zip([tokens.Encoder(public_tokenizers.path(v), s) for v, s in ((tokens.VOCABULARY, True), (packing.VOCABULARY, False))], LIBRARY, strict=True):
+        texts = [t for k in range(0x260) for c in [chr(k)] for t in (c + ".", c + ",x", "a" + c + ".", c + c, f" {c} {c}b", f"{c}'s 7{c}8", f"\n{c}\n", f"e{c}\u0301")]
+        assert enc.encode(texts) == [little(lib(t)) for t in texts]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), min_size=1, max_size=200))
 def test_blocks_round_trip(ids):
