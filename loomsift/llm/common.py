@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,29 +25,51 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 500, mb: int = 16) -> None:
-    """Bound the memory of a Python task: Arrow batches of at most so many documents and some so many MB."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(mb << 20))
+def sliced(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Batches of at most so many rows, which bounds what a Python task holds of its results."""
+    for b in batches:
+        for k in range(0, b.num_rows, rows):
+            yield b.slice(k, rows)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder; a folder of this machine only where none is named (local tests)."""
+    """The cluster's shared scratch folder. A folder of this machine only where all tasks run in one process."""
     named = spark.conf.get("spark.checkpoint.dir", "")
     if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings (dots as double underscores) for the queries inside; put back afterwards."""
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors.
 
-    The files are removed when the driver's Python ends.
+    Spark removes the query's shuffle files as soon as it has ended, so phases don't add up on disk. The table is removed
+    when the driver's Python ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        df.write.option("compression", "zstd").parquet(path)
     atexit.register(_removed, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -59,6 +83,36 @@ def _removed(spark: SparkSession, path: str) -> None:
         return
 
 
+class Memory:
+    """Values of strings that repeat, made by a function of many at once.
+
+    Two generations of some ``most`` strings are held: one that isn't asked for again goes with its generation, so memory
+    is bounded and follows the data. Only speed depends on it.
+    """
+
+    def __init__(self, make: Callable[[list[str]], Iterable[bytes]], most: int = 300_000) -> None:
+        self.make, self.most = make, most
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def of(self, lists: list[list[str]]) -> list[list[bytes]]:
+        if len(self.known) > self.most:
+            self.known, self.old = {}, self.known
+        get, old = self.known.get, self.old
+        found = [list(map(get, x)) for x in lists]
+        holes = [[k for k, v in enumerate(f) if v is None] if None in f else [] for f in found]
+        new = {x[k] for x, h in zip(lists, holes, strict=True) for k in h}
+        met = new & old.keys()
+        self.known.update((x, old[x]) for x in met)
+        todo = list(new - met)
+        if todo:
+            self.known.update(zip(todo, self.make(todo), strict=True))
+        for x, f, h in zip(lists, found, holes, strict=True):
+            for k in h:
+                f[k] = get(x[k])
+        return found
+
+
 def words(text: str | None) -> list[bytes]:
     """UTF-8 words between ASCII white space; none for null."""
     return text.encode().split() if text else []
@@ -92,11 +146,11 @@ def window_hashes(h: np.ndarray, k: int) -> np.ndarray:
     return mixed(acc)
 
 
-def covered(n: int, starts: np.ndarray, k: int) -> np.ndarray:
-    """Mask of n words: those inside a window of k words that begins at one of ``starts``."""
+def covered(n: int, starts: np.ndarray, lengths: np.ndarray | int) -> np.ndarray:
+    """Mask of n words: those inside a stretch of so many words that begins at one of ``starts``."""
     edge = np.zeros(n + 1, np.int32)
     np.add.at(edge, starts, 1)
-    np.add.at(edge, np.minimum(starts + k, n), -1)
+    np.add.at(edge, np.minimum(starts + lengths, n), -1)
     return np.cumsum(edge[:n]) > 0
 
 

@@ -50,7 +50,7 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens.read(tokens.write(common.table(spark, sf_dir, "documents"))).drop("ids")
+    return tokens.read(tokens.write(common.table(spark, sf_dir, "documents")), with_ids=False)
 
 
 @query

@@ -9,13 +9,15 @@ that needs more bits. The width is the least that holds ``PERCENTILE`` % of the
 ids don't widen the rest.
 
 Defined results: a null or empty text has only the end id; rows with equal doc_id are ordered by their text; a null
-doc_id sorts first; an empty table gives no rows; extra columns are ignored.
+doc_id sorts first; a very long text is a chunk of its own, of many blocks; an empty table gives no rows; extra columns are
+ignored.
 """
 
 from __future__ import annotations
 
 import functools
 import itertools
+import operator
 import re
 import struct
 import zlib
@@ -74,42 +76,32 @@ class Encoder:
 
     New pre-tokens are encoded by the tokenizer's model, those with further characters by the whole tokenizer.
     ``spaces``: whether the tokenizer keeps white space (and case).
-    The memory is two generations of some ``most`` pre-tokens: one that isn't met again goes with its generation.
     """
 
-    def __init__(self, path: str, spaces: bool, most: int = 150_000) -> None:
+    def __init__(self, path: str, spaces: bool, most: int = 300_000) -> None:
         self.tok = tokenizer(path)
-        self.find, self.letters, self.spaces, self.most = pattern(spaces).findall, byte_letters(), spaces, most
-        self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.find, self.letters, self.spaces = pattern(spaces).findall, byte_letters(), spaces
+        self.memory = common.Memory(self._made, most)
 
     def _alone(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, new: set[str]) -> None:
-        known, old = self.known, self.old
-        met = new & old.keys()
-        known.update((x, old[x]) for x in met)
-        new -= met
+    def _made(self, new: list[str]) -> Iterator[bytes]:
         odd = {x for x in new if IS_FURTHER.search(x)} if IS_FURTHER.search("".join(new)) else set()
-        known.update((x, self._alone(x)) for x in odd)
-        plain = list(new - odd)
-        if plain:
-            gap, tokenize = "\x1c", self.tok.model.tokenize
-            told = gap.join(plain) if self.spaces else gap.join(plain).lower()
-            ids = [[t.id for t in tokenize(x)] for x in told.encode().decode("latin-1").translate(self.letters).split(self.letters[ord(gap)])]
-            data = np.fromiter(itertools.chain.from_iterable(ids), "<u4").tobytes()
-            ends = list(itertools.accumulate(map(len, ids), initial=0))
-            known.update((x, data[4 * a : 4 * z]) for x, a, z in zip(plain, ends[:-1], ends[1:], strict=True))
-
-    def _some(self, parts: list[list[str]]) -> list[bytes]:
-        if len(self.known) > self.most:
-            self.known, self.old = {}, self.known
-        new = set().union(*parts) - self.known.keys()
-        if new:
-            self._learn(new)
-        get = self.known.__getitem__
-        return [b"".join(map(get, p)) for p in parts]
+        gap, tokenize = "\x1c", self.tok.model.tokenize
+        told = gap.join([x for x in new if x not in odd])
+        if not self.spaces:
+            told = told.lower()
+        ids = [tokenize(x) for x in told.encode().decode("latin-1").translate(self.letters).split(self.letters[ord(gap)])]
+        ends = [0, *itertools.accumulate(map(len, ids))]
+        data = np.fromiter(map(operator.attrgetter("id"), itertools.chain.from_iterable(ids)), "<u4", ends[-1]).tobytes()
+        at = iter(zip(ends[:-1], ends[1:], strict=True))
+        for x in new:
+            if x in odd:
+                yield self._alone(x)
+            else:
+                a, z = next(at)
+                yield data[4 * a : 4 * z]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian uint32. Some texts at a time, to bound the pre-tokens held."""
@@ -125,8 +117,8 @@ class Encoder:
                 parts.append(self.find(t))
                 size += len(t)
             if size > 1_000_000 or (k == len(texts) - 1 and at):
-                for j, x in zip(at, self._some(parts), strict=True):
-                    out[j] = x
+                for j, x in zip(at, self.memory.of(parts), strict=True):
+                    out[j] = b"".join(x)
                 at, parts, size = [], [], 0
         return out
 
@@ -147,13 +139,24 @@ def pack(ids: np.ndarray) -> bytes:
     return HEADER.pack(len(ids), int(least), width, len(wide)) + np.packbits(bits.ravel(), bitorder="little").tobytes() + wide.astype("<u2").tobytes() + off[wide].astype("<u4").tobytes()
 
 
+@functools.lru_cache(maxsize=32)
+def places(width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first byte of each of a block's packed values, and the bits before it there."""
+    bit = np.arange(BLOCK, dtype=np.int64) * width
+    return bit >> 3, (bit & 7).astype(np.uint64)
+
+
 def unpack(data: bytes, at: int = 0) -> np.ndarray:
     """The ids of the block that begins at a byte offset."""
     n, least, width, k = HEADER.unpack_from(data, at)
     at, size = at + HEADER.size, (n * width + 7) // 8
-    bits = np.zeros((n, 32), np.uint8)
-    bits[:, :width] = np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=n * width, bitorder="little").reshape(n, width)
-    off = np.packbits(bits, axis=1, bitorder="little").view("<u4").ravel()
+    byte, shift = places(width)
+    raw = np.zeros(size + 8, np.uint8)
+    raw[:size] = np.frombuffer(data, np.uint8, size, at)
+    off = np.zeros(n, np.uint64)
+    for j in range((width + 14) // 8):  # bytes that a value can lie in
+        off |= raw[byte[:n] + j].astype(np.uint64) << np.uint64(8 * j)
+    off = ((off >> shift[:n]) & np.uint64((1 << width) - 1)).astype("<u4")
     off[np.frombuffer(data, "<u2", k, at + size)] = np.frombuffer(data, "<u4", k, at + size + 2 * k)
     return off + np.uint32(least)
 
@@ -170,7 +173,6 @@ def write(docs: DataFrame, out: str | None = None, path: str | None = None, shar
     chunk's first id in its shard.
     """
     spark = docs.sparkSession
-    common.small_batches(spark)
     vocabulary = path or public_tokenizers.path(VOCABULARY)
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     like = pa.schema([("shard", pa.int32()), ("start", pa.int64()), ("n", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("doc_tokens", pa.list_(pa.int64())), ("block_starts", pa.list_(pa.int32())), ("blocks", pa.binary())])
@@ -190,7 +192,7 @@ def write(docs: DataFrame, out: str | None = None, path: str | None = None, shar
             at, held, size = at + len(ids), [], 0
             return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, like, strict=True)], schema=like)
 
-        for b in batches:
+        for b in common.sliced(batches):
             if b.num_rows:
                 shard = b.column("shard")[0].as_py()
             for i, ids in zip(b.column("doc_id").to_pylist(), enc.encode(b.column("text").to_pylist()), strict=True):
@@ -209,21 +211,20 @@ def write(docs: DataFrame, out: str | None = None, path: str | None = None, shar
     return spark.read.schema(SCHEMA).parquet(out)
 
 
-def read(table: DataFrame) -> DataFrame:
-    """doc_id, start (ids of all documents before it), n_tokens, ids (little-endian uint32) and their ids_crc32.
+def read(table: DataFrame, with_ids: bool = True) -> DataFrame:
+    """doc_id, start (ids of all documents before it), n_tokens, ids (little-endian uint32, if asked for) and ids_crc32.
 
-    Chunks hold whole documents, so each is decoded where it is read. The driver sees one number a shard.
+    Chunks hold whole documents, so each is decoded where it is read; where documents end is in the chunk's columns. The
+    driver sees one number a shard.
     """
-    spark = table.sparkSession
-    common.small_batches(spark, 16)
     totals = sorted((r.shard, r.n) for r in table.groupBy("shard").agg(F.sum("n").alias("n")).collect())
     before, at = {}, 0
     for shard, n in totals:
         before[shard], at = at, at + n
-    like = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("ids_crc32", pa.int64())])
+    like = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), *([("ids", pa.binary())] if with_ids else []), ("ids_crc32", pa.int64())])
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.sliced(batches, 1):
             for r in b.to_pylist():
                 ids = np.concatenate([unpack(r["blocks"], k) for k in r["block_starts"]]).tobytes()
                 ends = np.cumsum(r["doc_tokens"]).tolist()
@@ -231,4 +232,4 @@ def read(table: DataFrame) -> DataFrame:
                 first = before[r["shard"]] + r["start"]
                 yield common.batch({"doc_id": r["doc_ids"], "start": [first + a for a in [0, *ends[:-1]]], "n_tokens": r["doc_tokens"], "ids": parts, "ids_crc32": list(map(zlib.crc32, parts))}, like)
 
-    return table.mapInArrow(decoded, "doc_id long, start long, n_tokens long, ids binary, ids_crc32 long")
+    return table.mapInArrow(decoded, f"doc_id long, start long, n_tokens long, {'ids binary, ' if with_ids else ''}ids_crc32 long")
