@@ -1,70 +1,77 @@
 """Byte-level BPE encoding and decoding by overlapping chunks.
 
-Texts up to ``CHUNK`` code points are encoded where they are read. Longer ones are cut into chunks of CHUNK code
-points, each with the first ``OVERLAP`` of the next, and dealt out, so that one long text is the work of many tasks.
-Every chunk's overlaps are pre-tokenised on their own; the first tokens may begin mid-word, the last may be cut off. Two
-neighbours' pre-tokens resynchronise at a boundary that both have in their overlap. Only boundaries between a
-non-space and a space count: no pre-token of the pattern spans one, and none looks behind it, so tokens on either
-side don't change if the text is cut there. Chunks whose overlap has none (one unbroken run) are joined. The text
-between two such places is a piece; pieces are encoded apart and their ids put in order. Decoding concatenates the
-ids' raw bytes.
-
-Defined results: a null or empty text has no ids; repeated rows give one result each; a null doc_id is kept; an empty
-table gives no rows; extra columns are ignored.
+Every text is chunks of ``CHUNK`` code points, each with the first ``OVERLAP`` of the next. A chunk is pre-tokenised on its
+own; its first pre-token may begin mid-word, its last may be cut off. Two neighbours' pre-tokens resynchronise at a
+boundary that both find in their overlap. Only boundaries between a non-space and a space count: no pre-token of the
+pattern spans one, and none looks behind it. A chunk's pre-tokens from the first such boundary at its head to the first
+one at its tail are encoded where the chunk is; the ids are put in order where neighbours agree on the boundary. Chunks
+whose overlap has none (one unbroken run) are joined and encoded together. Decoding concatenates the ids' raw bytes.
+
+A text of one chunk has no overlap to stitch, and is encoded where it is read; the chunks of longer ones are dealt out, so
+one long text is the work of many tasks.
+
+Defined results: a null or empty text has no ids; a text of any length gives one row; repeated rows give one result each; a
+null doc_id is kept; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
 import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomsift.llm import common
 from loomsift.llm.secrets import vocabulary
+from loomsift.llm.tokens import SEPARATOR, pattern
 
 CHUNK, OVERLAP, VOCABULARY = 16_384, 1024, "byte_bpe_multi_50k.tiktoken"
 OUT = "doc_id long, n_tokens long, ids binary, decoded binary"
-TOKENS, SPACE = regex.compile(public_tokenizers.PATTERN), regex.compile(r"\s")
+#: A non-space before white space. (The separators are white space to Python only, so they are on neither side.)
+BOUNDARY = re.compile(r"\S(?=[^\S\x1c-\x1f])")
 
 
 def encode(enc: tiktoken.Encoding, text: str) -> bytes:
     return np.array(enc.encode_ordinary(text), "<u4").tobytes()
 
 
+class Encoder:
+    """Encodes pre-tokens, with a memory of them; what the pre-tokens' pattern leaves open goes to the library whole."""
+
+    def __init__(self, path: str) -> None:
+        self.enc = vocabulary(path)
+        self.find = pattern(spaces=True).findall
+        self.memory = common.Memory(lambda new: [encode(self.enc, x) for x in new])
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        parts = [[] if SEPARATOR.search(t) else self.find(t) for t in texts]
+        return [b"".join(x) if x or not t else encode(self.enc, t) for t, x in zip(texts, self.memory.of(parts), strict=True)]
+
+
 def decode(enc: tiktoken.Encoding, ids: bytes) -> bytes:
     return enc.decode_bytes(np.frombuffer(ids, "<u4").tolist())
 
 
-def boundaries(text: str, low: int, high: int) -> list[int]:
-    """Pre-token boundaries in [low, high) at which a non-space is followed by a space; tokens are matched from low on.
-
-    A boundary at the text's own ends isn't one: the text may be a chunk.
-    """
-    found = []
-    for m in TOKENS.finditer(text, low):
-        at = m.start()
-        if at >= high:
-            break
-        if 0 < at and SPACE.match(text, at) and not SPACE.match(text, at - 1):
-            found.append(at)
-    return found
+def boundary(text: str, low: int, high: int) -> int | None:
+    """The first place in [low, high) at which a non-space is followed by white space; not at the text's ends."""
+    m = BOUNDARY.search(text, max(0, low - 1), high)
+    return m.end() if m and m.end() < min(high, len(text)) else None
 
 
-def short(docs: DataFrame, path: str, digest: bool) -> DataFrame:
-    """Encode and decode each text at once. digest: SHA-256 of ids and bytes in their stead."""
+def of_one_chunk(docs: DataFrame, path: str, digest: bool) -> DataFrame:
+    """Texts that are one chunk: pre-tokenise and encode it."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = vocabulary(path)
-        for b in batches:
-            ids = [encode(enc, t or "") for t in b.column("text").to_pylist()]
-            yield _result(b.column("doc_id"), ids, [decode(enc, x) for x in ids], digest)
+        enc = Encoder(path)
+        for b in common.sliced(batches):
+            ids = enc.encode([t or "" for t in b.column("text").to_pylist()])
+            yield _result(b.column("doc_id"), ids, [decode(enc.enc, x) for x in ids], digest)
 
     return docs.mapInArrow(of, _schema(digest))
 
@@ -80,79 +87,78 @@ def _result(doc_ids: pa.Array, ids: list[bytes], raw: list[bytes], digest: bool)
     return pa.RecordBatch.from_arrays([doc_ids, n, pa.array(ids, pa.binary()), pa.array(raw, pa.binary())], names=["doc_id", "n_tokens", "ids", "decoded"])
 
 
-def pretokenised(docs: DataFrame, chunk: int, overlap: int) -> DataFrame:
-    """Chunks of long texts with the boundaries of their head and tail overlaps, as code points of the text.
+def chunks(docs: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame:
+    """Each distinct text's chunks (key, n), encoded between the boundaries head and tail, code points of the text.
 
-    key numbers the texts: rows with equal doc_id stay apart.
+    A chunk at the text's end has no tail; head or tail is null, and the chunk's text is kept, where an overlap has no
+    boundary.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
+        for b in common.sliced(batches):
+            for t in b.column("text").to_pylist():
                 key = hashlib.sha256(t.encode()).hexdigest()
                 for n, a in enumerate(range(0, len(t), chunk)):
-                    yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([key]), pa.array([n], pa.int32()), pa.array([t[a : a + chunk + overlap]])], names=["doc_id", "key", "n", "text"])
-
-    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            heads, tails = [], []
-            for n, t in zip(b.column("n").to_pylist(), b.column("text").to_pylist(), strict=True):
-                base = n * chunk
-                heads.append([base + x for x in boundaries(t, 0, overlap)] if n else [])
-                # the first tokens from here may begin mid-word; they are in step again at the first space
-                tails.append([base + x for x in boundaries(t, chunk, len(t))])
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(heads, pa.list_(pa.int64())), pa.array(tails, pa.list_(pa.int64()))], names=[*b.schema.names, "head", "tail"])
-
-    parts = docs.mapInArrow(cut, "doc_id long, key string, n int, text string")
+                    cols = [pa.array([key]), pa.array([n], pa.int32()), pa.array([a + chunk >= len(t)]), pa.array([t[a : a + chunk + overlap]])]
+                    yield pa.RecordBatch.from_arrays(cols, names=["key", "n", "last", "text"])
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = Encoder(path)
+        for b in common.sliced(batches, 100):
+            rows = list(zip(*(b.column(c).to_pylist() for c in ("n", "last", "text")), strict=True))
+            head = [boundary(t, 1, overlap) if n else 0 for n, _, t in rows]
+            tail = [len(t) if last else boundary(t, chunk + 1, chunk + overlap) for _, last, t in rows]
+            whole = [a is not None and z is not None for a, z in zip(head, tail, strict=True)]
+            ids = iter(enc.encode([r[2][a:z] for r, a, z, w in zip(rows, head, tail, whole, strict=True) if w]))
+            place = lambda xs: pa.array([None if x is None else r[0] * chunk + x for r, x in zip(rows, xs, strict=True)], pa.int64())
+            cols = [place(head), place(tail), pa.array([next(ids) if w else None for w in whole], pa.binary()), pa.array([None if w else r[2] for r, w in zip(rows, whole, strict=True)], pa.string())]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("key", "n", "last")), *cols], names=["key", "n", "last", "head", "tail", "ids", "text"])
+
+    parts = docs.select("text").distinct().mapInArrow(cut, "key string, n int, last boolean, text string")
     shuffles = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return parts.repartition(shuffles, "key", "n").mapInArrow(marked, "doc_id long, key string, n int, text string, head array<long>, tail array<long>")
+    return parts.repartition(shuffles, "key", "n").mapInArrow(encoded, "key string, n int, last boolean, head long, tail long, ids binary, text string")
 
 
-def long(docs: DataFrame, path: str, digest: bool, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """Encode long texts chunk by chunk; one row a distinct text (key), without its doc_ids."""
-    marked = common.stored(pretokenised(docs.dropDuplicates(["text"]), chunk, overlap).drop("doc_id"), "bpe-chunks")
+def of_many_chunks(docs: DataFrame, path: str, digest: bool, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """Stitched ids of texts of several chunks; one row a distinct text (key), without its doc_ids."""
+    made = common.stored(chunks(docs, path, chunk, overlap), "bpe-chunks")
     row = Window.partitionBy("key").orderBy("n")
-    # where each chunk's own text begins: the first boundary that it shares with the one before, null if none
-    sync = marked.select("key", "n", "head", F.lag("tail").over(row).alias("before")).select("key", "n", F.array_min(F.array_intersect("head", "before")).alias("begin"))
-    sync = sync.withColumn("begin", F.when(F.col("n") == 0, F.lit(0)).otherwise(F.col("begin"))).select(
-        "key", "n", "begin", F.sum(F.col("begin").isNotNull().cast("int")).over(row).alias("piece"), F.lead("begin").over(row).alias("next"), F.max("n").over(Window.partitionBy("key")).alias("last")
-    )
-    whole = (
-        marked.select("key", "n", "text").join(sync, ["key", "n"]).groupBy("key", "piece")
-        .agg(F.sort_array(F.collect_list(F.struct("n", "begin", "next", "last", "text"))).alias("parts"))
-    )
-
-    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = vocabulary(path)
-        for b in batches:
-            ids = []
+    # a chunk whose head isn't where the tail of the one before is continues that one's piece
+    in_step = F.coalesce(F.col("head") == F.lag("tail").over(row), F.col("n") == 0)
+    pieces = made.withColumn("step", in_step.cast("int")).withColumn("piece", F.sum("step").over(row))
+    whole = pieces.groupBy("key", "piece").agg(F.sort_array(F.collect_list(F.struct("n", "last", "head", "tail", "ids", "text"))).alias("parts"))
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = Encoder(path)
+        for b in common.sliced(batches, 100):
+            out = []
             for parts in b.column("parts").to_pylist():
-                text = "".join(p["text"] if p["n"] == p["last"] or (p is parts[-1] and p["next"] is not None) else p["text"][:chunk] for p in parts)
-                first, base = parts[0], parts[0]["n"] * chunk
-                end = parts[-1]["next"]
-                ids.append(encode(enc, text[first["begin"] - base : None if end is None else end - base]))
-            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("piece"), pa.array(ids, pa.binary())], names=["key", "piece", "ids"])
+                if len(parts) == 1:
+                    out.append(parts[0]["ids"])
+                else:  # an unbroken run over their overlaps
+                    text = "".join(p["text"] if p is parts[-1] else p["text"][:chunk] for p in parts)
+                    base, first, last = parts[0]["n"] * chunk, parts[0]["head"], parts[-1]["tail"]
+                    out += enc.encode([text[first - base : last - base]])
+            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("piece"), pa.array(out, pa.binary())], names=["key", "piece", "ids"])
 
-    pieces = whole.mapInArrow(encoded, "key string, piece long, ids binary")
-    joined = pieces.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("piece", "ids"))).alias("parts"))
+    in_order = whole.mapInArrow(joined, "key string, piece long, ids binary").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("piece", "ids"))).alias("parts"))
 
     def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = vocabulary(path)
-        for b in batches:
+        for b in common.sliced(batches, 100):
             ids = [b"".join(p["ids"] for p in parts) for parts in b.column("parts").to_pylist()]
             raw = [b"".join(decode(enc, p["ids"]) for p in parts) for parts in b.column("parts").to_pylist()]
-            made = _result(pa.nulls(len(ids), pa.int64()), ids, raw, digest)
-            yield pa.RecordBatch.from_arrays([b.column("key"), *made.columns[1:]], names=["key", *made.schema.names[1:]])
+            result = _result(pa.nulls(len(ids), pa.int64()), ids, raw, digest)
+            yield pa.RecordBatch.from_arrays([b.column("key"), *result.columns[1:]], names=["key", *result.schema.names[1:]])
 
-    return joined.mapInArrow(finished, _schema(digest).replace("doc_id long", "key string"))
+    return in_order.mapInArrow(finished, _schema(digest).replace("doc_id long", "key string"))
 
 
 def tokenise(docs: DataFrame, path: str | None = None, digest: bool = False, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """doc_id, n_tokens, and ids (little-endian uint32) with decoded bytes, or the SHA-256 of both."""
-    common.small_batches(docs.sparkSession)
     path = path or public_tokenizers.path(VOCABULARY)
     docs = docs.select("doc_id", "text")
     is_long = F.coalesce(F.length("text"), F.lit(0)) > chunk
     few = docs.where(is_long)
     ids = few.select("doc_id", F.sha2("text", 256).alias("key"))
-    return short(docs.where(~is_long), path, digest).unionByName(ids.join(long(few, path, digest, chunk, overlap), "key").drop("key"))
+    return of_one_chunk(docs.where(~is_long), path, digest).unionByName(ids.join(of_many_chunks(few, path, digest, chunk, overlap), "key").drop("key"))
