@@ -1,25 +1,27 @@
 """Substring dedup with prefix-partitioned suffix trees.
 
 A suffix is the text from one word on. Of the tree of all documents' suffixes only the inner nodes at a depth of
-``WINDOW`` words or more matter: a node of two documents is a repeat, and a word goes if it lies in the first WINDOW
-words of a suffix whose node at that depth also holds a suffix of a document with a smaller doc_id.
+``WINDOW`` words or more matter: a node of two documents is a repeat, and a suffix loses the words of its deepest node
+that also holds a suffix of a document with a smaller doc_id.
 
 1. Documents with equal words are one class, handled by its least doc_id: the others lose all words.
 2. Most suffixes hang alone above that depth. They are left out before anything is dealt: each window's least hashed
    ``SEED``-word run is its seed, equal windows have equal seeds, and a window whose seed is in one document only is
    in no node of two. What is left are runs of words that may repeat.
 3. Variable-length prefixes part these suffixes into groups of at most ``GROUP``: a prefix (1, 2, 4, 8 words) held by
-   more is replaced by longer ones. A full window held by more is one node and needs no tree: its least doc_id is a
-   sum of partial results.
-4. Each group's suffixes are sorted by codes of their first words, then by a hash of the window (Spark's external sort,
-   so a group is never held in memory), which puts the leaves of every node at the depth side by side; nodes are read
-   off with one look back, leaf by leaf.
-
-The prefixes sent to tasks number at most suffixes / GROUP a level. Words are compared by 64-bit hashes.
-
-Defined results: a null, empty or short text has no window and loses nothing; rows with a null doc_id neither lose
-words nor take them from others; repeated rows of a doc_id don't take words from each other (the id isn't smaller);
-an empty table gives no rows; extra columns are ignored by :func:`digest` and kept by :func:`remove`.
+   more is replaced by longer ones. A full window held by more is one node: its least doc_id is a sum of partial results.
+4. Each group's suffixes are sorted (Spark's external sort, so a group is never held in memory): by the hash of the first
+   WINDOW words, then by ``AHEAD`` further words one by one. Neighbours' common prefixes give the subtree's inner nodes
+   of depth WINDOW to WINDOW + AHEAD, with their leaves, least doc_id, and whether the words before differ (a maximal
+   repeat). A longer repeat is a row of nodes of the greatest depth, each one word further on.
+
+The prefixes and seeds sent to tasks number at most ``SHARES`` a level, whatever the input. Words are compared by hashes:
+a window by 64 bits, which decides what is removed; the words after it by 16, which only bound a node's depth.
+
+Defined results: a null, empty or short text has no window and loses nothing; a very long text is cut into its runs; rows
+with a null doc_id neither lose words nor take them from others; repeated rows of a doc_id don't take words from each
+other (the id isn't smaller); an empty table gives no rows; extra columns are ignored by :func:`digest` and kept by
+:func:`remove`.
 """
 
 from __future__ import annotations
@@ -36,7 +38,11 @@ from pyspark.sql import functions as F
 from loomsift.llm import common
 from loomsift.llm.secrets import with_text
 
-WINDOW, SEED, GROUP, PREFIXES, CODES = 13, 5, 200_000, (1, 2, 4, 8), 8
+WINDOW, SEED, GROUP, PREFIXES, AHEAD = 13, 5, 200_000, (1, 2, 4, 8), 7
+#: A seed or prefix is heavy only if it has more than 1 / SHARES of all rows (and GROUP, or HEAVY), so that many can be.
+SHARES, HEAVY, SALTS = 10_000, 20_000, 64
+#: Runs that a Python task works on at once.
+RUNS = 10_000
 EMPTY = hashlib.sha256(b"").hexdigest()
 
 
@@ -71,7 +77,7 @@ def light(docs: DataFrame) -> DataFrame:
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols = [("doc_id", pa.int64()), ("key", pa.int64()), ("n_words", pa.int64()), ("sha", pa.string())]
-        for b in batches:
+        for b in common.sliced(batches):
             out = []
             for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
                 ws = common.words(t)
@@ -81,23 +87,30 @@ def light(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(of, "doc_id long, key long, n_words long, sha string")
 
 
-def seed_rows(docs: DataFrame, first: DataFrame) -> DataFrame:
-    """seed, doc_id, key, pos: the seeds of each class's first document."""
+def seeds(docs: DataFrame, first: DataFrame) -> DataFrame:
+    """doc_id, key, and the seeds and their places of each class's first document."""
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols = [("doc_id", pa.int64()), ("key", pa.int64()), ("seeds", pa.binary()), ("places", pa.binary())]
-        for b in batches:
+        for b in common.sliced(batches):
             out = []
             for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
                 ws = common.words(t)
                 if len(ws) >= WINDOW and i is not None:
-                    seeds, at = seed_places(common.hashes(ws))
+                    found_, at = seed_places(common.hashes(ws))
                     at = np.unique(at)
-                    out.append((i, key_of(ws), seeds[at].astype("<u8").tobytes(), at.astype("<i4").tobytes()))
+                    out.append((i, key_of(ws), found_[at].astype("<u8").tobytes(), at.astype("<i4").tobytes()))
             yield _rows(cols, out)
 
+    made = docs.mapInArrow(gathered, "doc_id long, key long, seeds binary, places binary")
+    return made.join(first, ["key", "doc_id"], "left_semi").select("doc_id", "key", "seeds", "places")
+
+
+def seed_rows(packed: DataFrame) -> DataFrame:
+    """seed, doc_id, key, pos: a row a seed."""
+
     def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.sliced(batches):
             n = [len(x) // 4 for x in b.column("places").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -109,16 +122,28 @@ def seed_rows(docs: DataFrame, first: DataFrame) -> DataFrame:
                 names=["seed", "doc_id", "key", "pos"],
             )
 
-    made = docs.mapInArrow(gathered, "doc_id long, key long, seeds binary, places binary")
-    return made.join(first, ["key", "doc_id"], "left_semi").select("doc_id", "key", "seeds", "places").mapInArrow(flat, "seed long, doc_id long, key long, pos int")
+    return packed.mapInArrow(flat, "seed long, doc_id long, key long, pos int")
+
+
+def repeated_seeds(packed: DataFrame) -> DataFrame:
+    """doc_id, key and places of the seeds that two documents hold. A heavy seed's rows are dealt to SALTS tasks."""
+    rows = seed_rows(packed)
+    twice = common.stored(rows.groupBy("seed").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("seed", "n"), "substring-seeds")
+    total = twice.agg(F.sum("n")).first()[0] or 0
+    heavy = F.broadcast(twice.where(F.col("n") > max(HEAVY, total // SHARES)).select("seed", F.lit(True).alias("heavy")))  # fewer than SHARES
+    salt = F.when(F.col("heavy"), F.pmod(F.xxhash64("doc_id", "pos"), F.lit(SALTS)).cast("int")).otherwise(0)
+    salts = F.when(F.col("heavy"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    left = rows.join(heavy, "seed", "left").withColumn("salt", salt).drop("heavy")
+    right = twice.select("seed").join(heavy, "seed", "left").select("seed", F.explode(salts).alias("salt"))
+    return left.join(right, ["seed", "salt"]).groupBy("doc_id", "key").agg(F.collect_list("pos").alias("places"))
 
 
 def repeated_runs(docs: DataFrame, hits: DataFrame) -> DataFrame:
-    """Runs of words made of windows whose seed is in hits: doc_id, key, start and words."""
+    """Runs of words made of windows whose seed is in hits: doc_id, key, start, number of windows, and words."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cols = [("doc_id", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("words", pa.binary())]
-        for b in batches:
+        cols = [("doc_id", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("words", pa.binary())]
+        for b in common.sliced(batches):
             out = []
             for i, key, t, places in zip(*(b.column(c).to_pylist() for c in ("doc_id", "key", "text", "places")), strict=True):
                 ws = common.words(t)
@@ -128,10 +153,10 @@ def repeated_runs(docs: DataFrame, hits: DataFrame) -> DataFrame:
                 begin = np.flatnonzero(np.isin(at, np.array(places)))
                 for run in np.split(begin, np.flatnonzero(np.diff(begin) > 1) + 1):
                     if len(run):
-                        out.append((i, key, int(run[0]), b" ".join(ws[run[0] : run[-1] + WINDOW])))
+                        out.append((i, key, int(run[0]), len(run), b" ".join(ws[run[0] : run[-1] + WINDOW])))
             yield _rows(cols, out)
 
-    return docs.join(hits, "doc_id").mapInArrow(of, "doc_id long, key long, start int, words binary")
+    return docs.join(hits, "doc_id").mapInArrow(of, "doc_id long, key long, start int, n int, words binary")
 
 
 class Runs:
@@ -147,15 +172,31 @@ class Runs:
         self.inside = np.arange(int(self.n.sum())) - np.repeat(first, self.n)
         self.at = self.inside + np.repeat(np.cumsum(n) - n, self.n)
 
+    def codes(self) -> np.ndarray:
+        """16 bits, not 0, of each of the AHEAD words after each suffix's window, and of the word before; 0 outside its run."""
+        code = np.maximum(self.h >> np.uint64(48), np.uint64(1)).astype(">u2")
+        left = np.repeat(self.n, self.n) - 1 - self.inside  # windows of the run after this one
+        out = np.zeros((len(self.at), AHEAD + 1), ">u2")
+        for j in range(AHEAD):
+            some = left > j
+            out[some, j] = code[self.at[some] + WINDOW + j]
+        some = self.inside > 0
+        out[some, AHEAD] = code[self.at[some] - 1]
+        return out
+
     def prefix(self, k: int) -> np.ndarray:
         """A hash of the first k words of each suffix."""
         return common.window_hashes(self.h, k)[self.at]
 
 
 def prefixes(runs: DataFrame, group: int = GROUP) -> list[np.ndarray]:
-    """For each prefix length, and last for the whole window, the sorted hashes held by more than ``group`` suffixes."""
+    """For each prefix length, and last for the whole window, the sorted hashes held by too many suffixes for one group.
+
+    A prefix of more than 1 / SHARES of all suffixes, and of ``group``, is too heavy: fewer than SHARES hashes a level.
+    """
     heavy: list[np.ndarray] = []
     lengths = (*PREFIXES, WINDOW)
+    most = max(group, (runs.agg(F.sum("n")).first()[0] or 0) // SHARES)
     for n, k in enumerate(lengths):
         if heavy and not len(heavy[-1]):
             heavy.append(np.empty(0, np.uint64))
@@ -163,7 +204,7 @@ def prefixes(runs: DataFrame, group: int = GROUP) -> list[np.ndarray]:
         above, shorter = (heavy[-1], lengths[n - 1]) if heavy else (None, 0)
 
         def of(batches: Iterator[pa.RecordBatch], k: int = k, above: np.ndarray | None = above, shorter: int = shorter) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in common.sliced(batches, RUNS):
                 x = Runs(b.column("words").to_pylist())
                 mine = x.prefix(k)
                 if above is not None:
@@ -171,17 +212,18 @@ def prefixes(runs: DataFrame, group: int = GROUP) -> list[np.ndarray]:
                 u, m = np.unique(mine, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(m, pa.int64())], names=["prefix", "n"])
 
-        counts = runs.select("words").mapInArrow(of, "prefix long, n long").groupBy("prefix").agg(F.sum("n").alias("n")).where(F.col("n") > group)
+        counts = runs.select("words").mapInArrow(of, "prefix long, n long").groupBy("prefix").agg(F.sum("n").alias("n")).where(F.col("n") > most)
         heavy.append(np.sort(np.array([r.prefix for r in counts.select("prefix").collect()], np.int64).view(np.uint64)))
     return heavy
 
 
 def suffixes(runs: DataFrame, heavy: list[np.ndarray], hot: bool) -> DataFrame:
     """One row a suffix: doc_id, key, pos and window hash, of the windows held by more than a group (hot) or of the
-    others; these with a label (hash of their group's prefix) and codes of their first words to sort by."""
+    others; these with a label (hash of their group's prefix) and 16-bit codes of the AHEAD words after the window and of
+    the word before it (0: none, or beyond what may repeat)."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.sliced(batches, RUNS):
             x = Runs(b.column("words").to_pylist())
             whole = x.prefix(WINDOW)
             mine = np.isin(whole, heavy[-1]) == hot if hot or len(heavy[-1]) else np.ones(len(whole), bool)
@@ -196,86 +238,161 @@ def suffixes(runs: DataFrame, heavy: list[np.ndarray], hot: bool) -> DataFrame:
                     label[done] = p[done]
                     open_ &= ~done
                 cols["label"] = pa.array((label[mine] >> np.uint64(32)).astype(np.uint32).view(np.int32))
-                code = (x.h >> np.uint64(48)).astype(">u2")
-                codes = np.stack([code[x.at[mine] + j] for j in range(CODES)], axis=1)
-                cols["codes"] = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * CODES), len(codes), [None, pa.py_buffer(np.ascontiguousarray(codes).tobytes())]).cast(pa.binary())
+                codes = x.codes()[mine]
+                cols["codes"] = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * (AHEAD + 1)), len(codes), [None, pa.py_buffer(np.ascontiguousarray(codes).tobytes())]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
     return runs.mapInArrow(of, "doc_id long, key long, pos int, window long" + ("" if hot else ", label int, codes binary"))
 
 
+class Subtree:
+    """The inner nodes of depth WINDOW and more over sorted suffixes, read from neighbours' common prefixes."""
+
+    def __init__(self, window: np.ndarray, codes: np.ndarray, doc: np.ndarray) -> None:
+        self.doc, self.left = doc, codes[:, AHEAD]
+        ahead = codes[:, :AHEAD]
+        alike = (ahead[1:] == ahead[:-1]) & (ahead[1:] != 0)
+        #: words that each suffix has in common with the one before it
+        self.common = np.zeros(len(window), np.int64)
+        self.common[1:] = np.where(window[1:] == window[:-1], WINDOW + np.cumprod(alike, axis=1).sum(axis=1), 0)
+
+    def level(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where each stretch of suffixes with so many first words in common begins, and each suffix's stretch."""
+        new = self.common < depth
+        return np.flatnonzero(new), np.cumsum(new) - 1
+
+    def repeated(self) -> np.ndarray:
+        """For each suffix the depth of its deepest node that holds a smaller doc_id, 0 if there is none."""
+        depth = np.zeros(len(self.doc), np.int64)
+        for d in range(WINDOW, WINDOW + AHEAD + 1):
+            begin, stretch = self.level(d)
+            later = self.doc > np.minimum.reduceat(self.doc, begin)[stretch]
+            if not later.any():
+                break
+            depth[later] = d
+        return depth
+
+    def maximal(self) -> Iterator[tuple[int, int, int, int]]:
+        """(depth, first suffix, suffixes, least doc_id) of the nodes that branch and whose words before differ."""
+        for d in range(WINDOW, WINDOW + AHEAD + 1):
+            begin, _ = self.level(d)
+            n = np.diff(np.append(begin, len(self.doc)))
+            inside = self.common.copy()
+            inside[begin] = WINDOW + AHEAD + 1
+            branches = np.minimum.reduceat(inside, begin) == d
+            low, high = np.minimum.reduceat(self.left, begin), np.maximum.reduceat(self.left, begin)
+            least = np.minimum.reduceat(self.doc, begin)
+            for k in np.flatnonzero((n > 1) & branches & ((low == 0) | (low != high))).tolist():
+                yield d, int(begin[k]), int(n[k]), int(least[k])
+
+
+def subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Subtree, pa.Table]]:
+    """Sorted suffixes in parts that end with a window; a window's suffixes, at most a group, are never parted."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        window = b.column("window").to_numpy()
+        cut = int(np.flatnonzero(window != window[-1])[-1]) + 1 if (window != window[-1]).any() else 0
+        if not cut and held and held[-1].column("window")[-1].as_py() != window[0]:
+            yield subtree(held)
+            held = []
+        if cut:
+            yield subtree([*held, b.slice(0, cut)])
+            held = []
+        held.append(b.slice(cut))
+    if held:
+        yield subtree(held)
+
+
+def subtree(rows: list[pa.RecordBatch]) -> tuple[Subtree, pa.Table]:
+    t = pa.Table.from_batches(rows)
+    codes = np.frombuffer(b"".join(t.column("codes").to_pylist()), ">u2").reshape(-1, AHEAD + 1)
+    return Subtree(t.column("window").to_numpy(), codes, t.column("doc_id").to_numpy()), t
+
+
+def grouped(runs: DataFrame, heavy: list[np.ndarray]) -> DataFrame:
+    """The suffixes of windows that aren't hot, each group in one task and in order."""
+    n = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return suffixes(runs, heavy, False).repartition(n, "label").sortWithinPartitions("label", "window", "codes").drop("label")
+
+
 def repeats(runs: DataFrame, heavy: list[np.ndarray]) -> DataFrame:
-    """key, doc_id and pos of suffixes whose node at depth WINDOW has a smaller doc_id too."""
-
-    def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sorted leaves: a node is a stretch of equal windows, whose first leaf has its least doc_id."""
-        last, least = None, 0
-        for b in batches:
-            if not b.num_rows:
-                continue
-            window, doc = b.column("window").to_numpy(), b.column("doc_id").to_numpy()
-            new = np.empty(len(window), bool)
-            new[0] = last is None or window[0] != last
-            new[1:] = window[1:] != window[:-1]
-            node = np.cumsum(new)
-            firsts = np.concatenate([[least], doc[new]])
-            lowest = firsts[node]
-            last, least = window[-1], lowest[-1]
-            yield b.select(["key", "doc_id", "pos"]).filter(pa.array(doc > lowest))
+    """key, doc_id, pos and depth of suffixes with a node that has a smaller doc_id too: so many words are to go."""
 
-    n = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cold = suffixes(runs, heavy, False).repartition(n, "label").sortWithinPartitions("codes", "window", "doc_id").select("window", "doc_id", "key", "pos").mapInArrow(leaves, "key long, doc_id long, pos int")
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tree, t in subtrees(batches):
+            depth = tree.repeated()
+            some = t.select(["key", "doc_id", "pos"]).append_column("depth", pa.array(depth.astype(np.int32))).filter(pa.array(depth > 0))
+            yield from some.combine_chunks().to_batches()
+
+    cold = grouped(runs, heavy).mapInArrow(of, "key long, doc_id long, pos int, depth int")
     if not len(heavy[-1]):
         return cold
     hot = suffixes(runs, heavy, True)
-    node = hot.groupBy("window").agg(F.min("doc_id").alias("least"))
-    return cold.unionByName(hot.join(node, "window").where(F.col("doc_id") > F.col("least")).select("key", "doc_id", "pos"))
+    node = hot.groupBy("window").agg(F.min("doc_id").alias("least"))  # fewer than SHARES rows
+    return cold.unionByName(hot.join(F.broadcast(node), "window").where(F.col("doc_id") > F.col("least")).select("key", "doc_id", "pos", F.lit(WINDOW).alias("depth")))
 
 
-def released(df: DataFrame, label: str) -> DataFrame:
-    """Store a phase's result; shuffle files of the phase can then go when the driver's JVM next collects."""
-    out = common.stored(df, label)
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return out
-
-
-def found(docs: DataFrame, group: int = GROUP) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Light rows with their class's first doc_id; starts of windows to remove, by first and key; texts of candidates."""
-    common.small_batches(docs.sparkSession)
+def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Light rows, each class's first doc_id, and the runs that may repeat."""
     docs = docs.select("doc_id", "text")
-    rows = released(light(docs), "substring-light")
+    rows = common.stored(light(docs), "substring-light")
     first = rows.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= WINDOW)).groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    seeds = seed_rows(docs, first)
-    twice = seeds.groupBy("seed").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("seed")
-    hits = released(seeds.join(twice, "seed").groupBy("doc_id", "key").agg(F.collect_list("pos").alias("places")), "substring-hits")
-    runs = released(repeated_runs(docs, hits), "substring-runs")
-    common.small_batches(docs.sparkSession, 10_000, 2)  # runs are short
-    starts = released(repeats(runs, prefixes(runs, group)).groupBy("doc_id", "key").agg(F.collect_list("pos").alias("starts")), "substring-starts")
-    common.small_batches(docs.sparkSession)
-    return rows.join(first.withColumnRenamed("doc_id", "first"), "key", "left"), starts
+    packed = common.stored(seeds(docs, first), "substring-places")
+    hits = common.stored(repeated_seeds(packed), "substring-hits")
+    return rows, first, common.stored(repeated_runs(docs, hits), "substring-runs")
+
+
+def found(docs: DataFrame, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
+    """Light rows with their class's first doc_id; what to remove (places, depths), by first and key."""
+    rows, first, runs = candidates(docs)
+    cuts = repeats(runs, prefixes(runs, group)).groupBy("doc_id", "key").agg(F.collect_list(F.struct("pos", "depth")).alias("cuts"))
+    return rows.join(first.withColumnRenamed("doc_id", "first"), "key", "left"), common.stored(cuts, "substring-cuts")
+
+
+def maximal_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
+    """A row for each maximal repeat of WINDOW words or more, among the first documents of all classes: words (of the
+    greatest depth: at least so many), occurrences, least_doc_id, and one place: doc_id and pos."""
+    _, _, runs = candidates(docs)
+    heavy = prefixes(runs, group)
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cols = [(c, pa.int64()) for c in ("words", "occurrences", "least_doc_id", "doc_id", "pos")]
+        for tree, t in subtrees(batches):
+            pos = t.column("pos").to_numpy()
+            yield _rows(cols, [(d, n, least, int(tree.doc[k]), int(pos[k])) for d, k, n, least in tree.maximal()])
+
+    made = grouped(runs, heavy).mapInArrow(of, "words long, occurrences long, least_doc_id long, doc_id long, pos long")
+    if len(heavy[-1]):
+        one = F.min(F.struct("doc_id", "pos"))
+        hot = suffixes(runs, heavy, True).groupBy("window").agg(F.count("*").alias("occurrences"), one.alias("at"))
+        made = made.unionByName(hot.select(F.lit(WINDOW).cast("long").alias("words"), "occurrences", F.col("at.doc_id").alias("least_doc_id"), F.col("at.doc_id").alias("doc_id"), F.col("at.pos").cast("long").alias("pos")))
+    return made
 
 
-def kept_words(ws: list[bytes], starts: list[int]) -> list[bytes]:
-    gone = common.covered(len(ws), np.array(starts, np.int64), WINDOW)
-    return [w for w, g in zip(ws, gone.tolist(), strict=True) if not g]
+def removed(n: int, cuts: list) -> np.ndarray:
+    """Mask of n words: those to go."""
+    at = np.array([(c["pos"], c["depth"]) for c in cuts], np.int64).reshape(-1, 2)
+    return common.covered(n, at[:, 0], at[:, 1])
 
 
 def digest(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """doc_id, n_words, n_removed and the SHA-256 of the kept words, joined by one space."""
-    rows, starts = found(docs, group)
+    rows, cuts = found(docs, group)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols = [("doc_id", pa.int64()), ("key", pa.int64()), ("n_kept", pa.int64()), ("kept_sha", pa.string())]
-        for b in batches:
+        for b in common.sliced(batches):
             out = []
-            for i, key, t, s in zip(*(b.column(c).to_pylist() for c in ("doc_id", "key", "text", "starts")), strict=True):
+            for i, key, t, c in zip(*(b.column(c).to_pylist() for c in ("doc_id", "key", "text", "cuts")), strict=True):
                 ws = common.words(t)
                 if key_of(ws) == key:
-                    kept = kept_words(ws, s)
+                    kept = [w for w, gone in zip(ws, removed(len(ws), c).tolist(), strict=True) if not gone]
                     out.append((i, key, len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
             yield _rows(cols, out)
 
-    cut = docs.select("doc_id", "text").join(starts, "doc_id").mapInArrow(of, "doc_id long, key long, n_kept long, kept_sha string").distinct()
+    cut = docs.select("doc_id", "text").join(cuts, "doc_id").mapInArrow(of, "doc_id long, key long, n_kept long, kept_sha string").distinct()
     copy = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
     return rows.join(cut, ["doc_id", "key"], "left").select(
         "doc_id", "n_words",
@@ -297,13 +414,13 @@ def cut_text(text: str, gone: list[bool]) -> str:
 
 def remove(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """The documents with repeated words cut from text, and n_chars, if present, to match."""
-    rows, starts = found(docs, group)
-    copies = rows.where(F.col("doc_id") > F.col("first")).select("doc_id", "key", F.lit(None).cast("array<int>").alias("starts")).distinct()
-    cuts = copies.unionByName(starts.select("doc_id", "key", "starts")).groupBy("doc_id").agg(F.collect_list(F.struct("key", "starts")).alias("__cuts"))
+    rows, cuts = found(docs, group)
+    copies = rows.where(F.col("doc_id") > F.col("first")).select("doc_id", "key", F.lit(None).cast(cuts.schema["cuts"].dataType).alias("cuts")).distinct()
+    by_id = copies.unionByName(cuts).groupBy("doc_id").agg(F.collect_list(F.struct("key", "cuts")).alias("__cuts"))
     names = docs.columns
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.sliced(batches):
             new = []
             for t, found_ in zip(b.column(names.index("text")).to_pylist(), b.column(len(names)).to_pylist(), strict=True):
                 if found_ and t:
@@ -311,10 +428,9 @@ def remove(docs: DataFrame, group: int = GROUP) -> DataFrame:
                     key = key_of(ws)
                     for c in found_:
                         if c["key"] == key:
-                            gone = [True] * len(ws) if c["starts"] is None else common.covered(len(ws), np.array(c["starts"], np.int64), WINDOW).tolist()
-                            t = cut_text(t, gone)
+                            t = cut_text(t, [True] * len(ws) if c["cuts"] is None else removed(len(ws), c["cuts"]).tolist())
                             break
                 new.append(t)
             yield with_text(pa.RecordBatch.from_arrays(b.columns[: len(names)], names=names), names, new)
 
-    return docs.join(cuts, "doc_id", "left").select(*docs.columns, "__cuts").mapInArrow(of, docs.schema)
+    return docs.join(by_id, "doc_id", "left").select(*docs.columns, "__cuts").mapInArrow(of, docs.schema)
