@@ -118,7 +118,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     like = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("buckets", pa.binary())])
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.sliced(batches):
             ids, n, node, bands = b.column("doc_id"), [], [], []
             for i, t in zip(ids.to_pylist(), b.column("text").to_pylist(), strict=True):
                 s = shingles(t)
@@ -135,7 +135,7 @@ def buckets(nodes: DataFrame) -> DataFrame:
     """bucket (64-bit hash of band and its minima) and node, BANDS rows a node."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.sliced(batches):
             h = np.frombuffer(b"".join(b.column("buckets").to_pylist()), np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.repeat(b.column("node").to_numpy(), BANDS))], names=["bucket", "node"])
 
@@ -150,7 +150,7 @@ def pruned(pairs: DataFrame, minima_of: DataFrame) -> DataFrame:
     """The pairs (a, b) left after looking at their minima batch by batch."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.sliced(batches):
             yield b.select(["a", "b"]).take(pa.array(survivors(_stacked(b.column("ma")), _stacked(b.column("mb")))))
 
     x = pairs.join(minima_of.toDF("a", "ma"), "a").join(minima_of.toDF("b", "mb"), "b").select("a", "b", "ma", "mb")
@@ -190,7 +190,7 @@ def remainder(mixed: DataFrame, minima_of: DataFrame) -> DataFrame:
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, rows = None, []
-        for b in batches:
+        for b in common.sliced(batches):
             keys = [b.column(c).to_numpy() for c in ("bucket", "s", "l")]
             cut = [0, *(np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1).tolist(), b.num_rows]
             for start, end in zip(cut[:-1], cut[1:], strict=True):
@@ -212,7 +212,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose full sets are similar enough."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.sliced(batches):
             yes = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist(), strict=True)]
             yield b.select(["a", "b"]).filter(pa.array(yes, pa.bool_()))
 
@@ -246,31 +246,30 @@ def connected(links: DataFrame, rounds: int = 50) -> DataFrame:
 
 def components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept, a row a document."""
-    common.small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     rows = common.stored(signatures(docs), "near-signatures")
     known = rows.where(F.col("node").isNotNull())
     nodes = known.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     in_buckets = buckets(known.groupBy("node").agg(F.first("buckets").alias("buckets")))
     several = in_buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    shared = _released(in_buckets.join(several, "bucket"), "near-buckets")
+    shared = common.stored(in_buckets.join(several, "bucket"), "near-buckets")
     meets = shared.groupBy("node").agg(F.sum("n").alias("meets"))
-    members = _released(shared.select("bucket", "node").join(meets, "node"), "near-members")
+    members = common.stored(shared.select("bucket", "node").join(meets, "node"), "near-members")
     few = meets.select("node")
-    whole = _released(_sets(docs, nodes.join(few, "node")), "near-sets")
+    whole = common.stored(_sets(docs, nodes.join(few, "node")), "near-sets")
     minima_of, sets = whole.select("node", "minima"), whole.select("node", "shingles")
 
     hubs = members.groupBy("bucket").agg(F.max(F.struct("meets", "node")).alias("hub"))
     hub = F.max("hub")["node"]
     first = members.select("bucket", "node").join(hubs, "bucket").where("node <> hub.node").groupBy("node").agg(hub.alias("hub")).select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
-    links = _released(confirmed(pruned(first, minima_of), sets), "near-links")
+    links = common.stored(confirmed(pruned(first, minima_of), sets), "near-links")
     comp = connected(links)
     for k in range(PIVOT_ROUNDS + 1):
         # buckets that hold several components; a node without links is its own
         now = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         sizes = now.groupBy("bucket", "comp").agg(F.count("*").alias("n"), F.max(F.struct((F.col("meets") * (0.5 + F.pmod(F.xxhash64("node", F.lit(k)), F.lit(1000)) / 2000)).alias("meets"), "node")).alias("some"))
         top = sizes.groupBy("bucket").agg(F.max(F.struct("n", "comp", "some")).alias("top"), F.count("*").alias("comps")).where("comps > 1").select("bucket", F.col("top.comp").alias("main"), F.col("top.some.node").alias("pivot"))
-        mixed = _released(now.join(top, "bucket"), "near-mixed")
+        mixed = common.stored(now.join(top, "bucket"), "near-mixed")
         if not mixed.take(1):
             break
         if k < PIVOT_ROUNDS:
@@ -278,7 +277,7 @@ def components(docs: DataFrame) -> DataFrame:
             left = pruned(pairs, minima_of)
         else:
             left = remainder(mixed, minima_of)
-        more = _released(confirmed(left, sets), "near-links")
+        more = common.stored(confirmed(left, sets), "near-links")
         if more.take(1):
             links = links.unionByName(more)
             comp = connected(links)
@@ -290,13 +289,6 @@ def components(docs: DataFrame) -> DataFrame:
     )
 
 
-def _released(df: DataFrame, label: str) -> DataFrame:
-    """Store a phase's result; the phase's shuffle files can then go when the driver's JVM next collects."""
-    out = common.stored(df, label)
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return out
-
-
 def keep(docs: DataFrame) -> DataFrame:
     """The documents without those whose component has a smaller doc_id, with all their columns."""
     gone = components(docs).groupBy("doc_id").agg(F.max("kept").alias("kept")).where(~F.col("kept")).select("doc_id")
@@ -307,7 +299,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """node, its full set and its minima, from one document of each wanted node."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.sliced(batches):
             out = []
             for node, t in zip(b.column("node").to_pylist(), b.column("text").to_pylist(), strict=True):
                 s = shingles(t)
