@@ -1,11 +1,12 @@
 """Media columns: payload bytes stored as lossless WebP images and read back to pixel arrays.
 
 A payload is a text's UTF-8, filled with spaces to a positive multiple of 192: rows of 64 RGB pixels, 8-bit samples.
-Images have at most 16,384 rows; a longer payload is a sequence of WebP files. The decoder is vp8l.decode_vp8l.
+Images have at most 16,384 rows; a longer payload is a sequence of WebP files. Each is stored with the prefix codes,
+back-references, colour cache and transforms that shrink it (vp8l_encode), and read back by the whole decoder (vp8l).
 feature: images, rows, and the sum of each colour's samples over all pixels.
 
-Defined results: a null or empty text is 192 spaces (n_bytes 0); equal texts give equal values; a null doc_id is kept;
-an empty table gives no rows; extra columns are ignored.
+Defined results: a null or empty text is 192 spaces (n_bytes 0); a text of any length is one row; repeated rows and equal
+texts give equal values; a null doc_id is kept; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from loomsift.llm import common, vp8l
+from loomsift.llm import common, vp8l, vp8l_encode
 
 UNIT, WIDTH = 192, 64
 
@@ -31,7 +32,7 @@ def payload(text: str | None) -> tuple[int, bytes]:
 
 def store(data: bytes) -> bytes:
     p = np.frombuffer(data, np.uint8).reshape(-1, WIDTH, 3)
-    return b"".join(vp8l.encode_rgb(p[k : k + vp8l.SIDE]) for k in range(0, len(p), vp8l.SIDE))
+    return b"".join(vp8l_encode.encode_rgb(p[k : k + vp8l.SIDE]) for k in range(0, len(p), vp8l.SIDE))
 
 
 def load(media: bytes) -> list[np.ndarray]:

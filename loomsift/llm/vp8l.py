@@ -1,13 +1,16 @@
-"""Lossless WebP (VP8L) streams: a full decoder, and a small encoder for tests and stored payloads.
+"""Decoding of lossless WebP (VP8L) streams.
 
 The decoder reads prefix codes (simple and normal), meta prefix groups, back-references, the colour cache, and the
-predictor, cross-colour, subtract-green and palette transforms. Where a stream has only literals whose codes have one
-length a channel, as the encoder's payload streams do, its pixels are read with whole-array steps.
+predictor, cross-colour, subtract-green and palette transforms. A pixel that is a literal takes as many bits as its four
+codes say, so for a stretch of the stream the pixel and the next place are found for every bit at once with whole-array
+steps; reading then hops from pixel to pixel, and stops where a back-reference or a cache entry stands.
 Pixels are arrays of shape (height, width, 4), channels red, green, blue, alpha.
 """
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 
 # Fixed values of the format.
@@ -45,46 +48,46 @@ class Bits:
         return x
 
 
+@functools.lru_cache(maxsize=16)
+def turned(n: int) -> np.ndarray:
+    """The numbers of n bits with their bits in reverse order."""
+    return reversed_bits(np.arange(1 << n), n)
+
+
 class Code:
-    """A canonical prefix code given the lengths of its symbols."""
+    """A canonical prefix code given the lengths of its symbols: symbol and length for each value of the next bits."""
 
     def __init__(self, lengths: np.ndarray) -> None:
         used = np.flatnonzero(lengths)
-        self.only = int(used[0]) if len(used) == 1 else None
-        if not len(used):
-            self.only = 0
-        self.fixed: np.ndarray | None = None
         self.bits = 0
-        if self.only is not None:
-            self.fixed = np.array([self.only])
+        if len(used) < 2:
+            self.symbols, self.sizes = np.array([used[0] if len(used) else 0]), np.zeros(1, np.int64)
             return
         size = lengths[used]
         self.bits = int(size.max())
-        if int((1 << (self.bits - size)).sum()) != 1 << self.bits:
-            raise ValueError("a prefix code is not complete")
-        self.used, self.size = used, size
-        self.table: list[tuple[int, int]] | None = None
-        if size.min() == self.bits:
-            self.fixed = used
-
-    def _tabled(self) -> list[tuple[int, int]]:
-        """Symbol and length for each value of the next bits; codes in canonical order fill the longest one's range."""
-        order = np.argsort(self.size, kind="stable")
-        size = self.size[order]
         span = 1 << (self.bits - size)
-        turned = reversed_bits(np.arange(1 << self.bits), self.bits)
-        symbol = np.repeat(self.used[order], span)[turned]
-        return list(zip(symbol.tolist(), np.repeat(size, span)[turned].tolist(), strict=True))
+        if int(span.sum()) != 1 << self.bits:
+            raise ValueError("a prefix code is not complete")
+        # codes in canonical order fill the longest one's range
+        order = np.argsort(size, kind="stable")
+        self.symbols, self.sizes = (np.repeat(x[order], span[order])[turned(self.bits)] for x in (used, size))
+
+    @functools.cached_property
+    def pairs(self) -> list[tuple[int, int]]:
+        return list(zip(self.symbols.tolist(), self.sizes.tolist(), strict=True))
 
     def read(self, r: Bits) -> int:
-        if self.only is not None:
-            return self.only
-        if self.table is None:
-            self.table = self._tabled()
-        s, n = self.table[r.peek(self.bits)]
+        if not self.bits:
+            return int(self.symbols[0])
+        s, n = self.pairs[r.peek(self.bits)]
         r.at += n
         return s
 
+    def look(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols and lengths where these are the next bits."""
+        k = values & ((1 << self.bits) - 1)
+        return self.symbols[k], self.sizes[k]
+
 
 def reversed_bits(x: np.ndarray, n: int) -> np.ndarray:
     out = np.zeros_like(x)
@@ -106,20 +109,31 @@ def read_code(r: Bits, alphabet: int) -> Code:
         of_lengths[LENGTH_ORDER[i]] = r.read(3)
     code = Code(of_lengths)
     left = 2 + r.read(2 + 2 * r.read(3)) if r.read(1) else alphabet
-    at, last = 0, 8
-    while at < alphabet and left:
+    pairs, mask = code.pairs, (1 << code.bits) - 1
+    out: list[int] = []
+    last, bits, held = 8, 0, 0  # bits to come, and their number
+    while len(out) < alphabet and left:
+        if held < 32:
+            k = r.at >> 3
+            part = r.data[k : k + 128]
+            bits, held = int.from_bytes(part, "little") >> (r.at & 7), max(64, 8 * len(part) - (r.at & 7))
         left -= 1
-        s = code.read(r)
+        s, n = pairs[bits & mask]
         if s < 16:
-            lengths[at] = s
+            out.append(s)
             last = s or last
-            at += 1
         else:
-            n = 3 + r.read(2) if s == 16 else 3 + r.read(3) if s == 17 else 11 + r.read(7)
-            lengths[at : at + n] = last if s == 16 else 0
-            at += n
-    if at > alphabet:
+            low, more = (3, 2) if s == 16 else (3, 3) if s == 17 else (11, 7)
+            out += [last if s == 16 else 0] * (low + ((bits >> n) & ((1 << more) - 1)))
+            n += more
+        bits >>= n
+        held -= n
+        r.at += n
+    if len(out) > alphabet:
         raise ValueError("code lengths run over the alphabet")
+    if r.at > 8 * len(r.data):
+        raise ValueError("the stream ends early")
+    lengths[: len(out)] = out
     return Code(lengths)
 
 
@@ -131,81 +145,141 @@ def read_value(r: Bits, prefix: int) -> int:
     return ((2 + (prefix & 1)) << extra) + r.read(extra) + 1
 
 
+#: Bits of a stream that are looked at together, and the most that a literal can take.
+STRETCH, LITERAL = 1 << 15, 60
+
+
+class Stretch:
+    """For each bit of a stretch, the pixel that begins there, and where the next one begins.
+
+    argb: a literal, whose four codes begin there, or -1 - k for entry k of the colour cache. next is -1 at a back-reference.
+    """
+
+    def __init__(self, r: Bits, codes: list[list[Code]]) -> None:
+        self.begin = r.at >> 3 << 3
+        raw = np.frombuffer(r.data[self.begin >> 3 : (self.begin + STRETCH + 2 * LITERAL + 24) >> 3].ljust(3, b"\0") + b"\0\0", np.uint8).astype(np.int64)
+        at = raw[:-2] | raw[1:-1] << 8 | raw[2:] << 16
+        values = ((at[:, None] >> np.arange(8)) & 0xFFFF).ravel()
+        here, last = np.arange(len(values)), len(values) - 1
+        self.end = self.begin + min(STRETCH, last + 1)
+        self.next, self.argb = [], []
+        for green, red, blue, alpha, _ in codes:
+            g, size = green.look(values)
+            place = first = here + size
+            argb = g << 8
+            for code, shift in ((red, 16), (blue, 0), (alpha, 24)):
+                if code.bits:
+                    x, size = code.look(values[np.minimum(place, last)])
+                    argb = argb | x << shift
+                    place = place + size
+                else:
+                    argb = argb | int(code.symbols[0]) << shift
+            self.next.append(memoryview(np.where(g < 256, place, np.where(g < 280, -1, first))))
+            self.argb.append(np.where(g < 256, argb, 279 - g))
+
+
+class Cache:
+    """The colour cache, brought up to date with the pixels read only when entries are asked for."""
+
+    def __init__(self, bits: int) -> None:
+        self.shift, self.held, self.at = 32 - bits, np.zeros(1 << bits, np.int64), 0
+
+    def place(self, p: np.ndarray) -> np.ndarray:
+        return ((CACHE_HASH * p) & 0xFFFFFFFF) >> self.shift
+
+    def resolve(self, argb: np.ndarray, first: int, n: int) -> None:
+        """Replace the entries' numbers in argb[first:n] by their pixels.
+
+        An entry holds the last pixel that belongs in its place, and is put back there when it is read. So in order of
+        places and time, an entry is the pixel before it.
+        """
+        before = argb[self.at : first]
+        self.held[self.place(before)] = before  # of equal places the last one stays
+        self.at = n
+        p = argb[first:n]
+        place = np.where(p < 0, -1 - p, self.place(p))
+        order = np.argsort(place, kind="stable")
+        sorted_, at = p[order], np.arange(n - first)
+        new = np.ones(n - first, bool)
+        new[1:] = place[order[1:]] != place[order[:-1]]
+        source = np.maximum.accumulate(np.where((sorted_ >= 0) | new, at, 0))
+        value = np.where(sorted_[source] >= 0, sorted_[source], self.held[place[order[source]]])
+        if ((value == 0) & (place[order] != 0)).any():  # an entry that was never written: 0, which belongs in another place
+            for k in range(first, n):
+                argb[k] = argb[k] if argb[k] >= 0 else self.held[-1 - argb[k]]
+                self.held[self.place(argb[k : k + 1])] = argb[k]
+            return
+        argb[first:n][order] = value
+        p = argb[first:n]
+        self.held[self.place(p)] = p
+
+
+def copied(argb: np.ndarray, n: int, length: int, distance: int) -> None:
+    """Write so many pixels from n on, each the one ``distance`` before; they may overlap what they copy."""
+    while length:
+        k = min(length, distance)
+        argb[n : n + k] = argb[n - distance : n - distance + k]
+        n, length, distance = n + k, length - k, distance + k
+
+
 def read_pixels(r: Bits, width: int, height: int, main: bool) -> np.ndarray:
     """An entropy-coded image; main: it may have meta prefix groups."""
     cache_bits = r.read(4) if r.read(1) else 0
     if cache_bits > 11:
         raise ValueError("the colour cache is too large")
-    groups, which, shift = 1, None, 0
+    which, shift, groups, across = None, 0, 1, 0
     if main and r.read(1):
         shift = r.read(3) + 2
         meta = read_pixels(r, (width + (1 << shift) - 1) >> shift, (height + (1 << shift) - 1) >> shift, False)
-        which = meta[..., 0].astype(np.int64) << 8 | meta[..., 1]
-        groups = int(which.max()) + 1
-    cache = 1 << cache_bits if cache_bits else 0
-    codes = [[read_code(r, n) for n in (280 + cache, 256, 256, 256, 40)] for _ in range(groups)]
-    if groups == 1 and not cache and all(c.fixed is not None for c in codes[0][:4]) and codes[0][0].fixed.max() < 256:
-        return _literals(r, codes[0], width * height).reshape(height, width, 4)
-    total = width * height
-    out = np.empty((total, 4), np.uint8)
-    argb: list[int] = []
-    kept = [0] * cache
-
-    def put(p: int) -> None:
-        argb.append(p)
-        if cache:
-            kept[((CACHE_HASH * p) & 0xFFFFFFFF) >> (32 - cache_bits)] = p
-
-    while len(argb) < total:
-        n = len(argb)
-        green, red, blue, alpha, dist = codes[which[(n // width) >> shift, (n % width) >> shift] if which is not None else 0]
-        s = green.read(r)
-        if s < 256:
-            p = red.read(r) << 16 | s << 8
-            p |= blue.read(r)
-            put(p | alpha.read(r) << 24)
-        elif s < 280:
-            length = read_value(r, s - 256)
-            d = read_value(r, dist.read(r))
-            if d > 120:
-                d -= 120
-            else:
-                x, y = NEAR[d - 1]
-                d = max(1, x + y * width)
-            if d > n or n + length > total:
-                raise ValueError("a back-reference leaves the image")
-            for k in range(length):
-                put(argb[n + k - d])
-        else:
-            put(kept[s - 280])
-        if r.at > 8 * len(r.data):
+        across, which = meta.shape[1], (meta[..., 0].astype(np.int64) << 8 | meta[..., 1]).ravel().tolist()
+        groups = max(which) + 1
+    size = 280 + (1 << cache_bits if cache_bits else 0)
+    codes = [[read_code(r, n) for n in (size, 256, 256, 256, 40)] for _ in range(groups)]
+    cache = Cache(cache_bits) if cache_bits else None
+    total, ends = width * height, 8 * len(r.data)
+    argb = np.empty(total, np.int64)
+    n, g, some = 0, 0, None
+    while n < total:
+        if some is None or not some.begin <= r.at < some.end:
+            some = Stretch(r, codes)
+        # pixels up to the stretch's end or a back-reference
+        first, places, of_group = n, [], []
+        at, end, begin, hop = r.at - some.begin, some.end - some.begin, some.begin, some.next[0]
+        while n < total and at < end:
+            if which is not None:
+                g = which[((n // width) >> shift) * across + ((n % width) >> shift)]
+                hop = some.next[g]
+                of_group.append(g)
+            after = hop[at]
+            if after < 0:
+                break
+            places.append(at)
+            at = after
+            n += 1
+        r.at = begin + at
+        if r.at > ends:
             raise ValueError("the stream ends early")
-    a = np.array(argb, np.int64)
-    for c, by in enumerate((16, 8, 0, 24)):
-        out[:, c] = (a >> by) & 255
-    return out.reshape(height, width, 4)
-
-
-def _literals(r: Bits, codes: list[Code], n: int) -> np.ndarray:
-    """Pixels whose four codes have one length each: green, red, blue, alpha."""
-    out = np.empty((n, 4), np.uint8)
-    each = sum(c.bits for c in codes[:4])
-    if r.at + n * each > 8 * len(r.data):
-        raise ValueError("the stream ends early")
-    k = r.at >> 3
-    bits = np.unpackbits(np.frombuffer(r.data, np.uint8)[k : (r.at + n * each + 7) >> 3], bitorder="little")[r.at & 7 :][: n * each].reshape(n, each)
-    at = 0
-    for c, place in zip(codes[:4], (1, 0, 2, 3), strict=True):
-        if c.bits:
-            rank = np.zeros(n, np.uint8)
-            for j in range(c.bits):
-                rank = (rank << 1) | bits[:, at + j]
-            out[:, place] = c.fixed.astype(np.uint8)[rank]
-            at += c.bits
+        if places:
+            argb[first:n] = some.argb[0][places] if which is None else [some.argb[j][p] for j, p in zip(of_group, places, strict=False)]
+            if cache is not None and (argb[first:n] < 0).any():
+                cache.resolve(argb, first, n)
+        if n == total or at >= end:
+            continue
+        green, _, _, _, dist = codes[g]
+        length = read_value(r, green.read(r) - 256)
+        d = read_value(r, dist.read(r))
+        if d > 120:
+            d -= 120
         else:
-            out[:, place] = c.only
-    r.at += n * each
-    return out
+            x, y = NEAR[d - 1]
+            d = max(1, x + y * width)
+        if d > n or n + length > total:
+            raise ValueError("a back-reference leaves the image")
+        copied(argb, n, length, d)
+        n += length
+        if r.at > ends:
+            raise ValueError("the stream ends early")
+    return np.stack([(argb >> by) & 255 for by in (16, 8, 0, 24)], axis=1).astype(np.uint8).reshape(height, width, 4)
 
 
 def _average(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -338,99 +412,3 @@ def frames(data: bytes) -> list[bytes]:
         out.append(data[at + 20 : at + 20 + n])
         at += 8 + int.from_bytes(data[at + 4 : at + 8], "little")
     return out
-
-
-def wrapped(stream: bytes) -> bytes:
-    """A WebP file of one VP8L stream."""
-    body = stream + b"\0" * (len(stream) & 1)
-    return b"RIFF" + (12 + len(body)).to_bytes(4, "little") + b"WEBPVP8L" + len(stream).to_bytes(4, "little") + body
-
-
-class Writer:
-    """Collects values in little-endian bit order."""
-
-    def __init__(self) -> None:
-        self.value = self.n = 0
-
-    def put(self, value: int, n: int) -> None:
-        self.value |= value << self.n
-        self.n += n
-
-    def data(self, more: np.ndarray | None = None) -> bytes:
-        """The bytes; ``more`` are bits that follow."""
-        raw = self.value.to_bytes((self.n + 7) // 8, "little")
-        if more is None:
-            return raw
-        head = np.unpackbits(np.frombuffer(raw, np.uint8), count=self.n, bitorder="little")
-        return np.packbits(np.concatenate([head, more]), bitorder="little").tobytes()
-
-
-def write_single(w: Writer, symbol: int) -> None:
-    """A code of one symbol, which then takes no bits."""
-    w.put(0b01 if symbol < 2 else 0b101, 3)
-    w.put(symbol, 1 if symbol < 2 else 8)
-
-
-def write_fixed(w: Writer, used: np.ndarray, alphabet: int) -> tuple[int, np.ndarray]:
-    """A code in which all symbols have one length. Returns that length and each symbol's rank."""
-    n = max(1, (len(used) - 1).bit_length())
-    is_used = np.zeros(alphabet, bool)
-    is_used[used] = True
-    # unused symbols fill the code, from "a" on, so that the used ones lie in few runs
-    free = np.flatnonzero(~np.roll(is_used, -97))[: (1 << n) - len(used)]
-    is_used[(free + 97) % alphabet] = True
-    every = np.flatnonzero(is_used)
-    runs = []  # (symbol of the code-length code, its extra bits, their number)
-    edge = np.flatnonzero(np.diff(is_used)) + 1
-    for a, z in zip([0, *edge.tolist()], [*edge.tolist(), alphabet], strict=True):
-        left = z - a
-        if is_used[a]:
-            runs.append((n, 0, 0))
-            left -= 1
-            while left >= 3:
-                runs.append((16, min(left, 6) - 3, 2))
-                left -= min(left, 6)
-        while not is_used[a] and left >= 3:
-            k = min(left, 138)
-            runs.append((17, k - 3, 3) if k < 11 else (18, k - 11, 7))
-            left -= k
-        runs += [(n if is_used[a] else 0, 0, 0)] * left
-    # a complete code for the five symbols: 18 in one bit, the others in three, in the order of their values
-    kinds = sorted((0, n, 16, 17))
-    codes = {18: (0, 1)} | {k: (int(f"{4 + i:03b}"[::-1], 2), 3) for i, k in enumerate(kinds)}
-    most = max(LENGTH_ORDER.index(x) for x in codes) + 1
-    w.put(0, 1)
-    w.put(most - 4, 4)
-    for x in LENGTH_ORDER[:most]:
-        w.put(codes[x][1] if x in codes else 0, 3)
-    w.put(0, 1)
-    for symbol, extra, size in runs:
-        w.put(*codes[symbol])
-        w.put(extra, size)
-    rank = np.zeros(alphabet, np.int64)
-    rank[every] = np.arange(len(every))
-    return n, rank
-
-
-def encode_rgb(p: np.ndarray) -> bytes:
-    """A WebP file of an opaque image, shape (height, width, 3): literals, one code length a channel."""
-    height, width, _ = p.shape
-    w = Writer()
-    w.put(0x2F, 8)
-    w.put(width - 1, 14)
-    w.put(height - 1, 14)
-    w.put(0, 1 + 3)  # opaque, version 0
-    w.put(0, 3)  # no transform, no colour cache, one prefix group
-    flat = p.reshape(-1, 3)
-    planes = []
-    for c, alphabet in ((1, 280), (0, 256), (2, 256)):
-        used = np.flatnonzero(np.bincount(flat[:, c], minlength=256))
-        if len(used) == 1:
-            write_single(w, int(used[0]))
-        else:
-            n, rank = write_fixed(w, used, alphabet)
-            r = rank.astype(np.uint16)[flat[:, c]]
-            planes += [((r >> (n - 1 - j)) & 1).astype(np.uint8) for j in range(n)]
-    write_single(w, 255)
-    write_single(w, 0)
-    return wrapped(w.data(np.stack(planes, axis=1).ravel() if planes else None))

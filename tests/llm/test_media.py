@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from loomsift.llm import media, vp8l
+from loomsift.llm import media, vp8l, vp8l_encode
 
 
 def test_payloads_come_back(tables, nothing):
@@ -28,7 +28,7 @@ def test_payloads_come_back(tables, nothing):
 def test_images_round_trip(data, width):
     n = -(-len(data) // (3 * width)) * 3 * width
     p = np.frombuffer(data.ljust(n), np.uint8).reshape(-1, width, 3)
-    (got,) = (vp8l.decode_vp8l(x) for x in vp8l.frames(vp8l.encode_rgb(p)))
+    (got,) = (vp8l.decode_vp8l(x) for x in vp8l.frames(vp8l_encode.encode_rgb(p)))
     assert np.array_equal(got[..., :3], p) and (got[..., 3] == 255).all()
 
 
@@ -176,7 +176,7 @@ def picture(height=19, width=23, colours=40, seed=0):
 @pytest.mark.parametrize("cache_bits", [0, 3, 10])
 @pytest.mark.parametrize("refs", [False, True])
 def test_cache_and_back_references(cache_bits, refs):
-    p, w = picture(), vp8l.Writer()
+    p, w = picture(), vp8l_encode.Writer()
     header(w, 23, 19)
     w.put(0, 1)
     write_image(w, flat_of(p), True, cache_bits, refs)
@@ -184,7 +184,7 @@ def test_cache_and_back_references(cache_bits, refs):
 
 
 def test_meta_prefix_groups():
-    p, w = picture(), vp8l.Writer()
+    p, w = picture(), vp8l_encode.Writer()
     header(w, 23, 19)
     w.put(0, 1)
     write_image(w, flat_of(p), True, 2, True, (3, [0, 1, 2, 1, 0, 2, 2, 1, 0], 3))
@@ -193,7 +193,7 @@ def test_meta_prefix_groups():
 
 @pytest.mark.parametrize("mode", range(14))
 def test_predictor(mode):
-    p, w = picture(seed=mode), vp8l.Writer()
+    p, w = picture(seed=mode), vp8l_encode.Writer()
     full = p.astype(np.int64)
     rest = np.zeros_like(full)
     for y in range(19):
@@ -217,7 +217,7 @@ def test_predictor(mode):
 
 
 def test_cross_colour_and_green():
-    p, w = picture(), vp8l.Writer()
+    p, w = picture(), vp8l_encode.Writer()
     tiles = np.array([[[200, 30, 17, 255], [5, 250, 129, 255]], [[0, 0, 0, 255], [127, 128, 1, 255]]], np.uint8)
     inner = p.copy()
     inner[..., 0] -= p[..., 1]
@@ -235,7 +235,7 @@ def test_cross_colour_and_green():
 
 @pytest.mark.parametrize("colours", [1, 2, 3, 4, 9, 16, 40])
 def test_palette(colours):
-    p, w = picture(colours=colours), vp8l.Writer()
+    p, w = picture(colours=colours), vp8l_encode.Writer()
     flat = p.reshape(-1, 4)
     palette, index = np.unique(flat, axis=0, return_inverse=True)
     index = index.reshape(19, 23)
@@ -258,7 +258,7 @@ def test_palette(colours):
 
 
 def test_broken_streams_are_errors():
-    good = vp8l.frames(vp8l.encode_rgb(picture()[..., :3]))[0]
+    good = vp8l.frames(vp8l_encode.encode_rgb(picture()[..., :3]))[0]
     for bad in (b"", good[:30], b"x" + good[1:]):
         with pytest.raises(ValueError):
             vp8l.decode_vp8l(bad)
