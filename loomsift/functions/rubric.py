@@ -92,5 +92,5 @@ def scored(docs: DataFrame, as_of: Column, rubric: dict[str, Any] = DEFAULT, nam
         weight = float(c["weight"])
         parts.append(F.struct(F.lit(c["key"]).alias("key"), F.lit(weight).alias("weight"), sub.cast("double").alias("sub_score"), reason.alias("reason")))
         sums, weights = sums + weight * sub, weights + weight
-    total = F.round(sums / weights, 2) if weights else F.lit(0.0)
+    total = F.bround(sums / weights, 2) if weights else F.lit(0.0)
     return docs.withColumn(name, F.struct(total.alias("total"), (total >= float(rubric["pass_threshold"])).alias("passed"), F.array(*parts).alias("breakdown")))

@@ -1,9 +1,13 @@
-"""Boolean search strings from concepts and templates; plain strings on the driver."""
+"""Boolean search strings from concepts and templates: plain strings on the driver, and Columns for tables of terms."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 
 def once(items: Iterable[str]) -> list[str]:
     """Non-empty items in order of first appearance."""
@@ -21,9 +25,34 @@ def render(template: str, population: str, intervention: str) -> str:
     values = {"P": population, "I": intervention}
     if not any("{%s}" % k in template for k in values):
         values = {"terms": f"{population} AND {intervention}"}
+    template = _bare(template, values)
     for k, v in values.items():
+        template = template.replace("{%s}" % k, v)
+    return template
+
+
+def concept_column(terms: Column) -> Column:
+    """``concept`` of an array of terms."""
+    bare = F.transform(F.filter(terms, lambda t: t != ""), lambda t: F.regexp_replace(F.trim(t), '^"+|"+$', ""))
+    quoted = F.transform(bare, lambda t: F.concat(F.lit('"'), t, F.lit('"')))
+    several = F.concat(F.lit("("), F.array_join(quoted, " OR "), F.lit(")"))
+    return F.when(F.size(quoted) > 1, several).otherwise(F.array_join(quoted, ""))
+
+
+def render_columns(template: str, population: Column, intervention: Column) -> Column:
+    """``render`` of two concepts: the parts of the template around its placeholders, and the concepts between them."""
+    holes = {"P": population, "I": intervention}
+    if not any("{%s}" % k in template for k in holes):
+        holes = {"terms": F.concat(population, F.lit(" AND "), intervention)}
+    parts = re.split("\\{(%s)\\}" % "|".join(holes), _bare(template, holes))
+    return F.concat(*[holes[x] if k % 2 else F.lit(x) for k, x in enumerate(parts)])
+
+
+def _bare(template: str, holes: Iterable[str]) -> str:
+    """The template without quotes right around its placeholders."""
+    for k in holes:
         hole = "{%s}" % k
-        template = template.replace(f'"{hole}"', hole).replace(f'\\"{hole}\\"', hole).replace(hole, v)
+        template = template.replace(f'\\"{hole}\\"', hole).replace(f'"{hole}"', hole)
     return template
 
 

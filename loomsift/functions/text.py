@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import unicodedata
 
 import pandas as pd
@@ -50,19 +51,21 @@ def straight(c: Column) -> Column:
     return collapsed(F.translate(F.coalesce(c, F.lit("")), "‘’“”–—", "''\"\"--"))
 
 
-def quote_form(c: Column) -> Column:
-    """``straight`` without regard to case (exact for texts whose lower case is their case folding)."""
-    return F.lower(straight(c))
+@functools.lru_cache(maxsize=1)
+def folding() -> str:
+    """A pattern for the characters whose case folding isn't their lower case, or whose lower case hangs on others."""
+    odd = [k for k in range(0x110000) if chr(k).casefold() != chr(k).lower()] + [ord("Σ")]
+    return "[" + "".join(f"\\x{{{k:x}}}" for k in odd) + "]"
 
 
-def quote_form_folded(c: Column | str) -> Column:
-    """``quote_form`` by full Unicode case folding."""
-    table = str.maketrans("‘’“”–—", "''\"\"--")
+def quote_form(c: Column) -> Column:
+    """``straight`` by full Unicode case folding; only texts that need it go through Python."""
 
     def folded(s: pd.Series) -> pd.Series:
-        return s.fillna("").map(lambda t: " ".join(t.casefold().translate(table).split()))
+        return s.map(str.casefold, na_action="ignore")
 
-    return F.pandas_udf(folded, "string")(c)
+    plain = straight(c)
+    return F.coalesce(F.pandas_udf(folded, "string")(F.when(plain.rlike(folding()), plain)), F.lower(plain))
 
 
 def contains_quote(source: Column, quote: Column) -> Column:

@@ -2,11 +2,14 @@
 
 Title similarity is the normalised Indel similarity, 100 * 2 * LCS / (len a + len b). Candidate pairs come from a
 blocked join that loses no pair: two titles of ratio t or more differ in at most d = floor((1 - t) * (a + b))
-characters, so among d + 1 even pieces of the one at least one stands unchanged in the other, at most d places away.
+characters, so of any k disjoint pieces of the one at least k - d stand unchanged in the other, at most d places away.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,11 +36,35 @@ def ratio(a: str, b: str) -> float:
     return 100.0 if not n else 200.0 * lcs(a, b) / n
 
 
+def lcs_of_all(a: list[str], b: list[str]) -> np.ndarray:
+    """The LCS lengths of many pairs, the first of each of at most 63 characters: the bits of :func:`lcs`, a pair a lane."""
+    n = np.array([len(x) for x in a], np.uint64)
+    left = np.array(a, dtype="U64").view(np.uint32).reshape(-1, 64)
+    right = np.array(b, dtype=f"U{max(1, *map(len, b))}").view(np.uint32).reshape(len(b), -1)
+    full = (np.uint64(1) << n) - np.uint64(1)
+    row = full.copy()
+    for c in right.T:  # strings are filled with zeros
+        hit = row & full & np.packbits(left == c[:, None], axis=1, bitorder="little").view("<u8").ravel()
+        row = ((row + hit) | (row - hit)) & full
+    return n.astype(np.int64) - np.bitwise_count(row).astype(np.int64)
+
+
 def indel_ratio(a: Column | str, b: Column | str) -> Column:
     """Of two columns of strings; null if one is."""
 
     def of(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([None if v is None or w is None else ratio(v, w) for v, w in zip(x, y, strict=True)], dtype="float64")
+        out = np.full(len(x), np.nan)
+        pairs = [(k, v, w) if len(v) <= len(w) else (k, w, v) for k, (v, w) in enumerate(zip(x, y, strict=True)) if v is not None and w is not None]
+        # long titles, and those with the character that fills numpy's strings, one by one
+        lanes = [p for p in pairs if 0 < len(p[1]) < 64 and len(p[2]) < 256 and "\0" not in p[1] + p[2]]
+        if lanes:
+            at, v, w = (list(c) for c in zip(*lanes, strict=True))
+            out[at] = 200.0 * lcs_of_all(v, w) / np.array([len(p) + len(q) for p, q in zip(v, w, strict=True)])
+        done = {p[0] for p in lanes}
+        for k, v, w in pairs:
+            if k not in done:
+                out[k] = ratio(v, w)
+        return pd.Series(out).astype(object).where(~np.isnan(out), None)
 
     return F.pandas_udf(of, "double")(a, b)
 
@@ -49,29 +76,53 @@ def _edits(n: Column, threshold: float) -> Column:
     return F.floor((1 - t) * 2 * n / t + 1e-9).cast("int")
 
 
+def _step(n: Column, threshold: float) -> Column:
+    """The length of the pieces of a title of length n: edits + 1 of them fit in it; 0 if none does."""
+    return F.floor(n / (_edits(n, threshold) + 1)).cast("int")
+
+
+def _sketch(c: Column, q: int) -> Column:
+    """64 bits, one set for each hashed run of q characters: an edit changes at most 2 * q - 1 of them."""
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - q + 1, F.lit(1))), lambda i: F.pmod(F.xxhash64(F.substring(c, i, F.lit(q))), F.lit(64)).cast("int"))
+    return F.aggregate(runs, F.lit(0).cast("long"), lambda bits, k: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), k)))
+
+
+def _titles(df: DataFrame, name: str) -> DataFrame:
+    """Distinct titles under a name, and their sketches."""
+    x = df.select(F.col("title").alias(name)).where(F.col(name) != "").distinct()
+    return x.withColumn(f"{name}1", _sketch(F.col(name), 1)).withColumn(f"{name}2", _sketch(F.col(name), 2))
+
+
 def similar(left: DataFrame, right: DataFrame, threshold: float = TITLE_RATIO) -> DataFrame:
-    """Pairs (left_id, right_id, score) of equal or similar titles. Both sides: id, title.
+    """Pairs (left_id, right_id, score) of equal or similar titles. Both sides: id, title; the threshold is over 200 / 3.
 
-    Equal titles meet on the title. Others meet on (length, piece number, piece): the left title is cut into
-    edits + 1 pieces, and the right title offers each substring that could be such a piece. Distinct titles only are
-    blocked, so many copies of one title cost one.
+    Distinct titles only are compared, so many copies of one title cost one. The left title is cut into pieces of one
+    length, ``_step``; of its k pieces the k - edits - 1 that most right titles hold are left out, which loses no pair.
+    The right title offers its runs of such lengths: rows in proportion to its length. Titles that meet in a piece are
+    held against bounds on lengths, places and shared runs of characters before they become rows; those left are scored.
     """
-    names = left.select(F.col("title").alias("x")).where("x <> ''").distinct()
-    others = right.select(F.col("title").alias("y")).where("y <> ''").distinct()
-    k = _edits(F.length("x"), threshold) + 1
-    pieces = names.withColumn("k", F.least(k, F.length("x"))).select("x", "k", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("p")).select(
-        "x", F.length("x").alias("n"), "p", F.expr("substring(x, cast(p * length(x) div k as int) + 1, cast((p + 1) * length(x) div k as int) - cast(p * length(x) div k as int))").alias("piece")
-    )
-    # right side: for each length of a left title within reach, each piece number and shift
+    if threshold <= 200 / 3:
+        raise ValueError("below two thirds, similar titles may have no piece in common")
     t = threshold / 100
-    low, high = F.ceil(F.length("y") * t / (2 - t) - 1e-9), F.floor(F.length("y") * (2 - t) / t + 1e-9)
-    lengths = others.select("y", F.explode(F.sequence(F.greatest(F.lit(1), low).cast("int"), high.cast("int"))).alias("n"))
-    kk = F.least(_edits(F.col("n"), threshold) + 1, F.col("n"))
-    at = lengths.withColumn("k", kk).select("y", "n", "k", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("p"))
-    at = at.withColumn("a", F.expr("cast(p * n div k as int)")).withColumn("z", F.expr("cast((p + 1) * n div k as int)"))
-    shifts = at.select("y", "n", "p", "a", "z", F.explode(F.sequence(-(F.col("k") - 1), F.col("k") - 1)).alias("s")).where("a + s >= 0 and z + s <= length(y)")
-    offers = shifts.select("y", "n", "p", F.expr("substring(y, a + s + 1, z - a)").alias("piece")).distinct()
-    pairs = pieces.join(offers, ["n", "p", "piece"]).select("x", "y").distinct()
+    names, others = _titles(left, "x"), _titles(right, "y")
+    n, m, s = F.length("x"), F.length("y"), F.col("s")
+    low, high = F.ceil(m * t / (2 - t) - 1e-9).cast("int"), F.floor(m * (2 - t) / t + 1e-9).cast("int")
+    steps = F.array_distinct(F.transform(F.sequence(F.greatest(F.lit(1), low), high), lambda k: _step(k, threshold)))
+    runs = others.withColumn("size", F.explode(steps)).where("size <= length(y)").withColumn("at", F.explode(F.sequence(F.lit(0), m - F.col("size"))))
+    runs = runs.withColumn("run", F.expr("substring(y, at + 1, size)"))
+    held = runs.groupBy(F.col("run").alias("piece")).agg(F.count("*").alias("held"))
+    cut = names.withColumn("s", _step(n, threshold)).withColumn("d", _edits(n, threshold)).withColumn("k", F.floor(n / s).cast("int"))
+    cut = cut.withColumn("place", F.explode(F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda p: p * s))).withColumn("piece", F.expr("substring(x, place + 1, s)"))
+    # pieces that no right title holds are the rarest of all: they come first among the edits + 1
+    met = cut.join(held, "piece").groupBy("x", "x1", "x2", "s", "d", "k").agg(F.sort_array(F.collect_list(F.struct("held", "place", "piece"))).alias("pieces"))
+    wanted = F.greatest(F.lit(0), F.col("d") + 1 - F.col("k") + F.size("pieces"))
+    rare = met.withColumn("p", F.explode(F.slice("pieces", F.lit(1), wanted))).select("x", "x1", "x2", "d", "p.place", "p.piece")
+    edits = F.floor((1 - t) * (n + m) + 1e-9)
+    near = (
+        (F.col("piece") == F.col("run")) & (F.abs(F.col("place") - F.col("at")) <= F.col("d")) & n.between(low, high)
+        & (F.bit_count(F.col("x1").bitwiseXOR(F.col("y1"))) <= edits) & (F.bit_count(F.col("x2").bitwiseXOR(F.col("y2"))) <= 3 * edits)
+    )
+    pairs = rare.join(runs, near).select("x", "y").distinct()
     scored = pairs.withColumn("score", indel_ratio("x", "y")).where(F.col("score") >= threshold)
     return left.select(F.col("id").alias("left_id"), F.col("title").alias("x")).join(scored, "x").join(right.select(F.col("id").alias("right_id"), F.col("title").alias("y")), "y").select("left_id", "right_id", "score")
 
@@ -116,65 +167,85 @@ def components(edges: DataFrame, rounds: int = 30) -> DataFrame:
     raise RuntimeError(f"components aren't whole after {rounds} rounds")
 
 
+ROW = "staged boolean, seq long"
+DECISION = f"uid string, seq long, action string, matched_uid string, score double, took array<struct<{ROW}>>"
+
+
 def greedy(batch: DataFrame, staged: DataFrame, threshold: float = TITLE_RATIO) -> DataFrame:
     """The order-dependent cascade: each document in order of seq sees the survivors of those before it.
 
     batch and staged: uid, title_normalized, authority_tier, seq (staged ones come first). A superseded row leaves the
-    index. Order only matters inside a component of equal uids and similar titles, so components are resolved apart,
-    each in one task; a component is as large as one group of like titles.
+    index; a title then stands for its row before. took: the rows that a superseding row replaces, nearest first.
+    Only staged rows with a batch row's uid or with a title like a batch row's take part. Order matters inside a
+    component of equal uids and similar titles only, so components are resolved apart, each in one task; similarities
+    are joined in, not computed there. A component is as large as one group of like titles.
     """
     cols = ["uid", "title_normalized", "authority_tier", "seq"]
-    every = staged.select(*cols, F.lit(True).alias("staged")).unionByName(batch.select(*cols, F.lit(False).alias("staged"))).withColumn("id", F.struct("staged", "seq").cast("string"))
-    titles = every.select("id", F.col("title_normalized").alias("title"))
-    # ids of one title or uid form a star around the least
-    same = None
-    for c in ("title_normalized", "uid"):
-        least = every.groupBy(c).agg(F.min("id").alias("a"))
-        e = every.join(least, c).select("a", F.col("id").alias("b"))
-        same = e if same is None else same.unionByName(e)
-    one = titles.groupBy("title").agg(F.min("id").alias("id"))
-    near = similar(one, one, threshold).where("left_id <> right_id").select(F.col("left_id").alias("a"), F.col("right_id").alias("b"))
-    comp = components(same.unionByName(near))
-    rows = every.join(comp, "id")
+    new = batch.select(*cols, F.lit(False).alias("staged"))
+    old = staged.select(*cols, F.lit(True).alias("staged"))
+    x = new.select(F.col("title_normalized").alias("id"), F.col("title_normalized").alias("title")).distinct()
+    y = x.unionByName(old.select(F.col("title_normalized").alias("id"), F.col("title_normalized").alias("title"))).distinct()
+    near = similar(x, y, threshold).checkpoint()  # used several times; survives lost executors
+    seen = near.select(F.col("right_id").alias("title_normalized")).unionByName(x.select(F.col("id").alias("title_normalized"))).distinct()
+    some = old.join(seen, "title_normalized", "left_semi").unionByName(old.join(new.select("uid"), "uid", "left_semi")).distinct()
+    every = new.unionByName(some.select(*new.columns)).withColumn("t", F.concat(F.lit("t:"), "title_normalized"))
+    edges = every.select(F.col("t").alias("a"), F.concat(F.lit("u:"), "uid").alias("b")).unionByName(near.select(F.concat(F.lit("t:"), "left_id").alias("a"), F.concat(F.lit("t:"), "right_id").alias("b")).where("a <> b"))
+    likes = near.groupBy(F.col("left_id").alias("title_normalized")).agg(F.collect_list("right_id").alias("titles"), F.collect_list("score").alias("scores"))
+    rows = every.join(components(edges), F.col("t") == F.col("id")).select(*cols, "staged", "comp").join(likes, "title_normalized", "left")
 
     def resolve(pdf: pd.DataFrame) -> pd.DataFrame:
-        uids: dict[str, int] = {}
-        index: dict[str, str] = {}
+        held: dict[str, tuple[int, tuple[bool, int], list]] = {}  # uid: tier, row, rows it took
+        live: dict[str, list[tuple[tuple[int, int], str]]] = {}  # title: places and uids of its rows, in order
+        title_of: dict[str, str] = {}
         out = []
         for r in pdf.sort_values(["staged", "seq"], ascending=[False, True]).itertuples():
-            if r.staged:
-                uids[r.uid] = r.authority_tier
-                index[r.title_normalized] = r.uid
-                continue
-            action, match, score = "new", None, 0.0
-            if r.uid in uids:
-                action, match, score = "duplicate_id", r.uid, 100.0
-            else:
-                best = max(((ratio(r.title_normalized, t), -k, u) for k, (t, u) in enumerate(index.items())), default=(0.0, 0, None))
-                if best[0] >= threshold:
-                    score, _, match = best
-                    action = "supersedes" if r.authority_tier < uids.get(match, UNKNOWN_TIER) else "duplicate_fuzzy"
-            if action == "supersedes":
-                uids.pop(match, None)
-                index = {t: u for t, u in index.items() if u != match}
+            action, match, score, took = "new", None, 0.0, []
+            if not r.staged:
+                if r.uid in held:
+                    action, match, score = "duplicate_id", r.uid, 100.0
+                elif r.titles is not None:
+                    # most similar first, then the title held longest
+                    best = max(((s, [-k for k in live[t][0][0]], t) for t, s in zip(r.titles, r.scores, strict=True) if live.get(t)), default=None)
+                    if best:
+                        score, match = best[0], live[best[2]][-1][1]
+                        action = "supersedes" if r.authority_tier < held[match][0] else "duplicate_fuzzy"
+                if action == "supersedes":
+                    _, row, before = held.pop(match)
+                    took = [row, *before]
+                    live[title_of[match]] = [x for x in live[title_of[match]] if x[1] != match]
+                out.append((r.uid, r.seq, action, match, score, took))
             if action in ("new", "supersedes"):
-                uids[r.uid] = r.authority_tier
-                index[r.title_normalized] = r.uid
-            out.append((r.uid, r.seq, action, match, score))
-        return pd.DataFrame(out, columns=["uid", "seq", "action", "matched_uid", "score"])
+                held[r.uid] = (r.authority_tier, (bool(r.staged), int(r.seq)), took)
+                title_of[r.uid] = r.title_normalized
+                live.setdefault(r.title_normalized, []).append(((0 if r.staged else 1, r.seq), r.uid))
+        made = pd.DataFrame(out, columns=["uid", "seq", "action", "matched_uid", "score", "took"])
+        made["took"] = [[{"staged": a, "seq": b} for a, b in x] for x in made["took"]]
+        return made
+
+    return rows.groupBy("comp").applyInPandas(resolve, DECISION)
 
-    return rows.groupBy("comp").applyInPandas(resolve, "uid string, seq long, action string, matched_uid string, score double")
 
+def merged(winners: DataFrame, rows: DataFrame) -> DataFrame:
+    """Winners (with took) take over what they lack, and the uids, from the rows they replaced, which did so before.
 
-def merged(winner: DataFrame, loser: DataFrame) -> DataFrame:
-    """Winners (with loser_uid) take over what they lack, and their losers' uids."""
-    lost = loser.select(F.col("uid").alias("loser_uid"), *[F.col(c).alias(f"__{c}") for c in ("alternate_uids", "abstract", "authors", "full_text")])
-    x = winner.join(lost, "loser_uid", "left")
+    rows: staged, seq, uid, alternate_uids, abstract, authors, full_text. Winners without any are unchanged.
+    """
+    fields = ("uid", "alternate_uids", "abstract", "authors", "full_text")
     none = F.array().cast("array<string>")
-    mine, theirs = F.coalesce("alternate_uids", none), F.coalesce("__alternate_uids", none)
-    known = F.col("loser_uid").isNull() | F.array_contains(mine, F.col("loser_uid"))
-    blank = {"abstract": F.coalesce(F.col("abstract") == "", F.lit(True)), "authors": F.coalesce(F.size("authors") == 0, F.lit(True)), "full_text": F.coalesce(F.col("full_text") == "", F.lit(True))}
-    x = x.withColumn("alternate_uids", F.when(known, mine).otherwise(F.concat(mine, theirs, F.array("loser_uid"))))
-    for c, empty in blank.items():
-        x = x.withColumn(c, F.when(empty, F.coalesce(f"__{c}", c)).otherwise(F.col(c)))
-    return x.select(*winner.columns)
+    chain = winners.select(F.col("seq").alias("winner"), F.posexplode("took").alias("pos", "row")).select("winner", "pos", "row.staged", "row.seq")
+    lost = chain.join(rows.select("staged", "seq", *fields), ["staged", "seq"]).groupBy("winner").agg(F.sort_array(F.collect_list(F.struct("pos", *fields)), asc=False).alias("__lost"))
+    blank = {"abstract": lambda c: F.coalesce(c == "", F.lit(True)), "authors": lambda c: F.coalesce(F.size(c) == 0, F.lit(True)), "full_text": lambda c: F.coalesce(c == "", F.lit(True))}
+
+    def over(get: Callable[[str], Column], loser: Column) -> dict[str, Column]:
+        mine = F.coalesce(get("alternate_uids"), none)
+        out = {"alternate_uids": F.when(F.array_contains(mine, loser["uid"]), mine).otherwise(F.concat(mine, F.coalesce(loser["alternate_uids"], none), F.array(loser["uid"])))}
+        return out | {c: F.when(empty(get(c)), F.coalesce(loser[c], get(c))).otherwise(get(c)) for c, empty in blank.items()}
+
+    def step(loser: Column, winner: Column) -> Column:
+        new = over(lambda c: winner[c], loser)
+        return F.struct(winner["pos"].alias("pos"), *[new.get(c, winner[c]).alias(c) for c in fields])
+
+    x = winners.join(lost, F.col("seq") == F.col("winner"), "left").drop("winner")
+    x = x.withColumn("__last", F.aggregate(F.slice("__lost", F.lit(2), F.greatest(F.size("__lost"), F.lit(0))), F.get("__lost", F.lit(0)), step))
+    new = over(F.col, F.col("__last"))
+    return x.select(*[F.when(F.col("__lost").isNull(), F.col(c)).otherwise(new[c]).alias(c) if c in new else F.col(c) for c in winners.columns])

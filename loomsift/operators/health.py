@@ -101,11 +101,11 @@ def flow_markdown(report: DataFrame, reasons: DataFrame) -> str:
 
 def batch_report(outcomes: DataFrame) -> DataFrame:
     """One row of counters from rows of (action): what a batch did with its records."""
-    actions = ("new", "duplicate_id", "duplicate_fuzzy", "supersedes", "rubric_rejected", "queued", "dlq")
+    actions = ("new", "duplicate_id", "duplicate_fuzzy", "supersedes", "rubric_rejected", "queued", "dlq", "purged")
     n = {a: F.count_if(F.col("action") == a) for a in actions}
     return outcomes.agg(
-        F.count_if(F.col("action").isin("new", "duplicate_id", "duplicate_fuzzy", "supersedes")).alias("fetched"), n["new"].alias("new"),
-        (n["duplicate_id"] + n["duplicate_fuzzy"]).alias("duplicates"), n["supersedes"].alias("superseded"), n["rubric_rejected"].alias("rubric_rejected"), n["queued"].alias("queued"), n["dlq"].alias("dlq"),
+        F.count_if(F.col("action").isin("new", "duplicate_id", "duplicate_fuzzy", "supersedes", "cut")).alias("fetched"), n["new"].alias("new"),
+        (n["duplicate_id"] + n["duplicate_fuzzy"]).alias("duplicates"), n["supersedes"].alias("superseded"), n["rubric_rejected"].alias("rubric_rejected"), n["queued"].alias("queued"), n["dlq"].alias("dlq"), n["purged"].alias("purged"),
     )
 
 

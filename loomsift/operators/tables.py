@@ -27,8 +27,16 @@ def last(df: DataFrame, seq: str) -> DataFrame:
     return df.orderBy(F.desc(seq)).limit(1)
 
 
-def upserted(old: DataFrame, new: DataFrame, key: str = "uid", keep: tuple[str, ...] = ("source", "fetched_at"), touch: bool = True) -> DataFrame:
-    """New rows replace old ones of their key, but for the columns in ``keep``; without touch the time of use too."""
+def upserted(old: DataFrame, new: DataFrame, key: str = "uid", keep: tuple[str, ...] = ("source", "fetched_at"), touch: bool = True, seq: str | None = None) -> DataFrame:
+    """New rows replace old ones of their key, but for the columns in ``keep``; without touch the time of use too.
+
+    Several new rows of a key act in order of ``seq``: the first gives what is kept of a key that is new, the last the
+    rest. Without seq, keys of new rows are taken to be unique.
+    """
+    if seq is not None:
+        first = [F.min_by(F.struct(*keep), seq).alias("__first")] if keep else []
+        rest = [c for c in old.columns if c not in (key, *keep)]
+        new = new.groupBy(key).agg(*first, F.max_by(F.struct(*rest), seq).alias("__last")).select(key, *(["__first.*"] if keep else []), "__last.*")
     held = (*keep, *(() if touch else ("last_interaction_at",)))
     was = old.select(key, *[F.col(c).alias(f"__{c}") for c in held], F.lit(True).alias("__known"))
     merged = new.join(was, key, "left").select(*[F.when(F.col("__known"), F.col(f"__{c}")).otherwise(F.col(c)).alias(c) if c in held else F.col(c) for c in old.columns])
@@ -42,7 +50,9 @@ def appended(log: DataFrame, rows: DataFrame, as_of: Column, seq: str = "id") ->
     """
     begin = log.agg(F.coalesce(F.max(seq), F.lit(0)).alias("m")).first()["m"]
     cols = [c for c in log.columns if c not in (seq, "created_at")]
-    dealt = rows.select(*cols).repartitionByRange(*[F.col(c) for c in cols]).sortWithinPartitions(*cols).withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id())
+    # a count is given, so that adaptive execution leaves the partitions of both uses alone
+    n = int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.select(*cols).repartitionByRange(n, *[F.col(c) for c in cols]).sortWithinPartitions(*cols).withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id())
     first = dealt.groupBy("__p").agg(F.min("__i").alias("__first"), F.count("*").alias("__n"))
     first = first.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row a partition
     numbered = dealt.join(F.broadcast(first), "__p").withColumn(seq, (F.col("__i") - F.col("__first") + F.col("__before") + 1 + begin).cast("bigint"))
@@ -81,6 +91,28 @@ def title_index(docs: DataFrame, seq: str) -> DataFrame:
     return docs.where("status <> 'expired'").groupBy("title_normalized").agg(F.max_by("uid", seq).alias("uid"))
 
 
+def tier_index(docs: DataFrame, payload: str | None = None) -> DataFrame:
+    """uid and authority_tier; from a JSON payload, if its column is named."""
+    tier = F.col("authority_tier") if payload is None else F.get_json_object(payload, "$.authority_tier").cast("int")
+    return docs.select("uid", tier.alias("authority_tier"))
+
+
+def held(docs: DataFrame, uids: DataFrame) -> DataFrame:
+    """uid and whether a document of that uid is held, for each asked uid."""
+    return uids.select("uid").distinct().join(docs.select("uid", F.lit(True).alias("held")).distinct(), "uid", "left").fillna(False, ["held"])
+
+
+def looked_up(docs: DataFrame, uid: str) -> DataFrame:
+    """The document of a uid, if there is one; the filter reaches the scan."""
+    return docs.where(F.col("uid") == uid).limit(1)
+
+
+def history(rows: DataFrame, uid: str, verified_only: bool = False) -> DataFrame:
+    """A document's verdicts or facts in order of time; of facts, the verified ones if asked for."""
+    mine = rows.where(F.col("uid") == uid)
+    return (mine.where("verified = 1") if verified_only else mine).orderBy("created_at", "id")
+
+
 def abstract_only(docs: DataFrame) -> DataFrame:
     return docs.where(F.col("status").isin("approved", "approved_local", "queued") & (F.trim(F.coalesce("full_text", F.lit(""))) == ""))
 
@@ -125,6 +157,11 @@ def still_failing(before: DataFrame, after: DataFrame) -> DataFrame:
     return before.join(after.select("id"), "id", "left_semi")
 
 
+def aged_out(payloads: DataFrame, as_of: Column, days: int = KEEP_DAYS) -> DataFrame:
+    """Quarantined payloads (by day) young enough to stay."""
+    return payloads.where(F.col("day") >= F.to_date(as_of - hours(24 * days)))
+
+
 def ranked_ids(found: DataFrame, per_source: int) -> DataFrame:
     """A plan of ids: the first query (query_no, then pos) that finds an id owns it; the first per_source ids of each source.
 

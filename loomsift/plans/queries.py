@@ -257,9 +257,11 @@ def q_circuit_breaker(spark, d):
 RATED = "select uid from ratings"
 
 
-@query("staged ratings", f"select uid from staged where status = 'queued' and uid not in ({RATED})")
+@query("staged ratings", f"select uid from staged where status = 'queued' and uid not in ({RATED} where agent = 'tiebreaker' and verdict <> 'invalid')")
 def q_unscreened_anti(spark, d):
-    return screening.to_screen(derived(spark, d, "staged"), derived(spark, d, "ratings")).select("uid")
+    """Queued documents that no valid tie-breaking verdict stands for."""
+    solved = derived(spark, d, "ratings").where("agent = 'tiebreaker' and verdict <> 'invalid'")
+    return screening.to_screen(derived(spark, d, "staged"), solved).select("uid")
 
 
 @query("staged ratings", f"select uid from staged where status = 'queued' and uid not in ({RATED} where agent = 'screener_b')")
@@ -320,7 +322,9 @@ def q_grounding(spark, d):
 
 
 STRAIGHT = "trim(regexp_replace(translate(coalesce({0}, ''), '‘’“”–—', '''''\"\"--'), '\\s+', ' ', 'g'))"
-QUOTED = f"select d.doc_id, b.item_id from documents d, benchmark b where contains(lower({STRAIGHT.format('d.text')}), lower({STRAIGHT.format('b.text')}))"
+# case folding, as far as these texts need more than lower case
+FOLDED = f"replace(lower({STRAIGHT}), 'ß', 'ss')"
+QUOTED = f"select d.doc_id, b.item_id from documents d, benchmark b where contains({FOLDED.format('d.text')}, {FOLDED.format('b.text')})"
 
 
 @query("", QUOTED)
@@ -338,33 +342,32 @@ def q_verify_quote(spark, d):
     return found.select("doc_id", "item_id").unionByName(docs.join(short, F.contains("t", F.col("q"))).select("doc_id", "item_id"))
 
 
-@query("", "select doc_id, case when coalesce(q, '') <> '' then case when contains(lower(regexp_replace(t, '\\s+', ' ', 'g')), lower(regexp_replace(q, '\\s+', ' ', 'g'))) then 1 else 0 end when lower(trim(v)) in ('', 'false', 'null', 'none', '[]') then 2 else 0 end as verified from (select doc_id, text as t, case doc_id % 3 when 0 then substr(text, 1, 12) when 1 then 'not in the text' end as q, case doc_id % 2 when 0 then ' None ' else 'true' end as v from documents) x where length(trim(t)) = length(t)")
-def q_verified_fields(spark, d):
-    x = base(spark, d, "documents").where("length(trim(text)) = length(text)")
-    q = F.expr("case doc_id % 3 when 0 then substr(text, 1, 12) when 1 then 'not in the text' end")
-    return x.select("doc_id", screening.verified(F.expr("case doc_id % 2 when 0 then ' None ' else 'true' end"), q, F.col("text")).alias("verified"))
+VERIFIED = f"""select doc_id, case when coalesce(q, '') <> '' then case when coalesce(text, '') <> '' and contains({FOLDED.format('text')}, {FOLDED.format('q')}) then 1 else 0 end when lower(trim(v)) in ('', 'false', 'null', 'none', '[]') then 2 else 0 end as verified from (
+    select doc_id, text, case doc_id % 3 when 0 then substr(text, 5, 40) when 1 then 'not in the text' end as q, case doc_id % 2 when 0 then ' None ' else 'true' end as v from documents) x"""
 
 
-# --- text ------------------------------------------------------------------------------------------------------------
+@query("", VERIFIED)
+def q_verified_fields(spark, d):
+    q = F.expr("case doc_id % 3 when 0 then substr(text, 5, 40) when 1 then 'not in the text' end")
+    return base(spark, d, "documents").select("doc_id", screening.verified(F.expr("case doc_id % 2 when 0 then ' None ' else 'true' end"), q, F.col("text")).alias("verified"))
 
 
-def first_line(c: str = "text") -> F.Column:
-    return F.substring_index(c, "\n", 1)
+# --- text ------------------------------------------------------------------------------------------------------------
 
 
-@query("", "select doc_id, trim(regexp_replace(regexp_replace(lower(strip_accents(split_part(text, chr(10), 1))), '[^\\p{L}\\p{N}_\\s]', ' ', 'g'), '\\s+', ' ', 'g')) as title from documents")
+@query("", "select doc_id, trim(regexp_replace(regexp_replace(lower(strip_accents(text)), '[^\\p{L}\\p{N}_\\s]', ' ', 'g'), '\\s+', ' ', 'g')) as title from documents")
 def q_normalize_title(spark, d):
-    return base(spark, d, "documents").select("doc_id", text.normalized_title(first_line()).alias("title"))
+    return base(spark, d, "documents").select("doc_id", text.normalized_title("text").alias("title"))
 
 
-@query("", f"select doc_id, lower({STRAIGHT.format('text')}) as t from documents")
+@query("", f"select doc_id, {FOLDED.format('text')} as t from documents")
 def q_quote_normalize(spark, d):
     return base(spark, d, "documents").select("doc_id", text.quote_form(F.col("text")).alias("t"))
 
 
-@query("", "select p_partkey, trim(both '-' from regexp_replace(lower(concat(p_name, ' / ', p_brand)), '[^a-z0-9]+', '-', 'g')) as slug from part")
+@query("", "select p_partkey, trim(both '-' from regexp_replace(translate(strip_accents(lower(concat(p_name, ' Tìm kiếm ở Đường / ', p_brand))), 'đ', 'd'), '[^a-z0-9]+', '-', 'g')) as slug from part")
 def q_slug(spark, d):
-    return base(spark, d, "part").select("p_partkey", text.slug(F.concat("p_name", F.lit(" / "), "p_brand")).alias("slug"))
+    return base(spark, d, "part").select("p_partkey", text.slug(F.concat("p_name", F.lit(" Tìm kiếm ở Đường / "), "p_brand")).alias("slug"))
 
 
 IDS = "select event_id, case event_id % 5 when 0 then cast(10000000 + event_id as string) when 1 then concat('http://x.org/abs/2401.', cast(10000 + event_id % 80000 as string), 'v2') when 2 then concat('ARXIV:2402.', cast(10000 + event_id % 80000 as string), 'v11') when 3 then concat('10.1000/', cast(event_id as string)) else concat(' 2403.', cast(1000 + event_id % 9000 as string), ' ') end as raw from events"
@@ -402,11 +405,32 @@ def q_scan_email(spark, d):
     return guards.findings(base(spark, d, "documents"), "doc_id", "text").where("rule_id = 'EMAIL'").select("doc_id", "masked_match", "match_sha256_12")
 
 
-@query()
+# Patterns without look-around, which the other engine lacks: runs of digits (and a plus before them) are taken whole.
+COUNTED = {rule: (p, None) for rule, p in guards.RULES.items() if "(?" not in p.replace("(?:", "")} | {
+    "PHONE_VN": (r"\d*\+?\d+", r"(\d*\+)?0[35789]\d{8}|\+84[35789]\d{8}"), "CCCD_VN": (r"\d+", r"\d{12}"),
+}
+
+
+def _counted(rule: str) -> str:
+    pattern, whole = (None if x is None else x.replace("'", "''") for x in COUNTED[rule])
+    found = f"regexp_extract_all(text, '{pattern}')"
+    return f"select '{rule}' as rule_id, cast(sum(len({found if whole is None else f'list_filter({found}, lambda x: regexp_full_match(x, {chr(39)}{whole}{chr(39)}))'})) as bigint) as n from t"
+
+
+SCANNED = "with t as (select text from documents union all select html from pages) select * from (" + " union all ".join(map(_counted, guards.RULES)) + ") x where n > 0"
+
+
+@query("", SCANNED)
 def q_scan_counts(spark, d):
-    """Findings by rule; the rules look around their matches, which the other engine's patterns can't."""
+    """Findings by rule, in documents and pages. Long tokens of high entropy have a query of their own."""
     x = base(spark, d, "documents").select(F.col("doc_id").alias("id"), "text").unionByName(base(spark, d, "pages").select(F.col("page_id").alias("id"), F.col("html").alias("text")))
-    return guards.findings(x, "id", "text").groupBy("rule_id").agg(F.count("*").alias("n"))
+    return guards.findings(x, "id", "text").where(F.col("rule_id") != guards.HIGH_ENTROPY).groupBy("rule_id").agg(F.count("*").alias("n"))
+
+
+@query()
+def q_scan_entropy(spark, d):
+    """Long tokens of high entropy outside the other findings."""
+    return guards.findings(base(spark, d, "documents"), "doc_id", "text").where(F.col("rule_id") == guards.HIGH_ENTROPY)
 
 
 @query()
@@ -420,11 +444,20 @@ def q_anchor_ips(spark, d):
     return base(spark, d, "documents").select("doc_id", F.size(F.filter(x, lambda a: a["kind"] == "ip")).cast("long").alias("n"))
 
 
+@query()
+def q_anchor_kinds(spark, d):
+    """Anchors by kind and text; kinds don't overlap, earlier ones first."""
+    x = base(spark, d, "documents").select("doc_id", F.explode(guards.anchors("text")).alias("a"))
+    return x.groupBy("doc_id", "a.kind").agg(F.count("*").alias("n"))
+
+
 @query()
 def q_firewall(spark, d):
-    """Documents' numeric anchors against the other text of their conversation-like source: their own first half."""
-    x = base(spark, d, "documents").select("doc_id", "text", F.array(F.expr("left(text, length(text) div 2)")).alias("sources"))
-    return guards.checked_anchors(x, "doc_id", "text", "sources", strict=False).select("doc_id", "passed", "anchors_checked", F.size("warnings").alias("n_warnings"))
+    """Each answer of a conversation against all that was said before it: numbers that came from nowhere are warnings."""
+    said = base(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("turns"))
+    x = base(spark, d, "conversations").join(said, "conv_id").withColumn("sources", F.transform(F.filter("turns", lambda t: t["turn"] < F.col("turn")), lambda t: t["text"]))
+    x = x.select(F.struct("conv_id", "turn").alias("key"), "text", "sources")
+    return guards.checked_anchors(x, "key", "text", "sources", strict=False).select("key.conv_id", "key.turn", "passed", "anchors_checked", F.size("warnings").alias("n_warnings"))
 
 
 @query()
@@ -453,7 +486,7 @@ SUBS = f"""select uid, case authority_tier when 1 then cast(100 as double) when
     cast(50 as double) * (case when regexp_matches(hay, 'github\\.com|gitlab\\.com|bitbucket\\.org') then 1 else 0 end + case when regexp_matches(hay, 'zenodo|huggingface\\.co/datasets|figshare|dryad') then 1 else 0 end) as s3,
     case when n = 0 then cast(0 as double) when n < 80 then cast(50 as double) * n / 80 when n >= 200 then 100 else 50 + cast(50 as double) * (n - 80) / 120 end as s4,
     cast(100 as double) * (1 + n_authors + 1) / 3 as s5 from (select *, {AGE} as age, {WORDS} as n, lower(concat_ws(' ', nullif(abstract, ''), nullif(full_text, ''), nullif(url, ''))) as hay from ({PAPER}) p) q"""
-TOTAL = f"select uid, round((30 * s1 + 20 * s2 + 25 * s3 + 15 * s4 + 10 * s5) / 100, 2) as total from ({SUBS}) s"
+TOTAL = f"select uid, round_even((30 * s1 + 20 * s2 + 25 * s3 + 15 * s4 + 10 * s5) / 100, 2) as total from ({SUBS}) s"
 
 
 def papers(spark: SparkSession, d: str) -> DataFrame:
@@ -493,15 +526,16 @@ def q_rubric_queue(spark, d):
 # --- duplicates ------------------------------------------------------------------------------------------------------
 
 
-@query("", "select doc_id from documents where text in (select text from documents where doc_id % 2 = 0) and doc_id % 2 = 1")
+@query("", "select doc_id from documents where text in (select text from documents group by text having count(*) > 1)")
 def q_dedup_exact(spark, d):
-    docs = base(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("h"))
-    return docs.where("doc_id % 2 = 1").join(docs.where("doc_id % 2 = 0").select("h"), "h", "left_semi").select("doc_id")
+    """Every document that has a copy."""
+    docs = base(spark, d, "documents").where("text is not null").select("doc_id", F.sha2("text", 256).alias("h"))
+    return docs.join(docs.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "h").select("doc_id")
 
 
 @query("", "select doc_id, first_id from (select doc_id, min(doc_id) over (partition by text) as first_id from documents where text is not null) t where doc_id > first_id")
 def q_dedup_copies(spark, d):
-    """Every document that has an earlier copy, and the first one; q_dedup_exact holds odd ones against even ones only."""
+    """Every document that has an earlier copy, and the first one."""
     docs = base(spark, d, "documents").where("text is not null").select("doc_id", F.sha2("text", 256).alias("h"))
     first = docs.groupBy("h").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n")
     return docs.join(first, "h").where("doc_id > first_id").select("doc_id", "first_id")
@@ -512,24 +546,39 @@ def titles(spark: SparkSession, d: str) -> DataFrame:
     return base(spark, d, "part").select(F.col("p_partkey").cast("string").alias("uid"), F.concat_ws(" ", "p_name", "p_type", F.col("p_size").cast("string")).alias("title_normalized"), F.col("p_partkey").alias("seq"), (F.col("p_size") % 3 + 1).cast("int").alias("authority_tier"), F.lit("queued").alias("status"))
 
 
-@query()
+# The LCS of two titles by rows of the usual table, as nested folds over lists of code points; most pairs are told apart by
+# their edit distance, which is at most their Indel distance.
+LCS = """list_extract(list_reduce(list_transform(string_split(x, ''), lambda c: [ord(c)]), lambda r, c: list_reduce(list_transform(range(1, length(y) + 1), lambda j: [j]),
+    lambda acc, j: list_append(acc, greatest(acc[j[1]], r[j[1] + 1], r[j[1]] + case when ord(substr(y, j[1], 1)) = c[1] then 1 else 0 end)), [0]),
+    list_transform(range(0, length(y) + 1), lambda k: 0)), length(y) + 1)"""
+NAMES = "select distinct concat_ws(' ', p_name, p_type, cast(p_size as string)) as {0} from part"
+LIKE = f"""select x, y, case when x = y then cast(100 as double) else 200 * cast({LCS} as double) / (length(x) + length(y)) end as score from (
+    select x, y from ({NAMES.format("x")}) a, ({NAMES.format("y")}) b where x <> '' and y <> '' and levenshtein(x, y) <= 0.07 * (length(x) + length(y)) + 1e-9) p"""
+ROWS = "select cast(p_partkey as string) as uid, concat_ws(' ', p_name, p_type, cast(p_size as string)) as t, p_partkey as seq, p_size % 3 + 1 as tier from part"
+
+
+@query("", f"with s as (select * from ({LIKE}) q where score >= 93), r as ({ROWS}) select a.uid as left_id, b.uid as right_id, round(score, 6) as score from s join r a on a.t = s.x join r b on b.t = s.y where a.uid < b.uid")
 def q_dedup_pairs(spark, d):
     t = titles(spark, d).select(F.col("uid").alias("id"), F.col("title_normalized").alias("title"))
-    return dedup.similar(t, t).where("left_id < right_id")
+    return dedup.similar(t, t).where("left_id < right_id").withColumn("score", F.round("score", 6))
 
 
-@query()
+# Odd parts are staged; a title stands for its last row, and titles of one score come in the order of their first.
+DECIDE = f"""with s as (select * from ({LIKE}) q where score >= 93), r as ({ROWS}), held as (select t, min(seq) as first, max_by(uid, seq) as uid, max_by(tier, seq) as tier from r where seq % 2 = 1 group by t),
+    best as (select c.uid, c.tier, h.uid as matched_uid, h.tier as held_tier, s.score, row_number() over (partition by c.uid order by s.score desc, h.first) as k from r c join s on s.x = c.t join held h on h.t = s.y where c.seq % 2 = 0)
+    select c.uid, case when b.uid is null then 'new' when b.tier < b.held_tier then 'supersedes' else 'duplicate_fuzzy' end as action, b.matched_uid, round(coalesce(b.score, 0), 6) as score from r c left join (select * from best where k = 1) b on b.uid = c.uid where c.seq % 2 = 0"""
+
+
+@query("", DECIDE)
 def q_dedup_decide(spark, d):
     t = titles(spark, d)
-    return dedup.decided(t.where("seq % 2 = 0"), t.where("seq % 2 = 1"))
+    return dedup.decided(t.where("seq % 2 = 0"), t.where("seq % 2 = 1")).withColumn("score", F.round("score", 6))
 
 
 @query()
 def q_dedup_greedy(spark, d):
     t = titles(spark, d)
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "/tmp/loomsift-checkpoints"))
-    return dedup.greedy(t.where("seq % 3 > 0"), t.where("seq % 3 = 0"))
+    return dedup.greedy(t.where("seq % 3 > 0"), t.where("seq % 3 = 0")).drop("took")
 
 
 # --- alerts ----------------------------------------------------------------------------------------------------------
@@ -549,7 +598,16 @@ def q_alert_fsm(spark, d):
     return alerts.evaluated(held, wanted, now()).select("key", "state", "transition", "first_seen", "last_notified")
 
 
-@query()
+DAY_AGO = f"timestamp '{AS_OF}' - interval 24 hour"
+FIGURES = f"""select (select count(*) from dlq) as dlq_total, (select count(*) from dlq where retry_eligible) as dlq_retry_eligible, (select count(*) from dlq where created_at > {DAY_AGO}) as dlq_last_24h,
+    (select count(*) from dlq where not retry_eligible and attempts >= 5) as dlq_permanent, (select count(*) from staged where status = 'queued' and tech_meta is null) as degraded_count,
+    (select count(*) from staged where status = 'queued' and uid in (select uid from log where event_type = 'SCREEN_ESCALATED')) as screen_escalated_count,
+    (select count(*) from ({PAIRS}) p) as screen_kappa_docs_count, (select count(*) > 0 from log where event_type = 'SCREEN_SINGLE_MODEL' and created_at > {DAY_AGO}) as single_model_mode_recent,
+    (select count(distinct uid) from facts) as extraction_docs_count_24h, (select count(*) from log where event_type = 'APPROVED' and created_at >= date_trunc('day', timestamp '{AS_OF}')) as approved_today"""
+PARTS = "staged log dlq runs ratings facts"
+
+
+@query(PARTS, FIGURES)
 def q_health_snapshot(spark, d):
     snap = _snapshot(spark, d)
     return snap.select("dlq_total", "dlq_retry_eligible", "dlq_last_24h", "dlq_permanent", "degraded_count", "screen_escalated_count", "screen_kappa_docs_count", "single_model_mode_recent", "extraction_docs_count_24h", "approved_today")
@@ -560,18 +618,28 @@ def _snapshot(spark: SparkSession, d: str) -> DataFrame:
     return health.snapshot(t["staged"], t["dlq"], t["log"], t["runs"], t["ratings"], t["facts"].withColumn("created_at", now()), now())
 
 
-@query()
+GROUNDED = "select avg(s) as g from (select sum(case when verified = 1 then cast(1 as double) else 0 end) / nullif(sum(case when verified in (0, 1) then 1 else 0 end), 0) as s from facts group by uid) x"
+DOUBLE_KAPPA = KAPPA.replace("1.0 else 0.0", "cast(1 as double) else cast(0 as double)")
+RULES = f"""select key from (select f.*, k.kappa, g.g, (select date_diff('second', max_by(started_at, id), timestamp '{AS_OF}') / 3600.0 from runs) as hours from ({FIGURES}) f, ({DOUBLE_KAPPA}) k, ({GROUNDED}) g) z,
+    (select unnest(['DLQ_SPIKE', 'OLLAMA_DEGRADED', 'NO_BATCH_36H', 'DLQ_PERMANENT', 'SCREEN_DISAGREEMENT', 'EXTRACT_UNGROUNDED']) as key) r
+    where case key when 'DLQ_SPIKE' then dlq_retry_eligible >= 5 when 'OLLAMA_DEGRADED' then degraded_count > 0 when 'NO_BATCH_36H' then hours > 36 when 'DLQ_PERMANENT' then dlq_permanent > 0
+      when 'SCREEN_DISAGREEMENT' then kappa < 0.6 and screen_kappa_docs_count >= 5 else g < 0.8 and extraction_docs_count_24h >= 5 end
+    union all select concat('SOURCE_DOWN:', source) from ({DOWN}) t"""
+
+
+@query(PARTS, RULES)
 def q_alert_rules(spark, d):
+    """Every alert that the snapshot asks for while the model is down; the last report has no DLQ ratio."""
     return alerts.desired(_snapshot(spark, d), model_up=False).select("key")
 
 
 # --- search strings --------------------------------------------------------------------------------------------------
 
 
-@query("", """select r_name as source, concat('ti:("', n_name, '" OR "', r_name, '") AND "', c_mktsegment, '"') as query from nation join region on n_regionkey = r_regionkey cross join (select distinct c_mktsegment from customer) s""")
+@query("", """select c_custkey, r_name as source, concat('ti:("', n_name, '" OR "', r_name, '") AND "', c_mktsegment, '"') as query from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey""")
 def q_query_render(spark, d):
-    """Concepts from nations and regions, crossed with market segments: small dimension tables."""
+    """A query for each customer: the nation or its region, and the market segment."""
     r = base(spark, d, "nation").join(base(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    seg = base(spark, d, "customer").select("c_mktsegment").distinct()
-    render = F.udf(lambda n, g, s: search_text.render('ti:"{P}" AND "{I}"', search_text.concept([n, g]), search_text.concept([s])))
-    return r.crossJoin(F.broadcast(seg)).select(F.col("r_name").alias("source"), render("n_name", "r_name", "c_mktsegment").alias("query"))
+    x = base(spark, d, "customer").join(r, F.col("c_nationkey") == F.col("n_nationkey"))
+    query_ = search_text.render_columns('ti:"{P}" AND "{I}"', search_text.concept_column(F.array("n_name", "r_name")), search_text.concept_column(F.array("c_mktsegment")))
+    return x.select("c_custkey", F.col("r_name").alias("source"), query_.alias("query"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomsift.functions.text import canonical_id, collapsed, default_tier, normalized_title, source_of_id, uid
@@ -30,16 +30,23 @@ def record(rows: DataFrame) -> DataFrame:
     )
 
 
+def checked(ok: Column, value: Column, kind: str, message: str) -> Column:
+    """The value; if it isn't ok, an error. For filters and generators, which no choice of columns drops."""
+    return F.when(F.coalesce(ok, F.lit(False)), value).otherwise(F.raise_error(F.lit(message)).cast(kind))
+
+
 def articles(spark: SparkSession, path: str) -> DataFrame:
     """JSON search responses. A file without articles, or an article without a title, is a layout error; ids that are
     not eight digits are skipped."""
     files = spark.read.schema(ARTICLES).option("multiLine", True).json(path)
-    a = files.select(F.explode(F.when(F.col("articles").isNull(), F.raise_error(F.lit("no articles")).cast(files.schema["articles"].dataType)).otherwise(F.col("articles"))).alias("a")).select("a.*")
+    every = checked(F.col("articles").isNotNull(), F.col("articles"), files.schema["articles"].dataType.simpleString(), "no articles")
+    a = files.select(F.explode(every).alias("a")).select("a.*")
     title = F.trim(F.coalesce("title", F.lit("")))
-    a = a.withColumn("title", F.when(title == "", F.raise_error(F.lit("an article has no title")).cast("string")).otherwise(title))
+    # the title is looked at first
+    a = a.where(checked(title != "", F.col("article_number").rlike(r"^\d{8}$"), "boolean", "an article has no title"))
     return record(
-        a.where(F.col("article_number").rlike(r"^\d{8}$")).select(
-            F.lit("ieee").alias("source"), F.col("article_number").alias("source_id"), "title", F.nullif(F.trim("abstract"), F.lit("")).alias("abstract"),
+        a.select(
+            F.lit("ieee").alias("source"), F.col("article_number").alias("source_id"), title.alias("title"), F.nullif(F.trim("abstract"), F.lit("")).alias("abstract"),
             F.coalesce(F.transform("authors.authors", lambda x: x["full_name"]), F.array().cast("array<string>")).alias("authors"),
             F.expr("make_timestamp(try_cast(publication_year as int), 1, 1, 0, 0, 0)").alias("published_date"), F.coalesce("html_url", "pdf_url").alias("url"),
         )
@@ -47,13 +54,18 @@ def articles(spark: SparkSession, path: str) -> DataFrame:
 
 
 def atom(spark: SparkSession, path: str) -> DataFrame:
-    """Atom feeds; an entry without a valid id or title is a layout error."""
-    e = spark.read.format("xml").option("rowTag", "entry").schema(FEED).load(path)
+    """Atom feeds; an entry without a valid id or title, or a file that is no feed, is a layout error.
+
+    A feed may be empty, if it is whole.
+    """
+    files = spark.read.text(path, wholetext=True)
+    is_feed = F.col("value").rlike(r"<(\w+:)?feed[\s>/]") & F.col("value").rlike(r"(?s)</(\w+:)?feed>|<entry[\s>].*</entry>")
+    entries = checked(is_feed, F.regexp_extract_all("value", F.lit(r"(?s)(<entry[\s>].*?</entry>)")), "array<string>", "a file is no feed")
+    e = files.select(F.explode(entries).alias("e")).select(F.from_xml("e", FEED).alias("e")).select("e.*")
     title, sid = collapsed(F.coalesce("title", F.lit(""))), canonical_id(F.col("id"))
-    bad = F.raise_error(F.lit("an entry has no valid id or title")).cast("string")
     return record(
-        e.select(
-            F.lit("arxiv").alias("source"), F.when(sid.isNull() | (title == ""), bad).otherwise(sid).alias("source_id"), title.alias("title"), F.nullif(collapsed(F.col("summary")), F.lit("")).alias("abstract"),
+        e.where(checked(sid.isNotNull() & (title != ""), F.lit(True), "boolean", "an entry has no valid id or title")).select(
+            F.lit("arxiv").alias("source"), sid.alias("source_id"), title.alias("title"), F.nullif(collapsed(F.col("summary")), F.lit("")).alias("abstract"),
             F.transform("author", lambda x: x["name"]).alias("authors"), F.to_timestamp("published").alias("published_date"), F.trim("id").alias("url"),
         )
     )

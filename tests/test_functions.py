@@ -1,6 +1,7 @@
 """Scalar functions, guards, rubric and search strings against golden values."""
 
 import datetime as dt
+import re
 
 import pytest
 from hypothesis import given, settings
@@ -46,7 +47,11 @@ def test_slug(spark):
 def test_quotes(spark):
     q = spark.createDataFrame([("The “model” works – well", 'the "MODEL"   works - well'), ("a", "b"), ("a", " "), ("", "a"), (None, "a"), ("a", None)], "s string, q string")
     assert [r.y for r in q.select(text.contains_quote(F.col("s"), F.col("q")).alias("y")).collect()] == [True, False, True, False, False, False]
-    assert one(spark, "STRASSE ß", text.quote_form_folded) == "strasse ss"
+    folds = ["STRASSE ß", "die Straße ist", "ΣΑΣ σας", "İx", "ﬁn ŉ", "Ꭰ", "plain", "ǰ ſ", ""]
+    for t in folds:
+        assert one(spark, t, text.quote_form) == " ".join(t.casefold().split())
+    german = spark.createDataFrame([("die Straße ist", "STRASSE"), ("STRASSE", "straße"), ("Strase", "Straße")], "s string, q string")
+    assert [r.y for r in german.select(text.contains_quote(F.col("s"), F.col("q")).alias("y")).collect()] == [True, True, False]
 
 
 def test_entropy_and_masks(spark):
@@ -113,6 +118,45 @@ def test_spans_are_in_order_and_apart(t):
         at = e
 
 
+def slow_redaction(t):
+    """Character by character: the leftmost finding that begins where nothing was replaced, the shortest of equal starts."""
+    found, out, k = sorted(guards.secret_spans(t), key=lambda x: x[2:]), [], 0
+    while k < len(t):
+        here = [x for x in found if x[2] == k]
+        if here:
+            out.append(f"«REDACTED:{here[0][0]}»")
+            k = here[0][3]
+        else:
+            out.append(t[k])
+            k += 1
+    return "".join(out)
+
+
+def slow_anchors(t):
+    """Every kind in turn marks the characters it takes."""
+    taken, out = [False] * len(t), []
+    for kind, p in guards.ANCHORS.items():
+        for m in re.finditer(p, t):
+            if not any(taken[m.start() : m.end()]):
+                taken[m.start() : m.end()] = [True] * (m.end() - m.start())
+                out.append((kind, m.start(), m.end()))
+    return sorted(out, key=lambda x: x[1:])
+
+
+PIECES = [*POSITIVE.values(), "port 8080", "99.9%", "O(n log n)", "12 ms", "v2.1.0", "10.0.0.1:80", "1.2.3", " ", "x", "9", "@", "(", "=", "NOTION_TOKEN=", "localhost:80"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=12))
+def test_spans_against_slow_forms(parts):
+    t = "".join(parts)
+    assert guards.redacted_text(t) == slow_redaction(t)
+    assert [(k, s, e) for k, _, s, e in guards.anchor_spans(t)] == slow_anchors(t)
+    rules = [(r, m.start(), m.end()) for r, p in guards.RULES.items() for m in re.finditer(p, t)]
+    dense = [("HIGH_ENTROPY_STRING", m.start(), m.end()) for m in re.finditer(guards.LONG_TOKEN, t) if guards.bits(m[0]) >= 4 and not any(s <= m.start() < e for _, s, e in rules)]
+    assert sorted((k, s, e) for k, _, s, e in guards.secret_spans(t)) == sorted(rules + dense)
+
+
 FULL = {"authority_tier": 1, "published_date": dt.datetime(2026, 1, 1), "abstract": "word " * 200 + "github.com zenodo", "full_text": None, "url": "u", "title": "t", "authors": ["a"]}
 SCHEMA = "authority_tier int, published_date timestamp, abstract string, full_text string, url string, title string, authors array<string>"
 DAY = "2026-07-06"
@@ -149,12 +193,24 @@ def test_search_strings():
     assert search_text.expanded(["a"], lambda t: 1 / 0) == ["a"]
 
 
+def test_search_strings_of_columns(spark):
+    rows = [(["LLM", ' "large language models" '], ["RAG"]), (["a", ""], ["b", "c"]), ([], ["b"])]
+    df = spark.createDataFrame(rows, "p array<string>, i array<string>")
+    for template in ('ti:"{P}" {I}', '"{terms}"', "{P} and {P}", '{"q": "\\"{P}\\""}'):
+        got = df.select(search_text.render_columns(template, search_text.concept_column(F.col("p")), search_text.concept_column(F.col("i"))).alias("q")).collect()
+        assert [r.q for r in got] == [search_text.render(template, search_text.concept(p), search_text.concept(i)) for p, i in rows]
+
+
 PAPER = "Preface\n\n1. Introduction\nWhy.\n2. Proposed Method\nhow it\nworks.\nIII. Results\nNumbers here.\n\nConclusion and Future Work\nDone."
 
 
 def test_sections(spark):
-    assert [h for h, _ in sections.parts(PAPER)][-4:] == ["Introduction", "Proposed Method", "Results", "Conclusion and Future Work"]
-    assert sections.parts("plain text.") == [("", "plain text.")] and sections.parts("  ") == []
+    parts = lambda t: [tuple(x) for x in one(spark, t, lambda c: sections.split(c))]
+    assert parts(PAPER) == [("Introduction", "Why."), ("Proposed Method", "how it\nworks."), ("Results", "Numbers here."), ("Conclusion and Future Work", "Done.")]
+    assert parts("plain text.") == [("", "plain text.")] and parts("  ") == [] and parts(None) == []
+    assert parts("1.\nIntroduction\nbody\n2.\nnot a heading.\n  Results  \n\nx y\n \nEmpty One\nMethods Used\nz") == [("Introduction", "body\n2.\nnot a heading."), ("Results", "x y"), ("Methods Used", "z")]
+    long = "A Heading Of More Than Eight Words Is No Heading"
+    assert parts(f"Intro Part\na\n{long}\nb") == [("Intro Part", f"a\n{long}\nb")]
     df = spark.createDataFrame([("a", "ieee", PAPER), ("b", "arxiv", "plain."), ("c", "arxiv", None)], "uid string, source string, full_text string")
     got = {r.uid: r.sections for r in sections.canonical(df).collect()}
     assert got["a"].doc_type == "A" and got["a"].method.content == "how it\nworks." and got["a"].implications.confidence == 1.0

@@ -215,12 +215,58 @@ def test_order_matters_inside_a_batch(spark):
     assert got == {0: ("new", None), 1: ("supersedes", "arxiv:1"), 2: ("duplicate_fuzzy", "ieee:2"), 3: ("new", None)}
 
 
+def test_superseding_chain_and_titles_that_come_back(spark):
+    """A superseded row leaves its title to the row before it; took names what was replaced, nearest first."""
+    t = "a b c d e f g h i j"
+    old = spark.createDataFrame([("x:1", t, 5, 0, "queued"), ("x:2", t, 4, 1, "queued"), ("x:3", "far from it all", 1, 2, "queued")], DOCS)
+    batch = spark.createDataFrame([("y:1", t, 3, 0, ""), ("y:2", t, 2, 1, ""), ("y:3", t, 9, 2, ""), ("x:3", "w", 1, 3, "")], DOCS)
+    got = {r.seq: (r.action, r.matched_uid, [tuple(k) for k in r.took]) for r in dedup.greedy(batch, old).collect()}
+    assert got == {0: ("supersedes", "x:2", [(True, 1)]), 1: ("supersedes", "y:1", [(False, 0), (True, 1)]), 2: ("duplicate_fuzzy", "y:2", []), 3: ("duplicate_id", "x:3", [])}
+
+
+def test_cascade_against_one_loop(spark):
+    """Random rows of few titles, tiers and uids, one by one against every live row."""
+    r = random.Random(3)
+    names = ["graph neural nets for all", "graph neural nets for al", "graph neural nets for", "deep learning of titles", "deep learning of title", "other"]
+    old = [(f"s:{k}", r.choice(names), r.randint(1, 3), k, "queued") for k in range(6)]
+    new = [(r.choice([f"n:{k}", f"s:{r.randrange(6)}", f"n:{r.randrange(30)}"]), r.choice(names), r.randint(1, 3), k, "") for k in range(40)]
+    live, want = [x[:3] for x in old], []
+    for uid, title, tier, seq, _ in new:
+        action, match = "new", None
+        if uid in [x[0] for x in live]:
+            action, match = "duplicate_id", uid
+        else:
+            first = list(dict.fromkeys(x[1] for x in live))
+            score, k = max(((dedup.ratio(title, t), -k) for k, t in enumerate(first)), default=(0, 0))
+            if score >= 93:
+                match = [x for x in live if x[1] == first[-k]][-1]
+                action = "supersedes" if tier < match[2] else "duplicate_fuzzy"
+                match = match[0]
+        if action == "supersedes":
+            live = [x for x in live if x[0] != match]
+        if action in ("new", "supersedes"):
+            live.append((uid, title, tier))
+        want.append((seq, action, match))
+    got = dedup.greedy(spark.createDataFrame(new, DOCS), spark.createDataFrame(old, DOCS)).collect()
+    assert sorted((x.seq, x.action, x.matched_uid) for x in got) == want
+
+
+def test_many_lanes_give_the_ratio(spark):
+    r = random.Random(1)
+    words = ["".join(r.choice("abcé ") for _ in range(r.choice([0, 1, 5, 40, 62, 63, 64, 90, 300]))) for _ in range(120)] + ["\0a", "a\0"]
+    pairs = [(r.choice(words), r.choice(words)) for _ in range(400)] + [(None, "a"), ("a", None)]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    got = [x.r for x in df.select(dedup.indel_ratio("a", "b").alias("r")).collect()]
+    assert got == [None if a is None or b is None else pytest.approx(dedup.ratio(a, b)) for a, b in pairs]
+
+
 def test_winner_takes_over_what_it_lacks(spark):
-    cols = "uid string, alternate_uids array<string>, abstract string, authors array<string>, full_text string"
-    loser = spark.createDataFrame([("l", ["o"], "abs", ["n"], None)], cols)
-    winner = spark.createDataFrame([("w", [], "", [], None, "l"), ("v", ["l"], "own", ["m"], "t", "l")], cols + ", loser_uid string")
-    got = {r.uid: (r.alternate_uids, r.abstract, r.authors) for r in dedup.merged(winner, loser).collect()}
-    assert got == {"w": (["o", "l"], "abs", ["n"]), "v": (["l"], "own", ["m"])}
+    cols = "uid string, alternate_uids array<string>, abstract string, authors array<string>, full_text string, seq long"
+    lost = spark.createDataFrame([("l", ["o"], "abs", ["n"], None, 0), ("k", [], None, None, "deep", 1)], cols).withColumn("staged", F.lit(False))
+    took = "took array<struct<staged boolean, seq long>>"
+    winner = spark.createDataFrame([("w", [], "", [], None, 5, [(False, 0)]), ("v", ["l"], "own", ["m"], "t", 6, [(False, 0)]), ("u", None, None, None, None, 7, [(False, 0), (False, 1)]), ("t", [], "x", [], "", 8, [])], f"{cols}, {took}")
+    got = {r.uid: (r.alternate_uids, r.abstract, r.authors, r.full_text) for r in dedup.merged(winner, lost).collect()}
+    assert got == {"w": (["o", "l"], "abs", ["n"], None), "v": (["l"], "own", ["m"], "t"), "u": (["o", "k", "l"], "abs", ["n"], "deep"), "t": ([], "x", [], "")}
 
 
 # --- sources, sinks and plans ---
@@ -236,17 +282,21 @@ def test_articles(spark, tmp_path):
     ok = written(tmp_path / "a.json", {"articles": [a, {**a, "article_number": "123"}]})
     (r,) = readers.articles(spark, ok).collect()
     assert (r.uid, r.title, r.abstract, r.authors, r.url, r.authority_tier, r.published_date.year) == ("ieee:38111222", "T", None, ["A B"], "p", 1, 2025)
-    for bad in ({"total": 1}, {"articles": [{**a, "title": " "}]}):
-        with pytest.raises(Exception, match="articles|no title"):
-            readers.articles(spark, written(tmp_path / "b.json", bad)).collect()
+    for bad in ({"total": 1}, {"articles": [{**a, "title": " "}]}, {"articles": [{**a, "title": None, "article_number": "7"}]}):
+        for columns in (["*"], ["uid"], ["url"]):
+            with pytest.raises(Exception, match="articles|no title"):
+                readers.articles(spark, written(tmp_path / "b.json", bad)).select(*columns).collect()
 
 
 def test_atom(spark, tmp_path):
     entry = "<entry><id>http://x.org/abs/{0}v2</id><title>A\n  title</title><summary> S </summary><published>2024-01-02T03:04:05Z</published><author><name>N M</name></author></entry>"
     (a, b) = readers.atom(spark, written(tmp_path / "f.xml", f"<feed>{entry.format('2401.12345')}{entry.format('2503.00042')}</feed>")).orderBy("uid").collect()
     assert (a.uid, a.title, a.abstract, a.authors) == ("arxiv:2401.12345", "A title", "S", ["N M"]) and b.uid == "arxiv:2503.00042"
-    with pytest.raises(Exception, match="valid id"):
-        readers.atom(spark, written(tmp_path / "g.xml", f"<feed>{entry.format('none')}</feed>")).collect()
+    for bad in (f"<feed>{entry.format('none')}</feed>", f"<feed>{entry.format('2401.12345').replace('A\n  title', ' ')}</feed>", "no feed", "<feed><title>cut of"):
+        for columns in (["*"], ["uid"], ["url"]):
+            with pytest.raises(Exception, match="valid id|no feed"):
+                readers.atom(spark, written(tmp_path / "g.xml", bad)).select(*columns).collect()
+    assert readers.atom(spark, written(tmp_path / "e.xml", "<?xml version='1.0'?><feed xmlns='http://www.w3.org/2005/Atom'><title>none</title></feed>")).collect() == []
 
 
 def test_seed_manifest_and_config(spark, tmp_path):
@@ -308,14 +358,84 @@ def test_batch(spark):
     assert wrong.report.first().dlq == 1 and wrong.staged.count() == 0
 
 
+def test_batch_keeps_all_rows_and_merges(spark):
+    """A uid that lost comes again under another title; the winner lacks an abstract and gets the loser's."""
+    rows = [paper(1, "one long title of a paper"), (*paper(3, "one long title of a paper", tier=1)[:7], "", *paper(3, "", tier=1)[8:]), (*paper(1, "quite another title")[:13], 9)]
+    b = ingest.run(spark.createDataFrame(rows, PAPERS), staged(spark), now())
+    r = b.report.first()
+    assert (r.fetched, r.new, r.superseded, r.queued, r.dlq) == (3, 2, 1, 3, 0)
+    got = {x.uid: (x.title, x.alternate_uids, x.abstract, x.status) for x in b.staged.collect()}
+    assert got == {"ieee:10000003": ("one long title of a paper", ["arxiv:2401.10001"], rows[0][7], "queued"), "arxiv:2401.10001": ("quite another title", [], rows[2][7], "queued")}
+    assert sorted((e.uid, e.event_type, e.detail) for e in b.events.collect()) == [("ieee:10000003", "DEDUP_MERGED", "arxiv:2401.10001")]
+
+
+def failing(kinds):
+    """Parse with an error by uid: transient or permanent."""
+    known = F.create_map(*[F.lit(x) for kv in kinds.items() for x in kv])
+
+    def parse(df):
+        kind = F.try_element_at(known, F.col("uid"))
+        return df.withColumn("error", F.when(kind.isNotNull(), F.struct(kind.alias("type"), F.lit("why").alias("detail"), (kind == "transient").alias("transient"))).cast(ingest.ERROR))
+
+    return parse
+
+
+def uids(n):
+    return f"arxiv:2401.{10000 + n}"
+
+
+def test_batch_failures(spark):
+    rows = [paper(k, f"{'abcdefgh'[k] * 9} title {k}") for k in range(8)] + [paper(9, "last of all the titles", tier=1)]
+    good = (*paper(8, "x")[:2], "nonsense", *paper(8, "x")[3:])
+    out = spark.createDataFrame([("s", "Timeout", "no answer", True)], ingest.OUTAGE)
+    kinds = {uids(0): "transient", uids(1): "permanent", uids(3): "transient", uids(4): "transient", uids(5): "transient", uids(6): "transient"}
+    b = ingest.run(spark.createDataFrame([*rows, good], PAPERS), staged(spark), now(), parse=failing(kinds), outages=out)
+    r = b.report.first()
+    # 3, 4 and 5 fail in a row: 6 and 7 were never looked at; the other source goes on
+    assert (r.fetched, r.new, r.queued, r.dlq, r.skipped_sources) == (9, 7, 2, 7, ["arxiv", "s"])
+    assert {x.uid: x.status for x in b.staged.collect()} == {uids(2): "queued", "ieee:10000009": "queued"} | {uids(k): "dlq" for k in (0, 1, 3, 4, 5)}
+    assert sorted((x.uid, x.retry_eligible, x.attempts) for x in b.dlq.collect()) == sorted([("s:batch", True, 1), (good[0], False, 1), (uids(1), False, 1), *((uids(k), True, 1) for k in (0, 3, 4, 5))])
+    assert sorted(x.uid for x in b.quarantined.collect()) == sorted([good[0], uids(1)]) and all("title" in json.loads(x.raw) for x in b.quarantined.collect())
+
+    todo = b.dlq.where("retry_eligible and uid like 'arxiv%'").withColumn("id", F.xxhash64("uid")).checkpoint()
+    fetch = lambda t: t.where(F.col("uid") != uids(4)).select("uid", F.col("id").alias("entry_id")).join(spark.createDataFrame(rows, PAPERS), "uid").select("entry_id", *[c.split()[0] for c in PAPERS.split(", ")])
+    kept = b.staged.withColumn("seq", F.monotonically_increasing_id()).withColumn("last_interaction_at", F.lit(at(1))).checkpoint()
+    again, done = ingest.retried(todo, fetch, kept, now(), parse=failing({uids(5): "transient"}))
+    assert sorted(x.uid for x in done.join(todo, "id").collect()) == [uids(0), uids(3)]
+    assert {x.uid: x.status for x in again.staged.collect()} == {uids(k): "queued" for k in (0, 2, 3)} | {"ieee:10000009": "queued", uids(1): "dlq", uids(5): "dlq"}
+
+
 def test_heal(spark):
-    d, dlq, e, _, _, _ = frames(spark, dlq=[("a:1", "net", 4, True, at(1)), ("a:2", "net", 1, True, at(1)), ("b:1", "net", 1, True, at(1)), ("a:batch", "net", 1, True, at(1))], docs=[(f"d{k}", "queued", float(k), None, "x") for k in range(12)])
+    d, dlq, e, runs, _, _ = frames(spark, dlq=[("a:1", "net", 4, True, at(1)), ("a:2", "net", 1, True, at(1)), ("b:1", "net", 1, True, at(1)), ("a:batch", "net", 1, True, at(1))], docs=[(f"d{k}", "queued", float(k), None, "x") for k in range(12)], runs=[(at(2), "{}")])
     up = spark.createDataFrame([("a",)], "source string")
     h = heal.cycle(d, dlq, e, up, lambda f: f.where("uid = 'a:1'"), lambda f: f.withColumn("tech_meta", F.lit("m")), now(), 3)
     assert {r.uid: (r.attempts, r.retry_eligible) for r in h.dlq.collect()} == {"a:1": (5, False), "b:1": (1, True), "a:batch": (1, True)}
-    assert h.enriched.count() == heal.ENRICH_LIMIT
+    assert h.enriched.count() == heal.ENRICH_LIMIT and h.batch is None
+    assert {x.event_type for x in h.new_events.collect()} == {"ENRICHED"} and h.failed.count() == 0
     assert heal.cycle(d, dlq, e, up, lambda f: f, lambda f: f, now(), 12).enriched.count() == 0
 
+    kinds = {"d11": "permanent", "d9": "transient", "d8": "permanent"}
+    h = heal.cycle(d, dlq, e, up, lambda f: f.limit(0), failing(kinds), now(), 3)
+    assert {x.uid: x.status for x in h.enriched.collect()} == {"d11": "dlq", "d10": "queued"}  # best first, up to the transient one
+    assert [(x.uid, x.retry_eligible) for x in h.failed.collect()] == [("d11", False)] and [x.uid for x in h.quarantined.collect()] == ["d11"]
+
+    asked = []
+
+    def rerun(query):
+        asked.append(query)
+        return ingest.run(spark.createDataFrame([paper(1, "one long title of a paper"), paper(2, "one long title of a paper")], PAPERS), staged(spark), now(), outages=spark.createDataFrame([("a", "Timeout", "", True)], ingest.OUTAGE))
+
+    h = heal.cycle(d, dlq, e, up, lambda f: f.limit(0), None, now(), 12, runs.withColumn("query", F.lit("rag")), rerun)
+    assert asked == ["rag"] and "a:batch" not in [x.uid for x in h.dlq.collect()] and [x.uid for x in h.failed.collect()] == ["a:batch"]
+    assert [x.event_type for x in h.new_events.collect()] == ["DEDUP_DROPPED"] and h.batch.report.first().queued == 1
+
+
+def test_upsert_takes_new_rows_in_order(spark):
+    cols = "uid string, source string, fetched_at long, status string"
+    old = spark.createDataFrame([("a", "s", 1, "x"), ("b", "s", 1, "x")], cols)
+    new = spark.createDataFrame([("a", "t", 2, "y", 1), ("a", "u", 3, "z", 2), ("c", "v", 4, "p", 1), ("c", "w", 5, "q", 2)], cols + ", n long")
+    assert sorted(map(tuple, tables.upserted(old, new, seq="n").collect())) == [("a", "s", 1, "z"), ("b", "s", 1, "x"), ("c", "v", 4, "q")]
+
 
 def test_sinks(spark, tmp_path, capsys):
     df = spark.createDataFrame([(1, "mail a.b@example.org now")], "id long, t string")
