@@ -5,7 +5,6 @@ from __future__ import annotations
 import atexit
 import contextlib
 import re
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -14,6 +13,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
+from loomsift.scratch import shared_dir
+
 #: ASCII white space; every operator's words are the runs between it.
 WORD = re.compile("[^\x20\x09-\x0d]+")
 #: Odd multipliers of the polynomial and of the final mix of 64-bit hashes.
@@ -32,17 +33,6 @@ def sliced(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.Re
             yield b.slice(k, rows)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder. A folder of this machine only where all tasks run in one process."""
-    named = spark.conf.get("spark.checkpoint.dir", "")
-    if not named:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        named = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
-
-
 @contextlib.contextmanager
 def settings(spark: SparkSession, **values: str) -> Iterator[None]:
     """Session settings (dots as double underscores) for the queries inside; put back afterwards."""

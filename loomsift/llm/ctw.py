@@ -8,32 +8,33 @@ the estimates at depths 0..DEPTH on its context's path: a depth gets the share P
 left. Code length per byte is -score * log2(10) / bytes.
 
 Jobs: (1) counts of (DEPTH + 1)-byte runs and of words over all documents, and over the training ones, summed before
-the shuffle; (2) the tree from its leaves up to contexts of two bytes, in partitions by those two bytes; contexts of
-one byte (at most 256 * 255 rows) meet at the driver; (3) the same partitions from the top down: a log probability
-for each run; (4) scores: the frequent runs and words, at most ``HOT`` of each, are sent to all tasks; the others are
-joined by key. No count is capped, and runs found only in held-out texts are evaluated too, at count 0.
+the shuffle; (2) the tree from its leaves up to contexts of ``DEALT`` bytes, in partitions by those bytes, so that a part
+holds at most the runs of one such context; shorter contexts are sums over the longer ones' nodes, and those of one byte
+(at most 256 * 255 rows) meet at the driver; (3) back from the top: what the shorter contexts give is joined to the nodes
+of DEALT bytes, and these go to their partitions with the runs: a log probability for each run; (4) scores: the frequent
+runs and words, at most ``HOT`` of each, are sent to all tasks; the others are joined by key. No count is capped, and runs
+found only in held-out texts are evaluated too, at count 0.
 Held out: crc32 of the doc_id's decimal text mod 7 is 2. Base: add-one unigram words.
 
-Defined results: a null, empty or blank text is its end alone (one token); a null doc_id counts as the empty text's
-crc32 (training); repeated rows count and score each for itself; an empty table gives no rows; without any training
-text all estimates are 1/2 a bit; extra columns are ignored.
+Defined results: a null, empty or blank text is its end alone (one token); a very long text is counted and scored in
+stretches, whole; a null doc_id counts as the empty text's crc32 (training); repeated rows count and score each for itself;
+an empty table gives no rows; without any training text all estimates are 1/2 a bit; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
-import os
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomsift.llm import common
 
-DEPTH, HOT, CHUNK, SOME, ROOM = 5, 1 << 19, 40_000, 1_500_000, 1_000_000
+DEPTH, DEALT, HOT, CHUNK, SOME, ROOM = 5, 3, 1 << 19, 40_000, 1_500_000, 1_000_000
 END = b"\n"
 WORD_KIND, RUN_KIND = 0, 1
 MASK = [np.uint64((1 << (8 * d + 8)) - 1) for d in range(DEPTH + 1)]
@@ -179,41 +180,75 @@ def lowest(code: np.ndarray, n: np.ndarray) -> tuple[Level, np.ndarray, np.ndarr
     return Level(key, np.bincount(at.ravel(), each, len(key)) - n1, n1, None), at, bit
 
 
-def grouped(table: DataFrame) -> DataFrame:
-    """Runs dealt by the two bytes before the last, sorted so that those of equal two bytes are side by side."""
-    n = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pair = F.expr("shiftright(key, 8) & 65535")
-    return table.select("key", "n_train", pair.alias("pair")).repartition(n, "pair").sortWithinPartitions("pair", "key")
+def context(key: str, n: int) -> Column:
+    """The last n bytes before the last one (a decision or a byte) of a key."""
+    return F.expr(f"shiftright({key}, 8) & {(1 << (8 * n)) - 1}")
 
 
-def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Codes and counts in stretches of whole pairs, of some CHUNK runs."""
-    code, n, pair = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by part, in stretches of whole parts, of some CHUNK rows."""
+    done: list[pa.RecordBatch] = []
+    open_: list[pa.RecordBatch] = []
     for b in batches:
-        code = np.concatenate([code, b.column("key").to_numpy().view(np.uint64)])
-        n = np.concatenate([n, b.column("n_train").to_numpy()])
-        pair = np.concatenate([pair, b.column("pair").to_numpy()])
-        if len(code) > CHUNK and pair[0] != pair[-1]:
-            cut = int(np.flatnonzero(pair != pair[-1])[-1]) + 1
-            yield code[:cut], n[:cut]
-            code, n, pair = code[cut:], n[cut:], pair[cut:]
-    if len(code):
-        yield code, n
+        if not b.num_rows:
+            continue
+        part = b.column("part").to_numpy()
+        if open_ and open_[-1].column("part")[0].as_py() != part[0]:
+            done, open_ = done + open_, []
+        other = np.flatnonzero(part != part[-1])
+        cut = int(other[-1]) + 1 if len(other) else 0
+        if cut:
+            done, open_ = [*done, *open_, b.slice(0, cut)], []
+        open_.append(b.slice(cut))
+        if sum(x.num_rows for x in done) > CHUNK:
+            yield pa.Table.from_batches(done)
+            done = []
+    if done or open_:
+        yield pa.Table.from_batches(done + open_)
+
+
+NODES = "key long, n0 double, n1 double, pw double"
+
+
+def node_rows(level: Level, keep: np.uint64) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array((level.key & keep).view(np.int64)), pa.array(level.n0), pa.array(level.n1), pa.array(level.pw)], names=["key", "n0", "n1", "pw"])
+
+
+def level_of(b: pa.RecordBatch | pa.Table) -> Level:
+    """A level from the sums over its longer contexts."""
+    key, n0, n1, below = (b.column(c).to_numpy() for c in ("key", "n0", "n1", "pw"))
+    return Level(key.view(np.uint64), n0, n1, below)
+
+
+def summed(nodes: DataFrame, d: int) -> DataFrame:
+    """Sums of nodes by their contexts of d bytes."""
+    return nodes.withColumn("key", F.expr(f"key & {int(MASK[d])}")).groupBy("key").agg(*(F.sum(c).alias(c) for c in ("n0", "n1", "pw")))
 
 
 def log_probabilities(table: DataFrame) -> DataFrame:
     """key and value (log10 of the probability of its last byte after the others) of every run."""
-    dealt = grouped(table)
+    n_parts = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    zero = F.lit(0.0)
+    run_rows = table.select("key", "n_train", context("key", DEALT).alias("part"))
 
     def up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for code, n in chunks(batches):
-            level, _, _ = lowest(code, n)
-            for d in range(DEPTH - 1, 1, -1):
+        for t in parts(batches):
+            level, _, _ = lowest(t.column("key").to_numpy().view(np.uint64), t.column("n_train").to_numpy())
+            for d in range(DEPTH - 1, DEALT - 1, -1):
                 level, _ = above(level, d)
-            yield pa.RecordBatch.from_arrays([pa.array((level.key & MASK[1]).view(np.int64)), pa.array(level.n0), pa.array(level.n1), pa.array(level.pw)], names=["key", "n0", "n1", "pw"])
-
-    ones = dealt.mapInArrow(up, "key long, n0 double, n1 double, pw double").groupBy("key").agg(*(F.sum(c).alias(c) for c in ("n0", "n1", "pw"))).toArrow().sort_by("key")
-    top = Level(ones["key"].to_numpy().view(np.uint64), *(ones[c].to_numpy() for c in ("n0", "n1", "pw")))
+            yield node_rows(level, MASK[DEALT])
+
+    def weighted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield node_rows(level_of(b), ~np.uint64(0))
+
+    # levels[d]: nodes of contexts of d bytes; those below DEALT are sums over the ones above
+    levels = {DEALT: common.stored(run_rows.repartition(n_parts, "part").sortWithinPartitions("part", "key").mapInArrow(up, NODES), "lm-nodes")}
+    sums = {}
+    for d in range(DEALT - 1, 0, -1):
+        sums[d] = summed(levels[d + 1], d)
+        levels[d] = sums[d].mapInArrow(weighted, NODES)
+    top = level_of(sums[1].toArrow().sort_by("key"))
     root, at = above(top, 0)
     left = (1 - root.share())[at]
     mixed = (root.share() * root.one())[at] + left * top.share() * top.one()
@@ -221,24 +256,44 @@ def log_probabilities(table: DataFrame) -> DataFrame:
     given, rest = np.zeros(1 << 16), np.zeros(1 << 16)
     given[top.key.astype(np.int64)], rest[top.key.astype(np.int64)] = mixed, left * (1 - top.share())
 
+    def handed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What a level's nodes and all shorter ones give, and the weight they leave; of depth 2 from the arrays."""
+        for b in batches:
+            key, n0, n1, pw = (b.column(c).to_numpy() for c in ("key", "n0", "n1", "pw"))
+            got, weight = (b.column(c).to_numpy() for c in ("given", "rest")) if "given" in b.schema.names else (x[(key & 0xFFFF)] for x in (given, rest))
+            share = np.exp(log_kt(n0, n1) - pw - math.log(2))
+            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(got + weight * share * (n1 + 0.5) / (n0 + n1 + 1)), pa.array(weight * (1 - share))], names=["key", "given", "rest"])
+
+    out = levels[2].mapInArrow(handed, "key long, given double, rest double")
+    for d in range(3, DEALT + 1):
+        shorter = out.withColumnRenamed("key", "shorter")
+        out = levels[d].withColumn("shorter", F.expr(f"key & {int(MASK[d - 1])}")).join(shorter, "shorter").drop("shorter").mapInArrow(handed, "key long, given double, rest double")
+    nodes = out.select("key", F.lit(0).cast("long").alias("n_train"), context("key", DEALT).alias("part"), "given", "rest", F.lit(True).alias("is_node"))
+    rows = nodes.unionByName(run_rows.withColumn("given", zero).withColumn("rest", zero).withColumn("is_node", F.lit(False)))
+
     def down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for code, n in chunks(batches):
-            level, node, bit = lowest(code, n)
-            levels, places = [level], []
-            for d in range(DEPTH - 1, 1, -1):
+        for t in parts(batches):
+            key, n, is_node = t.column("key").to_numpy().view(np.uint64), t.column("n_train").to_numpy(), t.column("is_node").to_numpy()
+            code = key[~is_node]
+            level, node, bit = lowest(code, n[~is_node])
+            lower, places = [level], []
+            for d in range(DEPTH - 1, DEALT - 1, -1):
                 level, at = above(level, d)
-                levels.append(level)
+                lower.append(level)
                 places.append(at)
-            one_byte = (level.key & MASK[1]).astype(np.int64)
-            got, weight = given[one_byte], rest[one_byte]
-            for level, at in zip(levels[:0:-1], places[::-1], strict=True):
-                share = level.share()
-                got, weight = (got + weight * share * level.one())[at], (weight * (1 - share))[at]
-            p1 = got + weight * levels[0].one()
+            order = np.argsort(key[is_node])
+            mine = order[np.searchsorted(key[is_node], lower[-1].key & MASK[DEALT], sorter=order)]
+            got, weight = (t.column(c).to_numpy()[is_node][mine] for c in ("given", "rest"))
+            for d, at in zip(range(len(lower) - 2, -1, -1), places[::-1], strict=True):
+                got, weight = got[at], weight[at]
+                if d:
+                    share = lower[d].share()
+                    got, weight = got + weight * share * lower[d].one(), weight * (1 - share)
+            p1 = got + weight * lower[0].one()
             p = np.where(bit, p1[node], 1 - p1[node])
             yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(np.log10(np.maximum(p, 1e-300)).sum(axis=1))], names=["key", "value"])
 
-    return dealt.mapInArrow(down, "key long, value double")
+    return rows.repartition(n_parts, "part").sortWithinPartitions("part", "key").mapInArrow(down, "key long, value double")
 
 
 class Lookup:
@@ -287,8 +342,16 @@ def frequent(values: DataFrame, kind: int) -> Lookup:
     return Lookup(got["key"].to_numpy().view(np.uint64), got["value"].to_numpy(), got["known"].to_numpy())
 
 
+def stored_row() -> Column:
+    """A number for each row of a stored table, the same at every reading: its file's, and its place there."""
+    name = F.col("_metadata.file_name")
+    task, file = (F.regexp_extract(name, p, 1).cast("long") for p in (r"part-(\d+)", r"c(\d+)\."))
+    return F.shiftleft(task, 42) + F.shiftleft(file, 34) + F.col("_metadata.row_index")
+
+
 def score(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, n_bytes, base_score and score of each document."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, n_bytes, base_score, score and bits_per_byte (the code length)
+    of each document."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     table = common.stored(counts(docs), "lm-counts")
@@ -303,13 +366,13 @@ def score(docs: DataFrame) -> DataFrame:
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sums over frequent keys; the others with their number in the document."""
-        like = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("n_bytes", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), *((f"{c}{k}", pa.list_(t)) for k in (0, 1) for c, t in (("key", pa.int64()), ("n", pa.int32())))])
+        like = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("n_bytes", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), *((f"{c}{k}", pa.list_(t)) for k in (0, 1) for c, t in (("key", pa.int64()), ("n", pa.int32())))])
         for b in common.sliced(batches):
             ids = b.column("doc_id").to_pylist()
             for begin, some in _some(b.column("text").to_pylist()):
                 code, n_bytes = runs(some)
                 each = np.array([len(t) for t in some])
-                cols = {"row": np.frombuffer(os.urandom(8 * len(some)), np.int64), "doc_id": ids[begin : begin + len(some)], "n_tokens": each, "n_bytes": n_bytes}
+                cols = {"doc_id": ids[begin : begin + len(some)], "n_tokens": each, "n_bytes": n_bytes}
                 cols["held_out"] = [held_out(i) for i in cols["doc_id"]]
                 for kind, key, n, name in ((WORD_KIND, common.hashes([w for t in some for w in t]), each, "base_score"), (RUN_KIND, code, n_bytes, "score")):
                     value, known, found = hot.value[kind].get(key)
@@ -324,9 +387,9 @@ def score(docs: DataFrame) -> DataFrame:
                     cols[f"n{kind}"] = [m.astype(np.int32) for _, m in made]
                 yield common.batch(cols, like)
 
-    rows = common.stored(docs.mapInArrow(first, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, n_bytes long, base_score double, score double, key0 array<long>, n0 array<int>, key1 array<long>, n1 array<int>"), "lm-rows")
-    parts = [rows.select("row", F.lit(k).cast("byte").alias("kind"), F.explode(F.arrays_zip(F.col(f"key{k}").alias("key"), F.col(f"n{k}").alias("n"))).alias("x")).select("row", "kind", "x.key", "x.n") for k in (0, 1)]
-    rare = parts[0].unionByName(parts[1]).join(values.select("kind", "key", "value", "known"), ["kind", "key"])
+    rows = common.stored(docs.mapInArrow(first, "doc_id long, held_out boolean, n_tokens long, n_known long, n_bytes long, base_score double, score double, key0 array<long>, n0 array<int>, key1 array<long>, n1 array<int>"), "lm-rows").withColumn("row", stored_row())
+    lists = [rows.select("row", F.lit(k).cast("byte").alias("kind"), F.explode(F.arrays_zip(F.col(f"key{k}").alias("key"), F.col(f"n{k}").alias("n"))).alias("x")).select("row", "kind", "x.key", "x.n") for k in (0, 1)]
+    rare = lists[0].unionByName(lists[1]).join(values.select("kind", "key", "value", "known"), ["kind", "key"])
     sums = rare.groupBy("row").agg(
         F.sum(F.when(F.col("kind") == 0, F.col("n") * F.col("value")).otherwise(0.0)).alias("base_rest"),
         F.sum(F.when(F.col("kind") == 1, F.col("n") * F.col("value")).otherwise(0.0)).alias("rest"),
@@ -336,4 +399,5 @@ def score(docs: DataFrame) -> DataFrame:
     return rows.join(sums, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known_rest", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), "n_bytes",
         (F.col("base_score") + F.coalesce("base_rest", zero)).alias("base_score"), (F.col("score") + F.coalesce("rest", zero)).alias("score"),
+        (-(F.col("score") + F.coalesce("rest", zero)) * F.lit(math.log2(10)) / F.col("n_bytes")).alias("bits_per_byte"),
     )

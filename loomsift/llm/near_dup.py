@@ -16,7 +16,8 @@ A text's set is its distinct 5-word shingles, as 64-bit hashes. Texts with equal
    add nothing, so no link between components is lost, and a group of n copies costs about n checks.
 4. Components: large-star and small-star steps, as DataFrame aggregates and joins, until nothing changes.
 
-Defined results: null, empty and wordless texts have an empty set and are linked with nothing; texts of under five
+Defined results: texts of any length are compared whole; a similarity of just 0.75 is a link; of nodes that tie as hubs or
+mains the greatest is taken; null, empty and wordless texts have an empty set and are linked with nothing; texts of under five
 words have their whole sequence as one shingle; rows with a null doc_id are linked with nothing and kept; rows with equal
 doc_id share its component and are all kept if it is the least; an empty table gives no rows; extra columns are
 ignored by :func:`components` and kept by :func:`keep`.

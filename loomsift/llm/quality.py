@@ -5,9 +5,10 @@ feature is the square root of its share among the n-grams of its kind. It is fit
 ``SAMPLE`` labelled rows (a documented bound), two thirds for the weights, one third for Platt's calibration.
 Every document is scored whole, in Arrow batches, against the fixed ``THRESHOLD``.
 
-Defined results: a null, empty or blank text has no words, fails the base rules and goes; without labels of both
-classes the verdict rests on the base rules alone; repeated rows are scored each for itself; extra columns are
-ignored by :func:`score` and kept by :func:`keep`.
+Defined results: a null, empty or blank text has no words, fails the base rules and goes; a text of any length is scored
+whole; without labels of both classes the verdict rests on the base rules alone; a score at the threshold is kept; labels
+that tie by their hash are taken in order of doc_id and label; a null doc_id is kept; repeated rows are scored each for
+itself; an empty table gives no rows; extra columns are ignored by :func:`score` and kept by :func:`keep`.
 """
 
 from __future__ import annotations
@@ -81,7 +82,7 @@ def features(text: str | None, ws: list[bytes] | None = None) -> tuple[np.ndarra
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE, steps: int = 250, penalty: float = 1e-4) -> Model | None:
     """Fit on at most ``rows`` labelled documents; None if they lack one of the classes."""
-    start, idx, val, y, ids = sample.sparse(sample.labelled(docs, labels, "quality", rows), features, rows)
+    start, idx, val, y, ids = sample.sparse(sample.labelled(docs, labels, "quality", rows), features)
     part = np.fromiter((zlib.crc32(b"fold%d" % i) % 3 for i in ids), np.int64, len(ids))
     if len(set(y[part > 0].tolist())) < 2 or len(set(y[part == 0].tolist())) < 2:
         return None

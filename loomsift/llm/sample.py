@@ -9,32 +9,35 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomsift.llm import common
+
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
     """At most ``rows`` labelled documents (doc_id, text, label), the first by a hash of the id.
 
-    Labels are narrowed to the sample before any text is read; rows without text or label are left out.
+    Labels are narrowed to the sample before any text is read; rows without text or label are left out, and of several
+    texts of a doc_id the least is taken, so there are no more rows than labels.
     """
     few = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("int").alias("label"))
     few = few.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows)
-    return docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(few), "doc_id")
+    return docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(few), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
 
-def sparse(sample: DataFrame, features: Callable[[str], tuple[np.ndarray, np.ndarray]], rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str]]:
+def sparse(sample: DataFrame, features: Callable[[str], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str]]:
     """CSR parts (start, index, value), labels and ids of the sample; features are made on the executors.
 
-    What reaches the driver is bounded: ``rows`` times the dimension of ``features``.
+    What reaches the driver is bounded: the sample's rows times the dimension of ``features``.
     """
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.sliced(batches):
             made = [features(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("label"), pa.array([i.astype("<i4").tobytes() for i, _ in made], pa.binary()), pa.array([v.astype("<f4").tobytes() for _, v in made], pa.binary())],
                 names=["doc_id", "label", "idx", "val"],
             )
 
-    got = sample.mapInArrow(of, "doc_id long, label int, idx binary, val binary").limit(2 * rows).collect()
+    got = sample.mapInArrow(of, "doc_id long, label int, idx binary, val binary").collect()
     got.sort(key=lambda r: (r.doc_id, r.label, bytes(r.idx)))
     idx = [np.frombuffer(r.idx, "<i4") for r in got]
     start = np.concatenate([[0], np.cumsum([len(i) for i in idx])]).astype(np.int64)

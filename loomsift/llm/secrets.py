@@ -5,7 +5,8 @@ of ``RUN`` with fewer than ``RATIO`` characters a token is a span of kind ``dens
 the fixed patterns, is a known digest (hex of a usual length, UUID) or an identifier (letters or digits alone, or
 words and short numbers joined by ``_``, ``-``, ``=``, ``/`` or ``+``).
 
-Defined results: a null or empty text has no spans; repeated rows are scanned each for itself; extra columns are
+Defined results: a null or empty text has no spans; a text of any length is scanned whole; spans that tie on their start
+come in order of kind; a null doc_id is kept; an empty table gives no rows; repeated rows are scanned each for itself; extra columns are
 ignored by :func:`scan` and kept by :func:`redact`.
 """
 

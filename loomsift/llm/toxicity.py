@@ -9,8 +9,10 @@ for a hashed word (letters only, lower case) found n times. An L1 penalty (proxi
 on few words, so long clean texts gather no noise. The fit uses at most ``SAMPLE`` labelled rows (a documented
 bound); every document is scored whole in Arrow batches. severity is the sum of P(grade > k), between 0 and 3.
 
-Defined results: null, empty and wordless texts score as a text without features; with no toxic or no clean row in
-the sample nothing is called toxic (severity 0); repeated rows score each for itself; extra columns are ignored.
+Defined results: null, empty and wordless texts score as a text without features; a text of any length is scored whole;
+with no toxic or no clean row in the sample, as in an empty one, nothing is called toxic (severity 0); labels that tie by
+their hash are taken in order of doc_id and label; a null doc_id is kept; repeated rows score each for itself; an empty
+table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -60,7 +62,7 @@ def grades(x: sample.Matrix, toxic: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE, steps: int = 600, l1: float = 1e-3) -> Model | None:
-    start, idx, val, toxic, _ = sample.sparse(sample.labelled(docs, labels, "toxic", rows), features, rows)
+    start, idx, val, toxic, _ = sample.sparse(sample.labelled(docs, labels, "toxic", rows), features)
     if len(set(toxic.tolist())) < 2:
         return None
     x = sample.Matrix(start, idx, val, 1 << BITS)

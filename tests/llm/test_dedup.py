@@ -130,6 +130,66 @@ def test_prefixes_lengthen_where_many_share_them(spark):
     assert sorted(map(tuple, substring.digest(df, 5).collect()), key=str) == removed(rows)
 
 
+def maximal(rows, deepest):
+    """Brute force over word tuples: repeats that no word to the left or right extends in all places, of 13 words on. Longer
+    ones than ``deepest`` stand for each of their stretches of that many words."""
+    ws_of = {}
+    for i, t in sorted(rows, reverse=True):
+        ws_of[tuple((t or "").split())] = i  # one document of each class
+    places = {}
+    for ws, i in ws_of.items():
+        for p in range(len(ws)):
+            for n in range(13, min(deepest, len(ws) - p) + 1):
+                places.setdefault(ws[p : p + n], []).append((i, p, ws))
+    out = []
+    for run, at in places.items():
+        if len(at) > 1:
+            n = len(run)
+            after = [ws[p + n] if p + n < len(ws) else None for _, p, ws in at]
+            before = [ws[p - 1] if p else None for _, p, ws in at]
+            if (n == deepest or None in after or len(set(after)) > 1) and (None in before or len(set(before)) > 1):
+                out.append((n, len(at), min(i for i, _, _ in at)))
+    return sorted(out)
+
+
+def test_maximal_repeats(spark):
+    w = [f"v{k}" for k in range(60)]
+    rows = [(1, " ".join(w[:40])), (2, "x " + " ".join(w[3:20]) + " y"), (3, "z " + " ".join(w[3:18]) + " q"), (4, " ".join(w[25:39]) + " end"), (5, " ".join(w[:40])), (6, " ".join(w[40:55]) + " a"), (7, "k " + " ".join(w[40:55]) + " b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    deepest = substring.WINDOW + substring.AHEAD
+    got = substring.maximal_repeats(df).collect()
+    assert sorted((r.words, r.occurrences, r.least_doc_id) for r in got) == maximal(rows, deepest)
+    text = {i: t.split() for i, t in rows}
+    assert all(len(text[r.doc_id][r.pos : r.pos + r.words]) == r.words for r in got)
+    assert substring.maximal_repeats(df.where("doc_id < 0")).collect() == []
+
+
+def test_nodes_give_their_depth():
+    """Suffixes that share more words than the window lose as many, of the deepest node with a smaller doc_id."""
+    window = np.array([5, 5, 5, 9, 9, 11], np.int64)
+    codes = np.zeros((6, substring.AHEAD + 1), np.uint16)
+    codes[0, :3], codes[1, :3], codes[2, :3] = (1, 2, 3), (1, 2, 4), (1, 9, 0)
+    tree = substring.Subtree(window, codes, np.array([7, 3, 4, 8, 8, 1]))
+    assert tree.common.tolist() == [0, 15, 14, 0, 13, 0]
+    assert tree.repeated().tolist() == [15, 0, 14, 0, 0, 0]
+    assert sorted((d, n, least) for d, _, n, least in tree.maximal()) == [(13, 2, 8), (14, 3, 3), (15, 2, 3)]
+
+
+def test_heavy_seeds_are_salted(spark, texts, monkeypatch):
+    monkeypatch.setattr(substring, "HEAVY", 5)
+    monkeypatch.setattr(substring, "SHARES", 50)
+    w = " ".join(f"s{k}" for k in range(30))
+    rows = [(k, f"p{k} " * (k % 4) + w + f" t{k % 6}") for k in range(60)] + [(k, " ".join(f"r{k}x{j}" for j in range(20))) for k in range(60, 70)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for group in (3, 200_000):
+        assert sorted(map(tuple, substring.digest(df, group).collect()), key=str) == removed(rows)
+
+
+def test_kept_tables_may_be_empty(odd, nothing):
+    assert near_dup.keep(nothing).collect() == [] and substring.remove(nothing).collect() == []
+    assert near_dup.keep(nothing).columns == odd.columns == substring.remove(nothing).columns
+
+
 def test_cut_text_keeps_spaces_of_kept_words():
     assert substring.cut_text("a\tb  c\nd ", [False, True, False, False]) == "a  c\nd"
     assert substring.cut_text(" a b", [True, False]) == "b"

@@ -32,6 +32,83 @@ def test_images_round_trip(data, width):
     assert np.array_equal(got[..., :3], p) and (got[..., 3] == 255).all()
 
 
+def test_stored_form(odd, corpus):
+    """media_bytes, media_sha256 and feature against the stored bytes, read by hand; equal texts give equal values."""
+    docs = odd.select("doc_id", "text").unionByName(corpus.select("doc_id", "text"))
+    stored = {(r.doc_id, r.n_bytes, bytes(r.media)) for r in media.encode(docs).collect()}
+    want = set()
+    for i, n, m in stored:
+        assert m[:4] == b"RIFF" and m[8:16] == b"WEBPVP8L" and len(m) == 8 + int.from_bytes(m[4:8], "little")
+        p = np.concatenate(media.load(m))
+        red, green, blue = (int(p[..., c].sum(dtype=np.int64)) for c in range(3))
+        want.add((i, n, len(m), hashlib.sha256(m).hexdigest(), f"1x{len(p)}:{red},{green},{blue}"))
+        raw = p[..., :3].tobytes()
+        assert len(raw) % 192 == 0 and (p[..., 3] == 255).all()
+    got = media.describe(media.encode(docs)).collect()
+    assert {(r.doc_id, r.n_bytes, r.media_bytes, r.media_sha256, r.feature) for r in got} == want
+    assert len({(r.payload_sha256, r.media_sha256, r.feature) for r in got}) == len({r.payload_sha256 for r in got})
+    assert sum(r.media_bytes for r in got) < 0.6 * sum(r.payload_bytes for r in got)
+
+
+@pytest.mark.parametrize("form", range(4))
+@pytest.mark.parametrize("cache", [False, True])
+def test_each_form_of_an_image(form, cache, monkeypatch):
+    """Whatever form is chosen (plain, subtract-green, predictor left or top), with a cache or without, it comes back."""
+    costs = iter(range(10**6))
+    monkeypatch.setattr(vp8l_encode, "sample_bits", lambda p: 1e9 * cache if (k := next(costs)) >= 4 else abs(k - form))
+    r = np.random.default_rng(form)
+    for height, width in ((1, 700), (700, 1), (40, 64), (3, 5)):
+        p = r.choice(r.integers(0, 256, (900, 3)).astype(np.uint8), (height, width))
+        p[height // 2 :] = p[: height - height // 2]
+        costs = iter(range(10**6))
+        (x,) = vp8l.frames(vp8l_encode.encode_rgb(p))
+        got = vp8l.decode_vp8l(x)
+        assert np.array_equal(got[..., :3], p) and (got[..., 3] == 255).all()
+
+
+def test_palettes_of_payloads():
+    r = np.random.default_rng(1)
+    for n in (1, 2, 3, 5, 16, 17, 200):
+        colours = r.integers(0, 256, (n, 3)).astype(np.uint8)
+        p = colours[r.integers(0, n, (30, 64))]
+        (x,) = vp8l.frames(vp8l_encode.encode_rgb(p))
+        got = vp8l.decode_vp8l(x)
+        assert np.array_equal(got[..., :3], p) and (got[..., 3] == 255).all()
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 1000) | st.just(0), min_size=1, max_size=280), st.integers(9, 15))
+def test_code_lengths_make_a_whole_code(counts, limit):
+    lengths = vp8l_encode.code_lengths(np.array(counts), limit)
+    used = np.flatnonzero(counts)
+    assert set(np.flatnonzero(lengths)) == set(used)
+    if len(used) > 1:
+        assert lengths.max() <= limit and sum(2.0 ** -lengths[used]) == 1
+        order = sorted(used, key=lambda k: counts[k])
+        assert all(lengths[a] >= lengths[b] for a, b in zip(order, order[1:]) if counts[a] < counts[b])
+        w = vp8l_encode.Writer()
+        vp8l_encode.write_code(w, lengths)
+        w.put(0, 64)
+        code = vp8l.read_code(vp8l.Bits(w.data()), len(counts))
+        words = vp8l_encode.canonical(lengths)
+        values = np.array([words[k] for k in used])
+        symbols, sizes = code.look(values)
+        assert symbols.tolist() == used.tolist() and sizes.tolist() == lengths[used].tolist()
+
+
+def test_cache_entries_never_written():
+    """An entry that no pixel has filled is transparent black, which belongs in another place."""
+    cache = vp8l.Cache(2)
+    argb = np.array([-1 - 3, 0xFF123456, -1 - 3, -1 - 0, 0xFF123456], np.int64)
+    plain, held = [], [0] * 4
+    for p in argb.tolist():
+        p = held[-1 - p] if p < 0 else p
+        held[int(cache.place(np.array([p]))[0])] = p
+        plain.append(p)
+    cache.resolve(argb, 0, 5)
+    assert argb.tolist() == plain and cache.held.tolist() == held
+
+
 def test_tall_payloads_are_several_images():
     data = bytes(range(64)) * 3 * (vp8l.SIDE + 5)
     images = media.load(media.store(data))

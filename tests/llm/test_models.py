@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -47,6 +48,77 @@ def test_toxicity_defined_results(odd, nothing, spark):
     assert toxicity.score(nothing, None).collect() == []
 
 
+def plain_fit(rows, steps=600, l1=1e-3):
+    """The same model from words and dicts: one weight a word (unhashed), three ordered thresholds, plain arrays."""
+    counts = [Counter(re.findall(r"[^\W\d_]+", t.lower())) for t, _ in rows]
+    y = np.array([v for _, v in rows])
+    here, there = Counter(w for c, v in zip(counts, y, strict=True) if v for w in c), Counter(w for c, v in zip(counts, y, strict=True) if not v for w in c)
+    signs = {w for w in here if here[w] >= 5 and (here[w] + 0.5) / (y.sum() + 1) > 10 * (there[w] + 0.5) / (len(y) - y.sum() + 1)}
+    grade = np.array([0 if not v else 1 + (len(signs & c.keys()) > 2) + (len(signs & c.keys()) > 5) for c, v in zip(counts, y, strict=True)])
+    vocabulary = sorted(set().union(*counts))
+    dense = np.zeros((len(rows), len(vocabulary)))
+    for k, c in enumerate(counts):
+        for j, w in enumerate(vocabulary):
+            if w in c:
+                dense[k, j] = 1 + 0.5 * math.log2(min(16, c[w]))
+    above = np.stack([grade > k for k in range(3)]).astype(float)
+    centred = above[0] - above[0].mean()
+    z = dense.T @ centred / np.sqrt(np.maximum(1e-12, (dense**2).sum(0) * centred.var()))
+    use = ((dense > 0).sum(0) >= 5) & (np.abs(z) > 4)
+    x = dense[:, use]
+    rate = 1 / (0.75 * np.linalg.norm(x.T @ x, 2) / len(x) + 1.0)
+    w, theta = np.zeros(x.shape[1]), np.array([1.0, 2.0, 3.0])
+    for _ in range(20 * steps):  # plain steps, many of them: the same optimum
+        r = (sample.sigmoid((x @ w)[None, :] - theta[:, None]) - above) / len(x)
+        w = w - rate * (x.T @ r.sum(0))
+        w = np.sign(w) * np.maximum(0, np.abs(w) - rate * l1)
+        theta = np.maximum.accumulate(theta + rate * 3 * r.sum(1))
+    p = sample.sigmoid((x @ w)[None, :] - theta[:, None])
+    return p[0], p.sum(0)
+
+
+def test_toxicity_is_a_plain_ordinal_fit(spark):
+    """Few rows and words: the weights' optimum by another route gives the same probabilities."""
+    r = np.random.default_rng(4)
+    clean, bad = [f"word{chr(97 + k)}" for k in range(12)], [f"bad{chr(97 + k)}" for k in range(8)]
+    rows = []
+    for k in range(160):
+        toxic = k % 3 == 0
+        ws = r.choice(clean, 12).tolist() + (r.choice(bad, 1 + k % 9).tolist() if toxic else r.choice(bad, 1).tolist() if k % 31 == 1 else [])
+        rows.append((" ".join(ws), int(toxic)))
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(rows)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, v) for k, (_, v) in enumerate(rows)], "doc_id long, toxic int")
+    # so many steps that both are at the optimum; ten times the penalty keeps that near
+    got = {x.doc_id: (x.p_toxic, x.severity) for x in toxicity.score(docs, toxicity.fit(docs, labels, steps=5000, l1=0.01)).collect()}
+    p, severity = plain_fit(rows, 2000, 0.01)
+    assert np.allclose([got[k][0] for k in range(len(rows))], p, atol=0.02) and np.allclose([got[k][1] for k in range(len(rows))], severity, atol=0.06)
+
+
+def test_fitted_models_on_odd_rows(spark, odd, nothing, texts):
+    docs, labels = read(spark, "documents"), read(spark, "labels")
+    model = toxicity.fit(docs, labels)
+    weight = model.weights
+    for x in toxicity.score(odd, model).collect():
+        assert 0 <= x.p_toxic <= 1 and x.toxic == (x.p_toxic >= toxicity.THRESHOLD)
+    by_text = {t: x for (_, t), x in zip(texts(odd), toxicity.score(odd, model).collect(), strict=True)}
+    for t, x in by_text.items():  # score by hand
+        idx, val = toxicity.features(t)
+        p = sample.sigmoid(float(weight[idx] @ val) - model.thresholds)
+        assert np.allclose([x.p_toxic, x.severity], [p[0], p.sum()], atol=1e-5)
+    assert toxicity.score(nothing, model).collect() == []
+    assert toxicity.fit(nothing, labels) is None and toxicity.fit(docs, labels.where("doc_id < 0")) is None
+
+    model = quality.fit(docs, labels)
+    got = quality.score(odd, model).collect()
+    assert len(got) == odd.count() and all(x.kept == (not x.base_failed and x.p_good >= quality.THRESHOLD) for x in got)
+    for (_, t), x in zip(texts(odd), got, strict=True):
+        idx, val = quality.features(t)
+        z = model.scale * (float(model.weights[idx] @ val) + model.bias) + model.shift
+        assert abs(x.p_good - 1 / (1 + math.exp(-z))) < 1e-5
+    assert quality.keep(odd, model).columns == odd.columns and quality.keep(nothing, model).collect() == []
+    assert quality.fit(nothing, labels) is None and quality.score(nothing, model).collect() == []
+
+
 # --- quality ---
 
 
@@ -85,6 +157,8 @@ def test_quality_on_held_out_labels(spark):
 def test_sample_is_bounded(spark):
     docs, labels = read(spark, "documents"), read(spark, "labels")
     assert sample.labelled(docs, labels, "quality", 50).count() == 50
+    twice = docs.unionByName(docs.withColumn("text", F.concat("text", F.lit(" more"))))
+    assert sorted(map(tuple, sample.labelled(twice, labels, "quality", 50).collect())) == sorted(map(tuple, sample.labelled(docs, labels, "quality", 50).collect()))
 
 
 # --- secrets ---
@@ -126,7 +200,24 @@ def test_redaction(spark, odd):
     got = {r.doc_id: (r.text, r.n_chars) for r in secrets.redact(df).collect()}
     assert got[34] == ("key <dense> here 😀 <dense>", len("key <dense> here 😀 <dense>")) and got[33][0] == CASES[33]
     assert got[30][0] == '<assign>"!! x'
-    assert secrets.redact(odd).columns == odd.columns
+    assert secrets.redact(odd).columns == odd.columns and secrets.redact(odd.where("doc_id < 0")).collect() == []
+
+
+def slow_dense(t):
+    """Runs of the named letters, one character at a time; each is held against the rules in turn."""
+    enc = secrets.vocabulary(public_tokenizers.path(secrets.VOCABULARY))
+    taken = base(t)
+    return [(m.start(), 3, m.end()) for m in secrets.RUN.finditer(t) if not any(a < m.end() and m.start() < z for a, _, z in taken) and not secrets.DIGEST.fullmatch(m[0]) and not secrets.IDENTIFIER.fullmatch(m[0]) and len(m[0]) / len(enc.encode_ordinary(m[0])) < secrets.RATIO]
+
+
+def test_dense_spans(spark, odd, corpus, texts):
+    r = random.Random(2)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/=_-."
+    mixed = [(900 + k, " ".join("".join(r.choices(letters if r.random() < 0.5 else letters[:26] + "_-", k=r.randint(5, 60))) for _ in range(8))) for k in range(60)]
+    docs = corpus.select("doc_id", "text").unionByName(odd.select("doc_id", "text")).unionByName(spark.createDataFrame([*mixed, *CASES.items()], "doc_id long, text string"))
+    want = sorted(((i, secrets.said(sorted(base(t or "") + slow_dense(t or "")))) for i, t in texts(docs)), key=str)
+    assert sorted(((r.doc_id, r.spans) for r in secrets.scan(docs).collect()), key=str) == want
+    assert any("dense" in x for _, x in want)
 
 
 # --- context-tree weighting ---
@@ -191,6 +282,7 @@ def test_ctw_is_its_definition(spark, odd, nothing, texts, monkeypatch):
         monkeypatch.setattr(ctw, "HOT", hot)
         got = sorted(((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in ctw.score(df).collect()), key=str)
         assert [g[:5] for g in got] == [w[:5] for w in want]
+        assert all(abs(x.bits_per_byte + x.score * math.log2(10) / x.n_bytes) < 1e-9 for x in ctw.score(df).collect())
         assert np.allclose([g[5:] for g in got], [w[5:] for w in want], atol=1e-7)
     assert ctw.score(nothing).collect() == []
 

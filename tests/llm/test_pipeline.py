@@ -1,3 +1,7 @@
+from collections import Counter
+
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 import corpus_pipeline
 from loomsift.llm import common, near_dup, queries, quality, secrets, substring
@@ -27,6 +31,33 @@ def test_stages_take_effect(spark):
     assert len(packed) == len(cut) and all(r[1] == r[2] for r in packed)
 
 
+def plain(rows, columns):
+    return sorted((tuple(r[c] for c in columns) for r in rows), key=str)
+
+
+def test_stages_on_odd_rows_and_columns(spark, odd, nothing):
+    """Nulls, blanks, ties, repeats and clashing names: every stage keeps the columns, drops or changes only what it must."""
+    extra = odd.withColumn("bucket", F.lit(1)).withColumn("key", F.lit("k")).withColumn("cuts", F.lit(None).cast("int")).withColumn("n_chars", F.length("text"))
+    docs = extra
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs.collect()
+        docs = common.stored(stage(spark, docs, SF), name)
+        after = docs.collect()
+        if name == "packing":
+            assert plain(Counter((r.doc_id) for r in after if not r.start).items(), (0, 1)) == plain(Counter(r.doc_id for r in before).items(), (0, 1))
+            break
+        assert docs.schema == extra.schema
+        same = [c for c in extra.columns if c not in ("text", "n_chars")]
+        if name in ("quality", "near_dedup"):
+            assert set(plain(after, extra.columns)) <= set(plain(before, extra.columns))
+        else:
+            assert plain(before, same) == plain(after, same)
+            assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in after)
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, nothing, SF)
+        assert got.collect() == [] and (name == "packing" or got.columns == nothing.columns)
+
+
 def test_run_is_the_stages(spark):
     rows = entry.queries()["pipeline"](spark, SF).collect()
     assert rows and {r.doc_id for r in rows} <= {r.doc_id for r in common.table(spark, SF, "documents").collect()}

@@ -1,5 +1,6 @@
 import hashlib
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -84,6 +85,13 @@ def test_token_files(tables, nothing, texts):
     assert tokens.read(tokens.write(nothing)).collect() == []
 
 
+def test_token_files_have_a_place(corpus, tmp_path):
+    out = f"file://{tmp_path}/tokens"
+    here = tokens.write(corpus, out)
+    again = corpus.sparkSession.read.parquet(out)
+    assert sorted(map(tuple, tokens.read(again, with_ids=False).collect())) == sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in tokens.read(here).collect())
+
+
 def test_tournament_is_first_fit():
     r = np.random.default_rng(1)
     tree, bins = packing.Tournament(100, 60), []
@@ -95,6 +103,33 @@ def test_tournament_is_first_fit():
         bins[fits] -= n
 
 
+def test_groups_are_first_fit_decreasing(corpus):
+    """Every group of the packing, filled by a plain loop over bins."""
+    rows = packing.pack(corpus, group=40).collect()
+    groups = {}
+    for r in rows:
+        groups.setdefault(r.sequence_id >> 32, []).append(r)
+    assert len(groups) == -(-corpus.count() // 40)
+    for g, mine in groups.items():
+        room, want = [], {}
+        for r in sorted(mine, key=lambda r: (-r.length, r.doc_id, r.start)):
+            k = next((k for k, left in enumerate(room) if left >= r.length), len(room))
+            if k == len(room):
+                room.append(packing.LENGTH)
+            want[r.doc_id, r.start] = (g << 32) + k, packing.LENGTH - room[k]
+            room[k] -= r.length
+        assert {(r.doc_id, r.start): (r.sequence_id, r.offset) for r in mine} == want
+    filled = sum(r.length for r in rows) / (packing.LENGTH * len({r.sequence_id for r in rows}))
+    assert filled > 0.9
+
+
+def test_copies_of_a_row_are_dealt_to_many_groups(spark):
+    same = spark.createDataFrame([(7, "the same words again")] * 600, "doc_id long, text string").coalesce(1)
+    rows = packing.pack(same, group=60).collect()
+    groups = Counter(r.sequence_id >> 32 for r in rows)
+    assert len(rows) == 600 and len(groups) > 7 and max(groups.values()) < 120
+
+
 def test_packing(tables, nothing, texts):
     lib = library(packing.VOCABULARY)
     for df in tables:
