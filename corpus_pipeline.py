@@ -3,6 +3,11 @@
 Quality rules drop documents; near-dedup keeps one of each group; substring dedup cuts repeated passages from texts;
 the secret scan replaces secrets in texts; packing fills token sequences. All stages but the last return the columns
 of documents. Stages work on what their predecessor kept.
+
+Defined results: rows with null, empty or blank texts have no words and go with the quality rules; rows with a null doc_id
+pass the dedup stages unchanged; of repeated rows, and of rows that share the least doc_id of a group, all stay; texts of
+any length are worked on whole; extra columns are kept, up to packing; an empty table gives no rows. Each operator's
+docstring has the rest.
 """
 
 from __future__ import annotations

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomsift.schema import TITLE_RATIO, UNKNOWN_TIER
+from loomsift.scratch import checkpointed
 
 
 def lcs(a: str, b: str) -> int:
@@ -155,12 +156,12 @@ def components(edges: DataFrame, rounds: int = 30) -> DataFrame:
     Labels are checkpointed each round, so lost executors cost one round. Edges must be few, as those of titles are.
     Raises if labels still move in the last round.
     """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    label = both.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("comp")).checkpoint()
+    both = checkpointed(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    label = checkpointed(both.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("comp")))
     for _ in range(rounds):
         near = both.join(label.toDF("b", "c"), "b").groupBy(F.col("a").alias("id")).agg(F.min("c").alias("c"))
         moved = label.join(near, "id").select("id", F.least("comp", "c").alias("comp"), (F.col("c") < F.col("comp")).alias("moved"))
-        jumped = moved.join(moved.select(F.col("id").alias("comp"), F.col("comp").alias("up")), "comp", "left").select("id", F.coalesce("up", "comp").alias("comp"), "moved").checkpoint()
+        jumped = checkpointed(moved.join(moved.select(F.col("id").alias("comp"), F.col("comp").alias("up")), "comp", "left").select("id", F.coalesce("up", "comp").alias("comp"), "moved"))
         label = jumped.select("id", "comp")
         if not jumped.where("moved").take(1):
             return label
@@ -185,7 +186,7 @@ def greedy(batch: DataFrame, staged: DataFrame, threshold: float = TITLE_RATIO)
     old = staged.select(*cols, F.lit(True).alias("staged"))
     x = new.select(F.col("title_normalized").alias("id"), F.col("title_normalized").alias("title")).distinct()
     y = x.unionByName(old.select(F.col("title_normalized").alias("id"), F.col("title_normalized").alias("title"))).distinct()
-    near = similar(x, y, threshold).checkpoint()  # used several times; survives lost executors
+    near = checkpointed(similar(x, y, threshold))  # used several times; survives lost executors
     seen = near.select(F.col("right_id").alias("title_normalized")).unionByName(x.select(F.col("id").alias("title_normalized"))).distinct()
     some = old.join(seen, "title_normalized", "left_semi").unionByName(old.join(new.select("uid"), "uid", "left_semi")).distinct()
     every = new.unionByName(some.select(*new.columns)).withColumn("t", F.concat(F.lit("t:"), "title_normalized"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from loomsift.operators.alerts import desired, evaluated
 from loomsift.operators.tables import bumped, degraded, last, retained, retryable, still_failing
 from loomsift.plans.ingest import ERROR, Batch
+from loomsift.scratch import checkpointed
 
 WINDOW, ENRICH_LIMIT = (1, 5), 10
 
@@ -43,11 +44,11 @@ def enrichment(docs: DataFrame, enrich: Callable[[DataFrame], DataFrame], as_of:
 
     The first transient error ends the round: that row and those after it stay as they are.
     """
-    some = degraded(docs).limit(ENRICH_LIMIT).checkpoint()
+    some = checkpointed(degraded(docs).limit(ENRICH_LIMIT))
     done = enrich(some)
     if "error" not in done.columns:
         done = done.withColumn("error", F.lit(None).cast(ERROR))
-    done = done.checkpoint()
+    done = checkpointed(done)
     order = F.struct((-F.col("rubric_score")).alias("s"), "uid")
     stop = done.where("error.transient").agg(F.min(order).alias("stop"))
     done = done.crossJoin(F.broadcast(stop)).where(F.col("stop").isNull() | (order < F.col("stop"))).drop("stop")  # one row

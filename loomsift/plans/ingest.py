@@ -17,6 +17,7 @@ from loomsift.operators.dedup import greedy, merged
 from loomsift.operators.health import batch_report
 from loomsift.operators.tables import broken_circuits, invalid, purged
 from loomsift.schema import BREAKER_FAILURES
+from loomsift.scratch import checkpointed
 
 ERROR = "struct<type:string,detail:string,transient:boolean>"
 OUTAGE = "source string, error_type string, error_detail string, transient boolean"
@@ -35,7 +36,7 @@ class Batch(NamedTuple):
 
 def _decided(good: DataFrame, kept: DataFrame, as_of: Column, rubric: dict[str, Any], parse: Callable[[DataFrame], DataFrame] | None) -> tuple[DataFrame, DataFrame]:
     """Decisions on all rows; and the accepted rows, merged and judged, with an error (null if there is none)."""
-    decisions = greedy(good, kept).checkpoint()  # used several times; survives lost executors
+    decisions = checkpointed(greedy(good, kept))  # used several times; survives lost executors
     rows = good.withColumn("staged", F.lit(False)).unionByName(kept.withColumn("staged", F.lit(True)), allowMissingColumns=True)
     won = good.join(decisions.where(F.col("action").isin("new", "supersedes")).select("seq", "took"), "seq").select(*good.columns, "took")
     judged = scored(merged(won, rows).drop("took"), as_of, rubric).withColumn("rubric_score", F.col("rubric.total"))
@@ -46,7 +47,7 @@ def _decided(good: DataFrame, kept: DataFrame, as_of: Column, rubric: dict[str,
     if "error" not in passed.columns:
         passed = passed.withColumn("error", F.lit(None).cast(ERROR))
     passed = passed.withColumn("status", F.when(F.col("error").isNull(), F.col("status")).otherwise("dlq"))
-    return decisions, passed.unionByName(failed, allowMissingColumns=True).checkpoint()
+    return decisions, checkpointed(passed.unionByName(failed, allowMissingColumns=True))
 
 
 def run(
@@ -70,12 +71,12 @@ def run(
             broken = good.select("source").where(F.lit(False))
             break
         # what follows a break was never processed, so the others are decided without it
-        before = broken_circuits(good.select("source", "seq").join(errors, "seq", "left").fillna("ok", ["kind"]), BREAKER_FAILURES).checkpoint()
+        before = checkpointed(broken_circuits(good.select("source", "seq").join(errors, "seq", "left").fillna("ok", ["kind"]), BREAKER_FAILURES))
         left = good.join(before.select("seq"), "seq", "left_semi")
         broken = before.where("breaks").select("source")
         if not good.join(before.select("seq"), "seq", "left_anti").take(1):
             break
-        good = left.checkpoint()
+        good = checkpointed(left)
 
     lost = decisions.where("size(took) > 0").select(F.col("took")[0].alias("row")).select("row.staged", "row.seq")
     fresh = judged.drop("error").join(lost.where("not staged").select("seq"), "seq", "left_anti")
@@ -110,7 +111,7 @@ def retried(todo: DataFrame, fetch: Callable[[DataFrame], DataFrame], staged: Da
     fetch takes entries (id, uid) and returns document rows with entry_id, of those it could fetch. The staged row of a
     failed document gives way to the new try.
     """
-    found = fetch(todo).checkpoint()
+    found = checkpointed(fetch(todo))
     free = staged.join(todo.select("uid"), "uid", "left_semi").where("status = 'dlq'").select("seq")
     made = run(found.drop("entry_id"), staged.join(free, "seq", "left_anti"), as_of, **batch)
     again = found.join(made.dlq.select("uid"), "uid", "left_semi").select("entry_id")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from loomsift.operators.screening import AGENTS, by_agent, decided, run_agreement, validated, verified, without_consensus, without_extraction
 from loomsift.operators.sections import section_text
+from loomsift.scratch import checkpointed
 
 Ask = Callable[[DataFrame], DataFrame]
 ANSWER = "verdict string, criterion_id string, evidence_quote string, confidence string"
@@ -58,7 +59,7 @@ def screened_event(verdicts: DataFrame) -> DataFrame:
 def single(docs: DataFrame, screening: DataFrame, criteria: DataFrame, ask: Ask, model: str, agent: str = AGENTS[0], limit: int | None = None) -> tuple[DataFrame, DataFrame]:
     """One screener over queued documents that it hasn't rated: verdicts and log rows; no status changes."""
     todo = waiting(docs.where("status = 'queued'").join(screening.where(F.col("agent") == agent).select("uid"), "uid", "left_anti"), limit)
-    made = asked(todo, agent, model, ask, criteria).checkpoint()  # a model isn't asked twice
+    made = checkpointed(asked(todo, agent, model, ask, criteria))  # a model isn't asked twice
     return made, screened_event(made)
 
 
@@ -78,9 +79,9 @@ def dual(docs: DataFrame, screening: DataFrame, events: DataFrame, criteria: Dat
     one model for both screeners gives no kappa and says so in the log.
     """
     a, b, third = AGENTS
-    todo = waiting(without_consensus(docs, events), limit).checkpoint()
+    todo = checkpointed(waiting(without_consensus(docs, events), limit))
     had = screening.join(todo.select("uid"), "uid", "left_semi")
-    new = [asked(todo.join(had.where(F.col("agent") == x).select("uid"), "uid", "left_anti"), x, models[x], ask, criteria).checkpoint() for x in (a, b)]
+    new = [checkpointed(asked(todo.join(had.where(F.col("agent") == x).select("uid"), "uid", "left_anti"), x, models[x], ask, criteria)) for x in (a, b)]
 
     def every(made: list[DataFrame]) -> DataFrame:
         rows = had.select("uid", "agent", "verdict", "criterion_id", "confidence", "id")
@@ -91,8 +92,8 @@ def dual(docs: DataFrame, screening: DataFrame, events: DataFrame, criteria: Dat
     said = lambda x: F.concat_ws(" ", F.col(f"{x}.verdict"), F.col(f"{x}.criterion_id"))
     split = by_agent(every(new))
     open_ = decided(split).where("needs = 'tiebreaker'").select("uid")
-    solved = asked(todo.join(split.join(open_, "uid").select("uid", said(a).alias("first"), said(b).alias("second")), "uid"), third, models[third], ask, criteria).checkpoint()
-    outcome = decided(by_agent(every([*new, solved]))).where("needs is null").checkpoint()
+    solved = checkpointed(asked(todo.join(split.join(open_, "uid").select("uid", said(a).alias("first"), said(b).alias("second")), "uid"), third, models[third], ask, criteria))
+    outcome = checkpointed(decided(by_agent(every([*new, solved]))).where("needs is null"))
 
     verdicts = new[0].unionByName(new[1]).unionByName(solved)
     one_model = models[a] == models[b]
@@ -113,8 +114,8 @@ def extraction(docs: DataFrame, extracted: DataFrame, ask: Ask, as_of: Column, l
     document whose answer isn't whole is left out.
     """
     todo = without_extraction(docs, extracted).orderBy("seq")
-    todo = (todo if limit is None else todo.limit(limit)).checkpoint()
-    made = ask(todo).select("uid", F.from_json("answer", EXTRACTED).alias("facts")).where("facts is not null").checkpoint()
+    todo = checkpointed(todo if limit is None else todo.limit(limit))
+    made = checkpointed(ask(todo).select("uid", F.from_json("answer", EXTRACTED).alias("facts")).where("facts is not null"))
     rows = made.join(todo, "uid").select(*todo.columns, F.explode("facts").alias("f")).where(F.col("f.field").isin(*FIELDS))
     facts = rows.select("uid", "f.field", "f.value", "f.quote", "f.section", verified(F.col("f.value"), F.col("f.quote"), section_text(F.col("f.section"))).alias("verified"), as_of.alias("created_at"))
     return facts, facts.where("verified = 0").select("uid", F.lit("EXTRACT_UNVERIFIED").alias("event_type"), F.col("field").alias("detail"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loomsift.functions import guards, rubric, search_text, text
 from loomsift.operators import sections
+from slow import slow_anchors, slow_redaction
 
 
 def one(spark, value, f, kind="string"):
@@ -118,31 +119,6 @@ def test_spans_are_in_order_and_apart(t):
         at = e
 
 
-def slow_redaction(t):
-    """Character by character: the leftmost finding that begins where nothing was replaced, the shortest of equal starts."""
-    found, out, k = sorted(guards.secret_spans(t), key=lambda x: x[2:]), [], 0
-    while k < len(t):
-        here = [x for x in found if x[2] == k]
-        if here:
-            out.append(f"«REDACTED:{here[0][0]}»")
-            k = here[0][3]
-        else:
-            out.append(t[k])
-            k += 1
-    return "".join(out)
-
-
-def slow_anchors(t):
-    """Every kind in turn marks the characters it takes."""
-    taken, out = [False] * len(t), []
-    for kind, p in guards.ANCHORS.items():
-        for m in re.finditer(p, t):
-            if not any(taken[m.start() : m.end()]):
-                taken[m.start() : m.end()] = [True] * (m.end() - m.start())
-                out.append((kind, m.start(), m.end()))
-    return sorted(out, key=lambda x: x[1:])
-
-
 PIECES = [*POSITIVE.values(), "port 8080", "99.9%", "O(n log n)", "12 ms", "v2.1.0", "10.0.0.1:80", "1.2.3", " ", "x", "9", "@", "(", "=", "NOTION_TOKEN=", "localhost:80"]
 
 
