@@ -12,8 +12,9 @@ A text's set is its distinct 5-word shingles, as 64-bit hashes. Texts with equal
 3. A bucket's pairs are never all made. Each node is first checked against one hub, the node of its buckets that meets
    most others in all of its own (the text that a group was copied from, if it is there); then buckets that still hold
    nodes of several components have further hubs from the largest of them; last, every pair that still matters (two
-   components in one bucket, the smaller one's nodes against the others) is checked. Pairs inside one component can
-   add nothing, so no link between components is lost, and a group of n copies costs about n checks.
+   components in one bucket, the smaller one's nodes against the others) is checked, block by block, with the full sets
+   at hand, likeliest first and until the two components are linked. Pairs inside one component can add nothing, so no
+   link between components is lost, and a group of n copies costs about n checks.
 4. Components: large-star and small-star steps, as DataFrame aggregates and joins, until nothing changes.
 
 Defined results: texts of any length are compared whole; a similarity of just 0.75 is a link; of nodes that tie as hubs or
@@ -46,6 +47,8 @@ SHARE = 75
 PIVOT_ROUNDS = 1
 #: Nodes of a bucket that are held against each other at once: so many of other components, so many of all.
 SMALL, LARGE = 128, 512
+#: Shingles of a block's nodes together, a mean: so many that their sets take some 16 MB.
+VALUES = 2_000_000
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -158,21 +161,49 @@ def pruned(pairs: DataFrame, minima_of: DataFrame) -> DataFrame:
     return x.mapInArrow(of, "a long, b long")
 
 
-def remainder(mixed: DataFrame, minima_of: DataFrame) -> DataFrame:
-    """All pairs of nodes of two components in a bucket, of which one is not the main one, left after pruning.
+def some_links(i: np.ndarray, j: np.ndarray, comp: np.ndarray, matches: np.ndarray, sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
+    """Of pairs of rows (i, j) those whose full sets are linked; of i with each component at least one, if there is one.
 
-    A bucket's other nodes are cut into blocks of some SMALL, all its nodes into blocks of some LARGE; a task holds one
-    block of each, so a group of any size is bounded there, and only pairs that survive become rows, each in the first
-    of the buckets that its nodes share.
+    The likeliest come first. Once i is linked with a component, its other pairs with that can add nothing.
     """
-    size = mixed.groupBy("bucket").agg(F.ceil(F.count_if(F.col("comp") != F.col("main")) / SMALL).cast("int").alias("ss"), F.ceil(F.count("*") / LARGE).cast("int").alias("ll"))
-    x = mixed.select("bucket", "node", "comp", (F.col("comp") == F.col("main")).alias("is_main")).join(size, "bucket")
+    out: tuple[list[int], list[int]] = ([], [])
+    order = np.lexsort((-matches, i))
+    i, j = i[order], j[order]
+    for mine in np.split(np.arange(len(i)), np.flatnonzero(np.diff(i)) + 1) if len(i) else ():
+        own, rest = sets[i[mine[0]]], j[mine]
+        while len(rest):
+            some = rest[:64]
+            flat = np.concatenate([sets[k] for k in some])
+            hit = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+            size = np.array([len(sets[k]) for k in some])
+            both = np.add.reduceat(hit.astype(np.int64), np.cumsum(size) - size)
+            found = some[100 * both >= SHARE * (len(own) + size - both)]
+            _, first = np.unique(comp[found], return_index=True)
+            out[0].extend([int(i[mine[0]])] * len(first))
+            out[1].extend(found[first].tolist())
+            rest = rest[64:]
+            rest = rest[~np.isin(comp[rest], comp[found])]
+    return out
+
+
+def remainder(mixed: DataFrame, whole: DataFrame) -> DataFrame:
+    """Links (a, b) between nodes of two components in a bucket, of which one is not the main one.
+
+    Every such pair that its minima don't prune is verified on its full sets, until the node is linked with the other's
+    component. A bucket's other nodes are cut into blocks of some SMALL, all its nodes into blocks of some LARGE, fewer if
+    their sets are large; a task holds one block of each, so a group of any size is bounded there, and pairs are never
+    rows. A pair is looked at in the first of the buckets that its nodes share.
+    """
+    other = F.col("comp") != F.col("main")
+    blocks = lambda some, n, values: F.ceil(F.greatest(F.count_if(some) / n, F.sum(F.when(some, F.col("n_shingles")).otherwise(0)) / values)).cast("int")
+    size = mixed.groupBy("bucket").agg(blocks(other, SMALL, VALUES).alias("ss"), blocks(F.lit(True), LARGE, VALUES).alias("ll"))
+    x = mixed.select("bucket", "node", "comp", (~other).alias("is_main")).join(size, "bucket")
     block = F.pmod(F.xxhash64("node"), F.lit(1 << 20)).cast("int")
     every = F.sequence(F.lit(0), F.col("ll") - 1), F.sequence(F.lit(0), F.col("ss") - 1)
     small = x.where(~F.col("is_main")).select("bucket", F.pmod(block, "ss").alias("s"), F.explode(every[0]).alias("l"), F.lit(0).alias("side"), "node", "comp", "is_main")
     large = x.select("bucket", F.explode(every[1]).alias("s"), F.pmod(block, "ll").alias("l"), F.lit(1).alias("side"), "node", "comp", "is_main")
     n = int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = small.unionByName(large).join(minima_of, "node").repartition(n, "bucket", "s", "l").sortWithinPartitions("bucket", "s", "l", "side")
+    dealt = small.unionByName(large).join(whole, "node").repartition(n, "bucket", "s", "l").sortWithinPartitions("bucket", "s", "l", "side")
 
     def held(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(rows)
@@ -184,14 +215,16 @@ def remainder(mixed: DataFrame, minima_of: DataFrame) -> DataFrame:
         left = np.concatenate([np.empty(0, np.int64), *(k + survivors(low[i[k : k + 20_000]], low[j[k : k + 20_000]]) for k in range(0, len(i), 20_000))])
         i, j = i[left], j[left]
         # in the first bucket that both are in, and in no later one
-        band = (low[i].reshape(-1, BANDS, ROWS) == low[j].reshape(-1, BANDS, ROWS)).all(axis=2).argmax(axis=1)
+        same = low[i] == low[j]
+        band = same.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
         here = bucket_hashes(low)[i, band] == np.uint64(np.int64(t.column("bucket")[0].as_py()).astype(np.uint64))
-        a, b = node[i[here]], node[j[here]]
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        sets = [np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()]
+        a, b = (node[k] for k in some_links(i[here], j[here], comp, same[here].sum(axis=1), sets))
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, rows = None, []
-        for b in common.sliced(batches):
+        for b in batches:
             keys = [b.column(c).to_numpy() for c in ("bucket", "s", "l")]
             cut = [0, *(np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1).tolist(), b.num_rows]
             for start, end in zip(cut[:-1], cut[1:], strict=True):
@@ -250,14 +283,14 @@ def components(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     rows = common.stored(signatures(docs), "near-signatures")
     known = rows.where(F.col("node").isNotNull())
-    nodes = known.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    nodes = known.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"))  # equal in all its rows
     in_buckets = buckets(known.groupBy("node").agg(F.first("buckets").alias("buckets")))
     several = in_buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     shared = common.stored(in_buckets.join(several, "bucket"), "near-buckets")
-    meets = shared.groupBy("node").agg(F.sum("n").alias("meets"))
+    meets = shared.groupBy("node").agg(F.sum("n").alias("meets")).join(nodes.select("node", "n_shingles"), "node")
     members = common.stored(shared.select("bucket", "node").join(meets, "node"), "near-members")
     few = meets.select("node")
-    whole = common.stored(_sets(docs, nodes.join(few, "node")), "near-sets")
+    whole = common.stored(_sets(docs, nodes.select("node", "doc_id").join(few, "node")), "near-sets")
     minima_of, sets = whole.select("node", "minima"), whole.select("node", "shingles")
 
     hubs = members.groupBy("bucket").agg(F.max(F.struct("meets", "node")).alias("hub"))
@@ -275,10 +308,10 @@ def components(docs: DataFrame) -> DataFrame:
             break
         if k < PIVOT_ROUNDS:
             pairs = mixed.where("comp <> main").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-            left = pruned(pairs, minima_of)
+            more = confirmed(pruned(pairs, minima_of), sets)
         else:
-            left = remainder(mixed, minima_of)
-        more = common.stored(confirmed(left, sets), "near-links")
+            more = remainder(mixed, whole)
+        more = common.stored(more, "near-links")
         if more.take(1):
             links = links.unionByName(more)
             comp = connected(links)

@@ -85,6 +85,20 @@ def test_components_raise_when_rounds_run_out(spark):
         near_dup.connected(chain, rounds=1)
 
 
+def test_links_of_a_block():
+    """Against all pairs: each row is linked with just the components that it has a linked partner in."""
+    r = np.random.default_rng(5)
+    base = np.sort(r.choice(1 << 40, 200, False).astype(np.uint64))
+    sets = [np.unique(np.concatenate([r.choice(base, int(r.integers(120, 200)), False), r.integers(0, 1 << 40, int(r.integers(0, 60)), np.uint64)])) for _ in range(150)]
+    comp = r.integers(0, 6, 150)
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(20), np.arange(20, 150), indexing="ij"))
+    found = near_dup.some_links(i, j, comp, r.integers(0, 448, len(i)), sets)
+    assert all(near_dup.linked(sets[a], sets[b]) for a, b in zip(*found, strict=True))
+    want = {(a, comp[b]) for a, b in zip(i.tolist(), j.tolist(), strict=True) if near_dup.linked(sets[a], sets[b])}
+    assert {(a, comp[b]) for a, b in zip(*found, strict=True)} == want and 10 < len(want) < 120
+    assert near_dup.some_links(i[:0], j[:0], comp, i[:0], sets) == ([], [])
+
+
 def test_chain_of_links(spark):
     """Each text is like the next only: one component, whose ends are unlike."""
     w = [f"c{k}" for k in range(400)]
