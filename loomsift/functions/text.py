@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import unicodedata
 
 import pandas as pd
@@ -51,11 +50,9 @@ def straight(c: Column) -> Column:
     return collapsed(F.translate(F.coalesce(c, F.lit("")), "‘’“”–—", "''\"\"--"))
 
 
-@functools.lru_cache(maxsize=1)
-def folding() -> str:
-    """A pattern for the characters whose case folding isn't their lower case, or whose lower case hangs on others."""
-    odd = [k for k in range(0x110000) if chr(k).casefold() != chr(k).lower()] + [ord("Σ")]
-    return "[" + "".join(f"\\x{{{k:x}}}" for k in odd) + "]"
+#: All characters whose case folding isn't their lower case, or whose lower case hangs on others, and many that are neither:
+#: a class that is quick to look for.
+FOLDING = r"[\xb5\xdf\x{100}-\x{10ffff}]"
 
 
 def quote_form(c: Column) -> Column:
@@ -65,7 +62,7 @@ def quote_form(c: Column) -> Column:
         return s.map(str.casefold, na_action="ignore")
 
     plain = straight(c)
-    return F.coalesce(F.pandas_udf(folded, "string")(F.when(plain.rlike(folding()), plain)), F.lower(plain))
+    return F.coalesce(F.pandas_udf(folded, "string")(F.when(plain.rlike(FOLDING), plain)), F.lower(plain))
 
 
 def contains_quote(source: Column, quote: Column) -> Column:
