@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomsift.llm import bpe, common, ctw, media, near_dup, packing, quality, secrets, substring, tokens, toxicity
+from loomsift.llm import best_fit, bpe, common, ctw, fim, media, near_dup, packing, quality, secrets, substring, tokens, toxicity, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -68,9 +68,33 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.table(spark, sf_dir, "documents"), with_ids=False)
 
 
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = common.table(spark, sf_dir, "embeddings")
+    return whitening.digest(vectors, whitening.fit(vectors))
+
+
+@query
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(common.table(spark, sf_dir, "documents"), with_ids=False)
+
+
+@query
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digest(common.table(spark, sf_dir, "documents"))
+
+
 WORDS = r"list_filter(regexp_split_to_array(coalesce({0}, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
+DRAW = "('0x' || substr(sha256('1:' || doc_id), {0}, 8))::bigint"
+
 ORACLE_SQL: dict[str, str] = {
+    "op13_fim": f"""with t as (select doc_id, coalesce(text, '') as t, length(coalesce(text, '')) as n, {DRAW.format(1)} as h1, {DRAW.format(9)} as h2, {DRAW.format(17)} as h3, {DRAW.format(25)} as h4 from documents),
+        c as (select *, case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or doc_id is null or h3 % 100 >= 90 then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form,
+            least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as z from t),
+        p as (select *, substr(t, 1, a) as pre, substr(t, a + 1, z - a) as mid, substr(t, z + 1) as suf from c)
+        select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then z - a end as middle_chars,
+            sha256(case form when 'plain' then t when 'spm' then '<S>' || suf || '<P>' || pre || '<M>' || mid else '<P>' || pre || '<S>' || suf || '<M>' || mid end) as output_sha256, sha256(t) as restored_sha256 from p""",
     "op3_near_dup": f"""with recursive w as (select doc_id, {WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as ws from documents),
         s as (select distinct doc_id, unnest(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')] else list_transform(range(1, len(ws) - 3), lambda p: array_to_string(ws[p:p+4], ' ')) end) as g from w),
         n as (select doc_id, count(*) as n from s group by doc_id),
