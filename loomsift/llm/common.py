@@ -50,6 +50,14 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
                 spark.conf.set(k, v)
 
 
+def free(name: str, taken: list[str]) -> str:
+    """A column name like ``name`` that none of ``taken`` is (upper and lower case are one)."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors.
 

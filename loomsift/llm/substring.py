@@ -1,22 +1,23 @@
 """Substring dedup with prefix-partitioned suffix trees.
 
 A suffix is the text from one word on. Of the tree of all documents' suffixes only the inner nodes at a depth of
-``WINDOW`` words or more matter: a node of two documents is a repeat, and a suffix loses the words of its deepest node
-that also holds a suffix of a document with a smaller doc_id.
+``WINDOW`` words or more matter: a node of two documents is a repeat, and a suffix that lies in such a node with a smaller
+doc_id loses its first ``WINDOW`` words. (What its deeper nodes share beyond is lost by the suffixes that follow.)
 
 1. Documents with equal words are one class, handled by its least doc_id: the others lose all words.
 2. Most suffixes hang alone above that depth. They are left out before anything is dealt: each window's least hashed
    ``SEED``-word run is its seed, equal windows have equal seeds, and a window whose seed is in one document only is
    in no node of two. What is left are runs of words that may repeat.
-3. Variable-length prefixes part these suffixes into groups of at most ``GROUP``: a prefix (1, 2, 4, 8 words) held by
-   more is replaced by longer ones. A full window held by more is one node: its least doc_id is a sum of partial results.
+3. Variable-length prefixes part these suffixes into groups of at most ``GROUP``: prefixes (1, 2, 4, 8 words) held by
+   more are replaced by longer ones. A full window held by more is one node: its least doc_id is a sum of partial results.
 4. Each group's suffixes are sorted (Spark's external sort, so a group is never held in memory): by the hash of the first
    WINDOW words, then by ``AHEAD`` further words one by one. Neighbours' common prefixes give the subtree's inner nodes
    of depth WINDOW to WINDOW + AHEAD, with their leaves, least doc_id, and whether the words before differ (a maximal
    repeat). A longer repeat is a row of nodes of the greatest depth, each one word further on.
 
-The prefixes and seeds sent to tasks number at most ``SHARES`` a level, whatever the input. Words are compared by hashes:
-a window by 64 bits, which decides what is removed; the words after it by 16, which only bound a node's depth.
+Prefixes are counted in 2**``SLOTS`` slots of their hash, so that what tasks are told of them has a fixed size: a bit a slot
+and level. Words are compared by hashes: whole documents by SHA-256 and windows by 128 bits, which decide what is removed;
+the words after a window by 16, which only shape the nodes that :func:`maximal_repeats` reports.
 
 Defined results: a null, empty or short text has no window and loses nothing; a very long text is cut into its runs; rows
 with a null doc_id neither lose words nor take them from others; repeated rows of a doc_id don't take words from each
@@ -39,15 +40,16 @@ from loomsift.llm import common
 from loomsift.llm.secrets import with_text
 
 WINDOW, SEED, GROUP, PREFIXES, AHEAD = 13, 5, 200_000, (1, 2, 4, 8), 7
-#: A seed or prefix is heavy only if it has more than 1 / SHARES of all rows (and GROUP, or HEAVY), so that many can be.
-SHARES, HEAVY, SALTS = 10_000, 20_000, 64
+SEED_2 = 0x9E3779B9  # of the second hash
+#: A seed's rows are dealt to SALTS tasks if it has more than 1 / SHARES of all rows, and HEAVY: so many can be.
+SHARES, HEAVY, SALTS, SLOTS = 10_000, 20_000, 64, 26
 #: Runs that a Python task works on at once.
 RUNS = 10_000
 EMPTY = hashlib.sha256(b"").hexdigest()
 
 
 def key_of(ws: list[bytes]) -> int:
-    """A signed 64-bit hash of a word sequence."""
+    """A signed 64-bit hash of a word sequence. It tells rows of one doc_id apart, no more."""
     return int(np.uint64(xxhash.xxh3_64_intdigest(b" ".join(ws))).astype(np.int64))
 
 
@@ -88,7 +90,7 @@ def light(docs: DataFrame) -> DataFrame:
 
 
 def seeds(docs: DataFrame, first: DataFrame) -> DataFrame:
-    """doc_id, key, and the seeds and their places of each class's first document."""
+    """doc_id, key, and the seeds and their places of each class's first document (``first``: doc_id and key)."""
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols = [("doc_id", pa.int64()), ("key", pa.int64()), ("seeds", pa.binary()), ("places", pa.binary())]
@@ -164,7 +166,10 @@ class Runs:
 
     def __init__(self, texts: list[bytes]) -> None:
         each = [x.split() for x in texts]
-        self.h = common.hashes([w for ws in each for w in ws])
+        flat = [w for ws in each for w in ws]
+        self.h = common.hashes(flat)
+        #: a second hash of each word, for the other 64 bits of a window
+        self.h2 = np.fromiter((xxhash.xxh3_64_intdigest(w, SEED_2) for w in flat), np.uint64, len(flat))
         n = np.array([len(ws) for ws in each], np.int64)
         self.n = np.maximum(0, n - WINDOW + 1)
         first = np.cumsum(self.n) - self.n
@@ -174,7 +179,7 @@ class Runs:
 
     def codes(self) -> np.ndarray:
         """16 bits, not 0, of each of the AHEAD words after each suffix's window, and of the word before; 0 outside its run."""
-        code = np.maximum(self.h >> np.uint64(48), np.uint64(1)).astype(">u2")
+        code = word_codes(self.h)
         left = np.repeat(self.n, self.n) - 1 - self.inside  # windows of the run after this one
         out = np.zeros((len(self.at), AHEAD + 1), ">u2")
         for j in range(AHEAD):
@@ -188,73 +193,100 @@ class Runs:
         """A hash of the first k words of each suffix."""
         return common.window_hashes(self.h, k)[self.at]
 
+    def check(self) -> np.ndarray:
+        """The other 64 bits of each suffix's window."""
+        return common.window_hashes(self.h2, WINDOW)[self.at]
 
-def prefixes(runs: DataFrame, group: int = GROUP) -> list[np.ndarray]:
-    """For each prefix length, and last for the whole window, the sorted hashes held by too many suffixes for one group.
 
-    A prefix of more than 1 / SHARES of all suffixes, and of ``group``, is too heavy: fewer than SHARES hashes a level.
-    """
-    heavy: list[np.ndarray] = []
+def word_codes(h: np.ndarray) -> np.ndarray:
+    return np.maximum(h >> np.uint64(48), np.uint64(1)).astype(">u2")
+
+
+class Heavy:
+    """Slots of prefix hashes that hold more suffixes than a group, a bit each: at most 2**SLOTS bits a level."""
+
+    def __init__(self, slots: np.ndarray) -> None:
+        self.some = bool(len(slots))
+        marks = np.zeros(1 << SLOTS if self.some else 0, bool)
+        marks[slots] = True
+        self.bits = np.packbits(marks, bitorder="little")
+
+    def of(self, prefix: np.ndarray) -> np.ndarray:
+        if not self.some:
+            return np.zeros(len(prefix), bool)
+        at = slots(prefix)
+        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def slots(prefix: np.ndarray) -> np.ndarray:
+    return (prefix >> np.uint64(64 - SLOTS)).astype(np.int64)
+
+
+def prefixes(runs: DataFrame, group: int = GROUP) -> list[Heavy]:
+    """For each prefix length, and last for the whole window, the slots held by too many suffixes for one group."""
+    heavy: list[Heavy] = []
     lengths = (*PREFIXES, WINDOW)
-    most = max(group, (runs.agg(F.sum("n")).first()[0] or 0) // SHARES)
     for n, k in enumerate(lengths):
-        if heavy and not len(heavy[-1]):
-            heavy.append(np.empty(0, np.uint64))
+        if heavy and not heavy[-1].some:
+            heavy.append(heavy[-1])
             continue
         above, shorter = (heavy[-1], lengths[n - 1]) if heavy else (None, 0)
 
-        def of(batches: Iterator[pa.RecordBatch], k: int = k, above: np.ndarray | None = above, shorter: int = shorter) -> Iterator[pa.RecordBatch]:
+        def of(batches: Iterator[pa.RecordBatch], k: int = k, above: Heavy | None = above, shorter: int = shorter) -> Iterator[pa.RecordBatch]:
             for b in common.sliced(batches, RUNS):
                 x = Runs(b.column("words").to_pylist())
                 mine = x.prefix(k)
                 if above is not None:
-                    mine = mine[np.isin(x.prefix(shorter), above)]
-                u, m = np.unique(mine, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(m, pa.int64())], names=["prefix", "n"])
+                    mine = mine[above.of(x.prefix(shorter))]
+                u, m = np.unique(slots(mine), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(m, pa.int64())], names=["slot", "n"])
 
-        counts = runs.select("words").mapInArrow(of, "prefix long, n long").groupBy("prefix").agg(F.sum("n").alias("n")).where(F.col("n") > most)
-        heavy.append(np.sort(np.array([r.prefix for r in counts.select("prefix").collect()], np.int64).view(np.uint64)))
+        counts = runs.select("words").mapInArrow(of, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).where(F.col("n") > group)
+        heavy.append(Heavy(counts.select("slot").toArrow().column("slot").to_numpy()))
     return heavy
 
 
-def suffixes(runs: DataFrame, heavy: list[np.ndarray], hot: bool) -> DataFrame:
-    """One row a suffix: doc_id, key, pos and window hash, of the windows held by more than a group (hot) or of the
-    others; these with a label (hash of their group's prefix) and 16-bit codes of the AHEAD words after the window and of
-    the word before it (0: none, or beyond what may repeat)."""
+def suffixes(runs: DataFrame, heavy: list[Heavy], hot: bool) -> DataFrame:
+    """One row a suffix: doc_id, key, pos and two hashes of the window, of the slots held by more than a group (hot) or of
+    the others; these with a label (of their group's prefix), and the second hash followed by 16-bit codes of the AHEAD
+    words after the window and of the word before it (0: none, or beyond what may repeat)."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.sliced(batches, RUNS):
             x = Runs(b.column("words").to_pylist())
             whole = x.prefix(WINDOW)
-            mine = np.isin(whole, heavy[-1]) == hot if hot or len(heavy[-1]) else np.ones(len(whole), bool)
+            mine = heavy[-1].of(whole) == hot
             doc, key = (np.repeat(b.column(c).to_numpy(), x.n)[mine] for c in ("doc_id", "key"))
             pos = (np.repeat(b.column("start").to_numpy(), x.n) + x.inside)[mine].astype(np.int32)
             cols = {"doc_id": pa.array(doc), "key": pa.array(key), "pos": pa.array(pos), "window": pa.array(whole[mine].view(np.int64))}
-            if not hot:
-                label, open_ = whole.copy(), np.ones(len(whole), bool)
+            if hot:
+                cols["check"] = pa.array(x.check()[mine].view(np.int64))
+            else:
+                label, open_ = slots(whole), np.ones(len(whole), bool)
                 for k, many in zip(PREFIXES, heavy, strict=False):
                     p = x.prefix(k)
-                    done = open_ & ~np.isin(p, many)
-                    label[done] = p[done]
+                    done = open_ & ~many.of(p)
+                    label[done] = slots(p[done])
                     open_ &= ~done
-                cols["label"] = pa.array((label[mine] >> np.uint64(32)).astype(np.uint32).view(np.int32))
-                codes = x.codes()[mine]
-                cols["codes"] = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * (AHEAD + 1)), len(codes), [None, pa.py_buffer(np.ascontiguousarray(codes).tobytes())]).cast(pa.binary())
+                cols["label"] = pa.array(label[mine].astype(np.int32))
+                codes = np.hstack([x.check()[mine].astype(">u8").view(">u2").reshape(-1, 4), x.codes()[mine]])
+                cols["codes"] = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * codes.shape[1]), len(codes), [None, pa.py_buffer(np.ascontiguousarray(codes).tobytes())]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
-    return runs.mapInArrow(of, "doc_id long, key long, pos int, window long" + ("" if hot else ", label int, codes binary"))
+    return runs.mapInArrow(of, "doc_id long, key long, pos int, window long, " + ("check long" if hot else "label int, codes binary"))
 
 
 class Subtree:
     """The inner nodes of depth WINDOW and more over sorted suffixes, read from neighbours' common prefixes."""
 
     def __init__(self, window: np.ndarray, codes: np.ndarray, doc: np.ndarray) -> None:
-        self.doc, self.left = doc, codes[:, AHEAD]
-        ahead = codes[:, :AHEAD]
+        self.doc, self.left = doc, codes[:, 4 + AHEAD]
+        check, ahead = codes[:, :4], codes[:, 4 : 4 + AHEAD]
         alike = (ahead[1:] == ahead[:-1]) & (ahead[1:] != 0)
         #: words that each suffix has in common with the one before it
         self.common = np.zeros(len(window), np.int64)
-        self.common[1:] = np.where(window[1:] == window[:-1], WINDOW + np.cumprod(alike, axis=1).sum(axis=1), 0)
+        same = (window[1:] == window[:-1]) & (check[1:] == check[:-1]).all(axis=1)
+        self.common[1:] = np.where(same, WINDOW + np.cumprod(alike, axis=1).sum(axis=1), 0)
 
     def level(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
         """Where each stretch of suffixes with so many first words in common begins, and each suffix's stretch."""
@@ -262,15 +294,9 @@ class Subtree:
         return np.flatnonzero(new), np.cumsum(new) - 1
 
     def repeated(self) -> np.ndarray:
-        """For each suffix the depth of its deepest node that holds a smaller doc_id, 0 if there is none."""
-        depth = np.zeros(len(self.doc), np.int64)
-        for d in range(WINDOW, WINDOW + AHEAD + 1):
-            begin, stretch = self.level(d)
-            later = self.doc > np.minimum.reduceat(self.doc, begin)[stretch]
-            if not later.any():
-                break
-            depth[later] = d
-        return depth
+        """Marks the suffixes whose node of depth WINDOW holds a smaller doc_id. Deeper nodes are parts of these."""
+        begin, stretch = self.level(WINDOW)
+        return self.doc > np.minimum.reduceat(self.doc, begin)[stretch]
 
     def maximal(self) -> Iterator[tuple[int, int, int, int]]:
         """(depth, first suffix, suffixes, least doc_id) of the nodes that branch and whose words before differ."""
@@ -307,48 +333,47 @@ def subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Subtree, pa.Ta
 
 def subtree(rows: list[pa.RecordBatch]) -> tuple[Subtree, pa.Table]:
     t = pa.Table.from_batches(rows)
-    codes = np.frombuffer(b"".join(t.column("codes").to_pylist()), ">u2").reshape(-1, AHEAD + 1)
+    codes = np.frombuffer(b"".join(t.column("codes").to_pylist()), ">u2").reshape(-1, 4 + AHEAD + 1)
     return Subtree(t.column("window").to_numpy(), codes, t.column("doc_id").to_numpy()), t
 
 
-def grouped(runs: DataFrame, heavy: list[np.ndarray]) -> DataFrame:
+def grouped(runs: DataFrame, heavy: list[Heavy]) -> DataFrame:
     """The suffixes of windows that aren't hot, each group in one task and in order."""
     n = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return suffixes(runs, heavy, False).repartition(n, "label").sortWithinPartitions("label", "window", "codes").drop("label")
 
 
-def repeats(runs: DataFrame, heavy: list[np.ndarray]) -> DataFrame:
-    """key, doc_id, pos and depth of suffixes with a node that has a smaller doc_id too: so many words are to go."""
+def repeats(runs: DataFrame, heavy: list[Heavy]) -> DataFrame:
+    """key, doc_id and pos of suffixes with a node that has a smaller doc_id too: WINDOW words are to go from there."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tree, t in subtrees(batches):
-            depth = tree.repeated()
-            some = t.select(["key", "doc_id", "pos"]).append_column("depth", pa.array(depth.astype(np.int32))).filter(pa.array(depth > 0))
-            yield from some.combine_chunks().to_batches()
+            yield from t.select(["key", "doc_id", "pos"]).filter(pa.array(tree.repeated())).combine_chunks().to_batches()
 
-    cold = grouped(runs, heavy).mapInArrow(of, "key long, doc_id long, pos int, depth int")
-    if not len(heavy[-1]):
+    cold = grouped(runs, heavy).mapInArrow(of, "key long, doc_id long, pos int")
+    if not heavy[-1].some:
         return cold
     hot = suffixes(runs, heavy, True)
-    node = hot.groupBy("window").agg(F.min("doc_id").alias("least"))  # fewer than SHARES rows
-    return cold.unionByName(hot.join(F.broadcast(node), "window").where(F.col("doc_id") > F.col("least")).select("key", "doc_id", "pos", F.lit(WINDOW).alias("depth")))
+    node = hot.groupBy("window", "check").agg(F.min("doc_id").alias("least")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = hot.withColumn("salt", F.pmod(F.xxhash64("doc_id", "pos"), F.lit(SALTS)).cast("int"))
+    return cold.unionByName(salted.join(node, ["window", "check", "salt"]).where(F.col("doc_id") > F.col("least")).select("key", "doc_id", "pos"))
 
 
 def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Light rows, each class's first doc_id, and the runs that may repeat."""
+    """Light rows, each class's first doc_id by its words' SHA-256, and the runs that may repeat."""
     docs = docs.select("doc_id", "text")
     rows = common.stored(light(docs), "substring-light")
-    first = rows.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= WINDOW)).groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    packed = common.stored(seeds(docs, first), "substring-places")
+    first = rows.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= WINDOW)).groupBy("sha").agg(F.min("doc_id").alias("doc_id"), F.first("key").alias("key"))
+    packed = common.stored(seeds(docs, first.select("key", "doc_id")), "substring-places")
     hits = common.stored(repeated_seeds(packed), "substring-hits")
     return rows, first, common.stored(repeated_runs(docs, hits), "substring-runs")
 
 
 def found(docs: DataFrame, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
-    """Light rows with their class's first doc_id; what to remove (places, depths), by first and key."""
+    """Light rows with their class's first doc_id; the windows to remove (their places), by doc_id and key."""
     rows, first, runs = candidates(docs)
-    cuts = repeats(runs, prefixes(runs, group)).groupBy("doc_id", "key").agg(F.collect_list(F.struct("pos", "depth")).alias("cuts"))
-    return rows.join(first.withColumnRenamed("doc_id", "first"), "key", "left"), common.stored(cuts, "substring-cuts")
+    cuts = repeats(runs, prefixes(runs, group)).groupBy("doc_id", "key").agg(F.collect_list("pos").alias("cuts"))
+    return rows.join(first.select("sha", F.col("doc_id").alias("first")), "sha", "left"), common.stored(cuts, "substring-cuts")
 
 
 def maximal_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
@@ -364,17 +389,16 @@ def maximal_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
             yield _rows(cols, [(d, n, least, int(tree.doc[k]), int(pos[k])) for d, k, n, least in tree.maximal()])
 
     made = grouped(runs, heavy).mapInArrow(of, "words long, occurrences long, least_doc_id long, doc_id long, pos long")
-    if len(heavy[-1]):
+    if heavy[-1].some:
         one = F.min(F.struct("doc_id", "pos"))
-        hot = suffixes(runs, heavy, True).groupBy("window").agg(F.count("*").alias("occurrences"), one.alias("at"))
+        hot = suffixes(runs, heavy, True).groupBy("window", "check").agg(F.count("*").alias("occurrences"), one.alias("at"))
         made = made.unionByName(hot.select(F.lit(WINDOW).cast("long").alias("words"), "occurrences", F.col("at.doc_id").alias("least_doc_id"), F.col("at.doc_id").alias("doc_id"), F.col("at.pos").cast("long").alias("pos")))
     return made
 
 
 def removed(n: int, cuts: list) -> np.ndarray:
-    """Mask of n words: those to go."""
-    at = np.array([(c["pos"], c["depth"]) for c in cuts], np.int64).reshape(-1, 2)
-    return common.covered(n, at[:, 0], at[:, 1])
+    """Mask of n words: those of the windows that begin at ``cuts``."""
+    return common.covered(n, np.array(cuts, np.int64), WINDOW)
 
 
 def digest(docs: DataFrame, group: int = GROUP) -> DataFrame:
@@ -416,7 +440,8 @@ def remove(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """The documents with repeated words cut from text, and n_chars, if present, to match."""
     rows, cuts = found(docs, group)
     copies = rows.where(F.col("doc_id") > F.col("first")).select("doc_id", "key", F.lit(None).cast(cuts.schema["cuts"].dataType).alias("cuts")).distinct()
-    by_id = copies.unionByName(cuts).groupBy("doc_id").agg(F.collect_list(F.struct("key", "cuts")).alias("__cuts"))
+    found_by_id = common.free("cuts", docs.columns)
+    by_id = copies.unionByName(cuts).groupBy("doc_id").agg(F.collect_list(F.struct("key", "cuts")).alias(found_by_id))
     names = docs.columns
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -433,4 +458,4 @@ def remove(docs: DataFrame, group: int = GROUP) -> DataFrame:
                 new.append(t)
             yield with_text(pa.RecordBatch.from_arrays(b.columns[: len(names)], names=names), names, new)
 
-    return docs.join(by_id, "doc_id", "left").select(*docs.columns, "__cuts").mapInArrow(of, docs.schema)
+    return docs.join(by_id, "doc_id", "left").select(*docs.columns, found_by_id).mapInArrow(of, docs.schema)

@@ -20,6 +20,7 @@ import itertools
 import operator
 import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -41,16 +42,28 @@ SEPARATOR = re.compile("[\x1c-\x1f]")
 IS_FURTHER = re.compile(f"[{FURTHER}]")
 
 
+@functools.lru_cache(maxsize=1)
+def marks() -> str:
+    """A class of the characters that may become one with a letter before them in Unicode's normal form: marks, and those
+    that Python's Unicode version doesn't know."""
+    odd = [k for k in range(0x250, 0x110000) if unicodedata.category(chr(k)) in ("Mn", "Mc", "Me", "Cn")]
+    runs = itertools.groupby(enumerate(odd), lambda x: x[1] - x[0])
+    edges = [(run[0][1], run[-1][1]) for _, g in runs for run in [list(g)]]
+    return "".join(f"\\U{a:08x}-\\U{z:08x}" for a, z in edges)
+
+
 def pattern(spaces: bool) -> re.Pattern[str]:
     """Matches pre-tokens, in the order of the vocabularies' own patterns.
 
     A run of letters, numbers or symbols is certain if no further character follows; else all up to the next white space
-    is one match for the library to cut. White space is in no match unless the tokenizer keeps it (``spaces``).
+    is one match for the library to cut. White space is in no match unless the tokenizer keeps it (``spaces``); a
+    tokenizer that doesn't composes characters first, so that a mark may take a contraction's last letter: with a mark
+    behind it, all up to the next white space is left to the library.
     """
     s = " ?" if spaces else ""
     number = f"[{NUMBER}]++" if spaces else f"[{NUMBER}]"
     certain = [f"{s}{run}(?![{FURTHER}])" for run in (f"[{LETTER}]++", number, f"[^\\s{LETTER}{NUMBER}{FURTHER}]++")]
-    contraction = "'(?:[stmd]|re|ve|ll)" if spaces else "'(?i:[stmd]|re|ve|ll)(?![\u0250-\U0010ffff])"
+    contraction = "'(?:[stmd]|re|ve|ll)" if spaces else f"'(?:[sStTmMdD]|[rRvV][eE]|[lL][lL])(?:(?![{marks()}])|\\S*)"
     return re.compile("|".join([contraction, *certain, f"{s}\\S+", *(["\\s+(?!\\S)", "\\s+"] if spaces else [])]))
 
 

@@ -179,16 +179,53 @@ def test_maximal_repeats(spark):
 
 
 def test_nodes_give_their_depth():
-    """Suffixes that share more words than the window lose as many, of the deepest node with a smaller doc_id."""
-    window = np.array([5, 5, 5, 9, 9, 11], np.int64)
-    codes = np.zeros((6, substring.AHEAD + 1), np.uint16)
-    codes[0, :3], codes[1, :3], codes[2, :3] = (1, 2, 3), (1, 2, 4), (1, 9, 0)
-    tree = substring.Subtree(window, codes, np.array([7, 3, 4, 8, 8, 1]))
-    assert tree.common.tolist() == [0, 15, 14, 0, 13, 0]
-    assert tree.repeated().tolist() == [15, 0, 14, 0, 0, 0]
+    """Nodes go by the window's two hashes, then by the codes of the words after it."""
+    window = np.array([5, 5, 5, 9, 9, 11, 12, 12], np.int64)
+    codes = np.zeros((8, 4 + substring.AHEAD + 1), np.uint16)
+    codes[0, 4:7], codes[1, 4:7], codes[2, 4:7] = (1, 2, 3), (1, 2, 4), (1, 9, 0)
+    codes[7, 2] = 1  # windows that one hash doesn't tell apart
+    tree = substring.Subtree(window, codes, np.array([7, 3, 4, 8, 8, 1, 1, 2]))
+    assert tree.common.tolist() == [0, 15, 14, 0, 13, 0, 0, 0]
+    assert tree.repeated().tolist() == [True, False, True, False, False, False, False, False]
     assert sorted((d, n, least) for d, _, n, least in tree.maximal()) == [(13, 2, 8), (14, 3, 3), (15, 2, 3)]
 
 
+def test_words_of_equal_codes_are_kept(spark):
+    """The words after a repeat agree in the 16 bits of their codes, and in nothing else."""
+    a, b = b"word86", b"word383"
+    assert np.ptp(substring.word_codes(substring.common.hashes([a, b]))) == 0
+    w = " ".join(f"s{k}" for k in range(13))
+    rows = [(1, f"alpha {w} word86 zig"), (2, f"beta {w} word383 zag")]
+    got = substring.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == removed(rows) and sorted(r.n_removed for r in got) == [0, 13]
+
+
+def test_heavy_slots():
+    x = np.array([0, 1 << 63, 5, (1 << 64) - 1], np.uint64)
+    h = substring.Heavy(substring.slots(x[1:2]))
+    assert h.some and h.of(x).tolist() == [False, True, False, False] and len(h.bits) == 1 << substring.SLOTS - 3
+    assert not substring.Heavy(np.empty(0, np.int64)).of(x).any()
+
+
+def test_groups_stay_small(spark):
+    """No label has more rows than a group, whatever shares its first words; windows held by more are apart."""
+    common = " ".join(f"s{k}" for k in range(9))
+    rows = [(k, f"{common} {k % 40} " + " ".join(f"{k % 40}t{j}" for j in range(12))) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "concat(text, ' end', doc_id) as text")
+    _, _, runs = substring.candidates(docs)
+    heavy = substring.prefixes(runs, 50)
+    sizes = [r["count"] for r in substring.suffixes(runs, heavy, False).groupBy("label").count().collect()]
+    assert heavy[0].some and max(sizes) <= 50 and sum(sizes) > 3000 and substring.suffixes(runs, heavy, True).count() == 0
+    assert substring.suffixes(runs, substring.prefixes(runs, 5), True).count() == 4000
+
+
+def test_remove_with_clashing_columns(odd, texts):
+    df = odd.selectExpr("*", "1 as cuts", "2 as key", "3 as __cuts", "4 as `CUTS_`", "5 as found")
+    got = substring.remove(df)
+    assert got.columns == df.columns
+    assert sorted(texts(got), key=str) == sorted(texts(substring.remove(odd)), key=str)
+
+
 def test_heavy_seeds_are_salted(spark, texts, monkeypatch):
     monkeypatch.setattr(substring, "HEAVY", 5)
     monkeypatch.setattr(substring, "SHARES", 50)

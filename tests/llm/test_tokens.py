@@ -60,6 +60,22 @@ def test_every_low_character_beside_others():
         assert enc.encode(texts) == [little(lib(t)) for t in texts]
 
 
+@pytest.mark.parametrize("contraction", ["'s", "'T", "'re", "'Ve", "'m", "'LL", "'d"])
+def test_contractions_before_every_character(contraction):
+    """All code points of the basic plane, and a seventeenth of those above."""
+    points = [chr(k) for k in (*range(0xD800), *range(0xE000, 0x10000), *range(0x10000, 0x110000, 17))]
+    for enc, lib in zip([tokens.Encoder(public_tokenizers.path(v), s) for v, s in ((tokens.VOCABULARY, True), (packing.VOCABULARY, False))], [tokens.tokenizer(public_tokenizers.path(v)) for v in (tokens.VOCABULARY, packing.VOCABULARY)], strict=True):
+        for k in range(0, len(points), 20_000):
+            texts = [f"it{contraction}{c}" for c in points[k : k + 20_000]]
+            assert enc.encode(texts) == [little(x.ids) for x in lib.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_contractions_in_common_english():
+    enc, lib = tokens.Encoder(public_tokenizers.path(packing.VOCABULARY), False), library(packing.VOCABULARY)
+    texts = ["it's”", "don't’", "she's…", "'s€", "'s😀", "'t́", "'ſ", "it's中", "he'Ś̖", "we'LL—see"]
+    assert enc.encode(texts) == [little(lib(t)) for t in texts]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), min_size=1, max_size=200))
 def test_blocks_round_trip(ids):
@@ -108,8 +124,12 @@ def test_groups_are_first_fit_decreasing(corpus):
     rows = packing.pack(corpus, group=40).collect()
     groups = {}
     for r in rows:
-        groups.setdefault(r.sequence_id >> 32, []).append(r)
-    assert len(groups) == -(-corpus.count() // 40)
+        if r.length == packing.LENGTH:
+            assert r.sequence_id < 0 and r.offset == 0
+        else:
+            groups.setdefault(r.sequence_id >> 32, []).append(r)
+    assert len({r.sequence_id for r in rows if r.sequence_id < 0}) == sum(r.length == packing.LENGTH for r in rows) > 0
+    assert len(groups) == -(-sum(map(len, groups.values())) // 40)
     for g, mine in groups.items():
         room, want = [], {}
         for r in sorted(mine, key=lambda r: (-r.length, r.doc_id, r.start)):
