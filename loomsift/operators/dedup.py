@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomsift.schema import TITLE_RATIO, UNKNOWN_TIER
-from loomsift.scratch import checkpointed
 
 
 def lcs(a: str, b: str) -> int:
@@ -150,82 +149,6 @@ def decided(candidates: DataFrame, existing: DataFrame, threshold: float = TITLE
     return exact.unionByName(fuzzy).unionByName(new)
 
 
-def components(edges: DataFrame, rounds: int = 30) -> DataFrame:
-    """id and comp (its least member) of the ids in edges (a, b); label propagation with pointer jumping.
-
-    Labels are checkpointed each round, so lost executors cost one round. Edges must be few, as those of titles are.
-    Raises if labels still move in the last round.
-    """
-    both = checkpointed(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    label = checkpointed(both.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("comp")))
-    for _ in range(rounds):
-        near = both.join(label.toDF("b", "c"), "b").groupBy(F.col("a").alias("id")).agg(F.min("c").alias("c"))
-        moved = label.join(near, "id").select("id", F.least("comp", "c").alias("comp"), (F.col("c") < F.col("comp")).alias("moved"))
-        jumped = checkpointed(moved.join(moved.select(F.col("id").alias("comp"), F.col("comp").alias("up")), "comp", "left").select("id", F.coalesce("up", "comp").alias("comp"), "moved"))
-        label = jumped.select("id", "comp")
-        if not jumped.where("moved").take(1):
-            return label
-    raise RuntimeError(f"components aren't whole after {rounds} rounds")
-
-
-ROW = "staged boolean, seq long"
-DECISION = f"uid string, seq long, action string, matched_uid string, score double, took array<struct<{ROW}>>"
-
-
-def greedy(batch: DataFrame, staged: DataFrame, threshold: float = TITLE_RATIO) -> DataFrame:
-    """The order-dependent cascade: each document in order of seq sees the survivors of those before it.
-
-    batch and staged: uid, title_normalized, authority_tier, seq (staged ones come first). A superseded row leaves the
-    index; a title then stands for its row before. took: the rows that a superseding row replaces, nearest first.
-    Only staged rows with a batch row's uid or with a title like a batch row's take part. Order matters inside a
-    component of equal uids and similar titles only, so components are resolved apart, each in one task; similarities
-    are joined in, not computed there. A component is as large as one group of like titles.
-    """
-    cols = ["uid", "title_normalized", "authority_tier", "seq"]
-    new = batch.select(*cols, F.lit(False).alias("staged"))
-    old = staged.select(*cols, F.lit(True).alias("staged"))
-    x = new.select(F.col("title_normalized").alias("id"), F.col("title_normalized").alias("title")).distinct()
-    y = x.unionByName(old.select(F.col("title_normalized").alias("id"), F.col("title_normalized").alias("title"))).distinct()
-    near = checkpointed(similar(x, y, threshold))  # used several times; survives lost executors
-    seen = near.select(F.col("right_id").alias("title_normalized")).unionByName(x.select(F.col("id").alias("title_normalized"))).distinct()
-    some = old.join(seen, "title_normalized", "left_semi").unionByName(old.join(new.select("uid"), "uid", "left_semi")).distinct()
-    every = new.unionByName(some.select(*new.columns)).withColumn("t", F.concat(F.lit("t:"), "title_normalized"))
-    edges = every.select(F.col("t").alias("a"), F.concat(F.lit("u:"), "uid").alias("b")).unionByName(near.select(F.concat(F.lit("t:"), "left_id").alias("a"), F.concat(F.lit("t:"), "right_id").alias("b")).where("a <> b"))
-    likes = near.groupBy(F.col("left_id").alias("title_normalized")).agg(F.collect_list("right_id").alias("titles"), F.collect_list("score").alias("scores"))
-    rows = every.join(components(edges), F.col("t") == F.col("id")).select(*cols, "staged", "comp").join(likes, "title_normalized", "left")
-
-    def resolve(pdf: pd.DataFrame) -> pd.DataFrame:
-        held: dict[str, tuple[int, tuple[bool, int], list]] = {}  # uid: tier, row, rows it took
-        live: dict[str, list[tuple[tuple[int, int], str]]] = {}  # title: places and uids of its rows, in order
-        title_of: dict[str, str] = {}
-        out = []
-        for r in pdf.sort_values(["staged", "seq"], ascending=[False, True]).itertuples():
-            action, match, score, took = "new", None, 0.0, []
-            if not r.staged:
-                if r.uid in held:
-                    action, match, score = "duplicate_id", r.uid, 100.0
-                elif r.titles is not None:
-                    # most similar first, then the title held longest
-                    best = max(((s, [-k for k in live[t][0][0]], t) for t, s in zip(r.titles, r.scores, strict=True) if live.get(t)), default=None)
-                    if best:
-                        score, match = best[0], live[best[2]][-1][1]
-                        action = "supersedes" if r.authority_tier < held[match][0] else "duplicate_fuzzy"
-                if action == "supersedes":
-                    _, row, before = held.pop(match)
-                    took = [row, *before]
-                    live[title_of[match]] = [x for x in live[title_of[match]] if x[1] != match]
-                out.append((r.uid, r.seq, action, match, score, took))
-            if action in ("new", "supersedes"):
-                held[r.uid] = (r.authority_tier, (bool(r.staged), int(r.seq)), took)
-                title_of[r.uid] = r.title_normalized
-                live.setdefault(r.title_normalized, []).append(((0 if r.staged else 1, r.seq), r.uid))
-        made = pd.DataFrame(out, columns=["uid", "seq", "action", "matched_uid", "score", "took"])
-        made["took"] = [[{"staged": a, "seq": b} for a, b in x] for x in made["took"]]
-        return made
-
-    return rows.groupBy("comp").applyInPandas(resolve, DECISION)
-
-
 def merged(winners: DataFrame, rows: DataFrame) -> DataFrame:
     """Winners (with took) take over what they lack, and the uids, from the rows they replaced, which did so before.
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomsift.schema import FINAL_STATES, KEEP_DAYS, MAX_ATTEMPTS, QUEUE_LIMIT, SOURCE_ID, TTL_HOURS
+from loomsift.scratch import checkpointed, free_name
 
 
 def hours(n: int) -> Column:
@@ -172,15 +173,45 @@ def ranked_ids(found: DataFrame, per_source: int) -> DataFrame:
     return owner.withColumn("rank", rank).where(F.col("rank") <= per_source).select("source", "id", "rank", F.col("by.query").alias("found_by_query"))
 
 
+def pieces_of(outcomes: DataFrame) -> tuple[DataFrame, str]:
+    """The rows, dealt out by ranges of (source, seq), and the name of the added column with their range's number.
+
+    Stored, so that ranges stay as they are. A source of many rows is many pieces, in order.
+    """
+    piece = free_name("piece", outcomes.columns)
+    return checkpointed(outcomes.repartitionByRange("source", "seq").withColumn(piece, F.spark_partition_id())), piece
+
+
 def broken_circuits(outcomes: DataFrame, limit: int) -> DataFrame:
     """What is left of each source's ordered outcomes (source, seq, kind) when it is cut after ``limit`` failures in a row.
 
-    kind: ok, transient or permanent; only ok resets the count. The row that breaks the circuit is kept and marked.
+    kind: ok, transient or permanent; only ok resets the count. The row that breaks the circuit is kept and marked. seq is
+    unique in a source; extra columns are kept, but for one named breaks.
+
+    A scan in segments: each piece of a source folds to what it does to a run that comes in (the places of its first
+    ``limit`` failures before any ok, the first break after one, and the run that goes out); the pieces of a source, at most
+    one a partition, are chained; the piece that holds the break is cut there, and those behind it go.
     """
-    w = Window.partitionBy("source").orderBy("seq")
-    run = outcomes.withColumn("__ok", F.sum(F.when(F.col("kind") == "ok", 1).otherwise(0)).over(w))
-    in_run = Window.partitionBy("source", "__ok").orderBy("seq")
-    run = run.withColumn("__fails", F.sum(F.when(F.col("kind") == "transient", 1).otherwise(0)).over(in_run))
-    broke = run.withColumn("breaks", (F.col("kind") == "transient") & (F.col("__fails") == limit))
-    before = F.coalesce(F.max(F.col("breaks").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return broke.withColumn("__gone", before).where("__gone = 0").drop("__ok", "__fails", "__gone")
+    rows, piece = pieces_of(outcomes)
+    few = rows.select("source", "seq", "kind", F.col(piece).alias("piece"))
+    w = Window.partitionBy("source", "piece").orderBy("seq")
+    few = few.withColumn("oks", F.sum((F.col("kind") == "ok").cast("int")).over(w))
+    failed = F.col("kind") == "transient"
+    few = few.withColumn("fails", F.sum(failed.cast("int")).over(Window.partitionBy("source", "piece", "oks").orderBy("seq")))
+    folds = few.groupBy("source", "piece").agg(
+        F.array_sort(F.collect_list(F.when((F.col("oks") == 0) & failed & (F.col("fails") <= limit), F.col("seq")))).alias("first"),
+        F.min(F.when((F.col("oks") > 0) & failed & (F.col("fails") == limit), F.col("seq"))).alias("inner"),
+        F.max("oks").alias("oks"), F.max_by("fails", "seq").alias("last"),
+    )
+    seq = outcomes.schema["seq"].dataType
+    chained = folds.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("piece", "first", "inner", "oks", "last"))).alias("folds"))
+
+    def step(x: Column, f: Column) -> Column:
+        stop = F.coalesce(x["stop"], F.get(f["first"], F.lit(limit - 1) - x["run"]), f["inner"])
+        run = F.when(f["oks"] == 0, x["run"] + f["last"]).otherwise(f["last"])
+        return F.struct(F.least(run, F.lit(limit - 1).cast("long")).cast("int").alias("run"), stop.alias("stop"))  # at the limit it has stopped
+
+    begin = F.struct(F.lit(0).alias("run"), F.lit(None).cast(seq).alias("stop"))
+    stops = chained.select("source", F.explode("folds.piece").alias(piece), F.aggregate("folds", begin, step)["stop"].alias("breaks"))
+    kept = rows.drop("breaks").join(stops, ["source", piece]).where(F.col("breaks").isNull() | (F.col("seq") <= F.col("breaks")))
+    return kept.withColumn("breaks", F.coalesce(F.col("seq") == F.col("breaks"), F.lit(False))).select(*[c for c in outcomes.columns if c != "breaks"], "breaks")

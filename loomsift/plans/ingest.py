@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomsift.functions.rubric import DEFAULT, scored
-from loomsift.operators.dedup import greedy, merged
+from loomsift.operators.cascade import resolved
+from loomsift.operators.dedup import merged
 from loomsift.operators.health import batch_report
 from loomsift.operators.tables import broken_circuits, invalid, purged
 from loomsift.schema import BREAKER_FAILURES
@@ -36,7 +37,7 @@ class Batch(NamedTuple):
 
 def _decided(good: DataFrame, kept: DataFrame, as_of: Column, rubric: dict[str, Any], parse: Callable[[DataFrame], DataFrame] | None) -> tuple[DataFrame, DataFrame]:
     """Decisions on all rows; and the accepted rows, merged and judged, with an error (null if there is none)."""
-    decisions = checkpointed(greedy(good, kept))  # used several times; survives lost executors
+    decisions = checkpointed(resolved(good, kept))  # used several times; survives lost executors
     rows = good.withColumn("staged", F.lit(False)).unionByName(kept.withColumn("staged", F.lit(True)), allowMissingColumns=True)
     won = good.join(decisions.where(F.col("action").isin("new", "supersedes")).select("seq", "took"), "seq").select(*good.columns, "took")
     judged = scored(merged(won, rows).drop("took"), as_of, rubric).withColumn("rubric_score", F.col("rubric.total"))
@@ -55,7 +56,7 @@ def run(
 ) -> Batch:
     """fetched and staged: document rows with seq, unique in each (fetched ones follow the order of fetching).
 
-    Order matters only inside groups of like titles, which the greedy cascade resolves. A winner takes over what it
+    Order matters only inside groups of like titles, which the cascade resolves. A winner takes over what it
     lacks from the row it replaces, before it is scored; that row goes even if the winner fails the gate. parse sees
     passed rows only, and may add an error (``ERROR``). outages (``OUTAGE``): sources that gave nothing.
     Counts are of what was done in the batch, so a row that was queued and then replaced counts as queued.

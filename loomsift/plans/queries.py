@@ -5,13 +5,14 @@ The derivations in ``DERIVED`` are plain SQL that both engines read, so a query
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomsift.functions import guards, rubric, search_text, text
-from loomsift.operators import alerts, dedup, health, screening, sections, tables
+from loomsift.operators import alerts, cascade, containment, dedup, health, screening, sections, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -252,6 +253,13 @@ def q_circuit_breaker(spark, d):
     return tables.broken_circuits(base(spark, d, "events").select(F.col("user_id").alias("source"), F.col("event_id").alias("seq"), kind.alias("kind")), 3)
 
 
+@query("", CUT.replace("user_id as source", "'all' as source").replace("fails = 3", "fails = 8"))
+def q_breaker_one_source(spark, d):
+    """All outcomes as those of one source: its pieces are many tasks' work."""
+    kind = F.expr("case event_type when 'error' then 'transient' when 'signup' then 'permanent' when 'view' then 'transient' else 'ok' end")
+    return tables.broken_circuits(base(spark, d, "events").select(F.lit("all").alias("source"), F.col("event_id").alias("seq"), kind.alias("kind")), 8)
+
+
 # --- joins -----------------------------------------------------------------------------------------------------------
 
 RATED = "select uid from ratings"
@@ -329,17 +337,24 @@ QUOTED = f"select d.doc_id, b.item_id from documents d, benchmark b where contai
 
 @query("", QUOTED)
 def q_verify_quote(spark, d):
-    """Which benchmark passages stand in which documents: passages are dealt to documents by a rare word of theirs."""
-    docs = base(spark, d, "documents").select("doc_id", text.quote_form(F.col("text")).alias("t"))
-    quotes = base(spark, d, "benchmark").select("item_id", text.quote_form(F.col("text")).alias("q"))
-    # an inner word of a quote stands whole between spaces in any text that holds it: the longest one is its key
-    inner = F.split("q", " ")
-    key = F.element_at(F.array_sort(F.transform(F.slice(inner, 2, F.greatest(F.size(inner) - 2, F.lit(0))), lambda w: F.struct(-F.length(w), w.alias("w")))), 1)["w"]
-    few = quotes.where(F.size(inner) > 2).withColumn("w", key)
-    words = docs.select("doc_id", F.explode(F.array_distinct(F.split("t", " "))).alias("w")).join(few, "w").select("doc_id", "item_id", "q")
-    found = words.join(docs, "doc_id").where(F.contains("t", F.col("q")))
-    short = quotes.where(F.size(inner) <= 2)  # without an inner word: held against every text, the passages broadcast if small
-    return found.select("doc_id", "item_id").unionByName(docs.join(short, F.contains("t", F.col("q"))).select("doc_id", "item_id"))
+    """Which benchmark passages stand in which documents."""
+    docs = base(spark, d, "documents").select(F.col("doc_id").alias("key"), text.quote_form(F.col("text")).alias("text"))
+    quotes = base(spark, d, "benchmark").select(F.col("item_id").alias("id"), text.quote_form(F.col("text")).alias("needle"))
+    return containment.held(docs, quotes).select(F.col("key").alias("doc_id"), F.col("id").alias("item_id"))
+
+
+# Needles of every length, from two letters to sentences: part names, their first words, segments, and passages.
+NEEDLES = "select distinct n from (select p_name as n from part union all select split_part(p_name, ' ', 1) from part union all select substr(p_type, 1, 2) from part union all select lower(c_mktsegment) from customer union all select text from benchmark) x where n <> ''"
+
+
+@query("", f"select doc_id, n as needle from documents, ({NEEDLES}) y where contains(text, n)")
+def q_contains_any(spark, d):
+    """Every needle of a large list in every document that holds it."""
+    part, customer = base(spark, d, "part"), base(spark, d, "customer")
+    names = [part.select(F.col("p_name").alias("n")), part.select(F.split("p_name", " ")[0].alias("n")), part.select(F.substring("p_type", 1, 2).alias("n")), customer.select(F.lower("c_mktsegment").alias("n")), base(spark, d, "benchmark").select(F.col("text").alias("n"))]
+    needles = functools.reduce(DataFrame.unionByName, names).distinct()
+    docs = base(spark, d, "documents").select(F.col("doc_id").alias("key"), "text")
+    return containment.held(docs, needles.select(F.col("n").alias("id"), F.col("n").alias("needle"))).select(F.col("key").alias("doc_id"), F.col("id").alias("needle"))
 
 
 VERIFIED = f"""select doc_id, case when coalesce(q, '') <> '' then case when coalesce(text, '') <> '' and contains({FOLDED.format('text')}, {FOLDED.format('q')}) then 1 else 0 end when lower(trim(v)) in ('', 'false', 'null', 'none', '[]') then 2 else 0 end as verified from (
@@ -578,7 +593,15 @@ def q_dedup_decide(spark, d):
 @query()
 def q_dedup_greedy(spark, d):
     t = titles(spark, d)
-    return dedup.greedy(t.where("seq % 3 > 0"), t.where("seq % 3 = 0")).drop("took")
+    return cascade.resolved(t.where("seq % 3 > 0"), t.where("seq % 3 = 0")).drop("took")
+
+
+@query()
+def q_dedup_rounds(spark, d):
+    """All parts as one batch of many tiers, with the number of rows that each one replaces; a third has one title."""
+    t = titles(spark, d).withColumn("title_normalized", F.when(F.col("seq") % 3 == 0, "a title that a third of all rows has").otherwise(F.col("title_normalized")))
+    t = t.withColumn("authority_tier", F.pmod(-1 - F.col("seq"), F.lit(31)).cast("int"))
+    return cascade.resolved(t, t.where(F.lit(False))).withColumn("took", F.size("took"))
 
 
 # --- alerts ----------------------------------------------------------------------------------------------------------

@@ -25,3 +25,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """A column name like ``name`` that none of ``taken`` is; upper and lower case are one."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomsift import schema
-from loomsift.operators import alerts, dedup, health, screening, tables
+from loomsift.operators import alerts, cascade, dedup, health, screening, tables
 from loomsift.plans import heal, ingest
 from loomsift.sources import readers, remote, sinks
 from loomsift.streaming import flows
@@ -201,18 +201,69 @@ def test_blocked_join_loses_no_pair(spark):
 DOCS = "uid string, title_normalized string, authority_tier int, seq long, status string"
 
 
+@pytest.mark.parametrize("part", [3000, 10_000_000])
+def test_needles_in_texts(spark, part):
+    """Against every text and needle, in one part and in many."""
+    from loomsift.operators import containment
+
+    r = random.Random(5)
+    texts = [(k, "".join(r.choice("abé\U0001f600 ") for _ in range(r.randrange(60)))) for k in range(80)] + [(80, None), (81, ""), (3, "xyz" * 5000)]
+    needles = [(k, "".join(r.choice("abé ") for _ in range(r.randint(1, 5)))) for k in range(60)] + [(90, None), (91, ""), (92, "zx" + "yzx" * 3000), (93, "b"), (94, "b"), (95, "\U0001f600")]
+    df, some = spark.createDataFrame(texts, "key long, text string").withColumn("id", F.lit(1)), spark.createDataFrame(needles, "id int, needle string").withColumn("key", F.lit(1))
+    want = {(k, i) for k, t in texts for i, n in needles if t and n and n in t}
+    got = containment.held(df, some, part).collect()
+    assert len(got) == len(want) and {tuple(x) for x in got} == want
+    assert containment.held(df, some.where("id = 91")).collect() == [] and containment.held(df.where("key < 0"), some).collect() == []
+
+
+@pytest.mark.parametrize("limit", [1, 5])
+def test_circuits_of_split_sources(spark, limit):
+    """A loop over each source, one of which has most rows, against pieces of many partitions."""
+    r = random.Random(limit)
+    rows = [(r.choice("aaaaaabcd"), k, r.choice(["ok", "transient", "transient", "transient", "permanent"]), k % 3) for k in range(3000)] + [("e", 9000 + k, "transient", 0) for k in range(limit - 1)]
+    runs, gone, want = {}, set(), []
+    for s, k, kind, x in rows:
+        if s not in gone:
+            runs[s] = 0 if kind == "ok" else runs.get(s, 0) + (kind == "transient")
+            breaks = kind == "transient" and runs[s] == limit
+            gone |= {s} if breaks else set()
+            want.append((s, k, kind, x, breaks))
+    df = spark.createDataFrame(r.sample(rows, len(rows)), "source string, seq int, kind string, stop int").repartition(5)
+    got = tables.broken_circuits(df, limit)
+    assert got.columns == [*df.columns, "breaks"] and sorted(map(tuple, got.collect())) == sorted(want)
+    assert tables.broken_circuits(df.where("seq < 0"), limit).collect() == []
+
+
+def test_circuits_split_one_source(spark):
+    """Each piece of the one source is some of its rows, and no break is lost where pieces meet."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small pieces stay apart
+    df = spark.range(40_000).selectExpr("'s' as source", "id as seq", "case when id % 100 < 90 or id >= 35000 then 'transient' else 'ok' end as kind")
+    pieces, name = tables.pieces_of(df)
+    sizes = [r["count"] for r in pieces.groupBy(name).count().collect()]
+    assert len(sizes) > 4 and max(sizes) < 15_000
+    for limit in (91, 2000):
+        runs, stop = 0, None
+        for k in range(40_000):
+            runs = runs + 1 if k % 100 < 90 or k >= 35_000 else 0
+            if runs == limit:
+                stop = k
+                break
+        assert [r.seq for r in tables.broken_circuits(df, limit).where("breaks").collect()] == [stop]
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_cascade(spark):
     staged = spark.createDataFrame([("ieee:1", "deep learning for graphs a survey", 1, 0, "queued"), ("arxiv:2", "attention is all you need", 2, 1, "queued")], DOCS)
     new = spark.createDataFrame([("ieee:1", "x", 1, 2, ""), ("arxiv:3", "deep learning for graph a survey", 2, 3, ""), ("ieee:4", "attention is all you need", 1, 4, ""), ("arxiv:5", "quite other", 2, 5, "")], DOCS)
     want = {"ieee:1": ("duplicate_id", "ieee:1"), "arxiv:3": ("duplicate_fuzzy", "ieee:1"), "ieee:4": ("supersedes", "arxiv:2"), "arxiv:5": ("new", None)}
     assert {r.uid: (r.action, r.matched_uid) for r in dedup.decided(new, staged).collect()} == want
-    assert {r.uid: (r.action, r.matched_uid) for r in dedup.greedy(new, staged).collect()} == want
+    assert {r.uid: (r.action, r.matched_uid) for r in cascade.resolved(new, staged).collect()} == want
 
 
 def test_order_matters_inside_a_batch(spark):
     none = spark.createDataFrame([], DOCS)
     batch = spark.createDataFrame([("arxiv:1", "a b c d e f g h", 2, 0, ""), ("ieee:2", "a b c d e f g h", 1, 1, ""), ("arxiv:3", "a b c d e f g h", 2, 2, ""), ("arxiv:1", "zzz", 2, 3, "")], DOCS)
-    got = {r.seq: (r.action, r.matched_uid) for r in dedup.greedy(batch, none).collect()}
+    got = {r.seq: (r.action, r.matched_uid) for r in cascade.resolved(batch, none).collect()}
     assert got == {0: ("new", None), 1: ("supersedes", "arxiv:1"), 2: ("duplicate_fuzzy", "ieee:2"), 3: ("new", None)}
 
 
@@ -221,7 +272,7 @@ def test_superseding_chain_and_titles_that_come_back(spark):
     t = "a b c d e f g h i j"
     old = spark.createDataFrame([("x:1", t, 5, 0, "queued"), ("x:2", t, 4, 1, "queued"), ("x:3", "far from it all", 1, 2, "queued")], DOCS)
     batch = spark.createDataFrame([("y:1", t, 3, 0, ""), ("y:2", t, 2, 1, ""), ("y:3", t, 9, 2, ""), ("x:3", "w", 1, 3, "")], DOCS)
-    got = {r.seq: (r.action, r.matched_uid, [tuple(k) for k in r.took]) for r in dedup.greedy(batch, old).collect()}
+    got = {r.seq: (r.action, r.matched_uid, [tuple(k) for k in r.took]) for r in cascade.resolved(batch, old).collect()}
     assert got == {0: ("supersedes", "x:2", [(True, 1)]), 1: ("supersedes", "y:1", [(False, 0), (True, 1)]), 2: ("duplicate_fuzzy", "y:2", []), 3: ("duplicate_id", "x:3", [])}
 
 
@@ -232,10 +283,43 @@ def test_cascade_against_one_loop(spark):
     old = [(f"s:{k}", r.choice(names), r.randint(1, 3), k, "queued") for k in range(6)]
     new = [(r.choice([f"n:{k}", f"s:{r.randrange(6)}", f"n:{r.randrange(30)}"]), r.choice(names), r.randint(1, 3), k, "") for k in range(40)]
     want = slow_cascade([x[:4] for x in new], [x[:4] for x in old], 93)
-    got = dedup.greedy(spark.createDataFrame(new, DOCS), spark.createDataFrame(old, DOCS)).collect()
+    got = cascade.resolved(spark.createDataFrame(new, DOCS), spark.createDataFrame(old, DOCS)).collect()
+    assert sorted(((x.uid, x.seq, x.action, x.matched_uid, round(x.score, 6)) for x in got), key=str) == sorted(want, key=str)
+
+
+def test_cascade_of_a_hot_title_with_many_tiers(spark):
+    """A third of the rows have one title; tiers are many, uids come again, and some titles are empty: like none."""
+    r = random.Random(2)
+    names = ["one hot title of all titles here"] * 4 + ["one hot title of all titles her", "one hot title of all title here", "one hot title of all titles", "alone", ""]
+    old = [(f"s:{k}", r.choice(names), r.randint(1, 9), k, "queued") for k in range(8)]
+    new = [(r.choice([f"n:{k}", f"s:{r.randrange(8)}", f"n:{r.randrange(90)}"]), r.choice(names), r.randint(1, 9), k, "") for k in range(120)]
+    own = lambda rows: [(u, t or chr(0x4E00 + k) * 30, tier, k) for u, t, tier, k, _ in rows]
+    want = slow_cascade(own(new), own(old), 93)
+    got = cascade.resolved(spark.createDataFrame(new, DOCS), spark.createDataFrame(old, DOCS)).collect()
     assert sorted(((x.uid, x.seq, x.action, x.matched_uid, round(x.score, 6)) for x in got), key=str) == sorted(want, key=str)
 
 
+def test_a_hot_title_costs_rows_by_its_tiers(spark):
+    """Rounds look at the rows that may change the state, however many share a title."""
+    batch = spark.range(5000).selectExpr("concat('u:', id) as uid", "'the title of them all' as title_normalized", "cast(9 - id % 7 as int) as authority_tier", "id as seq")
+    none = spark.createDataFrame([], DOCS)
+    got = cascade.resolved(batch, none)
+    assert {(r.action, r["count"]) for r in got.groupBy("action").count().collect()} == {("new", 1), ("supersedes", 6), ("duplicate_fuzzy", 4993)}
+    last = got.where("seq = 6").first()
+    assert [k.seq for k in last.took] == [5, 4, 3, 2, 1, 0]
+    rows = batch.selectExpr("uid", "title_normalized as title", "authority_tier as tier", "struct(1 as batch, seq) as at")
+    near = spark.createDataFrame([("the title of them all", "the title of them all", 100.0)], "title string, other string, score double")
+    spans = rows.where("at.seq < 7").withColumn("end", F.expr("case when at.seq < 6 then struct(1 as batch, at.seq + 1 as seq) end"))
+    assert cascade._changing(rows, spans, near).count() <= 7 * 8
+
+
+def test_cascade_raises_when_rounds_run_out(spark):
+    batch = spark.createDataFrame([(f"u:{k}", "the title of them all", 9 - k, k, "") for k in range(4)], DOCS)
+    with pytest.raises(RuntimeError, match="1 rounds"):
+        cascade.resolved(batch, spark.createDataFrame([], DOCS), rounds=1)
+    assert cascade.resolved(batch.where("seq < 0"), batch).collect() == []
+
+
 def test_many_lanes_give_the_ratio(spark):
     r = random.Random(1)
     words = ["".join(r.choice("abcé ") for _ in range(r.choice([0, 1, 5, 40, 62, 63, 64, 90, 300]))) for _ in range(120)] + ["\0a", "a\0"]
@@ -461,10 +545,3 @@ def test_streams(spark, tmp_path):
     spark.createDataFrame([("a:1", at(1)), ("a:2", at(1)), ("b:1", at(1))], "uid string, created_at timestamp").write.parquet(f"{tmp_path}/d")
     w = flows.windowed_failures(spark.read.parquet(f"{tmp_path}/d"), span="24 hours", step="24 hours").collect()
     assert sorted((r.source, r.n) for r in w) == [("a", 2), ("b", 1)]
-
-
-def test_components_raise_when_rounds_run_out(spark):
-    chain = spark.createDataFrame([(f"{k:02d}", f"{k + 1:02d}") for k in range(20)], "a string, b string")
-    assert {r.comp for r in dedup.components(chain).collect()} == {"00"}
-    with pytest.raises(RuntimeError, match="1 rounds"):
-        dedup.components(chain, rounds=1)

@@ -30,7 +30,7 @@ def ran(spark, name):
 
 
 def test_every_query_is_held_against_something():
-    here = {"q_redact", "q_scan_entropy", "q_anchor_kinds", "q_firewall", "q_sections", "q_dedup_greedy"}
+    here = {"q_redact", "q_scan_entropy", "q_anchor_kinds", "q_firewall", "q_sections", "q_dedup_greedy", "q_dedup_rounds"}
     assert set(plans.QUERIES) - set(plans.ORACLE) == here
 
 
@@ -80,6 +80,15 @@ def test_cascade_of_all_titles(spark):
     assert sorted((r.uid, r.seq, r.action, r.matched_uid, round(r.score, 6)) for r in got) == sorted(want)
 
 
+def test_rounds_of_all_titles(spark):
+    hot = lambda k, t: "a title that a third of all rows has" if k % 3 == 0 else t
+    t = [(r.uid, hot(r.seq, r.title_normalized), (-1 - r.seq) % 31, r.seq) for r in plans.titles(spark, SF).collect()]
+    want = slow_cascade(t, [], TITLE_RATIO)
+    got = entry.queries()["q_dedup_rounds"](spark, SF).collect()
+    assert sorted((r.uid, r.seq, r.action, r.matched_uid, round(r.score, 6)) for r in got) == sorted(want, key=lambda x: x[0])
+    assert {r.took > 0 for r in got if r.action == "supersedes"} == {True} and max(r.took for r in got) > 1
+
+
 def test_all_like_titles_are_paired(spark):
     """Brute force over every two parts, of equal and unequal parity."""
     t = sorted(tuple(r) for r in plans.titles(spark, SF).select("uid", "title_normalized").collect())
