@@ -18,7 +18,7 @@ from loomsift.operators.dedup import merged
 from loomsift.operators.health import batch_report
 from loomsift.operators.tables import broken_circuits, invalid, purged
 from loomsift.schema import BREAKER_FAILURES
-from loomsift.scratch import checkpointed
+from loomsift.scratch import checkpointed, free_name
 
 ERROR = "struct<type:string,detail:string,transient:boolean>"
 OUTAGE = "source string, error_type string, error_detail string, transient boolean"
@@ -35,8 +35,22 @@ class Batch(NamedTuple):
     quarantined: DataFrame
 
 
-def _decided(good: DataFrame, kept: DataFrame, as_of: Column, rubric: dict[str, Any], parse: Callable[[DataFrame], DataFrame] | None) -> tuple[DataFrame, DataFrame]:
-    """Decisions on all rows; and the accepted rows, merged and judged, with an error (null if there is none)."""
+def _parsed(passed: DataFrame, parse: Callable[[DataFrame], DataFrame], known: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """The rows as parse gives them; and the same with a mark of what each was made of. Rows that are ``known``, unchanged,
+    aren't parsed again: a model is asked once a row, however many rounds there are."""
+    mark = free_name("mark", [*passed.columns, *(known.columns[:-1] if known is not None else [])])
+    rows = passed.withColumn(mark, F.xxhash64(*sorted(passed.columns)))
+    fresh = rows if known is None else rows.join(known.select("seq", F.col(known.columns[-1]).alias(mark)), ["seq", mark], "left_anti")
+    made = checkpointed(parse(fresh.drop(mark)).join(fresh.select("seq", mark), "seq"))
+    if known is not None:
+        before = known.withColumnRenamed(known.columns[-1], mark)
+        made = made.unionByName(before.join(rows.select("seq", mark), ["seq", mark], "left_semi"), allowMissingColumns=True)
+    made = made.select(*[c for c in made.columns if c != mark], mark)
+    return made.drop(mark), made
+
+
+def _decided(good: DataFrame, kept: DataFrame, as_of: Column, rubric: dict[str, Any], parse: Callable[[DataFrame], DataFrame] | None, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Decisions on all rows; the accepted rows, merged and judged, with an error (null if there is none); and what was parsed."""
     decisions = checkpointed(resolved(good, kept))  # used several times; survives lost executors
     rows = good.withColumn("staged", F.lit(False)).unionByName(kept.withColumn("staged", F.lit(True)), allowMissingColumns=True)
     won = good.join(decisions.where(F.col("action").isin("new", "supersedes")).select("seq", "took"), "seq").select(*good.columns, "took")
@@ -44,11 +58,11 @@ def _decided(good: DataFrame, kept: DataFrame, as_of: Column, rubric: dict[str,
     judged = judged.withColumn("status", F.when(F.col("rubric.passed"), "queued").otherwise("rejected"))
     passed, failed = judged.where("status = 'queued'"), judged.where("status = 'rejected'")
     if parse is not None:
-        passed = parse(passed)
+        passed, known = _parsed(passed, parse, known)
     if "error" not in passed.columns:
         passed = passed.withColumn("error", F.lit(None).cast(ERROR))
     passed = passed.withColumn("status", F.when(F.col("error").isNull(), F.col("status")).otherwise("dlq"))
-    return decisions, checkpointed(passed.unionByName(failed, allowMissingColumns=True))
+    return decisions, checkpointed(passed.unionByName(failed, allowMissingColumns=True)), known
 
 
 def run(
@@ -65,8 +79,9 @@ def run(
     bad = invalid(fetched.withColumn("critique_questions", F.lit(None).cast("array<struct<question:string,labels:array<string>>>")))
     good = every = fetched.join(bad.select("seq"), "seq", "left_anti").select(*fetched.columns)
     kept, gone = purged(staged, as_of)
+    known = None
     while True:
-        decisions, judged = _decided(good, kept, as_of, rubric, parse)
+        decisions, judged, known = _decided(good, kept, as_of, rubric, parse, known)
         errors = judged.where("error is not null").select("seq", F.when(F.col("error.transient"), "transient").otherwise("permanent").alias("kind"))
         if not errors.take(1):
             broken = good.select("source").where(F.lit(False))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomsift.functions import guards, rubric, search_text, text
-from loomsift.operators import alerts, cascade, containment, dedup, health, screening, sections, tables
+from loomsift.operators import alerts, cascade, containment, dedup, distinct, firewall, health, screening, sections, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -85,6 +85,28 @@ def q_status_counts(spark, d):
     return health.status_counts(derived(spark, d, "staged"))
 
 
+@query("", """with x as (select distinct event_type, user_id, cast(ts as date) as day from events)
+    select a.event_type, a.day, count(distinct b.user_id) as n from (select distinct event_type, day from x) a join x b on a.event_type = b.event_type and b.day between a.day - 6 and a.day group by 1, 2""")
+def q_rolling_users(spark, d):
+    """Distinct users of each week that ends on a day, by type of event, from a bitmap a day."""
+    rows = base(spark, d, "events").select("event_type", F.to_date("ts").alias("day"), F.col("user_id").alias("uid"))
+    return distinct.rolling(distinct.daily(rows, distinct.numbered(rows), ["event_type"]), ["event_type"], 7)
+
+
+DATED = "select uid, coalesce(criterion_id, 'Unknown') as criterion_id, verdict, date '2024-01-01' + cast(id % 28 as int) as day from ratings"
+
+
+@query("ratings", f"select criterion_id, count(distinct uid) as n from ({DATED}) x where verdict = 'exclude' and day between date '2024-01-05' and date '2024-01-18' group by criterion_id")
+def q_exclusion_span(spark, d):
+    """Exclusion reasons over two weeks, from daily bitmaps that were made in two loads."""
+    r = derived(spark, d, "ratings").where("verdict = 'exclude'")
+    rows = r.select("uid", F.coalesce("criterion_id", F.lit("Unknown")).alias("criterion_id"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 28).cast("int")).alias("day"), (F.col("id") % 2).alias("load"))
+    some = rows.where("load = 0")
+    ids = distinct.numbered(rows, distinct.numbered(some))
+    kept = distinct.added(distinct.daily(some, ids, ["criterion_id"]), distinct.daily(rows.where("load = 1"), ids, ["criterion_id"]), ["criterion_id"])
+    return distinct.counted(kept.where("day between date'2024-01-05' and date'2024-01-18'"), ["criterion_id"])
+
+
 @query("dlq", "select error_type, count(*) as n, cast(sum(case when retry_eligible then 1 else 0 end) as bigint) as eligible from dlq group by error_type")
 def q_error_rollup(spark, d):
     return health.failures_by_error(derived(spark, d, "dlq"))
@@ -469,10 +491,7 @@ def q_anchor_kinds(spark, d):
 @query()
 def q_firewall(spark, d):
     """Each answer of a conversation against all that was said before it: numbers that came from nowhere are warnings."""
-    said = base(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("turns"))
-    x = base(spark, d, "conversations").join(said, "conv_id").withColumn("sources", F.transform(F.filter("turns", lambda t: t["turn"] < F.col("turn")), lambda t: t["text"]))
-    x = x.select(F.struct("conv_id", "turn").alias("key"), "text", "sources")
-    return guards.checked_anchors(x, "key", "text", "sources", strict=False).select("key.conv_id", "key.turn", "passed", "anchors_checked", F.size("warnings").alias("n_warnings"))
+    return firewall.checked_turns(base(spark, d, "conversations")).select("conv_id", "turn", "passed", "anchors_checked", "n_warnings")
 
 
 @query()

@@ -201,6 +201,48 @@ def test_blocked_join_loses_no_pair(spark):
 DOCS = "uid string, title_normalized string, authority_tier int, seq long, status string"
 
 
+@pytest.mark.parametrize("part", [12, 10_000_000])
+def test_turns_against_what_was_said(spark, part):
+    """Pieces of a long conversation, needles in parts, odd turns; against a loop over all earlier turns."""
+    from loomsift.functions import guards
+    from loomsift.operators import firewall
+
+    r = random.Random(7)
+    words = ["10.0.0.1", "10.0.0.12", "see", "port 8080", "192.168.1.1:80", "v1.2.3", "“q” – x", "2024-01-05", "https://a.example/b"]
+    turns = [(r.choice([1, 1, 1, 2, 3]), k, " ".join(r.choice(words) for _ in range(r.randrange(5)))) for k in range(150)]
+    turns += [(4, 0, None), (4, 1, ""), (5, 0, "10.0.0.1"), (5, 1, "x10.0.0.1y"), (None, 1, "10.0.0.1"), (6, None, "10.0.0.1")]
+    normal = lambda t: " ".join((t or "").translate(str.maketrans("‘’“”–—", "''\"\"--")).split())
+    want = []
+    for c, k, t in turns:
+        if c is not None and k is not None:
+            before = [normal(x) for d, j, x in turns if d == c and j is not None and j < k and x]
+            found = [normal(a[1]) for a in guards.anchor_spans(t or "")]
+            n = sum(not any(x in b for b in before) for x in found)
+            want.append((c, k, n == 0, len(found), n, 0))
+    df = spark.createDataFrame(turns, "conv_id int, turn int, text string").withColumn("piece", F.lit(1)).withColumn("part", F.lit("x"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    assert sorted(map(tuple, firewall.checked_turns(df, strict=True, part=part).collect())) == sorted(want)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {r.passed for r in firewall.checked_turns(df).collect()} == {True} and firewall.checked_turns(df.where("turn < 0")).collect() == []
+
+
+def test_daily_bitmaps_add_up(spark):
+    from loomsift.operators import distinct
+
+    r = random.Random(1)
+    rows = [(r.choice("ab"), dt.date(2024, 1, 1 + r.randrange(9)), r.choice([None, *(f"u{k}" for k in range(300))])) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "kind string, day date, uid string")
+    ids = distinct.numbered(df.where("uid < 'u2'"))
+    every = distinct.numbered(df, ids)
+    assert sorted(x.id for x in every.collect()) == list(range(len({u for _, _, u in rows if u}))) and set(map(tuple, ids.collect())) <= set(map(tuple, every.collect()))
+    days = distinct.daily(df, every, ["kind"])
+    count = lambda k, a, z: len({u for x, d, u in rows if x == k and a <= d.day <= z and u})
+    got = {x.kind: x.n for x in distinct.counted(days.where("day between date'2024-01-02' and date'2024-01-05'"), ["kind"]).collect()}
+    assert got == {k: count(k, 2, 5) for k in "ab"}
+    assert {(x.kind, x.day.day): x.n for x in distinct.rolling(days, ["kind"], 3).collect()} == {(k, z): count(k, z - 2, z) for k in "ab" for z in range(1, 10)}
+    assert distinct.counted(distinct.added(days, days, ["kind"]), []).first().n == every.count() and distinct.counted(days.where("day is null"), ["kind"]).collect() == []
+
+
 @pytest.mark.parametrize("part", [3000, 10_000_000])
 def test_needles_in_texts(spark, part):
     """Against every text and needle, in one part and in many."""
@@ -458,8 +500,15 @@ def test_batch_failures(spark):
     good = (*paper(8, "x")[:2], "nonsense", *paper(8, "x")[3:])
     out = spark.createDataFrame([("s", "Timeout", "no answer", True)], ingest.OUTAGE)
     kinds = {uids(0): "transient", uids(1): "permanent", uids(3): "transient", uids(4): "transient", uids(5): "transient", uids(6): "transient"}
-    b = ingest.run(spark.createDataFrame([*rows, good], PAPERS), staged(spark), now(), parse=failing(kinds), outages=out)
+    asked, parse = [], failing(kinds)
+
+    def counted(df):
+        asked.extend(x.uid for x in df.select("uid").collect())
+        return parse(df)
+
+    b = ingest.run(spark.createDataFrame([*rows, good], PAPERS), staged(spark), now(), parse=counted, outages=out)
     r = b.report.first()
+    assert len(asked) == len(set(asked)) == 9  # the round after a break asks nothing again
     # 3, 4 and 5 fail in a row: 6 and 7 were never looked at; the other source goes on
     assert (r.fetched, r.new, r.queued, r.dlq, r.skipped_sources) == (9, 7, 2, 7, ["arxiv", "s"])
     assert {x.uid: x.status for x in b.staged.collect()} == {uids(2): "queued", "ieee:10000009": "queued"} | {uids(k): "dlq" for k in (0, 1, 3, 4, 5)}
@@ -545,3 +594,37 @@ def test_streams(spark, tmp_path):
     spark.createDataFrame([("a:1", at(1)), ("a:2", at(1)), ("b:1", at(1))], "uid string, created_at timestamp").write.parquet(f"{tmp_path}/d")
     w = flows.windowed_failures(spark.read.parquet(f"{tmp_path}/d"), span="24 hours", step="24 hours").collect()
     assert sorted((r.source, r.n) for r in w) == [("a", 2), ("b", 1)]
+
+
+@pytest.fixture
+def rocks(spark):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    yield spark
+    spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+
+
+def fed(spark, tmp_path, batches, schema, flow):
+    """The rows of a stream over the batches, one a trigger."""
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in/{k}")
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+    name = f"t{tmp_path.name.replace('-', '_')}"
+    q = flow(s).writeStream.format("memory").queryName(name).outputMode("append").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    return spark.table(name)
+
+
+def test_alerts_go_off_without_new_rows(rocks, tmp_path):
+    """The clock is other keys' rows: an open alert reminds each day, a silent source opens after 36 hours."""
+    h = lambda n: dt.datetime(2026, 1, 1) + dt.timedelta(hours=n)
+    batches = [[("down", True, h(0)), ("calm", False, h(0)), ("tick", False, h(0))], [("tick", False, h(20))], [("tick", False, h(30))], [("tick", False, h(50)), ("down", False, h(52))], [("tick", False, h(60)), ("calm", False, h(61))], [("tick", False, h(62))]]
+    rows = fed(rocks, tmp_path, batches, "key string, wanted boolean, at timestamp", flows.timed_alerts)
+    got = sorted((r.key, (r.at - h(0)).total_seconds() / 3600, r.transition) for r in rows.collect())
+    assert got == [("calm", 36, "OPEN"), ("calm", 60, "REALERT"), ("calm", 61, "RESOLVED"), ("down", 0, "OPEN"), ("down", 24, "REALERT"), ("down", 48, "REALERT"), ("down", 52, "RESOLVED")]
+
+
+def test_touches_run_out_without_new_rows(rocks, tmp_path):
+    h = lambda n: dt.datetime(2026, 1, 1) + dt.timedelta(hours=n)
+    batches = [[("a", h(0)), ("b", h(1)), ("c", h(30))], [("a", h(40)), ("c", h(72))], [("c", h(80))], [("c", h(120))], [("c", h(121))]]
+    rows = fed(rocks, tmp_path, batches, "uid string, at timestamp", flows.expired)
+    assert sorted((r.uid, (r.at - h(0)).total_seconds() / 3600) for r in rows.collect()) == [("a", 112), ("b", 73)]
