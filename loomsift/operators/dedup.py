@@ -103,13 +103,30 @@ def similar(left: DataFrame, right: DataFrame, threshold: float = TITLE_RATIO) -
     """
     if threshold <= 200 / 3:
         raise ValueError("below two thirds, similar titles may have no piece in common")
+    scored = matched(left, offered(right, threshold), threshold)
+    return left.select(F.col("id").alias("left_id"), F.col("title").alias("x")).join(scored, "x").join(right.select(F.col("id").alias("right_id"), F.col("title").alias("y")), "y").select("left_id", "right_id", "score")
+
+
+def _range(m: Column, threshold: float) -> tuple[Column, Column]:
+    """The lengths that titles like one of length m may have."""
     t = threshold / 100
-    names, others = _titles(left, "x"), _titles(right, "y")
-    n, m, s = F.length("x"), F.length("y"), F.col("s")
-    low, high = F.ceil(m * t / (2 - t) - 1e-9).cast("int"), F.floor(m * (2 - t) / t + 1e-9).cast("int")
+    return F.ceil(m * t / (2 - t) - 1e-9).cast("int"), F.floor(m * (2 - t) / t + 1e-9).cast("int")
+
+
+def offered(right: DataFrame, threshold: float = TITLE_RATIO) -> DataFrame:
+    """The runs of characters (y, y1, y2, size, at, run) by which distinct titles can be found: what an index keeps."""
+    others, m = _titles(right, "y"), F.length("y")
+    low, high = _range(m, threshold)
     steps = F.array_distinct(F.transform(F.sequence(F.greatest(F.lit(1), low), high), lambda k: _step(k, threshold)))
     runs = others.withColumn("size", F.explode(steps)).where("size <= length(y)").withColumn("at", F.explode(F.sequence(F.lit(0), m - F.col("size"))))
-    runs = runs.withColumn("run", F.expr("substring(y, at + 1, size)"))
+    return runs.withColumn("run", F.expr("substring(y, at + 1, size)"))
+
+
+def matched(left: DataFrame, runs: DataFrame, threshold: float = TITLE_RATIO) -> DataFrame:
+    """Distinct pairs of a left title and one that is offered: x, y and score."""
+    t = threshold / 100
+    names, n, m, s = _titles(left, "x"), F.length("x"), F.length("y"), F.col("s")
+    low, high = _range(m, threshold)
     held = runs.groupBy(F.col("run").alias("piece")).agg(F.count("*").alias("held"))
     cut = names.withColumn("s", _step(n, threshold)).withColumn("d", _edits(n, threshold)).withColumn("k", F.floor(n / s).cast("int"))
     cut = cut.withColumn("place", F.explode(F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda p: p * s))).withColumn("piece", F.expr("substring(x, place + 1, s)"))
@@ -123,8 +140,7 @@ def similar(left: DataFrame, right: DataFrame, threshold: float = TITLE_RATIO) -
         & (F.bit_count(F.col("x1").bitwiseXOR(F.col("y1"))) <= edits) & (F.bit_count(F.col("x2").bitwiseXOR(F.col("y2"))) <= 3 * edits)
     )
     pairs = rare.join(runs, near).select("x", "y").distinct()
-    scored = pairs.withColumn("score", indel_ratio("x", "y")).where(F.col("score") >= threshold)
-    return left.select(F.col("id").alias("left_id"), F.col("title").alias("x")).join(scored, "x").join(right.select(F.col("id").alias("right_id"), F.col("title").alias("y")), "y").select("left_id", "right_id", "score")
+    return pairs.withColumn("score", indel_ratio("x", "y")).where(F.col("score") >= threshold)
 
 
 def decided(candidates: DataFrame, existing: DataFrame, threshold: float = TITLE_RATIO) -> DataFrame:

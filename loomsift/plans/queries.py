@@ -6,6 +6,7 @@ The derivations in ``DERIVED`` are plain SQL that both engines read, so a query
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,15 +48,23 @@ DERIVED = {
 }
 
 
+def over(spark: SparkSession, sf_dir: str, sql: str, tables_: tuple[str, ...]) -> DataFrame:
+    """SQL over given tables: views of this call only, which go when its plan is made."""
+    views = []
+    for name in tables_:
+        if f" {name}" in sql:
+            views.append(f"{name}_{uuid.uuid4().hex}")
+            base(spark, sf_dir, name).createTempView(views[-1])
+            sql = sql.replace(f"from {name}", f"from {views[-1]}").replace(f"join {name}", f"join {views[-1]}")
+    try:
+        return spark.sql(sql)
+    finally:
+        for v in views:
+            spark.catalog.dropTempView(v)
+
+
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A derived table; its base tables are views of this call only."""
-    sql = DERIVED[name]
-    for base in ("documents", "labels", "events"):
-        if f" {base}" in sql:
-            view = f"loomsift_{base}"
-            spark.read.parquet(f"{sf_dir}/{base}.parquet").createOrReplaceTempView(view)
-            sql = sql.replace(f"from {base}", f"from {view}").replace(f"join {base}", f"join {view}")
-    return spark.sql(sql)
+    return over(spark, sf_dir, DERIVED[name], ("documents", "labels", "events"))
 
 
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -505,8 +514,7 @@ HEADS = "select p_partkey, concat(case p_partkey % 6 when 0 then 'Introduction t
 
 @query("", f"select p_partkey, case when regexp_matches(lower(h), 'introduction|background|problem|motivation') then 'context' when regexp_matches(lower(h), 'method|approach|proposed|architecture|design') then 'method' when regexp_matches(lower(h), 'result|evaluation|experiment|findings') then 'findings' when regexp_matches(lower(h), 'discussion|conclusion|limitation|future work') then 'implications' end as role from ({HEADS}) x")
 def q_roles(spark, d):
-    base(spark, d, "part").createOrReplaceTempView("loomsift_part")
-    return spark.sql(HEADS.replace("from part", "from loomsift_part")).select("p_partkey", sections.role(F.col("h")).alias("role"))
+    return over(spark, d, HEADS, ("part",)).select("p_partkey", sections.role(F.col("h")).alias("role"))
 
 
 # --- rubric ----------------------------------------------------------------------------------------------------------
@@ -524,11 +532,7 @@ TOTAL = f"select uid, round_even((30 * s1 + 20 * s2 + 25 * s3 + 15 * s4 + 10 * s
 
 
 def papers(spark: SparkSession, d: str) -> DataFrame:
-    sql = PAPER
-    for t in ("orders", "customer", "documents"):
-        base(spark, d, t).createOrReplaceTempView(f"loomsift_{t}")
-        sql = sql.replace(f"from {t}", f"from loomsift_{t}").replace(f"join {t}", f"join loomsift_{t}")
-    return spark.sql(sql).withColumn("authors", F.when(F.col("n_authors") == 1, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>")))
+    return over(spark, d, PAPER, ("orders", "customer", "documents")).withColumn("authors", F.when(F.col("n_authors") == 1, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>")))
 
 
 def rated_papers(spark: SparkSession, d: str) -> DataFrame:

@@ -4,6 +4,9 @@
 
 The transport is injected: ``search(query, start, size)`` returns (number of all results, rows of this page). Rate limits and
 server errors are tried again inside tasks. As a stream, the offset is the number of results that were read.
+
+Spark keeps what was pushed with the loaded frame, so that a frame that was filtered by one query gives that query's results
+when it is used again under another filter or none. Load anew for each query, as :func:`found` does.
 """
 
 from __future__ import annotations
@@ -11,6 +14,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, In, InputPartition
 
 from loomsift.sources.remote import retried
@@ -116,3 +121,9 @@ def source(name: str, columns: str, search: Search, size: int = 100, sleep: Call
             return _Stream(search, self._query(), size, sleep)
 
     return Found
+
+
+def found(spark: SparkSession, name: str, *queries: str, most: int | None = None) -> DataFrame:
+    """The results of queries, of a registered source: a load of their own."""
+    reader = spark.read.format(name) if most is None else spark.read.format(name).option("most", str(most))
+    return reader.load().where(F.col("query").isin(*queries))

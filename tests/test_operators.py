@@ -596,6 +596,28 @@ def test_streams(spark, tmp_path):
     assert sorted((r.source, r.n) for r in w) == [("a", 2), ("b", 1)]
 
 
+def test_titles_as_they_come(spark, tmp_path):
+    """Three micro-batches give the pairs of one batch; a batch that comes again gives its own, and adds nothing."""
+    from loomsift.streaming import title_index
+
+    r = random.Random(11)
+    seeds = ["deep learning for large graphs", "a survey of entity resolution", "streams with timers and state"]
+    rows = [(str(k), "".join(c for c in r.choice(seeds) if r.random() > 0.03)) for k in range(60)] + [("60", ""), ("61", None), ("62", seeds[0]), ("63", seeds[0])]
+    batch = {i: k % 3 for k, (i, _) in enumerate(rows)}
+    for n in range(3):
+        spark.createDataFrame([x for x in rows if batch[x[0]] == n], "id string, title string").coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
+    df = spark.createDataFrame(rows, "id string, title string")
+    want = {(x.left_id, x.right_id, round(x.score, 6)) for x in dedup.similar(df, df).collect() if batch[x.right_id] <= batch[x.left_id]}
+    s = spark.readStream.schema("id string, title string").option("maxFilesPerTrigger", "1").option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+    index, got = title_index.TitleIndex(f"{tmp_path}/index"), {}
+    keep = lambda pairs, n: got.__setitem__(n, [(x.left_id, x.right_id, round(x.score, 6)) for x in pairs.collect()])
+    title_index.similar_as_they_come(s, index, keep, f"{tmp_path}/c").awaitTermination(300)
+    assert sorted(sum(got.values(), [])) == sorted(want) and len(got) == 3 and len(want) > 200
+    runs = spark.read.parquet(f"{tmp_path}/index/runs").count()
+    again = index.extended(spark.read.schema("id string, title string").parquet(f"{tmp_path}/in/1"), 1).collect()
+    assert sorted((x.left_id, x.right_id, round(x.score, 6)) for x in again) == sorted(got[1]) and spark.read.parquet(f"{tmp_path}/index/runs").count() == runs
+
+
 @pytest.fixture
 def rocks(spark):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")

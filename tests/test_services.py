@@ -107,10 +107,11 @@ def test_search_with_pages_and_rate_limits(spark, tmp_path):
     got = df.where(F.col("query") == kind).where("p_partkey >= 0")
     assert len(want) > 14 and set(map(tuple, got.collect())) == want and got.rdd.getNumPartitions() == -(-len(want) // 7)
     assert {q for q, _, _ in noted(calls_)} == {kind}
-    assert df.where(F.col("query").isin(kind, "no such")).count() == len(want) and df.where("query = 'no such'").collect() == []
+    assert search.found(spark, "part_search", kind, "no such").count() == len(want) and search.found(spark, "part_search", "no such").collect() == []
+    assert search.found(spark, "part_search", kind, most=9).count() == 9
     assert spark.read.format("part_search").option("most", "10").option("query", kind).load().count() == 10
     with pytest.raises(Exception, match="query"):
-        df.count()
+        spark.read.format("part_search").load().count()
     q = spark.readStream.format("part_search").option("query", kind).load().writeStream.format("memory").queryName("found_parts").option("checkpointLocation", f"{tmp_path}/c").trigger(processingTime="1 second").start()
     for _ in range(60):
         if spark.table("found_parts").count() == len(want):
