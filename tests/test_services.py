@@ -19,12 +19,14 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers don't fin
 
 
 def note(folder, what):
-    with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+    name = uuid.uuid4().hex
+    with open(f"{folder}/.{name}", "w") as f:
         json.dump(what, f)
+    os.replace(f"{folder}/.{name}", f"{folder}/{name}")  # readers see whole notes
 
 
 def noted(folder):
-    return [json.load(open(f"{folder}/{n}")) for n in os.listdir(folder)]
+    return [json.load(open(f"{folder}/{n}")) for n in os.listdir(folder) if n[0] != "."]
 
 
 def made(tmp_path, name):
