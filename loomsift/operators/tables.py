@@ -51,12 +51,13 @@ def appended(log: DataFrame, rows: DataFrame, as_of: Column, seq: str = "id") ->
     """
     begin = log.agg(F.coalesce(F.max(seq), F.lit(0)).alias("m")).first()["m"]
     cols = [c for c in log.columns if c not in (seq, "created_at")]
+    part, at, shift = (free_name(c, log.columns) for c in ("part", "at", "shift"))
     # a count is given, so that adaptive execution leaves the partitions of both uses alone
     n = int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.select(*cols).repartitionByRange(n, *[F.col(c) for c in cols]).sortWithinPartitions(*cols).withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id())
-    first = dealt.groupBy("__p").agg(F.min("__i").alias("__first"), F.count("*").alias("__n"))
-    first = first.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row a partition
-    numbered = dealt.join(F.broadcast(first), "__p").withColumn(seq, (F.col("__i") - F.col("__first") + F.col("__before") + 1 + begin).cast("bigint"))
+    dealt = rows.select(*cols).repartitionByRange(n, *[F.col(c) for c in cols]).sortWithinPartitions(*cols).withColumn(part, F.spark_partition_id()).withColumn(at, F.monotonically_increasing_id())
+    first = dealt.groupBy(part).agg(F.min(at).alias("first"), F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row a partition
+    numbered = dealt.join(F.broadcast(first.select(part, (before - F.col("first") + 1 + begin).alias(shift))), part).withColumn(seq, (F.col(at) + F.col(shift)).cast("bigint"))
     return log.unionByName(numbered.withColumn("created_at", as_of).select(*log.columns))
 
 
@@ -149,9 +150,10 @@ def retryable(dlq: DataFrame, reachable: DataFrame | None = None) -> DataFrame:
 
 def bumped(dlq: DataFrame, failed: DataFrame) -> DataFrame:
     """One more attempt for entries (by id) that failed again; at the limit they may not be retried."""
-    mark = failed.select("id", F.lit(True).alias("__again"))
-    n = F.col("attempts") + F.when(F.col("__again"), 1).otherwise(0)
-    return dlq.join(mark, "id", "left").withColumn("attempts", n.cast("int")).withColumn("retry_eligible", F.col("retry_eligible") & ~(F.coalesce("__again", F.lit(False)) & (F.col("attempts") >= MAX_ATTEMPTS))).select(*dlq.columns)
+    again = free_name("again", dlq.columns)
+    mark = failed.select("id", F.lit(True).alias(again))
+    n = F.col("attempts") + F.when(F.col(again), 1).otherwise(0)
+    return dlq.join(mark, "id", "left").withColumn("attempts", n.cast("int")).withColumn("retry_eligible", F.col("retry_eligible") & ~(F.coalesce(again, F.lit(False)) & (F.col("attempts") >= MAX_ATTEMPTS))).select(*dlq.columns)
 
 
 def still_failing(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -226,6 +226,22 @@ def test_turns_against_what_was_said(spark, part):
     assert {r.passed for r in firewall.checked_turns(df).collect()} == {True} and firewall.checked_turns(df.where("turn < 0")).collect() == []
 
 
+def test_clashing_column_names(spark):
+    """Columns with the names that operators add for themselves stay as they are."""
+    from loomsift.functions import guards
+    from loomsift.operators import sections
+
+    dlq = spark.createDataFrame([(1, 4, True, "x", "y", "z")], "id long, attempts int, retry_eligible boolean, again string, `AGAIN_` string, __again string")
+    assert [tuple(r) for r in tables.bumped(dlq, dlq).collect()] == [(1, 5, False, "x", "y", "z")]
+    log = spark.createDataFrame([(7, "a", "p", 1, T0)], "id long, part string, at string, shift int, created_at timestamp")
+    rows = spark.createDataFrame([("c", "q", 2), ("b", "q", 3)], "part string, at string, shift int")
+    assert sorted(tuple(r)[:4] for r in tables.appended(log, rows, now()).collect()) == [(7, "a", "p", 1), (8, "b", "q", 3), (9, "c", "q", 2)]
+    docs = spark.createDataFrame([("1. Introduction\nsome text", "ieee", 5, 6)], "full_text string, source string, parts int, rules int")
+    r = sections.canonical(docs).first()
+    assert (r.parts, r.sections.context.content) == (5, "some text")
+    assert [tuple(r) for r in guards.sanitized(docs, "full_text").collect()] == [tuple(r) for r in docs.collect()]
+
+
 def test_daily_bitmaps_add_up(spark):
     from loomsift.operators import distinct
 
