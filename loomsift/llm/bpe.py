@@ -2,10 +2,13 @@
 
 Every text is chunks of ``CHUNK`` code points, each with the first ``OVERLAP`` of the next. A chunk is pre-tokenised on its
 own; its first pre-token may begin mid-word, its last may be cut off. Two neighbours' pre-tokens resynchronise at a
-boundary that both find in their overlap. Only boundaries between a non-space and a space count: no pre-token of the
-pattern spans one, and none looks behind it. A chunk's pre-tokens from the first such boundary at its head to the first
+boundary that both find in their overlap. The boundaries that count are those which every scan finds, wherever it began:
+behind a non-space before white space, and where letters, numbers and symbols change (but for an apostrophe before a letter,
+which may be a contraction). No pre-token of the pattern spans one, and none looks behind it, so text without white space
+(Chinese, base64) is stitched too. A chunk's pre-tokens from the first such boundary at its head to the first
 one at its tail are encoded where the chunk is; the ids are put in order where neighbours agree on the boundary. Chunks
-whose overlap has none (one unbroken run) are joined and encoded together. Decoding concatenates the ids' raw bytes.
+whose overlap has none (a run of one kind, over ``OVERLAP`` long, which is one pre-token) are joined and encoded together.
+Decoding concatenates the ids' raw bytes.
 
 A text of one chunk has no overlap to stitch, and is encoded where it is read; the chunks of longer ones are dealt out, so
 one long text is the work of many tasks.
@@ -16,8 +19,11 @@ null doc_id is kept; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import itertools
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +39,29 @@ from loomsift.llm.tokens import SEPARATOR, pattern
 
 CHUNK, OVERLAP, VOCABULARY = 16_384, 1024, "byte_bpe_multi_50k.tiktoken"
 OUT = "doc_id long, n_tokens long, ids binary, decoded binary"
-#: A non-space before white space. (The separators are white space to Python only, so they are on neither side.)
-BOUNDARY = re.compile(r"\S(?=[^\S\x1c-\x1f])")
+
+
+@functools.lru_cache(maxsize=1)
+def kinds() -> tuple[str, str, str]:
+    """Classes of letters, numbers and symbols: characters of the basic plane on whose kind Unicode's versions agree.
+
+    Symbols are what the pattern takes for such: all but letters, numbers and white space, here without controls.
+    """
+    of: dict[str, list[int]] = {"L": [], "N": [], "S": []}
+    for k in range(0x10000):
+        old, new = (u.category(chr(k))[0].translate(str.maketrans("MP", "SS")) for u in (unicodedata.ucd_3_2_0, unicodedata))
+        if old == new and old in of:
+            of[old].append(k)
+    runs = [[[x[1] for x in g] for _, g in itertools.groupby(enumerate(ks), lambda x: x[1] - x[0])] for ks in of.values()]
+    letters, numbers, symbols = ("".join(f"\\u{g[0]:04x}-\\u{g[-1]:04x}" for g in r) for r in runs)
+    return letters, numbers, symbols
+
+
+@functools.lru_cache(maxsize=1)
+def boundaries() -> re.Pattern[str]:
+    """The character before a boundary. (The separators are white space to Python only, so they are on neither side.)"""
+    letter, number, symbol = kinds()
+    return re.compile(rf"\S(?=[^\S\x1c-\x1f])|[{letter}](?=[{number}{symbol}])|[{number}](?=[{letter}{symbol}])|[{symbol}](?=[{number}])|(?!')[{symbol}](?=[{letter}])")
 
 
 def encode(enc: tiktoken.Encoding, text: str) -> bytes:
@@ -59,8 +86,8 @@ def decode(enc: tiktoken.Encoding, ids: bytes) -> bytes:
 
 
 def boundary(text: str, low: int, high: int) -> int | None:
-    """The first place in [low, high) at which a non-space is followed by white space; not at the text's ends."""
-    m = BOUNDARY.search(text, max(0, low - 1), high)
+    """The first place in [low, high) that is a boundary to every scan; not at the text's ends."""
+    m = boundaries().search(text, max(0, low - 1), high)
     return m.end() if m and m.end() < min(high, len(text)) else None
 
 
@@ -135,7 +162,7 @@ def of_many_chunks(docs: DataFrame, path: str, digest: bool, chunk: int = CHUNK,
             for parts in b.column("parts").to_pylist():
                 if len(parts) == 1:
                     out.append(parts[0]["ids"])
-                else:  # an unbroken run over their overlaps
+                else:  # a run of one kind over their overlaps
                     text = "".join(p["text"] if p is parts[-1] else p["text"][:chunk] for p in parts)
                     base, first, last = parts[0]["n"] * chunk, parts[0]["head"], parts[-1]["tail"]
                     out += enc.encode([text[first - base : last - base]])

@@ -84,18 +84,19 @@ def _removed(spark: SparkSession, path: str) -> None:
 class Memory:
     """Values of strings that repeat, made by a function of many at once.
 
-    Two generations of some ``most`` strings are held: one that isn't asked for again goes with its generation, so memory
-    is bounded and follows the data. Only speed depends on it.
+    Two generations of some ``most`` strings, of 32 characters on average at most, are held: one that isn't asked for again
+    goes with its generation, so memory is bounded and follows the data. Only speed depends on it.
     """
 
     def __init__(self, make: Callable[[list[str]], Iterable[bytes]], most: int = 300_000) -> None:
         self.make, self.most = make, most
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.held = 0
 
     def of(self, lists: list[list[str]]) -> list[list[bytes]]:
-        if len(self.known) > self.most:
-            self.known, self.old = {}, self.known
+        if len(self.known) > self.most or self.held > 32 * self.most:
+            self.known, self.old, self.held = {}, self.known, 0
         get, old = self.known.get, self.old
         found = [list(map(get, x)) for x in lists]
         holes = [[k for k, v in enumerate(f) if v is None] if None in f else [] for f in found]
@@ -103,6 +104,7 @@ class Memory:
         met = new & old.keys()
         self.known.update((x, old[x]) for x in met)
         todo = list(new - met)
+        self.held += sum(map(len, new))
         if todo:
             self.known.update(zip(todo, self.make(todo), strict=True))
         for x, f, h in zip(lists, found, holes, strict=True):

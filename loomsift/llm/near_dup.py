@@ -1,6 +1,8 @@
 """MinHash near-dedup with sequential Bayesian verification.
 
-A text's set is its distinct 5-word shingles, as 64-bit hashes. Texts with equal sets are one node (their fingerprint).
+A text's set is its distinct 5-word shingles, as 64-bit hashes. Texts with equal sets are one node: their fingerprint of 64
+bits, and another of 64 more that is made from other hashes of the shingles. Sets that agree in the first only are told apart
+by a new node, so it takes 128 bits for two sets to be one without being compared.
 1. Each node has BANDS * ROWS minima; ``BANDS`` bands of ``ROWS`` minima put nodes into buckets. Two sets of similarity
    0.75 share no bucket with probability (1 - 0.75**7)**64, one in ten thousand; of similarity 0.8, three in ten
    million. Bands are long, so texts that share only a common passage seldom meet. The minima are
@@ -51,12 +53,19 @@ SMALL, LARGE = 128, 512
 VALUES = 2_000_000
 
 
-def shingles(text: str | None) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text."""
+def shingles(text: str | None) -> tuple[np.ndarray, int]:
+    """Sorted distinct shingle hashes of a text, and the sum of other hashes of these shingles (a signed long)."""
     ws = common.ascii_lower(text).split()
     if not ws:
-        return np.empty(0, np.uint64)
-    return np.unique(common.window_hashes(common.hashes(ws), min(SHINGLE, len(ws))))
+        return np.empty(0, np.uint64), 0
+    k = min(SHINGLE, len(ws))
+    s, at = np.unique(common.window_hashes(common.hashes(ws), k), return_index=True)
+    others = common.window_hashes(np.fromiter(map(xxhash.xxh64_intdigest, ws), np.uint64, len(ws)), k)
+    return s, int(others[at].sum(dtype=np.uint64).astype(np.int64))
+
+
+def fingerprint(s: np.ndarray) -> int:
+    return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64))
 
 
 @functools.lru_cache(maxsize=1)
@@ -118,21 +127,31 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, node (64-bit fingerprint of the set, null if it is empty) and buckets of each document."""
-    like = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("buckets", pa.binary())])
+    """doc_id, n_shingles, two fingerprints of the set (null if it is empty) and buckets of each document."""
+    like = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("print", pa.int64()), ("other", pa.int64()), ("buckets", pa.binary())])
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.sliced(batches):
-            ids, n, node, bands = b.column("doc_id"), [], [], []
+            ids, n, prints, others, bands = b.column("doc_id"), [], [], [], []
             for i, t in zip(ids.to_pylist(), b.column("text").to_pylist(), strict=True):
-                s = shingles(t)
+                s, other = shingles(t)
                 n.append(len(s))
                 alone = not len(s) or i is None
-                node.append(None if alone else int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64)))
+                prints.append(None if alone else fingerprint(s))
+                others.append(None if alone else other)
                 bands.append(None if alone else bucket_hashes(minima(s)).tobytes())
-            yield common.batch({"doc_id": ids, "n_shingles": n, "node": node, "buckets": bands}, like)
+            yield common.batch({"doc_id": ids, "n_shingles": n, "print": prints, "other": others, "buckets": bands}, like)
+
+    return docs.mapInArrow(of, "doc_id long, n_shingles long, print long, other long, buckets binary")
+
 
-    return docs.mapInArrow(of, "doc_id long, n_shingles long, node long, buckets binary")
+def with_nodes(rows: DataFrame) -> DataFrame:
+    """Rows with their node: the fingerprint, or a new one for sets that share it and differ in the other (but for the least)."""
+    clash = rows.groupBy("print").agg(F.min("other").alias("least"), F.max("other").alias("most")).where("least <> most")
+    if not clash.take(1):  # nearly always, short of some 10^9 different sets
+        return rows.withColumn("node", F.col("print"))
+    x = rows.join(clash.select("print", "least"), "print", "left")
+    return common.stored(x.select(*rows.columns, F.when(F.col("other") > F.col("least"), F.xxhash64("print", "other")).otherwise(F.col("print")).alias("node")), "near-nodes")
 
 
 def buckets(nodes: DataFrame) -> DataFrame:
@@ -281,16 +300,16 @@ def connected(links: DataFrame, rounds: int = 50) -> DataFrame:
 def components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept, a row a document."""
     docs = docs.select("doc_id", "text")
-    rows = common.stored(signatures(docs), "near-signatures")
+    rows = with_nodes(common.stored(signatures(docs), "near-signatures"))
     known = rows.where(F.col("node").isNotNull())
-    nodes = known.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"))  # equal in all its rows
+    nodes = known.groupBy("node").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n_shingles", "print", "other")])  # equal in all its rows
     in_buckets = buckets(known.groupBy("node").agg(F.first("buckets").alias("buckets")))
     several = in_buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     shared = common.stored(in_buckets.join(several, "bucket"), "near-buckets")
     meets = shared.groupBy("node").agg(F.sum("n").alias("meets")).join(nodes.select("node", "n_shingles"), "node")
     members = common.stored(shared.select("bucket", "node").join(meets, "node"), "near-members")
     few = meets.select("node")
-    whole = common.stored(_sets(docs, nodes.select("node", "doc_id").join(few, "node")), "near-sets")
+    whole = common.stored(_sets(docs, nodes.select("node", "doc_id", "print", "other").join(few, "node")), "near-sets")
     minima_of, sets = whole.select("node", "minima"), whole.select("node", "shingles")
 
     hubs = members.groupBy("bucket").agg(F.max(F.struct("meets", "node")).alias("hub"))
@@ -335,9 +354,9 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.sliced(batches):
             out = []
-            for node, t in zip(b.column("node").to_pylist(), b.column("text").to_pylist(), strict=True):
-                s = shingles(t)
-                if int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64)) == node:  # else another row with this doc_id
+            for node, print_, other, t in zip(*(b.column(c).to_pylist() for c in ("node", "print", "other", "text")), strict=True):
+                s, of_text = shingles(t)
+                if (fingerprint(s), of_text) == (print_, other):  # else another row with this doc_id
                     out.append((node, s.tobytes(), minima(s).tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), *(pa.array([x[k] for x in out], pa.binary()) for k in (1, 2))], names=["node", "shingles", "minima"])
 

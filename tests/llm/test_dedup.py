@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from loomsift.llm import near_dup, substring
 
@@ -244,3 +245,18 @@ def test_kept_tables_may_be_empty(odd, nothing):
 def test_cut_text_keeps_spaces_of_kept_words():
     assert substring.cut_text("a\tb  c\nd ", [False, True, False, False]) == "a  c\nd"
     assert substring.cut_text(" a b", [True, False]) == "b"
+
+
+def test_sets_with_one_fingerprint_stay_apart(spark, monkeypatch):
+    """Sets that share 64 bits are told apart by 64 more; documents of one set stay one node."""
+    rows = [(1, "a b c d e f"), (2, "v w x y z"), (3, "A b c d e f"), (4, "v w x y z q"), (5, "one"), (6, None), (7, "one")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    made = near_dup.signatures(df).withColumn("print", F.when(F.col("print").isNotNull(), F.lit(7).cast("long")))
+    nodes = near_dup.with_nodes(made).groupBy("node").agg(F.sort_array(F.collect_list("doc_id")).alias("ids"), F.count_distinct("other").alias("n"))
+    assert sorted((r.ids, r.n) for r in nodes.where("node is not null").collect()) == [([1, 3], 1), ([2], 1), ([4], 1), ([5, 7], 1)]
+    assert near_dup.with_nodes(near_dup.signatures(df)).where("node <> print").count() == 0
+    for f in (lambda s: len(s) % 2, lambda s: 7):
+        monkeypatch.setattr(near_dup, "fingerprint", f)
+        made = near_dup.with_nodes(near_dup.signatures(df))
+        assert made.where("node is not null").select("node").distinct().count() == 4
+        assert sorted(map(tuple, near_dup.components(df).collect()), key=str) == components(rows)

@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -36,6 +37,46 @@ def test_bpe_gives_ids_and_bytes(odd, nothing):
     assert bpe.tokenise(nothing).collect() == []
 
 
+def test_bpe_stitches_texts_without_white_space(spark):
+    """An unbroken text is the work of many tasks: no chunk keeps its text to be joined with others."""
+    enc = secrets.vocabulary(public_tokenizers.path(bpe.VOCABULARY))
+    r = np.random.default_rng(5)
+    han = "".join(map(chr, r.integers(0x4E00, 0x9FA5, 500)))
+    some = lambda alphabet, n: "".join(r.choice(list(alphabet), n))
+    rows = [(1, (han + "，" + han[:77] + "。") * 60), (2, some("0123456789abcdefABCDEF", 40_000)), (3, some("ก็ขา้ที่", 40_000)), (4, some("don't's'll've", 40_000))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    made = bpe.chunks(df, public_tokenizers.path(bpe.VOCABULARY), bpe.CHUNK, bpe.OVERLAP)
+    assert made.where("text is not null").count() == 0 and made.count() == 12
+    rows.append((5, "x" * 40_000 + "7" * 40_000))  # two pre-tokens
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: bytes(x.ids) for x in bpe.tokenise(df).collect()}
+    assert got == {i: little(enc.encode_ordinary(t)) for i, t in rows}
+
+
+def test_boundaries_are_the_pattern_s():
+    """Whatever the scan began with, a pre-token ends at each of them: every character of the classes beside some of each."""
+    split = regex.compile(public_tokenizers.PATTERN).findall
+    chars = [chr(k) for k in range(0x10000) if not 0xD800 <= k < 0xE000]
+    found = set()
+    for c in chars:
+        for t in (t for d in "aé漢7²,'\u0301\n " for x in (d + c, c + d) for t in (x, "'" + x, " " + x + "l")):
+            m = bpe.boundaries().search(t)
+            if m:
+                found.add(c)
+                assert m.end() in np.cumsum([len(x) for x in split(t)]), ascii(t)
+    assert len(found) > 40_000
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet="abLs 7²é,.'’\n\t漢ก\u0e31\u0301😀", max_size=40), st.integers(1, 30))
+def test_scans_resynchronise_at_boundaries(text, start):
+    """A scan that begins anywhere before a boundary has a pre-token end there."""
+    split = regex.compile(public_tokenizers.PATTERN).findall
+    for m in bpe.boundaries().finditer(text):
+        for k in {0, min(start, m.end() - 1)}:
+            assert m.end() - k in np.cumsum([len(x) for x in split(text[k:])])
+
+
 PIECES = [tokens.Encoder(public_tokenizers.path(v), s, most=20) for v, s in ((tokens.VOCABULARY, True), (packing.VOCABULARY, False))]
 LIBRARY = [library(tokens.VOCABULARY), library(packing.VOCABULARY)]
 
