@@ -59,7 +59,11 @@ def shingles(text: str | None) -> tuple[np.ndarray, int]:
     if not ws:
         return np.empty(0, np.uint64), 0
     k = min(SHINGLE, len(ws))
-    s, at = np.unique(common.window_hashes(common.hashes(ws), k), return_index=True)
+    h = common.window_hashes(common.hashes(ws), k)
+    at = np.argsort(h)
+    h = h[at]
+    first = np.concatenate([[True], h[1:] != h[:-1]])
+    s, at = h[first], at[first]
     others = common.window_hashes(np.fromiter(map(xxhash.xxh64_intdigest, ws), np.uint64, len(ws)), k)
     return s, int(others[at].sum(dtype=np.uint64).astype(np.int64))
 
