@@ -55,38 +55,65 @@ def turned(n: int) -> np.ndarray:
 
 
 class Code:
-    """A canonical prefix code given the lengths of its symbols: symbol and length for each value of the next bits."""
+    """A canonical prefix code given the lengths of its symbols: symbol and length for each value of the next bits.
+
+    table: the symbol, and in the low four bits the length.
+    """
 
     def __init__(self, lengths: np.ndarray) -> None:
         used = np.flatnonzero(lengths)
-        self.bits = 0
+        self.bits, self.only = 0, int(used[0]) if len(used) else 0
         if len(used) < 2:
-            self.symbols, self.sizes = np.array([used[0] if len(used) else 0]), np.zeros(1, np.int64)
+            self.table = np.array([self.only << 4])
             return
         size = lengths[used]
         self.bits = int(size.max())
+        # codes in canonical order fill the longest one's range
+        order = np.argsort(size, kind="stable")
+        used, size = used[order], size[order].astype(np.int64)
         span = 1 << (self.bits - size)
         if int(span.sum()) != 1 << self.bits:
             raise ValueError("a prefix code is not complete")
-        # codes in canonical order fill the longest one's range
-        order = np.argsort(size, kind="stable")
-        self.symbols, self.sizes = (np.repeat(x[order], span[order])[turned(self.bits)] for x in (used, size))
-
-    @functools.cached_property
-    def pairs(self) -> list[tuple[int, int]]:
-        return list(zip(self.symbols.tolist(), self.sizes.tolist(), strict=True))
+        self.table = np.repeat(used << 4 | size, span)[turned(self.bits)]
 
     def read(self, r: Bits) -> int:
-        if not self.bits:
-            return int(self.symbols[0])
-        s, n = self.pairs[r.peek(self.bits)]
-        r.at += n
-        return s
+        x = int(self.table[r.peek(self.bits)])
+        r.at += x & 15
+        return x >> 4
+
+    def entries(self, values: np.ndarray) -> np.ndarray:
+        """The table's entries where these are the next bits."""
+        return self.table.take(values & ((1 << self.bits) - 1))
 
     def look(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Symbols and lengths where these are the next bits."""
-        k = values & ((1 << self.bits) - 1)
-        return self.symbols[k], self.sizes[k]
+        x = self.entries(values)
+        return x >> 4, x & 15
+
+
+@functools.lru_cache(maxsize=64)
+def code_of(lengths: bytes) -> Code:
+    """The code of these lengths, a byte a symbol; an image's red and blue often have the same."""
+    return Code(np.frombuffer(lengths, np.uint8))
+
+
+@functools.lru_cache(maxsize=1024)
+def small_code(lengths: tuple[int, ...]) -> tuple[list[tuple[int, int]], int]:
+    """Symbol and length for each value of the next bits, of a code of few symbols, and the mask of those bits."""
+    used = sorted((n, s) for s, n in enumerate(lengths) if n)
+    if len(used) < 2:
+        return [(used[0][1] if used else 0, 0)], 0
+    bits = used[-1][0]
+    size, at, turn = 1 << bits, 0, turned(bits).tolist()
+    out = [(0, 0)] * size
+    for n, s in used:
+        if at >= size:
+            break
+        out[turn[at] :: 1 << n] = [(s, n)] * (size >> n)
+        at += size >> n
+    if sum(size >> n for n, _ in used) != size:
+        raise ValueError("a prefix code is not complete")
+    return out, size - 1
 
 
 def reversed_bits(x: np.ndarray, n: int) -> np.ndarray:
@@ -97,44 +124,49 @@ def reversed_bits(x: np.ndarray, n: int) -> np.ndarray:
 
 
 def read_code(r: Bits, alphabet: int) -> Code:
-    lengths = np.zeros(alphabet, np.int64)
     if r.read(1):
         two, wide = r.read(1), r.read(1)
+        lengths = bytearray(alphabet)
         lengths[r.read(8 if wide else 1)] = 1
         if two:
             lengths[r.read(8)] = 1
-        return Code(lengths)
-    of_lengths = np.zeros(19, np.int64)
-    for i in range(4 + r.read(4)):
-        of_lengths[LENGTH_ORDER[i]] = r.read(3)
-    code = Code(of_lengths)
+        return code_of(bytes(lengths))
+    of_lengths = [0] * 19
+    some = LENGTH_ORDER[: 4 + r.read(4)]
+    bits = int.from_bytes(r.data[r.at >> 3 : (r.at >> 3) + 9], "little") >> (r.at & 7)
+    for s in some:
+        of_lengths[s] = bits & 7
+        bits >>= 3
+    r.at += 3 * len(some)
+    pairs, mask = small_code(tuple(of_lengths))
     left = 2 + r.read(2 + 2 * r.read(3)) if r.read(1) else alphabet
-    pairs, mask = code.pairs, (1 << code.bits) - 1
-    out: list[int] = []
-    last, bits, held = 8, 0, 0  # bits to come, and their number
-    while len(out) < alphabet and left:
-        if held < 32:
-            k = r.at >> 3
-            part = r.data[k : k + 128]
-            bits, held = int.from_bytes(part, "little") >> (r.at & 7), max(64, 8 * len(part) - (r.at & 7))
+    out = bytearray()
+    last, n, bits, held, at = 8, 0, 0, 0, r.at  # bits to come, and their number
+    while n < alphabet and left:
+        if held < 14:
+            k = at >> 3
+            bits, held = int.from_bytes(r.data[k : k + 14], "little") >> (at & 7), 105
         left -= 1
-        s, n = pairs[bits & mask]
+        s, size = pairs[bits & mask]
         if s < 16:
             out.append(s)
             last = s or last
+            n += 1
         else:
             low, more = (3, 2) if s == 16 else (3, 3) if s == 17 else (11, 7)
-            out += [last if s == 16 else 0] * (low + ((bits >> n) & ((1 << more) - 1)))
-            n += more
-        bits >>= n
-        held -= n
-        r.at += n
-    if len(out) > alphabet:
+            k = low + ((bits >> size) & ((1 << more) - 1))
+            out += (last if s == 16 else 0).to_bytes() * k
+            n += k
+            size += more
+        bits >>= size
+        held -= size
+        at += size
+    r.at = at
+    if n > alphabet:
         raise ValueError("code lengths run over the alphabet")
-    if r.at > 8 * len(r.data):
+    if at > 8 * len(r.data):
         raise ValueError("the stream ends early")
-    lengths[: len(out)] = out
-    return Code(lengths)
+    return code_of(bytes(out.ljust(alphabet, b"\0")))
 
 
 def read_value(r: Bits, prefix: int) -> int:
@@ -150,32 +182,41 @@ STRETCH, LITERAL = 1 << 15, 60
 
 
 class Stretch:
-    """For each bit of a stretch, the pixel that begins there, and where the next one begins.
+    """For each bit of a stretch, where the pixel after the one that begins there begins.
 
-    argb: a literal, whose four codes begin there, or -1 - k for entry k of the colour cache. next is -1 at a back-reference.
+    next is -1 at a back-reference and -2 past the stretch. A literal's four codes stand one after the other.
     """
 
     def __init__(self, r: Bits, codes: list[list[Code]]) -> None:
-        self.begin = r.at >> 3 << 3
+        self.codes, self.begin = codes, r.at >> 3 << 3
         raw = np.frombuffer(r.data[self.begin >> 3 : (self.begin + STRETCH + 2 * LITERAL + 24) >> 3].ljust(3, b"\0") + b"\0\0", np.uint8).astype(np.int64)
-        at = raw[:-2] | raw[1:-1] << 8 | raw[2:] << 16
-        values = ((at[:, None] >> np.arange(8)) & 0xFFFF).ravel()
-        here, last = np.arange(len(values)), len(values) - 1
-        self.end = self.begin + min(STRETCH, last + 1)
-        self.next, self.argb = [], []
+        self.values = values = ((raw[:-2] | raw[1:-1] << 8 | raw[2:] << 16)[:, None] >> np.arange(8)).ravel()
+        here = np.arange(len(values))
+        self.end = self.begin + min(STRETCH, len(values))
+        self.next = []
         for green, red, blue, alpha, _ in codes:
-            g, size = green.look(values)
-            place = first = here + size
-            argb = g << 8
-            for code, shift in ((red, 16), (blue, 0), (alpha, 24)):
+            g = green.entries(values)
+            place = first = here + (g & 15)
+            for code in (red, blue, alpha):
                 if code.bits:
-                    x, size = code.look(values[np.minimum(place, last)])
-                    argb = argb | x << shift
-                    place = place + size
-                else:
-                    argb = argb | int(code.symbols[0]) << shift
-            self.next.append(memoryview(np.where(g < 256, place, np.where(g < 280, -1, first))))
-            self.argb.append(np.where(g < 256, argb, 279 - g))
+                    place = place + (code.entries(values.take(place, mode="clip")) & 15)
+            np.copyto(place, first, where=g >= 280 << 4)
+            place[(g >= 256 << 4) & (g < 280 << 4)] = -1
+            place[self.end - self.begin :] = -2
+            self.next.append(memoryview(np.append(place, [-2] * (4 * LITERAL))))
+
+    def pixels(self, places: np.ndarray, group: int = 0) -> np.ndarray:
+        """What begins at these bits: a literal's argb, or -1 - k for entry k of the colour cache."""
+        green, *others, _ = self.codes[group]
+        g = green.entries(self.values[places])
+        place, argb = places + (g & 15), g >> 4 << 8
+        for code, shift in zip(others, (16, 0, 24), strict=True):
+            if code.bits:
+                x = code.entries(self.values.take(place, mode="clip"))
+                place, argb = place + (x & 15), argb | x >> 4 << shift
+            else:
+                argb |= code.only << shift
+        return np.where(g < 256 << 4, argb, 279 - (g >> 4))
 
 
 class Cache:
@@ -244,26 +285,38 @@ def read_pixels(r: Bits, width: int, height: int, main: bool) -> np.ndarray:
             some = Stretch(r, codes)
         # pixels up to the stretch's end or a back-reference
         first, places, of_group = n, [], []
-        at, end, begin, hop = r.at - some.begin, some.end - some.begin, some.begin, some.next[0]
-        while n < total and at < end:
-            if which is not None:
+        at, hop, add = r.at - some.begin, some.next[0], places.append
+        if which is None:
+            for _ in range(total - n):
+                after = hop[at]
+                if after < 0:
+                    break
+                add(at)
+                at = after
+            n += len(places)
+        else:
+            while n < total:
                 g = which[((n // width) >> shift) * across + ((n % width) >> shift)]
-                hop = some.next[g]
+                after = some.next[g][at]
+                if after < 0:
+                    break
                 of_group.append(g)
-            after = hop[at]
-            if after < 0:
-                break
-            places.append(at)
-            at = after
-            n += 1
-        r.at = begin + at
+                add(at)
+                at = after
+                n += 1
+        r.at = some.begin + at
         if r.at > ends:
             raise ValueError("the stream ends early")
         if places:
-            argb[first:n] = some.argb[0][places] if which is None else [some.argb[j][p] for j, p in zip(of_group, places, strict=False)]
+            at_bits, in_group = np.array(places), np.array(of_group)
+            if which is None:
+                argb[first:n] = some.pixels(at_bits)
+            else:
+                for k in np.unique(in_group).tolist():
+                    argb[first:n][in_group == k] = some.pixels(at_bits[in_group == k], k)
             if cache is not None and (argb[first:n] < 0).any():
                 cache.resolve(argb, first, n)
-        if n == total or at >= end:
+        if n == total or r.at >= some.end:
             continue
         green, _, _, _, dist = codes[g]
         length = read_value(r, green.read(r) - 256)
@@ -279,7 +332,7 @@ def read_pixels(r: Bits, width: int, height: int, main: bool) -> np.ndarray:
         n += length
         if r.at > ends:
             raise ValueError("the stream ends early")
-    return np.stack([(argb >> by) & 255 for by in (16, 8, 0, 24)], axis=1).astype(np.uint8).reshape(height, width, 4)
+    return argb.astype("<u4").view(np.uint8).reshape(height, width, 4)[..., [2, 1, 0, 3]]
 
 
 def _average(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -317,6 +370,14 @@ def invert_predictor(p: np.ndarray, modes: np.ndarray, bits: int) -> np.ndarray:
     out = p.astype(np.int64)
     out[0, 0] = (out[0, 0] + (0, 0, 0, 255)) & 255
     out[0] = np.cumsum(out[0], axis=0) & 255
+    used = np.unique(modes[..., 1] & 15).tolist()
+    if used in ([1], [2]):  # sums of a row from its first pixel, or of a column, all at once
+        if used == [1]:
+            out[:, 0] = np.cumsum(out[:, 0], axis=0)
+            out[1:] = np.cumsum(out[1:], axis=1)
+        else:
+            out = np.cumsum(out, axis=0)
+        return (out & 255).astype(np.uint8)
     for y in range(1, height):
         out[y, 0] = (out[y, 0] + out[y - 1, 0]) & 255
         row = modes[y >> bits, :, 1] & 15

@@ -7,8 +7,10 @@ codes of the symbols that are left. Streams are a function of the pixels alone.
 
 from __future__ import annotations
 
+import collections
 import functools
 import itertools
+import re
 
 import numpy as np
 
@@ -29,7 +31,7 @@ class Writer:
         self.n += n
 
     def put_all(self, values: np.ndarray, sizes: np.ndarray) -> None:
-        """Many values of at most 15 bits."""
+        """Many values of at most 32 bits."""
         end = np.cumsum(sizes)
         at = self.n % 32 + end - sizes
         word, bits = at >> 5, values.astype(np.uint64) << (at & 31).astype(np.uint64)
@@ -55,21 +57,33 @@ def code_lengths(counts: np.ndarray, limit: int) -> np.ndarray:
     weights = counts[used]
     while True:
         order = np.argsort(weights, kind="stable")
-        heap = [*weights[order].tolist(), *[0] * (n - 1)]
-        up, leaf, inner = [0] * (2 * n - 1), 0, n
-        for made in range(n, 2 * n - 1):
-            for _ in range(2):  # the lightest of the leaves and inner nodes left, both in order of weight
-                if leaf < n and (inner >= made or heap[leaf] <= heap[inner]):
-                    k, leaf = leaf, leaf + 1
-                else:
-                    k, inner = inner, inner + 1
-                heap[made] += heap[k]
-                up[k] = made
-        depth = [0] * (2 * n - 1)
-        for k in range(2 * n - 3, -1, -1):
-            depth[k] = depth[up[k]] + 1
-        if max(depth[:n]) <= limit:
-            out[used[order]] = depth[:n]
+        leaves, inner = [*weights[order].tolist(), 1 << 62], [1 << 62] * n
+        over_leaf, over_inner = [0] * n, [0] * n
+        i = j = 0
+        for made in range(n - 1):  # the two lightest of the leaves and inner nodes left, both in order of weight
+            if leaves[i] <= inner[j]:
+                weight = leaves[i]
+                over_leaf[i] = made
+                i += 1
+            else:
+                weight = inner[j]
+                over_inner[j] = made
+                j += 1
+            if leaves[i] <= inner[j]:
+                weight += leaves[i]
+                over_leaf[i] = made
+                i += 1
+            else:
+                weight += inner[j]
+                over_inner[j] = made
+                j += 1
+            inner[made] = weight
+        depth = [1] * n
+        for k in range(n - 3, -1, -1):
+            depth[k] = depth[over_inner[k]] + 1
+        sizes = [depth[k] for k in over_leaf]
+        if max(sizes) <= limit:
+            out[used[order]] = sizes
             return out
         weights = (weights + 1) >> 1
 
@@ -79,7 +93,7 @@ def canonical(lengths: np.ndarray) -> np.ndarray:
     used = np.flatnonzero(lengths)
     out = np.zeros(len(lengths), np.int64)
     if len(used) > 1:
-        order = used[np.argsort(lengths[used], kind="stable")]
+        order = used[np.argsort(lengths[used].astype(np.int8), kind="stable")]
         size = lengths[order]
         span = 1 << (15 - size)
         out[order] = vp8l.turned(15)[np.cumsum(span) - span] & ((1 << size) - 1)
@@ -97,39 +111,71 @@ def write_code(w: Writer, lengths: np.ndarray) -> None:
         if len(used) == 2:
             w.put(used[1], 8)
         return
-    edge = (np.flatnonzero(np.diff(lengths)) + 1).tolist()
-    runs: list[tuple[int, int, int]] = []  # symbol, extra bits, their number
-    for a, z in zip([0, *edge], [*edge, len(lengths)], strict=True):
-        n, left = int(lengths[a]), z - a
-        if n:
-            runs.append((n, 0, 0))
-            left -= 1
-        while left >= 3:
-            k = min(left, 6 if n else 138)
-            runs.append((16, k - 3, 2) if n else (17, k - 3, 3) if k < 11 else (18, k - 11, 7))
-            left -= k
-        runs += [(n, 0, 0)] * left
-    symbols, extra, more = (np.array(x) for x in zip(*runs, strict=True))
-    kinds = code_lengths(np.bincount(symbols, minlength=19), 7)
-    codes, sizes = canonical(kinds)[symbols], np.where(np.count_nonzero(kinds) > 1, kinds[symbols], 0)
+    runs = [*itertools.chain.from_iterable(map(run_symbols, RUN.findall(lengths.astype(np.uint8).tobytes())))]
+    uses = [0] * 19
+    different = collections.Counter(runs)
+    for (s, _, _), n in different.items():
+        uses[s] += n
+    kinds = code_lengths(np.array(uses), 7).tolist()
+    codes = small_codes(kinds)
     most = max(k for k, s in enumerate(vp8l.LENGTH_ORDER) if kinds[s]) + 1
     w.put(0, 1)
     w.put(max(most, 4) - 4, 4)
     for s in vp8l.LENGTH_ORDER[: max(most, 4)]:
-        w.put(int(kinds[s]), 3)
+        w.put(kinds[s], 3)
     w.put(0, 1)
-    w.put_all(codes | extra << sizes, sizes + more)
+    # each symbol's bits as digits, the last ones first
+    digits = {}
+    for s, extra, more in different:
+        code, size = codes[s]
+        digits[s, extra, more] = format(code | extra << size, f"0{size + more}b") if size + more else ""
+    text = "".join(map(digits.__getitem__, reversed(runs)))
+    w.put(int(text or "0", 2), len(text))
+
+
+#: Runs of one length.
+RUN = re.compile(b"|".join(re.escape(bytes([n])) + b"+" for n in range(16)))
+
+
+@functools.lru_cache(maxsize=4096)
+def run_symbols(run: bytes) -> list[tuple[int, int, int]]:
+    """What says that symbols in a row have these equal lengths: symbol, extra bits, their number."""
+    out, n, left = [], run[0], len(run)
+    if n:
+        out.append((n, 0, 0))
+        left -= 1
+    while left >= 3:
+        k = min(left, 6 if n else 138)
+        out.append((16, k - 3, 2) if n else (17, k - 3, 3) if k < 11 else (18, k - 11, 7))
+        left -= k
+    return out + [(n, 0, 0)] * left
+
+
+def small_codes(lengths: list[int]) -> dict[int, tuple[int, int]]:
+    """Code and size of each used symbol of a code of few symbols; a single one takes no bits."""
+    used = sorted((n, s) for s, n in enumerate(lengths) if n)
+    if len(used) < 2:
+        return {s: (0, 0) for _, s in used}
+    out, at, turn = {}, 0, memoryview(vp8l.turned(15))
+    for n, s in used:
+        out[s] = turn[at] & ((1 << n) - 1), n
+        at += 1 << (15 - n)
+    return out
+
+
+def words(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code and size of each symbol; a single one takes no bits."""
+    return canonical(lengths), lengths if np.count_nonzero(lengths) > 1 else np.zeros_like(lengths)
 
 
 def bits_of(counts: np.ndarray) -> float:
     """The entropy of symbols with these counts (one code a row), in bits altogether."""
-    c = counts.astype(np.float64)
-    total = c.sum(axis=-1, keepdims=True)
-    return float((c * np.log2(np.maximum(total, 1) / np.maximum(c, 1))).sum())
+    total = counts.sum(axis=-1)
+    return float((total * np.log2(np.maximum(total, 1))).sum() - (counts * np.log2(np.maximum(counts, 1))).sum())
 
 
 def sample_bits(p: np.ndarray) -> float:
-    return bits_of(np.bincount((p + np.array([0, 256, 512])).ravel(), minlength=768).reshape(3, 256))
+    return bits_of(np.stack([np.bincount(p[:, c], minlength=256) for c in range(3)]))
 
 
 def earlier_runs(px: np.ndarray) -> list[tuple[int, int, int]]:
@@ -140,11 +186,12 @@ def earlier_runs(px: np.ndarray) -> list[tuple[int, int, int]]:
     key = px[:n]
     for j in range(1, LEAST):
         key = key * 0x9E3779B1 + px[j : n + j] & 0xFFFFFFFFFFFF
-    order = np.argsort(key, kind="stable")
-    same = key[order[1:]] == key[order[:-1]]
-    at, before = order[1:][same], order[:-1][same]
-    for j in range(LEAST):
-        real = px[at + j] == px[before + j]
+    # in order of keys, then of places, which are below 2**20
+    key = np.sort((key * 0x9E3779B1 >> 5 & 0x7FFFFFFFFFF) << 20 | np.arange(n))
+    same = np.flatnonzero((key[1:] ^ key[:-1]) < 1 << 20)
+    at, before = key[same + 1] & 0xFFFFF, key[same] & 0xFFFFF
+    if len(at):
+        real = (px[at[:, None] + np.arange(LEAST)] == px[before[:, None] + np.arange(LEAST)]).all(1)
         at, before = at[real], before[real]
     if not len(at):
         return []
@@ -183,9 +230,10 @@ def prefixed(value: int) -> tuple[int, int, int]:
 def cache_hits(argb: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Each pixel's place in the colour cache, and whether that holds the pixel when its turn comes."""
     place = ((vp8l.CACHE_HASH * argb) & 0xFFFFFFFF) >> (32 - bits)
-    order = np.argsort(place, kind="stable")
+    order = np.argsort(place.astype(np.int16), kind="stable")
+    placed, held = place[order], argb[order]
     hit = np.zeros(len(argb), bool)
-    hit[order[1:]] = (place[order[1:]] == place[order[:-1]]) & (argb[order[1:]] == argb[order[:-1]])
+    hit[order[1:]] = (placed[1:] == placed[:-1]) & (held[1:] == held[:-1])
     return place, hit
 
 
@@ -216,28 +264,30 @@ def write_pixels(w: Writer, p: np.ndarray, width: int, main: bool, alpha: int =
     copies = [(*prefixed(n), *prefixed(near.get(d, d + 120))) for _, n, d in refs]
     begin = np.array([a for a, _, _ in refs], np.int64)
     length, length_bits, length_more, dist, dist_bits, dist_more = np.array(copies, np.int64).reshape(-1, 6).T
-    counts = np.bincount(np.concatenate([green[literal], 256 + length, 280 + place[hit]]), minlength=280 + (1 << size if size else 0))
+    reds, greens, blues, cached = red[literal], green[literal], blue[literal], 280 + place[hit]
+    counts = np.bincount(np.concatenate([greens, 256 + length, cached]), minlength=280 + (1 << size if size else 0))
     # red and blue share their code's lengths, which are written twice
-    both = code_lengths(np.bincount(red[literal], minlength=256) + np.bincount(blue[literal], minlength=256), LIMIT)
-    codes = [code_lengths(counts, LIMIT), both, both, code_lengths(np.bincount([alpha], minlength=256), LIMIT), code_lengths(np.bincount(dist, minlength=40), LIMIT)]
+    both = code_lengths(np.bincount(np.concatenate([reds, blues]), minlength=256), LIMIT)
+    only = np.zeros(256, np.int64)
+    only[alpha] = 1
+    codes = [code_lengths(counts, LIMIT), both, both, only, code_lengths(np.bincount(dist, minlength=40), LIMIT)]
     said = [Writer() for _ in codes]
     for k in (0, 1, 3, 4):
         write_code(said[k], codes[k])
     said[2] = said[1]
     for x in said:
         w.put(x.value, x.n)
-    words = [canonical(c) for c in codes]
-    sizes = [c if np.count_nonzero(c) > 1 else np.zeros_like(c) for c in codes]
-    # four values a pixel: green, red and blue; a cached one's place; or a copy's two symbols, each with its extra bits
-    value, bits = np.zeros((len(p), 4), np.int64), np.zeros((len(p), 4), np.int64)
-    for k, (c, x) in enumerate(((0, green), (1, red), (2, blue))):
-        value[literal, k], bits[literal, k] = words[c][x[literal]], sizes[c][x[literal]]
-    value[hit, 0], bits[hit, 0] = words[0][280 + place[hit]], sizes[0][280 + place[hit]]
+    (green_word, green_size), (word, size_of), (dist_word, dist_size) = (words(codes[k]) for k in (0, 1, 4))
+    # two values a pixel: green and red, and blue; a cached one's place; or a copy's length and distance, with their extra bits
+    value, bits = np.zeros((len(p), 2), np.int64), np.zeros((len(p), 2), np.int64)
+    at = np.flatnonzero(literal)
+    value[at, 0], bits[at, 0] = green_word[greens] | word[reds] << green_size[greens], green_size[greens] + size_of[reds]
+    value[at, 1], bits[at, 1] = word[blues], size_of[blues]
+    value[hit, 0], bits[hit, 0] = green_word[cached], green_size[cached]
     if len(begin):
-        value[begin, 0], bits[begin, 0] = words[0][256 + length], sizes[0][256 + length]
-        value[begin, 1], bits[begin, 1] = length_bits, length_more
-        value[begin, 2], bits[begin, 2] = words[4][dist], sizes[4][dist]
-        value[begin, 3], bits[begin, 3] = dist_bits, dist_more
+        k = 256 + length
+        value[begin, 0], bits[begin, 0] = green_word[k] | length_bits << green_size[k], green_size[k] + length_more
+        value[begin, 1], bits[begin, 1] = dist_word[dist] | dist_bits << dist_size[dist], dist_size[dist] + dist_more
     w.put_all(value.ravel(), bits.ravel())
 
 
@@ -295,9 +345,10 @@ def encode_rgb(p: np.ndarray) -> bytes:
     w.put(height - 1, 14)
     w.put(0, 1 + 3)  # opaque, version 0
     flat = p.reshape(-1, 3)
-    colours, index = np.unique(flat[:, 0].astype(np.int64) << 16 | flat[:, 1].astype(np.int64) << 8 | flat[:, 2], return_inverse=True)
-    if len(colours) <= 256 and 4 * len(colours) <= len(flat):
-        with_palette(w, p, colours, index)
+    colour = flat[:, 0].astype(np.int64) << 16 | flat[:, 1].astype(np.int64) << 8 | flat[:, 2]
+    number = 1 + np.count_nonzero(np.diff(np.sort(colour)))
+    if number <= 256 and 4 * number <= len(flat):
+        with_palette(w, p, *np.unique(colour, return_inverse=True))
         return wrapped(w.data())
     green = p.copy()
     green[..., 0] -= p[..., 1]
