@@ -35,6 +35,11 @@ class Bits:
 
     def __init__(self, data: bytes) -> None:
         self.data, self.at = data, 0
+        self.said: tuple[int, int, int, Code] | None = None  # the last code's alphabet, description, its size, and the code
+
+    def many(self, at: int, n: int) -> int:
+        """So many bits from a place on."""
+        return (int.from_bytes(self.data[at >> 3 : (at + n + 7) >> 3], "little") >> (at & 7)) & ((1 << n) - 1)
 
     def peek(self, n: int) -> int:
         k = self.at >> 3
@@ -124,6 +129,17 @@ def reversed_bits(x: np.ndarray, n: int) -> np.ndarray:
 
 
 def read_code(r: Bits, alphabet: int) -> Code:
+    """A code from its description. A description tells where it ends, so the bits of the one before say the same code."""
+    if r.said and r.said[0] == alphabet and r.at + r.said[2] <= 8 * len(r.data) and r.many(r.at, r.said[2]) == r.said[1]:
+        r.at += r.said[2]
+        return r.said[3]
+    first = r.at
+    code = described_code(r, alphabet)
+    r.said = alphabet, r.many(first, r.at - first), r.at - first, code
+    return code
+
+
+def described_code(r: Bits, alphabet: int) -> Code:
     if r.read(1):
         two, wide = r.read(1), r.read(1)
         lengths = bytearray(alphabet)

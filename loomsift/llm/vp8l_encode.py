@@ -10,6 +10,7 @@ from __future__ import annotations
 import collections
 import functools
 import itertools
+import math
 import re
 
 import numpy as np
@@ -169,13 +170,15 @@ def words(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bits_of(counts: np.ndarray) -> float:
-    """The entropy of symbols with these counts (one code a row), in bits altogether."""
-    total = counts.sum(axis=-1)
-    return float((total * np.log2(np.maximum(total, 1))).sum() - (counts * np.log2(np.maximum(counts, 1))).sum())
+    """The entropy of symbols with these counts, in bits altogether."""
+    total, counts = int(counts.sum()), counts[counts > 1]
+    return total * math.log2(max(1, total)) - float(counts @ np.log2(counts))
 
 
 def sample_bits(p: np.ndarray) -> float:
-    return bits_of(np.stack([np.bincount(p[:, c], minlength=256) for c in range(3)]))
+    counts = np.concatenate([np.bincount(p[:, c], minlength=256) for c in range(3)])
+    counts = counts[counts > 1]
+    return 3 * len(p) * math.log2(max(1, len(p))) - float(counts @ np.log2(counts))
 
 
 def earlier_runs(px: np.ndarray) -> list[tuple[int, int, int]]:
@@ -346,7 +349,8 @@ def encode_rgb(p: np.ndarray) -> bytes:
     w.put(0, 1 + 3)  # opaque, version 0
     flat = p.reshape(-1, 3)
     colour = flat[:, 0].astype(np.int64) << 16 | flat[:, 1].astype(np.int64) << 8 | flat[:, 2]
-    number = 1 + np.count_nonzero(np.diff(np.sort(colour)))
+    ordered = np.sort(colour)
+    number = 1 + np.count_nonzero(ordered[1:] != ordered[:-1])
     if number <= 256 and 4 * number <= len(flat):
         with_palette(w, p, *np.unique(colour, return_inverse=True))
         return wrapped(w.data())
