@@ -371,6 +371,22 @@ def test_a_hot_title_costs_rows_by_its_tiers(spark):
     assert cascade._changing(rows, spans, near).count() <= 7 * 8
 
 
+@pytest.mark.parametrize(("few", "block"), [(4096, 20_000), (3, 20_000), (4096, 10), (3, 10)])
+def test_cascade_in_blocks_settles_at_once(spark, monkeypatch, few, block):
+    """Chains of replacements among like titles, walked whole or by stretches, in one block and in many. In one block the second
+    round finds nothing new, however long a chain is."""
+    monkeypatch.setattr(cascade, "FEW", few)
+    monkeypatch.setattr(cascade, "BLOCK", block)
+    r = random.Random(4)
+    names = [f"a title of some length that ends in {k}" for k in range(12)] + ["another title that is like none of them"]
+    old = [(f"s:{k}", r.choice(names), r.randint(20, 31), k, "queued") for k in range(5)]
+    new = [(r.choice([f"n:{k}", f"n:{r.randrange(90)}"]) if few < 9 else f"n:{k}", r.choice(names), max(1, 30 - k // 3 + r.randint(0, 4)), k, "") for k in range(90)]
+    want = slow_cascade([x[:4] for x in new], [x[:4] for x in old], 93)
+    assert sum(x[2] == "supersedes" for x in want) > 12
+    got = cascade.resolved(spark.createDataFrame(new, DOCS), spark.createDataFrame(old, DOCS), rounds=2 if few + block > 20_003 else 200).collect()
+    assert sorted(((x.uid, x.seq, x.action, x.matched_uid, round(x.score, 6)) for x in got), key=str) == sorted(want, key=str)
+
+
 def test_cascade_raises_when_rounds_run_out(spark):
     batch = spark.createDataFrame([(f"u:{k}", "the title of them all", 9 - k, k, "") for k in range(4)], DOCS)
     with pytest.raises(RuntimeError, match="1 rounds"):
