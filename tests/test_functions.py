@@ -191,3 +191,16 @@ def test_sections(spark):
     got = {r.uid: r.sections for r in sections.canonical(df).collect()}
     assert got["a"].doc_type == "A" and got["a"].method.content == "how it\nworks." and got["a"].implications.confidence == 1.0
     assert got["b"] is None and got["c"] is None
+
+def test_guards_take_few_texts_at_a_time(spark):
+    """A batch of many texts is never Python objects as a whole, and slices give what each text gives alone."""
+    import pyarrow as pa
+
+    seen = []
+    run = guards._by_slices(lambda x: [seen.append(len(x)), [len(t or "") for t in x]][1], pa.int32())
+    texts = ["a" * (k % 7) for k in range(1000)] + [None]
+    assert [v for a in run(iter([pa.array(texts), pa.array([], pa.string())])) for v in a.to_pylist()] == [len(t or "") for t in texts] and max(seen) <= guards.SLICE
+    rows = [(k, None if k % 50 == 3 else f"mail me{k}@example.com, 10.0.0.{k % 256} took {k} ms") for k in range(450)]
+    got = spark.createDataFrame(rows, "id int, t string").coalesce(1).select("id", guards.anchors("t").alias("a"), guards.secrets("t").alias("s"), guards.redacted("t").alias("r")).collect()
+    for (_, t), x in zip(rows, sorted(got), strict=True):
+        assert list(map(tuple, x.a)) == guards.anchor_spans(t or "") and list(map(tuple, x.s)) == guards.secret_spans(t or "") and x.r == (None if t is None else guards.redacted_text(t))
