@@ -387,6 +387,19 @@ def test_cascade_in_blocks_settles_at_once(spark, monkeypatch, few, block):
     assert sorted(((x.uid, x.seq, x.action, x.matched_uid, round(x.score, 6)) for x in got), key=str) == sorted(want, key=str)
 
 
+def test_copies_of_staged_rows_do_not_multiply(spark, monkeypatch):
+    """Each staged row is one line of one block, however many documents have a title like its own."""
+    names = ["a title that very many staged rows have", "a title that very many staged rows had"]
+    old = [(f"s:{k}", names[k % 2], 1 + k % 3, k, "queued") for k in range(120)]
+    new = [(f"n:{k}", names[k % 5 % 2], 1 + (k * 7) % 3, k, "") for k in range(90)]
+    seen, walked = [], cascade._walked
+    monkeypatch.setattr(cascade, "_walked", lambda *x: [seen.append(sum(df.count() for df in x[:4])), walked(*x)][1])
+    got = cascade.resolved(spark.createDataFrame(new, DOCS), spark.createDataFrame(old, DOCS)).collect()
+    want = slow_cascade([x[:4] for x in new], [x[:4] for x in old], 93)
+    assert sorted(((x.uid, x.seq, x.action, x.matched_uid, round(x.score, 6)) for x in got), key=str) == sorted(want, key=str)
+    assert seen and max(seen) == len(old) + len(new)
+
+
 def test_cascade_raises_when_rounds_run_out(spark):
     batch = spark.createDataFrame([(f"u:{k}", "the title of them all", 9 - k, k, "") for k in range(4)], DOCS)
     with pytest.raises(RuntimeError, match="1 rounds"):
