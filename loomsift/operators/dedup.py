@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from loomsift.schema import TITLE_RATIO, UNKNOWN_TIER
 
+#: Ids that a row of :func:`pairs` has of a title, about.
+PACK = 256
+
 
 def lcs(a: str, b: str) -> int:
     """Length of the longest common subsequence, by bits of whole rows."""
@@ -84,7 +87,8 @@ def _step(n: Column, threshold: float) -> Column:
 def _sketch(c: Column, q: int) -> Column:
     """64 bits, one set for each hashed run of q characters: an edit changes at most 2 * q - 1 of them."""
     runs = F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - q + 1, F.lit(1))), lambda i: F.pmod(F.xxhash64(F.substring(c, i, F.lit(q))), F.lit(64)).cast("int"))
-    return F.aggregate(runs, F.lit(0).cast("long"), lambda bits, k: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), k)))
+    bits = F.aggregate(runs, F.lit(0).cast("long"), lambda bits, k: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), k)))
+    return F.coalesce(bits, F.lit(0).cast("long"))  # never null, or Spark tells nulls apart below distinct, for each copy of a title
 
 
 def _titles(df: DataFrame, name: str) -> DataFrame:
@@ -107,6 +111,28 @@ def similar(left: DataFrame, right: DataFrame, threshold: float = TITLE_RATIO) -
     return left.select(F.col("id").alias("left_id"), F.col("title").alias("x")).join(scored, "x").join(right.select(F.col("id").alias("right_id"), F.col("title").alias("y")), "y").select("left_id", "right_id", "score")
 
 
+def pairs(rows: DataFrame, threshold: float = TITLE_RATIO, digits: int = 6) -> DataFrame:
+    """Every two rows of equal or similar titles once: left_id < right_id, and score, rounded. rows: id, title.
+
+    The pairs grow with the square of a title's copies, but only where they come out: the ids of a title are packs of some
+    ``PACK``, what is joined and shuffled is two packs to a row, and the rows are dealt evenly to tasks before packs become pairs.
+    """
+    if threshold <= 200 / 3:
+        raise ValueError("below two thirds, similar titles may have no piece in common")
+    rows = rows.where(F.col("title") != "").select("id", "title")
+    same = rows.select(F.col("title").alias("x"), F.col("title").alias("y"), F.lit(100.0).alias("score")).distinct()
+    scored = matched(rows, offered(rows, threshold), threshold, once=True).unionByName(same)
+    counts = rows.groupBy("title").agg(F.count("*").alias("n"))
+    packs = rows.join(counts, "title").groupBy("title", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / PACK)).alias("pack")).agg(F.collect_list("id").alias("ids"))
+    left, right = (packs.select(F.col("title").alias(t), F.col("pack").alias(f"{t}_pack"), F.col("ids").alias(f"{t}_ids")) for t in "xy")
+    both = scored.join(left, "x").join(right, "y").where("x <> y or x_pack <= y_pack")
+    both = both.select("x_ids", "y_ids", F.round("score", digits).alias("score"), ((F.col("x") == F.col("y")) & (F.col("x_pack") == F.col("y_pack"))).alias("one"))
+    both = both.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    each = both.select("score", "one", "y_ids", F.explode("x_ids").alias("a")).select("score", "one", "a", F.explode("y_ids").alias("b"))
+    # one pack has both orders of its pairs; of others each pair comes once, in any order
+    return each.where("if(one, a < b, a <> b)").select(F.least("a", "b").alias("left_id"), F.greatest("a", "b").alias("right_id"), "score")
+
+
 def _range(m: Column, threshold: float) -> tuple[Column, Column]:
     """The lengths that titles like one of length m may have."""
     t = threshold / 100
@@ -118,18 +144,19 @@ def offered(right: DataFrame, threshold: float = TITLE_RATIO) -> DataFrame:
     others, m = _titles(right, "y"), F.length("y")
     low, high = _range(m, threshold)
     steps = F.array_distinct(F.transform(F.sequence(F.greatest(F.lit(1), low), high), lambda k: _step(k, threshold)))
-    runs = others.withColumn("size", F.explode(steps)).where("size <= length(y)").withColumn("at", F.explode(F.sequence(F.lit(0), m - F.col("size"))))
+    # not explode, for which Spark tells rows without any apart likewise
+    runs = others.withColumn("size", F.explode_outer(steps)).where("size <= length(y)").withColumn("at", F.explode_outer(F.sequence(F.lit(0), m - F.col("size"))))
     return runs.withColumn("run", F.expr("substring(y, at + 1, size)"))
 
 
-def matched(left: DataFrame, runs: DataFrame, threshold: float = TITLE_RATIO) -> DataFrame:
-    """Distinct pairs of a left title and one that is offered: x, y and score."""
+def matched(left: DataFrame, runs: DataFrame, threshold: float = TITLE_RATIO, once: bool = False) -> DataFrame:
+    """Distinct pairs of a left title and one that is offered: x, y and score; once: only those with x < y."""
     t = threshold / 100
     names, n, m, s = _titles(left, "x"), F.length("x"), F.length("y"), F.col("s")
     low, high = _range(m, threshold)
     held = runs.groupBy(F.col("run").alias("piece")).agg(F.count("*").alias("held"))
     cut = names.withColumn("s", _step(n, threshold)).withColumn("d", _edits(n, threshold)).withColumn("k", F.floor(n / s).cast("int"))
-    cut = cut.withColumn("place", F.explode(F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda p: p * s))).withColumn("piece", F.expr("substring(x, place + 1, s)"))
+    cut = cut.withColumn("place", F.explode_outer(F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda p: p * s))).withColumn("piece", F.expr("substring(x, place + 1, s)"))
     # pieces that no right title holds are the rarest of all: they come first among the edits + 1
     met = cut.join(held, "piece").groupBy("x", "x1", "x2", "s", "d", "k").agg(F.sort_array(F.collect_list(F.struct("held", "place", "piece"))).alias("pieces"))
     wanted = F.greatest(F.lit(0), F.col("d") + 1 - F.col("k") + F.size("pieces"))
@@ -139,8 +166,10 @@ def matched(left: DataFrame, runs: DataFrame, threshold: float = TITLE_RATIO) ->
         (F.col("piece") == F.col("run")) & (F.abs(F.col("place") - F.col("at")) <= F.col("d")) & n.between(low, high)
         & (F.bit_count(F.col("x1").bitwiseXOR(F.col("y1"))) <= edits) & (F.bit_count(F.col("x2").bitwiseXOR(F.col("y2"))) <= 3 * edits)
     )
-    pairs = rare.join(runs, near).select("x", "y").distinct()
-    return pairs.withColumn("score", indel_ratio("x", "y")).where(F.col("score") >= threshold)
+    if once:
+        near = near & (F.col("x") < F.col("y"))
+    found = rare.join(runs, near).select("x", "y").distinct()
+    return found.withColumn("score", indel_ratio("x", "y")).where(F.col("score") >= threshold)
 
 
 def decided(candidates: DataFrame, existing: DataFrame, threshold: float = TITLE_RATIO) -> DataFrame:

@@ -598,7 +598,7 @@ ROWS = "select cast(p_partkey as string) as uid, concat_ws(' ', p_name, p_type,
 @query("", f"with s as (select * from ({LIKE}) q where score >= 93), r as ({ROWS}) select a.uid as left_id, b.uid as right_id, round(score, 6) as score from s join r a on a.t = s.x join r b on b.t = s.y where a.uid < b.uid")
 def q_dedup_pairs(spark, d):
     t = titles(spark, d).select(F.col("uid").alias("id"), F.col("title_normalized").alias("title"))
-    return dedup.similar(t, t).where("left_id < right_id").withColumn("score", F.round("score", 6))
+    return dedup.pairs(t)
 
 
 # Odd parts are staged; a title stands for its last row, and titles of one score come in the order of their first.

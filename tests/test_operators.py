@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -198,6 +199,23 @@ def test_blocked_join_loses_no_pair(spark):
     assert {(x.left_id, x.right_id) for x in dedup.similar(df, df, 85.0).collect()} == want
 
 
+@pytest.mark.parametrize("pack", [3, 256])
+def test_pairs_of_packs_are_those_of_rows(spark, monkeypatch, pack):
+    """Copies in many packs, a repeated row, an id under two titles, null ids, and titles that are like none."""
+    monkeypatch.setattr(dedup, "PACK", pack)
+    hot, near, other = "a title that many rows have", "a title that many rows had", "something else altogether"
+    rows = [(f"{k}", (hot, hot, near, other)[k % 4]) for k in range(60)] + [("7", other), ("7", hot), ("4", hot), ("90", ""), ("91", ""), ("92", None), (None, hot), (None, near)]
+    df = spark.createDataFrame(rows, "id string, title string")
+    want = Counter((i, j, round(dedup.ratio(a, b), 6)) for i, a in rows for j, b in rows if i and j and i < j and a and b and dedup.ratio(a, b) >= 93)
+    assert len(want) > 900 and Counter(map(tuple, dedup.pairs(df).collect())) == want
+
+
+def test_a_title_is_sketched_once_however_many_copies(spark):
+    df = spark.createDataFrame([("a", "a title")], "id string, title string")
+    plan = dedup.pairs(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in plan and not [x for x in plan.splitlines() if " Filter " in x and "xxhash64(substring" in x]
+
+
 DOCS = "uid string, title_normalized string, authority_tier int, seq long, status string"
 
 
