@@ -66,7 +66,7 @@ class Code:
     """
 
     def __init__(self, lengths: np.ndarray) -> None:
-        used = np.flatnonzero(lengths)
+        used = lengths.nonzero()[0]
         self.bits, self.only = 0, int(used[0]) if len(used) else 0
         if len(used) < 2:
             self.table = np.array([self.only << 4])
@@ -74,12 +74,12 @@ class Code:
         size = lengths[used]
         self.bits = int(size.max())
         # codes in canonical order fill the longest one's range
-        order = np.argsort(size, kind="stable")
+        order = size.argsort(kind="stable")
         used, size = used[order], size[order].astype(np.int64)
         span = 1 << (self.bits - size)
         if int(span.sum()) != 1 << self.bits:
             raise ValueError("a prefix code is not complete")
-        self.table = np.repeat(used << 4 | size, span)[turned(self.bits)]
+        self.table = (used << 4 | size).repeat(span)[turned(self.bits)]
 
     def read(self, r: Bits) -> int:
         x = int(self.table[r.peek(self.bits)])
@@ -88,7 +88,7 @@ class Code:
 
     def entries(self, values: np.ndarray) -> np.ndarray:
         """The table's entries where these are the next bits."""
-        return self.table.take(values & ((1 << self.bits) - 1))
+        return self.table.take(values & ((1 << self.bits) - 1), mode="clip")  # clipping is the fastest way of numpy's
 
     def look(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Symbols and lengths where these are the next bits."""
@@ -157,28 +157,31 @@ def described_code(r: Bits, alphabet: int) -> Code:
     pairs, mask = small_code(tuple(of_lengths))
     left = 2 + r.read(2 + 2 * r.read(3)) if r.read(1) else alphabet
     out = bytearray()
-    last, n, bits, held, at = 8, 0, 0, 0, r.at  # bits to come, and their number
-    while n < alphabet and left:
-        if held < 14:
-            k = at >> 3
-            bits, held = int.from_bytes(r.data[k : k + 14], "little") >> (at & 7), 105
-        left -= 1
-        s, size = pairs[bits & mask]
-        if s < 16:
-            out.append(s)
-            last = s or last
-            n += 1
-        else:
+    add, bits, held, to = out.append, 0, 0, r.at  # bits to come, their number, and the place behind them
+    while left > 0 and len(out) < alphabet:
+        had = len(out)
+        for _ in range(min(left, alphabet - had)):
+            if held < 14:
+                at = to - held
+                bits, held = int.from_bytes(r.data[at >> 3 : (at >> 3) + 14], "little") >> (at & 7), 105
+                to = at + held
+            s, size = pairs[bits & mask]
+            bits >>= size
+            held -= size
+            if s > 15:
+                break
+            add(s)
+        left -= len(out) - had
+        if s > 15:
             low, more = (3, 2) if s == 16 else (3, 3) if s == 17 else (11, 7)
-            k = low + ((bits >> size) & ((1 << more) - 1))
-            out += (last if s == 16 else 0).to_bytes() * k
-            n += k
-            size += more
-        bits >>= size
-        held -= size
-        at += size
-    r.at = at
-    if n > alphabet:
+            k = low + (bits & ((1 << more) - 1))
+            # 16 repeats the last length that isn't 0, or 8
+            out += ((out.rstrip(b"\0") or b"\x08")[-1:] if s == 16 else b"\0") * k
+            bits >>= more
+            held -= more
+            left -= 1
+    r.at = at = to - held
+    if len(out) > alphabet:
         raise ValueError("code lengths run over the alphabet")
     if at > 8 * len(r.data):
         raise ValueError("the stream ends early")
@@ -195,6 +198,7 @@ def read_value(r: Bits, prefix: int) -> int:
 
 #: Bits of a stream that are looked at together, and the most that a literal can take.
 STRETCH, LITERAL = 1 << 15, 60
+EIGHT = np.arange(8)
 
 
 class Stretch:
@@ -206,20 +210,26 @@ class Stretch:
     def __init__(self, r: Bits, codes: list[list[Code]]) -> None:
         self.codes, self.begin = codes, r.at >> 3 << 3
         raw = np.frombuffer(r.data[self.begin >> 3 : (self.begin + STRETCH + 2 * LITERAL + 24) >> 3].ljust(3, b"\0") + b"\0\0", np.uint8).astype(np.int64)
-        self.values = values = ((raw[:-2] | raw[1:-1] << 8 | raw[2:] << 16)[:, None] >> np.arange(8)).ravel()
+        self.values = values = ((raw[:-2] | raw[1:-1] << 8 | raw[2:] << 16)[:, None] >> EIGHT).ravel()
         here = np.arange(len(values))
         self.end = self.begin + min(STRETCH, len(values))
         self.next = []
         for green, red, blue, alpha, _ in codes:
-            g = green.entries(values)
-            place = first = here + (g & 15)
-            for code in (red, blue, alpha):
+            index = values & ((1 << green.bits) - 1)
+            first = (green.table & 15).take(index, mode="clip")
+            first += here
+            other = (green.table >= 256 << 4).take(index, mode="clip").nonzero()[0]
+            place, sizes = first, None
+            for code, same in ((red, None), (blue, red), (alpha, None)):
                 if code.bits:
-                    place = place + (code.entries(values.take(place, mode="clip")) & 15)
-            np.copyto(place, first, where=g >= 280 << 4)
-            place[(g >= 256 << 4) & (g < 280 << 4)] = -1
-            place[self.end - self.begin :] = -2
-            self.next.append(memoryview(np.append(place, [-2] * (4 * LITERAL))))
+                    if code is not same:
+                        sizes = (code.table & 15).take(values & ((1 << code.bits) - 1), mode="clip")
+                    place = place + sizes.take(place, mode="clip")
+            hop = np.full(len(place) + 4 * LITERAL, -2)
+            hop[: self.end - self.begin] = place[: self.end - self.begin]
+            other = other[: other.searchsorted(self.end - self.begin)]
+            hop[other] = np.where(green.table.take(index[other]) >= 280 << 4, first[other], -1)
+            self.next.append(memoryview(hop))
 
     def pixels(self, places: np.ndarray, group: int = 0) -> np.ndarray:
         """What begins at these bits: a literal's argb, or -1 - k for entry k of the colour cache."""
@@ -251,24 +261,26 @@ class Cache:
         places and time, an entry is the pixel before it.
         """
         before = argb[self.at : first]
-        self.held[self.place(before)] = before  # of equal places the last one stays
-        self.at = n
+        if len(before):
+            self.held[self.place(before)] = before  # of equal places the last one stays
         p = argb[first:n]
         place = np.where(p < 0, -1 - p, self.place(p))
-        order = np.argsort(place, kind="stable")
-        sorted_, at = p[order], np.arange(n - first)
-        new = np.ones(n - first, bool)
-        new[1:] = place[order[1:]] != place[order[:-1]]
-        source = np.maximum.accumulate(np.where((sorted_ >= 0) | new, at, 0))
-        value = np.where(sorted_[source] >= 0, sorted_[source], self.held[place[order[source]]])
-        if ((value == 0) & (place[order] != 0)).any():  # an entry that was never written: 0, which belongs in another place
+        order = place.astype(np.int16).argsort(kind="stable")
+        placed, sorted_, at = place[order], p[order], np.arange(n - first)
+        own = sorted_ >= 0
+        known = own.copy()
+        known[0] = True
+        known[1:] |= placed[1:] != placed[:-1]
+        source = np.maximum.accumulate(np.where(known, at, 0))
+        value = np.where(own[source], sorted_[source], self.held[placed])
+        if (placed[value == 0] != 0).any():  # an entry that was never written: 0, which belongs in another place
             for k in range(first, n):
                 argb[k] = argb[k] if argb[k] >= 0 else self.held[-1 - argb[k]]
                 self.held[self.place(argb[k : k + 1])] = argb[k]
+            self.at = n
             return
-        argb[first:n][order] = value
-        p = argb[first:n]
-        self.held[self.place(p)] = p
+        p[order] = value
+        self.at = first  # they are held when entries are asked for again
 
 
 def copied(argb: np.ndarray, n: int, length: int, distance: int) -> None:
@@ -348,7 +360,9 @@ def read_pixels(r: Bits, width: int, height: int, main: bool) -> np.ndarray:
         n += length
         if r.at > ends:
             raise ValueError("the stream ends early")
-    return argb.astype("<u4").view(np.uint8).reshape(height, width, 4)[..., [2, 1, 0, 3]]
+    # red and blue change places
+    turned_ = (argb & 0xFF00FF00) | (argb >> 16 & 0xFF) | (argb & 0xFF) << 16
+    return turned_.astype("<u4").view(np.uint8).reshape(height, width, 4)
 
 
 def _average(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -383,17 +397,19 @@ def neighbours(p: np.ndarray, y: int, x: int) -> tuple[np.ndarray, np.ndarray, n
 
 def invert_predictor(p: np.ndarray, modes: np.ndarray, bits: int) -> np.ndarray:
     height, width, _ = p.shape
+    used = set((modes[..., 1] & 15).ravel().tolist())
+    if used in ({1}, {2}):  # sums of a row from its first pixel, or of a column, all at once, of bytes that wrap
+        out = p.copy()
+        out[0, 0, 3] = (int(out[0, 0, 3]) + 255) & 255
+        out[0].cumsum(0, np.uint8, out[0])
+        if used == {1}:
+            out[:, 0].cumsum(0, np.uint8, out[:, 0])
+            out[1:] = out[1:].cumsum(1, np.uint8)
+            return out
+        return out.cumsum(0, np.uint8)
     out = p.astype(np.int64)
     out[0, 0] = (out[0, 0] + (0, 0, 0, 255)) & 255
     out[0] = np.cumsum(out[0], axis=0) & 255
-    used = np.unique(modes[..., 1] & 15).tolist()
-    if used in ([1], [2]):  # sums of a row from its first pixel, or of a column, all at once
-        if used == [1]:
-            out[:, 0] = np.cumsum(out[:, 0], axis=0)
-            out[1:] = np.cumsum(out[1:], axis=1)
-        else:
-            out = np.cumsum(out, axis=0)
-        return (out & 255).astype(np.uint8)
     for y in range(1, height):
         out[y, 0] = (out[y, 0] + out[y - 1, 0]) & 255
         row = modes[y >> bits, :, 1] & 15

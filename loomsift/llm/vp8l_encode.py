@@ -11,7 +11,6 @@ import collections
 import functools
 import itertools
 import math
-import re
 
 import numpy as np
 
@@ -33,7 +32,7 @@ class Writer:
 
     def put_all(self, values: np.ndarray, sizes: np.ndarray) -> None:
         """Many values of at most 32 bits."""
-        end = np.cumsum(sizes)
+        end = sizes.cumsum()
         at = self.n % 32 + end - sizes
         word, bits = at >> 5, values.astype(np.uint64) << (at & 31).astype(np.uint64)
         size = int(word[-1]) + 2 if len(word) else 1
@@ -50,60 +49,83 @@ class Writer:
 def code_lengths(counts: np.ndarray, limit: int) -> np.ndarray:
     """Lengths of a prefix code for these counts, none over limit; one used symbol gets length 1."""
     out = np.zeros(len(counts), np.int64)
-    used = np.flatnonzero(counts)
-    n = len(used)
-    if n < 2:
+    used = counts.nonzero()[0]
+    if len(used) < 2:
         out[used] = 1
         return out
     weights = counts[used]
     while True:
-        order = np.argsort(weights, kind="stable")
-        leaves, inner = [*weights[order].tolist(), 1 << 62], [1 << 62] * n
-        over_leaf, over_inner = [0] * n, [0] * n
-        i = j = 0
-        for made in range(n - 1):  # the two lightest of the leaves and inner nodes left, both in order of weight
-            if leaves[i] <= inner[j]:
-                weight = leaves[i]
-                over_leaf[i] = made
-                i += 1
-            else:
-                weight = inner[j]
-                over_inner[j] = made
-                j += 1
-            if leaves[i] <= inner[j]:
-                weight += leaves[i]
-                over_leaf[i] = made
-                i += 1
-            else:
-                weight += inner[j]
-                over_inner[j] = made
-                j += 1
-            inner[made] = weight
-        depth = [1] * n
-        for k in range(n - 3, -1, -1):
-            depth[k] = depth[over_inner[k]] + 1
-        sizes = [depth[k] for k in over_leaf]
+        order = weights.argsort(kind="stable")
+        sizes = depths(weights[order].tolist())
         if max(sizes) <= limit:
             out[used[order]] = sizes
             return out
         weights = (weights + 1) >> 1
 
 
+def few_lengths(counts: list[int], limit: int) -> list[int]:
+    """:func:`code_lengths` of a few symbols."""
+    out = [0] * len(counts)
+    used = [s for s, n in enumerate(counts) if n]
+    if len(used) < 2:
+        for s in used:
+            out[s] = 1
+        return out
+    while True:
+        order = sorted(used, key=counts.__getitem__)
+        sizes = depths([counts[s] for s in order])
+        if max(sizes) <= limit:
+            for s, n in zip(order, sizes, strict=True):
+                out[s] = n
+            return out
+        counts = [(n + 1) >> 1 for n in counts]
+
+
+def depths(weights: list[int]) -> list[int]:
+    """How deep each of two or more leaves, in order of weight, is in their Huffman tree."""
+    n = len(weights)
+    leaves, inner = [*weights, 1 << 62], [1 << 62] * n
+    over_leaf, over_inner = [0] * n, [0] * n
+    i = j = 0
+    for made in range(n - 1):  # the two lightest of the leaves and inner nodes left, both in order of weight
+        if leaves[i] <= inner[j]:
+            weight = leaves[i]
+            over_leaf[i] = made
+            i += 1
+        else:
+            weight = inner[j]
+            over_inner[j] = made
+            j += 1
+        if leaves[i] <= inner[j]:
+            weight += leaves[i]
+            over_leaf[i] = made
+            i += 1
+        else:
+            weight += inner[j]
+            over_inner[j] = made
+            j += 1
+        inner[made] = weight
+    depth = [1] * n
+    for k in range(n - 3, -1, -1):
+        depth[k] = depth[over_inner[k]] + 1
+    return [depth[k] for k in over_leaf]
+
+
 def canonical(lengths: np.ndarray) -> np.ndarray:
     """The code of each symbol, its first bit lowest."""
-    used = np.flatnonzero(lengths)
+    used = lengths.nonzero()[0]
     out = np.zeros(len(lengths), np.int64)
     if len(used) > 1:
-        order = used[np.argsort(lengths[used].astype(np.int8), kind="stable")]
+        order = used[lengths[used].astype(np.int8).argsort(kind="stable")]
         size = lengths[order]
         span = 1 << (15 - size)
-        out[order] = vp8l.turned(15)[np.cumsum(span) - span] & ((1 << size) - 1)
+        out[order] = vp8l.turned(15)[span.cumsum() - span] & ((1 << size) - 1)
     return out
 
 
 def write_code(w: Writer, lengths: np.ndarray) -> None:
     """Write a code: simple for up to two symbols below 256, else lengths as runs under a code of their own."""
-    used = np.flatnonzero(lengths).tolist() or [0]
+    used = lengths.nonzero()[0].tolist() or [0]
     if len(used) < 3 and used[-1] < 256:
         w.put(1, 1)
         w.put(len(used) - 1, 1)
@@ -112,44 +134,48 @@ def write_code(w: Writer, lengths: np.ndarray) -> None:
         if len(used) == 2:
             w.put(used[1], 8)
         return
-    runs = [*itertools.chain.from_iterable(map(run_symbols, RUN.findall(lengths.astype(np.uint8).tobytes())))]
+    edge = (lengths[1:] != lengths[:-1]).nonzero()[0]
+    ends = np.append(edge, len(lengths) - 1)
+    number = ends.copy()
+    number[0] += 1
+    number[1:] -= edge
+    runs = [*itertools.chain.from_iterable(map(run_symbols, (number << 4 | lengths[ends]).tolist()))]
     uses = [0] * 19
     different = collections.Counter(runs)
-    for (s, _, _), n in different.items():
-        uses[s] += n
-    kinds = code_lengths(np.array(uses), 7).tolist()
+    for x, n in different.items():
+        uses[x & 31] += n
+    kinds = few_lengths(uses, 7)
     codes = small_codes(kinds)
-    most = max(k for k, s in enumerate(vp8l.LENGTH_ORDER) if kinds[s]) + 1
-    w.put(0, 1)
-    w.put(max(most, 4) - 4, 4)
-    for s in vp8l.LENGTH_ORDER[: max(most, 4)]:
-        w.put(kinds[s], 3)
-    w.put(0, 1)
+    most = max(4, max(k for k, s in enumerate(vp8l.LENGTH_ORDER) if kinds[s]) + 1)
+    head = (most - 4) << 1
+    for k, s in enumerate(vp8l.LENGTH_ORDER[:most]):
+        head |= kinds[s] << (5 + 3 * k)
+    w.put(head, 6 + 3 * most)
     # each symbol's bits as digits, the last ones first
     digits = {}
-    for s, extra, more in different:
-        code, size = codes[s]
-        digits[s, extra, more] = format(code | extra << size, f"0{size + more}b") if size + more else ""
-    text = "".join(map(digits.__getitem__, reversed(runs)))
+    for x in different:
+        code, size = codes[x & 31]
+        more = x >> 5 & 7
+        digits[x] = format(code | x >> 8 << size, DIGITS[size + more]) if size + more else ""
+    runs.reverse()
+    text = "".join(map(digits.__getitem__, runs))
     w.put(int(text or "0", 2), len(text))
 
 
-#: Runs of one length.
-RUN = re.compile(b"|".join(re.escape(bytes([n])) + b"+" for n in range(16)))
-
-
+#: Formats of so many binary digits.
+DIGITS = [f"0{n}b" for n in range(16)]
 @functools.lru_cache(maxsize=4096)
-def run_symbols(run: bytes) -> list[tuple[int, int, int]]:
-    """What says that symbols in a row have these equal lengths: symbol, extra bits, their number."""
-    out, n, left = [], run[0], len(run)
+def run_symbols(run: int) -> list[int]:
+    """What says that symbols in a row (their number from bit 4) have one length: symbol, number of extra bits (from bit 5), and those (from bit 8)."""
+    out, n, left = [], run & 15, run >> 4
     if n:
-        out.append((n, 0, 0))
+        out.append(n)
         left -= 1
     while left >= 3:
         k = min(left, 6 if n else 138)
-        out.append((16, k - 3, 2) if n else (17, k - 3, 3) if k < 11 else (18, k - 11, 7))
+        out.append(16 | 2 << 5 | k - 3 << 8 if n else 17 | 3 << 5 | k - 3 << 8 if k < 11 else 18 | 7 << 5 | k - 11 << 8)
         left -= k
-    return out + [(n, 0, 0)] * left
+    return out + [n] * left
 
 
 def small_codes(lengths: list[int]) -> dict[int, tuple[int, int]]:
@@ -166,7 +192,10 @@ def small_codes(lengths: list[int]) -> dict[int, tuple[int, int]]:
 
 def words(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Code and size of each symbol; a single one takes no bits."""
-    return canonical(lengths), lengths if np.count_nonzero(lengths) > 1 else np.zeros_like(lengths)
+    if np.count_nonzero(lengths) > 1:
+        return canonical(lengths), lengths
+    none = np.zeros_like(lengths)
+    return none, none
 
 
 def bits_of(counts: np.ndarray) -> float:
@@ -175,10 +204,23 @@ def bits_of(counts: np.ndarray) -> float:
     return total * math.log2(max(1, total)) - float(counts @ np.log2(counts))
 
 
+#: n * log2(n) of the smallest counts.
+TIMES_LOG = np.arange(1 << 12) * np.log2(np.maximum(np.arange(1 << 12), 1))
+#: Where the counts of each image's red, green and blue begin.
+PLANES = np.arange(0, 4 * 768, 256).reshape(4, 1, 3)
+
+
 def sample_bits(p: np.ndarray) -> float:
-    counts = np.concatenate([np.bincount(p[:, c], minlength=256) for c in range(3)])
-    counts = counts[counts > 1]
-    return 3 * len(p) * math.log2(max(1, len(p))) - float(counts @ np.log2(counts))
+    """The entropies of red, green and blue, in bits altogether."""
+    return samples_bits(p[None])[0]
+
+
+def samples_bits(forms: np.ndarray) -> list[float]:
+    """:func:`sample_bits` of images of one size."""
+    many, n = forms.shape[:2]
+    counts = np.bincount((forms + PLANES[:many]).ravel(), minlength=768 * many)
+    logs = TIMES_LOG[counts] if n < len(TIMES_LOG) else counts * np.log2(np.maximum(counts, 1))
+    return (3 * n * math.log2(max(1, n)) - logs.reshape(many, -1).sum(1)).tolist()
 
 
 def earlier_runs(px: np.ndarray) -> list[tuple[int, int, int]]:
@@ -191,16 +233,19 @@ def earlier_runs(px: np.ndarray) -> list[tuple[int, int, int]]:
         key = key * 0x9E3779B1 + px[j : n + j] & 0xFFFFFFFFFFFF
     # in order of keys, then of places, which are below 2**20
     key = np.sort((key * 0x9E3779B1 >> 5 & 0x7FFFFFFFFFF) << 20 | np.arange(n))
-    same = np.flatnonzero((key[1:] ^ key[:-1]) < 1 << 20)
+    same = ((key[1:] ^ key[:-1]) < 1 << 20).nonzero()[0]
     at, before = key[same + 1] & 0xFFFFF, key[same] & 0xFFFFF
     if len(at):
-        real = (px[at[:, None] + np.arange(LEAST)] == px[before[:, None] + np.arange(LEAST)]).all(1)
+        real = px[at] == px[before]
+        for j in range(1, LEAST):
+            real &= px[at + j] == px[before + j]
         at, before = at[real], before[real]
     if not len(at):
         return []
-    distance = np.zeros(n, np.int64)
-    distance[at] = at - before
-    edge = np.flatnonzero(np.diff(distance, prepend=0, append=0))
+    distance = np.zeros(n + 2, np.int64)
+    distance[at + 1] = at - before
+    edge = (distance[1:] != distance[:-1]).nonzero()[0]
+    distance = distance[1:]
     out, free = [], 0
     for a, z in itertools.pairwise(edge.tolist()):
         if distance[a]:
@@ -221,6 +266,7 @@ def near_codes(width: int) -> dict[int, int]:
     return out
 
 
+@functools.lru_cache(maxsize=1 << 14)
 def prefixed(value: int) -> tuple[int, int, int]:
     """Prefix symbol of a length or distance, its extra bits, and their number."""
     v = value - 1
@@ -233,7 +279,7 @@ def prefixed(value: int) -> tuple[int, int, int]:
 def cache_hits(argb: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Each pixel's place in the colour cache, and whether that holds the pixel when its turn comes."""
     place = ((vp8l.CACHE_HASH * argb) & 0xFFFFFFFF) >> (32 - bits)
-    order = np.argsort(place.astype(np.int16), kind="stable")
+    order = place.astype(np.int16).argsort(kind="stable")
     placed, held = place[order], argb[order]
     hit = np.zeros(len(argb), bool)
     hit[order[1:]] = (placed[1:] == placed[:-1]) & (held[1:] == held[:-1])
@@ -242,7 +288,7 @@ def cache_hits(argb: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 def write_pixels(w: Writer, p: np.ndarray, width: int, main: bool, alpha: int = 255) -> None:
     """Entropy-code pixels (rows of red, green, blue; of one alpha) with what shrinks them."""
-    red, green, blue = (p[:, c].astype(np.int64) for c in range(3))
+    red, green, blue = p.T.astype(np.int64, order="C")
     argb = alpha << 24 | red << 16 | green << 8 | blue
     refs = earlier_runs(argb)
     alone = np.ones(len(p), bool)
@@ -267,7 +313,8 @@ def write_pixels(w: Writer, p: np.ndarray, width: int, main: bool, alpha: int =
     copies = [(*prefixed(n), *prefixed(near.get(d, d + 120))) for _, n, d in refs]
     begin = np.array([a for a, _, _ in refs], np.int64)
     length, length_bits, length_more, dist, dist_bits, dist_more = np.array(copies, np.int64).reshape(-1, 6).T
-    reds, greens, blues, cached = red[literal], green[literal], blue[literal], 280 + place[hit]
+    at, known = literal.nonzero()[0], hit.nonzero()[0]
+    reds, greens, blues, cached = red.take(at), green.take(at), blue.take(at), 280 + place.take(known)
     counts = np.bincount(np.concatenate([greens, 256 + length, cached]), minlength=280 + (1 << size if size else 0))
     # red and blue share their code's lengths, which are written twice
     both = code_lengths(np.bincount(np.concatenate([reds, blues]), minlength=256), LIMIT)
@@ -282,16 +329,19 @@ def write_pixels(w: Writer, p: np.ndarray, width: int, main: bool, alpha: int =
         w.put(x.value, x.n)
     (green_word, green_size), (word, size_of), (dist_word, dist_size) = (words(codes[k]) for k in (0, 1, 4))
     # two values a pixel: green and red, and blue; a cached one's place; or a copy's length and distance, with their extra bits
-    value, bits = np.zeros((len(p), 2), np.int64), np.zeros((len(p), 2), np.int64)
-    at = np.flatnonzero(literal)
-    value[at, 0], bits[at, 0] = green_word[greens] | word[reds] << green_size[greens], green_size[greens] + size_of[reds]
-    value[at, 1], bits[at, 1] = word[blues], size_of[blues]
-    value[hit, 0], bits[hit, 0] = green_word[cached], green_size[cached]
+    value, bits = np.zeros(2 * len(p), np.int64), np.zeros(2 * len(p), np.int64)
+    at, known, begin = 2 * at, 2 * known, 2 * begin
+    size = green_size.take(greens)
+    value[at], bits[at] = green_word.take(greens) | word.take(reds) << size, size + size_of.take(reds)
+    at += 1
+    value[at], bits[at] = word.take(blues), size_of.take(blues)
+    value[known], bits[known] = green_word.take(cached), green_size.take(cached)
     if len(begin):
         k = 256 + length
-        value[begin, 0], bits[begin, 0] = green_word[k] | length_bits << green_size[k], green_size[k] + length_more
-        value[begin, 1], bits[begin, 1] = dist_word[dist] | dist_bits << dist_size[dist], dist_size[dist] + dist_more
-    w.put_all(value.ravel(), bits.ravel())
+        value[begin], bits[begin] = green_word[k] | length_bits << green_size[k], green_size[k] + length_more
+        begin += 1
+        value[begin], bits[begin] = dist_word[dist] | dist_bits << dist_size[dist], dist_size[dist] + dist_more
+    w.put_all(value, bits)
 
 
 def less_than_neighbour(p: np.ndarray, mode: int) -> np.ndarray:
@@ -357,8 +407,8 @@ def encode_rgb(p: np.ndarray) -> bytes:
     green = p.copy()
     green[..., 0] -= p[..., 1]
     green[..., 2] -= p[..., 1]
-    forms = [p, green, less_than_neighbour(p, 1), less_than_neighbour(p, 2)]
-    cost = [sample_bits(x.reshape(-1, 3)) for x in forms]
+    forms = np.stack([p, green, less_than_neighbour(p, 1), less_than_neighbour(p, 2)])
+    cost = samples_bits(forms.reshape(4, -1, 3))
     best = min(range(4), key=lambda k: (cost[k], k))
     if best == 1:
         w.put(1 | vp8l.GREEN << 1, 3)

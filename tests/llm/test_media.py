@@ -339,3 +339,15 @@ def test_broken_streams_are_errors():
     for bad in (b"", good[:30], b"x" + good[1:]):
         with pytest.raises(ValueError):
             vp8l.decode_vp8l(bad)
+
+
+def test_lengths_of_few_symbols_and_bits_of_many_images_are_those_of_one():
+    r = np.random.default_rng(3)
+    for n in (0, 1, 2, 19):
+        for most in (2, 50, 100_000):
+            counts = r.integers(0, most, n)
+            assert vp8l_encode.few_lengths(counts.tolist(), 7) == vp8l_encode.code_lengths(counts, 7).tolist()
+    for n in (1, 700, 5000):
+        forms = r.integers(0, 256, (4, n, 3)).astype(np.uint8)
+        want = [sum(vp8l_encode.bits_of(np.bincount(x[:, c], minlength=256)) for c in range(3)) for x in forms]
+        assert np.allclose(vp8l_encode.samples_bits(forms), want)
