@@ -81,11 +81,15 @@ def _removed(spark: SparkSession, path: str) -> None:
         return
 
 
+#: Characters of the strings that a generation of a memory holds, about.
+CHARACTERS = 9_600_000
+
+
 class Memory:
     """Values of strings that repeat, made by a function of many at once.
 
-    Two generations of some ``most`` strings, of 32 characters on average at most, are held: one that isn't asked for again
-    goes with its generation, so memory is bounded and follows the data. Only speed depends on it.
+    Two generations of some ``most`` strings, of 32 characters on average at most and ``CHARACTERS`` in all, are held: one that
+    isn't asked for again goes with its generation, so memory is bounded and follows the data. Only speed depends on it.
     """
 
     def __init__(self, make: Callable[[list[str]], Iterable[bytes]], most: int = 300_000) -> None:
@@ -95,7 +99,7 @@ class Memory:
         self.held = 0
 
     def of(self, lists: list[list[str]]) -> list[list[bytes]]:
-        if len(self.known) > self.most or self.held > 32 * self.most:
+        if len(self.known) > self.most or self.held > min(32 * self.most, CHARACTERS):
             self.known, self.old, self.held = {}, self.known, 0
         get, old = self.known.get, self.old
         found = [list(map(get, x)) for x in lists]

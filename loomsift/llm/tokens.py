@@ -15,12 +15,14 @@ ignored.
 
 from __future__ import annotations
 
+import array
 import functools
 import itertools
 import operator
 import re
 import struct
 import unicodedata
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -67,6 +69,44 @@ def pattern(spaces: bool) -> re.Pattern[str]:
     return re.compile("|".join([contraction, *certain, f"{s}\\S+", *(["\\s+(?!\\S)", "\\s+"] if spaces else [])]))
 
 
+#: Classes of characters below U+0250; GAP stands between texts, OTHER is left to the pattern.
+SPACES, LETTERS, NUMBERS, SYMBOLS, GAP, OTHER = range(6)
+
+
+@functools.lru_cache(maxsize=1)
+def classes() -> np.ndarray:
+    """The class of each character below U+0250, and of one above."""
+    kinds = [(SPACES, "\\s"), (LETTERS, f"[{LETTER}]"), (NUMBERS, f"[{NUMBER}]"), (OTHER, f"[{FURTHER}]")]
+    found = [next((k for k, p in kinds if re.match(p, chr(c))), SYMBOLS) for c in range(0x251)]
+    found[0x1C] = GAP
+    return np.array(found, np.uint8)
+
+
+def cut(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the pre-tokens of ``pattern(spaces=True)`` begin in UTF-8 texts that stand between gaps, the bytes 0x1C, which are
+    one each; and where characters are that it doesn't tell, for which the first result is void."""
+    table = classes()
+    kind = table[np.minimum(data, 0x7F)]
+    lead = np.flatnonzero(data >= 0xC2)
+    of = (data[lead] & 0x1F).astype(np.uint16) << 6 | data[lead + 1] & 0x3F
+    of = table[np.where(data[lead] > 0xC9, 0x250, np.minimum(of, 0x250))]
+    kind[lead] = kind[lead + 1] = of
+    odd = lead[of == OTHER]
+    begins = np.ones(len(data), bool)
+    np.not_equal(kind[1:], kind[:-1], out=begins[1:])
+    word = (kind != SPACES) & (kind != GAP)
+    begins[1:] &= ~(word[1:] & (data[:-1] == 0x20))  # a space goes with the word behind it
+    last = np.flatnonzero(word[1:] & (kind[:-1] == SPACES))  # and white space before one ends a character early
+    begins[last - (data[last] >= 0x80)] = True
+    quote = np.flatnonzero(begins & (data == ord("'")))
+    a, b = data[quote + 1], data[np.minimum(quote + 2, len(data) - 1)]
+    one = np.isin(a, np.frombuffer(b"stmd", np.uint8))
+    two = ((a == ord("r")) | (a == ord("v"))) & (b == ord("e")) | (a == ord("l")) & (b == ord("l"))
+    begins[quote[one | two] + 1] = False
+    begins[quote[one] + 2] = begins[quote[two] + 3] = True
+    return np.flatnonzero(begins), odd
+
+
 @functools.lru_cache(maxsize=2)
 def tokenizer(path: str) -> Tokenizer:
     """One for all tasks of a Python worker. The strings of special tokens in a text are ordinary text, as the
@@ -99,43 +139,69 @@ class Encoder:
     def _alone(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _made(self, new: list[str]) -> Iterator[bytes]:
+    def _made(self, new: list[str]) -> list[bytes]:
         odd = {x for x in new if IS_FURTHER.search(x)} if IS_FURTHER.search("".join(new)) else set()
-        gap, tokenize = "\x1c", self.tok.model.tokenize
-        told = gap.join([x for x in new if x not in odd])
+        gap, tokenize, number = "\x1c", self.tok.model.tokenize, operator.attrgetter("id")
+        told = gap.join([x for x in new if x not in odd] if odd else new)
         if not self.spaces:
             told = told.lower()
-        ids = [tokenize(x) for x in told.encode().decode("latin-1").translate(self.letters).split(self.letters[ord(gap)])]
-        ends = [0, *itertools.accumulate(map(len, ids))]
-        data = np.fromiter(map(operator.attrgetter("id"), itertools.chain.from_iterable(ids)), "<u4", ends[-1]).tobytes()
-        at = iter(zip(ends[:-1], ends[1:], strict=True))
-        for x in new:
-            if x in odd:
-                yield self._alone(x)
-            else:
-                a, z = next(at)
-                yield data[4 * a : 4 * z]
+        ids, ends = array.array("I"), [0]
+        for x in map(tokenize, told.encode().decode("latin-1").translate(self.letters).split(self.letters[ord(gap)])):
+            ids.extend(map(number, x))  # the library's tokens are let go at once
+            ends.append(len(ids))
+        data = np.array(ids, "<u4").tobytes()
+        made = [data[4 * a : 4 * z] for a, z in itertools.pairwise(ends)]
+        if not odd:
+            return made
+        at = iter(made)
+        return [self._alone(x) if x in odd else next(at) for x in new]
+
+    def _found(self, texts: list[str]) -> list[bytes]:
+        return [b"".join(x) for x in self.memory.of(list(map(self.find, texts)))]
+
+    def _cut(self, texts: list[str]) -> list[bytes]:
+        """As ``_found``, of pre-tokens that are cut by classes of bytes, and looked up once for all texts."""
+        data = np.frombuffer("\x1c".join(["", *texts, ""]).encode(), np.uint8)
+        begin, odd = cut(data)
+        if len(odd):
+            left = set((np.searchsorted(np.flatnonzero(data == 0x1C), odd) - 1).tolist())
+            rest = [t for k, t in enumerate(texts) if k not in left]
+            told, found = iter(self._cut(rest) if rest else []), iter(self._found([texts[k] for k in sorted(left)]))
+            return [next(found) if k in left else next(told) for k in range(len(texts))]
+        strings = pa.StringArray.from_buffers(len(begin), pa.py_buffer(np.append(begin, len(data)).astype(np.int32)), pa.py_buffer(data)).dictionary_encode()
+        ids = [b"", *self.memory.of([strings.dictionary[1:].to_numpy(zero_copy_only=False).tolist()])[0]]  # the first one is the gap
+        code, size = strings.indices.to_numpy(), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first, n = np.cumsum(size) - size, size[code]
+        end = np.cumsum(n)
+        out = np.frombuffer(b"".join(ids), "<u4")[np.repeat(first[code] - end + n, n) + np.arange(end[-1])]
+        edge = end[code == 0].tolist()
+        return [out[a:z].tobytes() for a, z in itertools.pairwise(edge)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian uint32. Some texts at a time, to bound the pre-tokens held."""
         out: list[bytes] = [b""] * len(texts)
         at: list[int] = []
-        parts: list[list[str]] = []
-        size = 0
+        size, most = 0, 2_000_000 if self.spaces else 1_000_000
         for k, t in enumerate(texts):
             if t and SEPARATOR.search(t):
                 out[k] = self._alone(t)
             elif t:
                 at.append(k)
-                parts.append(self.find(t))
                 size += len(t)
-            if size > 1_000_000 or (k == len(texts) - 1 and at):
-                for j, x in zip(at, self.memory.of(parts), strict=True):
-                    out[j] = b"".join(x)
-                at, parts, size = [], [], 0
+            if at and (size > most or k == len(texts) - 1):
+                for j, x in zip(at, (self._cut if self.spaces else self._found)([texts[j] for j in at]), strict=True):
+                    out[j] = x
+                at, size = [], 0
         return out
 
 
+@functools.lru_cache(maxsize=1)
+def shared_encoder(path: str, spaces: bool, job: str) -> Encoder:
+    """One for all tasks of a job in a Python worker, so that a task finds the pre-tokens of those before it. Another job's
+    takes its place."""
+    return Encoder(path, spaces, most=600_000)
+
+
 HEADER = struct.Struct("<HxxIBxH")
 
 
@@ -186,12 +252,12 @@ def write(docs: DataFrame, out: str | None = None, path: str | None = None, shar
     chunk's first id in its shard.
     """
     spark = docs.sparkSession
-    vocabulary = path or public_tokenizers.path(VOCABULARY)
+    vocabulary, job = path or public_tokenizers.path(VOCABULARY), uuid.uuid4().hex
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     like = pa.schema([("shard", pa.int32()), ("start", pa.int64()), ("n", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("doc_tokens", pa.list_(pa.int64())), ("block_starts", pa.list_(pa.int32())), ("blocks", pa.binary())])
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = Encoder(vocabulary, spaces=True), np.array([END_ID], "<u4").tobytes()
+        enc, end = shared_encoder(vocabulary, True, job), np.array([END_ID], "<u4").tobytes()
         at, shard = 0, 0
         held: list[tuple[int, bytes]] = []
         size = 0

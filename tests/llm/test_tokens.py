@@ -117,6 +117,31 @@ def test_contractions_in_common_english():
     assert enc.encode(texts) == [little(lib(t)) for t in texts]
 
 
+def test_cut_by_classes_is_the_pattern():
+    """Every character that it tells, beside spaces, quotes, contractions and the ends of texts."""
+    find = tokens.pattern(True).findall
+    texts = [t for k in range(0x250) for c in [chr(k)] if not tokens.SEPARATOR.search(c) for t in (c, f"a{c}", f"{c}'s", f"'{c}", f" {c}  {c} ", f"'re{c}'ll", f"{c}{c} '{c}", f"\n{c} \n")]
+    told = [t for t in texts if not tokens.IS_FURTHER.search(t)]
+    data = np.frombuffer("\x1c".join(["", *told, ""]).encode(), np.uint8)
+    begin, odd = tokens.cut(data)
+    ends = [*begin[1:].tolist(), len(data)]
+    got = [data[a:z].tobytes().decode() for a, z in zip(begin.tolist(), ends, strict=True)]
+    assert not len(odd) and got == [x for t in told for x in ["\x1c", *find(t)]] + ["\x1c"]
+    assert len(tokens.cut(np.frombuffer("\x1ca\u0130b 漢\x1c".encode(), np.uint8))[1]) == 2
+
+
+def test_tasks_of_a_job_share_pre_tokens():
+    """Pre-tokens that one task met are looked up by the next; another job begins anew."""
+    path = public_tokenizers.path(tokens.VOCABULARY)
+    one = tokens.shared_encoder(path, True, "one")
+    made, make = [], one.memory.make
+    one.memory.make = lambda new: [made.extend(new), make(new)][1]
+    first = one.encode(["some words it's  that\nrepeat", "some words"])
+    assert tokens.shared_encoder(path, True, "one").encode(["that repeat some words", None]) == [little(LIBRARY[0]("that repeat some words")), b""]
+    assert len(made) == len(set(made)) and made.count(" words") == 1
+    assert tokens.shared_encoder(path, True, "two") is not one and tokens.shared_encoder(path, True, "two").encode(["some words"]) == first[1:]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), min_size=1, max_size=200))
 def test_blocks_round_trip(ids):
