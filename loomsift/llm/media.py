@@ -12,8 +12,9 @@ texts give equal values; a null doc_id is kept; an empty table gives no rows; ex
 from __future__ import annotations
 
 import hashlib
+import itertools
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +32,24 @@ def payload(text: str | None) -> tuple[int, bytes]:
 
 
 def store(data: bytes) -> bytes:
-    p = np.frombuffer(data, np.uint8).reshape(-1, WIDTH, 3)
-    return b"".join(vp8l_encode.encode_rgb(p[k : k + vp8l.SIDE]) for k in range(0, len(p), vp8l.SIDE))
+    return store_all([data])[0]
+
+
+def store_all(payloads: Sequence[bytes]) -> list[bytes]:
+    rows = [np.frombuffer(x, np.uint8).reshape(-1, WIDTH, 3) for x in payloads]
+    made = iter(vp8l_encode.encode_all([p[k : k + vp8l.SIDE] for p in rows for k in range(0, len(p), vp8l.SIDE)]))
+    return [b"".join(itertools.islice(made, -(-len(p) // vp8l.SIDE))) for p in rows]
 
 
 def load(media: bytes) -> list[np.ndarray]:
-    return [vp8l.decode_vp8l(x) for x in vp8l.frames(media)]
+    return next(load_all([media]))
+
+
+def load_all(media: Sequence[bytes]) -> Iterator[list[np.ndarray]]:
+    """The images of each, in order."""
+    of = [vp8l.frames(x) for x in media]
+    images = vp8l.decode_all([*itertools.chain.from_iterable(of)])
+    return (list(itertools.islice(images, len(x))) for x in of)
 
 
 def encode(docs: DataFrame) -> DataFrame:
@@ -45,7 +58,7 @@ def encode(docs: DataFrame) -> DataFrame:
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.sliced(batches):
             made = [payload(t) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([n for n, _ in made], pa.int64()), pa.array([store(x) for _, x in made], pa.binary())], names=["doc_id", "n_bytes", "media"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([n for n, _ in made], pa.int64()), pa.array(store_all([x for _, x in made]), pa.binary())], names=["doc_id", "n_bytes", "media"])
 
     return docs.select("doc_id", "text").mapInArrow(of, "doc_id long, n_bytes long, media binary")
 
@@ -55,10 +68,10 @@ def describe(media: DataFrame) -> DataFrame:
     like = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())])
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in common.sliced(batches):
+        for b in common.sliced(batches, vp8l.IMAGES):
             out = []
-            for i, n, stored in zip(b.column("doc_id").to_pylist(), b.column("n_bytes").to_pylist(), b.column("media").to_pylist(), strict=True):
-                images = load(stored)
+            media_of = b.column("media").to_pylist()
+            for i, n, stored, images in zip(b.column("doc_id").to_pylist(), b.column("n_bytes").to_pylist(), media_of, load_all(media_of), strict=True):
                 data = b"".join(p[..., :3].tobytes() for p in images)
                 sums = np.frombuffer(data, np.uint8).reshape(-1, UNIT).sum(0, dtype=np.int64).reshape(-1, 3).sum(0)
                 out.append((i, n, len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-16:]), len(stored), hashlib.sha256(stored).hexdigest(), f"{len(images)}x{sum(len(p) for p in images)}:{','.join(map(str, sums.tolist()))}"))

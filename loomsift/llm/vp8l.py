@@ -3,13 +3,15 @@
 The decoder reads prefix codes (simple and normal), meta prefix groups, back-references, the colour cache, and the
 predictor, cross-colour, subtract-green and palette transforms. A pixel that is a literal takes as many bits as its four
 codes say, so for a stretch of the stream the pixel and the next place are found for every bit at once with whole-array
-steps; reading then hops from pixel to pixel, and stops where a back-reference or a cache entry stands.
+steps; reading then hops from pixel to pixel, and stops where a back-reference stands. Many images are read side by side where they can be: each
+step of whole arrays reads one symbol of a code's lengths, or one pixel, of every image, until few images are left.
 Pixels are arrays of shape (height, width, 4), channels red, green, blue, alpha.
 """
 
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable, Generator, Iterator, Sequence
 
 import numpy as np
 
@@ -65,21 +67,18 @@ class Code:
     table: the symbol, and in the low four bits the length.
     """
 
-    def __init__(self, lengths: np.ndarray) -> None:
-        used = lengths.nonzero()[0]
+    def __init__(self, used: np.ndarray, size: np.ndarray) -> None:
+        """Of symbols and their lengths in order of lengths, then of symbols."""
         self.bits, self.only = 0, int(used[0]) if len(used) else 0
         if len(used) < 2:
             self.table = np.array([self.only << 4])
             return
-        size = lengths[used]
-        self.bits = int(size.max())
+        self.bits = int(size[-1])
         # codes in canonical order fill the longest one's range
-        order = size.argsort(kind="stable")
-        used, size = used[order], size[order].astype(np.int64)
         span = 1 << (self.bits - size)
         if int(span.sum()) != 1 << self.bits:
             raise ValueError("a prefix code is not complete")
-        self.table = (used << 4 | size).repeat(span)[turned(self.bits)]
+        self.table = (used << 4 | size).repeat(span).take(turned(self.bits))
 
     def read(self, r: Bits) -> int:
         x = int(self.table[r.peek(self.bits)])
@@ -96,31 +95,6 @@ class Code:
         return x >> 4, x & 15
 
 
-@functools.lru_cache(maxsize=64)
-def code_of(lengths: bytes) -> Code:
-    """The code of these lengths, a byte a symbol; an image's red and blue often have the same."""
-    return Code(np.frombuffer(lengths, np.uint8))
-
-
-@functools.lru_cache(maxsize=1024)
-def small_code(lengths: tuple[int, ...]) -> tuple[list[tuple[int, int]], int]:
-    """Symbol and length for each value of the next bits, of a code of few symbols, and the mask of those bits."""
-    used = sorted((n, s) for s, n in enumerate(lengths) if n)
-    if len(used) < 2:
-        return [(used[0][1] if used else 0, 0)], 0
-    bits = used[-1][0]
-    size, at, turn = 1 << bits, 0, turned(bits).tolist()
-    out = [(0, 0)] * size
-    for n, s in used:
-        if at >= size:
-            break
-        out[turn[at] :: 1 << n] = [(s, n)] * (size >> n)
-        at += size >> n
-    if sum(size >> n for n, _ in used) != size:
-        raise ValueError("a prefix code is not complete")
-    return out, size - 1
-
-
 def reversed_bits(x: np.ndarray, n: int) -> np.ndarray:
     out = np.zeros_like(x)
     for i in range(n):
@@ -129,63 +103,101 @@ def reversed_bits(x: np.ndarray, n: int) -> np.ndarray:
 
 
 def read_code(r: Bits, alphabet: int) -> Code:
-    """A code from its description. A description tells where it ends, so the bits of the one before say the same code."""
-    if r.said and r.said[0] == alphabet and r.at + r.said[2] <= 8 * len(r.data) and r.many(r.at, r.said[2]) == r.said[1]:
-        r.at += r.said[2]
-        return r.said[3]
-    first = r.at
-    code = described_code(r, alphabet)
-    r.said = alphabet, r.many(first, r.at - first), r.at - first, code
-    return code
-
-
-def described_code(r: Bits, alphabet: int) -> Code:
-    if r.read(1):
-        two, wide = r.read(1), r.read(1)
-        lengths = bytearray(alphabet)
-        lengths[r.read(8 if wide else 1)] = 1
-        if two:
-            lengths[r.read(8)] = 1
-        return code_of(bytes(lengths))
-    of_lengths = [0] * 19
-    some = LENGTH_ORDER[: 4 + r.read(4)]
-    bits = int.from_bytes(r.data[r.at >> 3 : (r.at >> 3) + 9], "little") >> (r.at & 7)
-    for s in some:
-        of_lengths[s] = bits & 7
-        bits >>= 3
-    r.at += 3 * len(some)
-    pairs, mask = small_code(tuple(of_lengths))
-    left = 2 + r.read(2 + 2 * r.read(3)) if r.read(1) else alphabet
-    out = bytearray()
-    add, bits, held, to = out.append, 0, 0, r.at  # bits to come, their number, and the place behind them
-    while left > 0 and len(out) < alphabet:
-        had = len(out)
-        for _ in range(min(left, alphabet - had)):
-            if held < 14:
-                at = to - held
-                bits, held = int.from_bytes(r.data[at >> 3 : (at >> 3) + 14], "little") >> (at & 7), 105
-                to = at + held
-            s, size = pairs[bits & mask]
-            bits >>= size
-            held -= size
-            if s > 15:
-                break
-            add(s)
-        left -= len(out) - had
-        if s > 15:
-            low, more = (3, 2) if s == 16 else (3, 3) if s == 17 else (11, 7)
-            k = low + (bits & ((1 << more) - 1))
-            # 16 repeats the last length that isn't 0, or 8
-            out += ((out.rstrip(b"\0") or b"\x08")[-1:] if s == 16 else b"\0") * k
-            bits >>= more
-            held -= more
-            left -= 1
-    r.at = at = to - held
-    if len(out) > alphabet:
+    return read_codes([(r, alphabet)])[0]
+
+
+def read_codes(asked: Sequence[tuple[Bits, int]]) -> list[Code]:
+    """A code of so many symbols from each reader. A description tells where it ends, so the bits of the one before say the same code."""
+    out: list[Code | None] = [None] * len(asked)
+    normal = []
+    for k, (r, alphabet) in enumerate(asked):
+        if r.said and r.said[0] == alphabet and r.at + r.said[2] <= 8 * len(r.data) and r.many(r.at, r.said[2]) == r.said[1]:
+            r.at += r.said[2]
+            out[k] = r.said[3]
+        elif r.read(1):
+            two, wide = r.read(1), r.read(1)
+            symbols = {r.read(8 if wide else 1), *((r.read(8),) if two else ())}
+            out[k] = Code(np.array(sorted(symbols)), np.ones(len(symbols), np.int64))
+        else:
+            normal.append(k)
+    first = [asked[k][0].at - 1 for k in normal]
+    for k, at, code in zip(normal, first, described_codes([asked[k] for k in normal]) if normal else (), strict=True):
+        r, alphabet = asked[k]
+        r.said = alphabet, r.many(at, r.at - at), r.at - at, code
+        out[k] = code
+    return out
+
+
+#: Of symbols of code lengths: the number of their extra bits, and how many lengths they say at least.
+MORE, LEAST = np.array([0] * 16 + [2, 3, 7]), np.array([1] * 16 + [3, 3, 11])
+ORDER = np.array(LENGTH_ORDER)
+
+
+def described_codes(asked: Sequence[tuple[Bits, int]]) -> list[Code]:
+    """Codes given by runs of lengths under a code of their own, one run of each at a time."""
+    many = len(asked)
+    kinds = np.zeros((many, 19), np.int64)
+    left, alphabets, parts, begins, n = [], np.array([a for _, a in asked]), [], [], 0
+    for k, (r, alphabet) in enumerate(asked):
+        some = 4 + r.read(4)
+        bits = r.many(r.at, 3 * some)
+        kinds[k, ORDER[:some]] = [bits >> 3 * j & 7 for j in range(some)]
+        r.at += 3 * some
+        left.append(2 + r.read(2 + 2 * r.read(3)) if r.read(1) else alphabet)
+        parts.append(r.data[r.at >> 3 : (r.at >> 3) + 2 * alphabet])  # a run takes 14 bits at most
+        begins.append(8 * n + (r.at & 7))
+        n += len(parts[-1])
+    raw = np.frombuffer(b"".join([*parts, bytes(4)]), np.uint8).astype(np.int64)
+    raw = raw[:-2] | raw[1:-1] << 8 | raw[2:] << 16
+    # the runs' codes fill seven bits
+    row, symbol = kinds.nonzero()
+    key = row << 8 | kinds[row, symbol] << 5 | symbol
+    key.sort()
+    row, size, symbol = key >> 8, key >> 5 & 7, key & 31
+    size[np.bincount(row, minlength=many).take(row) == 1] = 0
+    span = 128 >> size
+    if (np.bincount(row, span, many) != 128).any():
+        raise ValueError("a prefix code is not complete")
+    table = (symbol << 4 | size).repeat(span).reshape(many, 128)[:, turned(7)].ravel()
+    least, more = LEAST.take(table >> 4), MORE.take(table >> 4)
+    mask, step = (1 << more) - 1, (table & 15) + more
+    lengths_of, place, said, limit, base = np.arange(many), np.array(begins), np.zeros(many, np.int64), alphabets.copy(), np.arange(many) << 7
+    left, ended, found = np.array(left), np.zeros(many, np.int64), []
+    last, turns = len(raw) - 1, 0
+    while len(place):
+        bits = raw.take(np.minimum(place >> 3, last)) >> (place & 7)
+        here = base + (bits & 127)
+        number = least.take(here) + (bits >> (table.take(here) & 15) & mask.take(here))
+        found.append((lengths_of, table.take(here) >> 4, number))
+        place = place + step.take(here)
+        said = said + number
+        turns += 1
+        going = (said < limit) & (left > turns)
+        if not going.all():
+            ended[lengths_of] = place
+            lengths_of, place, said, limit, base, left = (x[going] for x in (lengths_of, place, said, limit, base, left))
+    of, symbol, number = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = of.astype(np.int16).argsort(kind="stable") if many < 1 << 15 else of.argsort(kind="stable")
+    of, symbol, number = of[order], symbol[order], number[order]
+    for (r, _), at in zip(asked, (ended - begins).tolist(), strict=True):
+        r.at += at
+        if r.at > 8 * len(r.data):
+            raise ValueError("the stream ends early")
+    whole = np.bincount(of, number, many).astype(np.int64)
+    if (whole > alphabets).any():
         raise ValueError("code lengths run over the alphabet")
-    if at > 8 * len(r.data):
-        raise ValueError("the stream ends early")
-    return code_of(bytes(out.ljust(alphabet, b"\0")))
+    # 16 repeats the code's last length that isn't 0, or 8
+    kept = np.maximum.accumulate(np.where((symbol > 0) & (symbol < 16), np.arange(len(symbol)), -1))
+    before = np.where((kept >= 0) & (of[kept] == of), symbol[kept], 8)
+    value = np.where(symbol < 16, symbol, np.where(symbol == 16, before, 0)).repeat(number)
+    of = of.repeat(number)
+    symbol = np.arange(len(of)) - (whole.cumsum() - whole).take(of)
+    some = value.nonzero()[0]
+    key = of[some] << 20 | value[some] << 16 | symbol[some]
+    key.sort()
+    ends = np.bincount(key >> 20, minlength=many).cumsum().tolist()
+    used, size = key & 0xFFFF, key >> 16 & 15
+    return [Code(used[a:z], size[a:z]) for a, z in zip([0, *ends], ends, strict=False)]
 
 
 def read_value(r: Bits, prefix: int) -> int:
@@ -196,6 +208,122 @@ def read_value(r: Bits, prefix: int) -> int:
     return ((2 + (prefix & 1)) << extra) + r.read(extra) + 1
 
 
+#: Fewest images that are read side by side, most of them, and most of their pixels.
+FEW, IMAGES, PIXELS = 96, 1024, 1 << 21
+NEAR_X, NEAR_Y = np.array([(0, 0), *NEAR]).T
+
+
+def values_of(prefix: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`read_value` where these are the next bits, and the number of those that are read."""
+    extra = np.maximum(prefix - 2, 0) >> 1
+    return np.where(prefix < 4, prefix, (2 + (prefix & 1) << extra) + (bits & (1 << extra) - 1)) + 1, extra
+
+
+class Begun:
+    """What has been read of an image's pixels.
+
+    literals: what its literals and entries are; copies: how many of them came before, length, and distance.
+    """
+
+    def __init__(self) -> None:
+        self.n, self.literals, self.copies = 0, np.empty(0, np.int64), []
+
+
+def begin_pixels(asked: Sequence[tuple[Bits, list[Code], int, int]]) -> list[Begun]:
+    """Read images of one group of codes (with widths and numbers of pixels) side by side, a pixel of each at a time, until few are left."""
+    out = [Begun() for _ in asked]
+    # a step looks at 56 bits; alpha's code mostly has one symbol
+    fit = [k for k, (_, c, _, _) in enumerate(asked) if not c[3].bits and c[0].bits + c[1].bits + c[2].bits <= 56 and c[0].bits + c[4].bits <= 28]
+    if len(fit) < FEW:
+        return out
+    readers = [asked[k][0] for k in fit]
+    codes = [asked[k][1] for k in fit]
+    tables, at, n = [], [], 0
+    for c in codes:
+        places = []
+        for j in (0, 1, 2, 4):
+            if j == 2 and c[2] is c[1]:
+                places.append(places[1])
+                continue
+            places.append(n)
+            tables.append(c[j].table)
+            n += len(c[j].table)
+        at.append(places)
+    table = np.concatenate(tables)
+    green_at, red_at, blue_at, dist_at = np.array(at).T.copy()
+    green_mask, red_mask, blue_mask, dist_mask = ((1 << np.array([c[j].bits for c in codes])) - 1 for j in (0, 1, 2, 4))
+    alpha = np.array([c[3].only << 24 for c in codes])
+    width, total = (np.array([asked[k][j] for k in fit]) for j in (2, 3))
+    # 64 bits from each byte on; a step takes 7 bytes at most, and places are looked at each 64 steps
+    held = b"".join([*(r.data for r in readers), bytes(512)])
+    words = np.ndarray(len(held) - 7, "<i8", held, strides=(1,))
+    sizes = np.array([8 * len(r.data) for r in readers])
+    begins = sizes.cumsum() - sizes
+    place, end = begins + [r.at for r in readers], begins + sizes
+    starts = total.cumsum() - total
+    made = np.empty(int(total.sum()), np.int64)
+    ids, to, n, turns = np.arange(len(fit)), starts.copy(), np.zeros(len(fit), np.int64), 0
+    ended, wrote, pixels = place.copy(), to.copy(), n.copy()
+    while True:
+        bits = words[place >> 3] >> (place & 7)
+        entry = table.take(green_at + (bits & green_mask))
+        size, green = entry & 15, entry >> 4
+        bits >>= size
+        red = table.take(red_at + (bits & red_mask))
+        more = red & 15
+        blue = table.take(blue_at + (bits >> more & blue_mask))
+        more += blue & 15
+        other = (green > 255).nonzero()[0]
+        red >>= 4
+        red <<= 16
+        red |= green << 8
+        red |= blue >> 4
+        red |= alpha
+        if len(other):
+            symbol = green[other]
+            red[other], more[other] = 279 - symbol, 0
+            made[to] = red
+            copy = other[symbol < 280]
+            if len(copy):
+                length, extra = values_of(green[copy] - 256, bits[copy])
+                rest = bits[copy] >> extra
+                entry = table.take(dist_at[copy] + (rest & dist_mask[copy]))
+                distance, far = values_of(entry >> 4, rest >> (entry & 15))
+                more[copy] = extra + (entry & 15) + far
+                near = np.minimum(distance, 120)
+                distance = np.where(distance > 120, distance - 120, np.maximum(1, NEAR_X[near] + NEAR_Y[near] * width[copy]))
+                if (distance > n[copy]).any() or (n[copy] + length > total[copy]).any():
+                    raise ValueError("a back-reference leaves the image")
+                for k, before, m, d in zip(ids[copy].tolist(), (to - starts)[copy].tolist(), length.tolist(), distance.tolist(), strict=True):
+                    out[fit[k]].copies.append((before, m, d))
+                n[copy] += length - 1
+                to[copy] -= 1
+        else:
+            made[to] = red
+        place += size
+        place += more
+        n += 1
+        to += 1
+        turns += 1
+        going = n < total
+        if not turns % 64 and (place > end).any():
+            raise ValueError("the stream ends early")
+        if not going.all():
+            ended[ids], wrote[ids], pixels[ids] = place, to, n
+            if (place > end).any():
+                raise ValueError("the stream ends early")
+            if np.count_nonzero(going) < FEW:
+                break
+            ids, to, n, place, end, starts, total, width, alpha, green_at, red_at, blue_at, dist_at, green_mask, red_mask, blue_mask, dist_mask = (
+                x[going] for x in (ids, to, n, place, end, starts, total, width, alpha, green_at, red_at, blue_at, dist_at, green_mask, red_mask, blue_mask, dist_mask)
+            )
+    first = 0
+    for k, r, at, z, m in zip(fit, readers, (ended - begins).tolist(), wrote.tolist(), pixels.tolist(), strict=True):
+        r.at, out[k].n, out[k].literals = at, m, made[first:z]
+        first += asked[k][3]
+    return out
+
+
 #: Bits of a stream that are looked at together, and the most that a literal can take.
 STRETCH, LITERAL = 1 << 15, 60
 EIGHT = np.arange(8)
@@ -291,7 +419,28 @@ def copied(argb: np.ndarray, n: int, length: int, distance: int) -> None:
         n, length, distance = n + k, length - k, distance + k
 
 
-def read_pixels(r: Bits, width: int, height: int, main: bool) -> np.ndarray:
+def laid_out(literals: np.ndarray, copies: list[tuple[int, int, int]], total: int, cache: Cache | None) -> np.ndarray:
+    """Pixels from literals, entries of the cache, and copies of what came before."""
+    argb = np.empty(total, np.int64)
+    entries = (literals < 0).nonzero()[0] if cache is not None else literals[:0]
+    n = last = known = 0
+    # entries up to each copy
+    until = entries.searchsorted([k for k, _, _ in copies] + [len(literals)]).tolist()
+    for (k, length, distance), entry in zip((*copies, (len(literals), 0, 0)), until, strict=True):
+        first, n = n, n + k - last
+        argb[first:n] = literals[last:k]
+        if entry > known:
+            cache.resolve(argb, first, n)
+        copied(argb, n, length, distance)
+        n, last, known = n + length, k, entry
+    return argb
+
+
+#: What reads many images' codes, or pixels, is asked for by each of them, with what it takes.
+Asked = tuple[Callable[[list], list], tuple]
+
+
+def read_pixels(r: Bits, width: int, height: int, main: bool) -> Generator[Asked, object, np.ndarray]:
     """An entropy-coded image; main: it may have meta prefix groups."""
     cache_bits = r.read(4) if r.read(1) else 0
     if cache_bits > 11:
@@ -299,67 +448,72 @@ def read_pixels(r: Bits, width: int, height: int, main: bool) -> np.ndarray:
     which, shift, groups, across = None, 0, 1, 0
     if main and r.read(1):
         shift = r.read(3) + 2
-        meta = read_pixels(r, (width + (1 << shift) - 1) >> shift, (height + (1 << shift) - 1) >> shift, False)
+        meta = yield from read_pixels(r, (width + (1 << shift) - 1) >> shift, (height + (1 << shift) - 1) >> shift, False)
         across, which = meta.shape[1], (meta[..., 0].astype(np.int64) << 8 | meta[..., 1]).ravel().tolist()
         groups = max(which) + 1
     size = 280 + (1 << cache_bits if cache_bits else 0)
-    codes = [[read_code(r, n) for n in (size, 256, 256, 256, 40)] for _ in range(groups)]
-    cache = Cache(cache_bits) if cache_bits else None
+    codes = []
+    for _ in range(groups):
+        codes.append([])
+        for n in (size, 256, 256, 256, 40):
+            codes[-1].append((yield read_codes, (r, n)))
     total, ends = width * height, 8 * len(r.data)
-    argb = np.empty(total, np.int64)
-    n, g, some = 0, 0, None
+    begun = (yield begin_pixels, (r, codes[0], width, total)) if which is None else Begun()
+    n, g, literals, copies = begun.n, 0, [begun.literals], begun.copies
+    had = len(begun.literals)
     while n < total:
-        if some is None or not some.begin <= r.at < some.end:
-            some = Stretch(r, codes)
-        # pixels up to the stretch's end or a back-reference
-        first, places, of_group = n, [], []
-        at, hop, add = r.at - some.begin, some.next[0], places.append
-        if which is None:
-            for _ in range(total - n):
-                after = hop[at]
-                if after < 0:
-                    break
-                add(at)
-                at = after
-            n += len(places)
-        else:
-            while n < total:
-                g = which[((n // width) >> shift) * across + ((n % width) >> shift)]
-                after = some.next[g][at]
-                if after < 0:
-                    break
-                of_group.append(g)
-                add(at)
-                at = after
-                n += 1
-        r.at = some.begin + at
-        if r.at > ends:
-            raise ValueError("the stream ends early")
-        if places:
-            at_bits, in_group = np.array(places), np.array(of_group)
+        # pixels up to the stretch's end
+        some = Stretch(r, codes)
+        places, of_group = [], []
+        at, hop, add, limit = r.at - some.begin, some.next[0], places.append, some.end - some.begin
+        while n < total and at < limit:
+            first = len(places)
             if which is None:
-                argb[first:n] = some.pixels(at_bits)
+                for _ in range(total - n):
+                    after = hop[at]
+                    if after < 0:
+                        break
+                    add(at)
+                    at = after
+                n += len(places) - first
             else:
-                for k in np.unique(in_group).tolist():
-                    argb[first:n][in_group == k] = some.pixels(at_bits[in_group == k], k)
-            if cache is not None and (argb[first:n] < 0).any():
-                cache.resolve(argb, first, n)
-        if n == total or r.at >= some.end:
-            continue
-        green, _, _, _, dist = codes[g]
-        length = read_value(r, green.read(r) - 256)
-        d = read_value(r, dist.read(r))
-        if d > 120:
-            d -= 120
-        else:
-            x, y = NEAR[d - 1]
-            d = max(1, x + y * width)
-        if d > n or n + length > total:
-            raise ValueError("a back-reference leaves the image")
-        copied(argb, n, length, d)
-        n += length
+                while n < total:
+                    g = which[((n // width) >> shift) * across + ((n % width) >> shift)]
+                    after = some.next[g][at]
+                    if after < 0:
+                        break
+                    of_group.append(g)
+                    add(at)
+                    at = after
+                    n += 1
+            if n == total or at >= limit:
+                break
+            r.at = some.begin + at
+            green, _, _, _, dist = codes[g]
+            length = read_value(r, green.read(r) - 256)
+            d = read_value(r, dist.read(r))
+            if d > 120:
+                d -= 120
+            else:
+                x, y = NEAR[d - 1]
+                d = max(1, x + y * width)
+            if d > n or n + length > total:
+                raise ValueError("a back-reference leaves the image")
+            copies.append((had + len(places), length, d))
+            n += length
+            at = r.at - some.begin
+        r.at = some.begin + at
         if r.at > ends:
             raise ValueError("the stream ends early")
+        had += len(places)
+        if places and which is None:
+            literals.append(some.pixels(np.array(places)))
+        elif places:
+            at_bits, in_group, found = np.array(places), np.array(of_group), np.empty(len(places), np.int64)
+            for k in np.unique(in_group).tolist():
+                found[in_group == k] = some.pixels(at_bits[in_group == k], k)
+            literals.append(found)
+    argb = laid_out(np.concatenate(literals), copies, total, Cache(cache_bits) if cache_bits else None)
     # red and blue change places
     turned_ = (argb & 0xFF00FF00) | (argb >> 16 & 0xFF) | (argb & 0xFF) << 16
     return turned_.astype("<u4").view(np.uint8).reshape(height, width, 4)
@@ -457,6 +611,41 @@ def unbundle(p: np.ndarray, palette: np.ndarray, width: int, bits: int) -> np.nd
 
 
 def decode_vp8l(data: bytes) -> np.ndarray:
+    return next(decode_all([data]))
+
+
+def decode_all(streams: Sequence[bytes]) -> Iterator[np.ndarray]:
+    """The images of streams, in order, many of them read side by side."""
+    some, n = [], 0
+    for data in streams:
+        sides = int.from_bytes(data[1:5], "little")
+        size = ((sides & 0x3FFF) + 1) * ((sides >> 14 & 0x3FFF) + 1)
+        if some and (n + size > PIXELS or len(some) == IMAGES):
+            yield from decode_some(some)
+            some, n = [], 0
+        some.append(data)
+        n += size
+    if some:
+        yield from decode_some(some)
+
+
+def decode_some(streams: list[bytes]) -> list[np.ndarray]:
+    out: list[np.ndarray | None] = [None] * len(streams)
+    going = [(k, image(data), None) for k, data in enumerate(streams)]
+    while going:
+        asked: dict[Callable[[list], list], list] = {}
+        for k, of, answer in going:
+            try:
+                what, given = of.send(answer)
+            except StopIteration as end:
+                out[k] = end.value
+            else:
+                asked.setdefault(what, []).append((k, of, given))
+        going = [(k, of, answer) for what, some in asked.items() for (k, of, _), answer in zip(some, what([x for _, _, x in some]), strict=True)]
+    return out
+
+
+def image(data: bytes) -> Generator[Asked, object, np.ndarray]:
     r = Bits(data)
     if r.read(8) != 0x2F:
         raise ValueError("not a lossless WebP stream")
@@ -472,17 +661,17 @@ def decode_vp8l(data: bytes) -> np.ndarray:
         seen.add(kind)
         if kind in (PREDICTOR, CROSS):
             bits = r.read(3) + 2
-            tiles = read_pixels(r, (width + (1 << bits) - 1) >> bits, (height + (1 << bits) - 1) >> bits, False)
+            tiles = yield from read_pixels(r, (width + (1 << bits) - 1) >> bits, (height + (1 << bits) - 1) >> bits, False)
             undo.append((lambda p, t=tiles, b=bits: invert_predictor(p, t, b)) if kind == PREDICTOR else (lambda p, t=tiles, b=bits: cross_colour(p, t, b, 1)))
         elif kind == GREEN:
             undo.append(subtract_green_inverse)
         else:
             n = r.read(8) + 1
-            palette = (np.cumsum(read_pixels(r, n, 1, False)[0].astype(np.int64), axis=0) & 255).astype(np.uint8)
+            palette = (np.cumsum((yield from read_pixels(r, n, 1, False))[0].astype(np.int64), axis=0) & 255).astype(np.uint8)
             bits = 3 if n <= 2 else 2 if n <= 4 else 1 if n <= 16 else 0
             undo.append(lambda p, c=palette, w=width, b=bits: unbundle(p, c, w, b))
             width = (width + (1 << bits) - 1) >> bits
-    p = read_pixels(r, width, height, True)
+    p = yield from read_pixels(r, width, height, True)
     for f in reversed(undo):
         p = f(p)
     return p
